@@ -1,0 +1,27 @@
+"""Queries that bind the operators to the test tables, with the SQL that says what they return."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from paperloom.session import table
+
+
+def topk_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    best = Window.partitionBy("lang", "source").orderBy(F.desc("n_chars"), "doc_id")
+    ranked = docs.withColumn("rn_source", F.row_number().over(best)).where("rn_source <= 2")
+    top = Window.partitionBy("lang").orderBy(F.desc("n_chars"), "doc_id")
+    return ranked.withColumn("rn", F.row_number().over(top)).where("rn <= 8").select("doc_id", "lang", "source", "n_chars", "rn")
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {"topk_cap": topk_cap}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {"topk_cap": "WITH a AS (SELECT doc_id, lang, source, n_chars, row_number() OVER (PARTITION BY lang, source ORDER BY n_chars DESC, doc_id) AS k FROM documents), b AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n_chars DESC, doc_id) AS rn FROM a WHERE k <= 2) SELECT doc_id, lang, source, n_chars, rn FROM b WHERE rn <= 8"}
