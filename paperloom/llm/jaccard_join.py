@@ -19,7 +19,11 @@ against the chance matches that the number of documents makes likely.
 Sets that are equal are one class from the start.  The documents of an index
 entry are linked to its smallest one, not to each other, so a group of n near
 copies costs n verifications.  Where a verified star leaves an entry in several
-components, the pairs between those are verified as well; no link is lost.
+components, pairs between those are looked at as well; no link is lost.
+
+Every set has a parity sketch, one bit for each shingle or so, whose bits that
+differ are a lower bound of the symmetric difference.  Pairs are held against it
+first; only those within H bring their sets together.
 """
 
 from __future__ import annotations
@@ -35,6 +39,8 @@ from .hashing import WordHasher
 
 SHINGLE, PERCENT = 4, 85
 BAND, SLACK, CHANCE = 4, 0.15, 0.05
+#: Documents of an index entry that one task compares with each other, or with as many others.
+CELL = 2048
 
 
 def most_apart(a: int, b: int, percent: int) -> int:
@@ -128,12 +134,27 @@ class Index:
         return np.unique(np.concatenate(out)) if out else np.empty(0, np.uint64)
 
 
-def _as_signed(x):
-    return x.view("int64").tolist()
+def sketch(x, hasher: WordHasher) -> bytes:
+    """Parity of the shingles in each of so many slots as there are shingles, rounded up to a power of two (64 at least)."""
+    np = hasher.np
+    slots = 1 << max(6, (max(1, len(x)) - 1).bit_length())
+    odd = np.bincount((hasher.mix(x ^ np.uint64(0x2545F4914F6CDD1D)) & np.uint64(slots - 1)).astype(np.int64), minlength=slots) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").tobytes()
+
+
+def folded(raw: bytes, size: int):
+    """A sketch with ``size`` bytes at most, as 64-bit words: halves are added bit by bit, which is the sketch with half the slots."""
+    import numpy as np
+
+    x = np.frombuffer(raw, np.uint64)
+    while 8 * len(x) > size:
+        half = len(x) // 2
+        x = x[:half] ^ x[half:]
+    return x
 
 
 def index_table(docs: DataFrame, shingle: int, percent: int, doc_id: str, text: str, doubled: int | None = None) -> DataFrame:
-    """doc_id, n (set size), fp1 and fp2 (128 bits of the set), entries."""
+    """doc_id, n (set size), fp1 and fp2 (128 bits of the set), sketch, entries."""
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     count = float(docs.count())
 
@@ -143,16 +164,74 @@ def index_table(docs: DataFrame, shingle: int, percent: int, doc_id: str, text:
 
         ix = Index(shingle, percent, count, doubled)
         for b in batches:
-            n, one, two, entries = [], [], [], []
+            n, one, two, bits, entries = [], [], [], [], []
             for t in b.column(1):
                 x = ix.shingles(t.as_py())
                 n.append(len(x))
                 one.append(int(ix.hasher.mix(x).sum(dtype=np.uint64).view(np.int64)))
                 two.append(int(ix.hasher.mix(x ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).view(np.int64)))
+                bits.append(sketch(x, ix.hasher))
                 entries.append(ix.entries(x).view(np.int64))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(entries, pa.list_(pa.int64()))], ["doc_id", "n", "fp1", "fp2", "entries"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(bits, pa.binary()), pa.array(entries, pa.list_(pa.int64()))], ["doc_id", "n", "fp1", "fp2", "sketch", "entries"])
+
+    return narrow.mapInArrow(run, "doc_id long, n long, fp1 long, fp2 long, sketch binary, entries array<long>")
+
+
+def likely(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sizes and sketches allow a link; ``sets`` has (doc_id, n, sketch), one row an id."""
+    side = lambda c: sets.select(F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}"))
+    both = pairs.join(side("b"), "b").where("n_b > 0").join(side("a"), "a")
+    both = both.where(percent * F.greatest("n_a", "n_b") <= 100 * F.least("n_a", "n_b"))
+
+    def check(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for r in batches:
+            keep = []
+            for m, n, x, y in zip(*(r.column(c).to_pylist() for c in ("n_a", "n_b", "s_a", "s_b")), strict=True):
+                size = min(len(x), len(y))
+                keep.append(int(np.bitwise_count(folded(x, size) ^ folded(y, size)).sum()) <= most_apart(m, n, percent))
+            yield pa.RecordBatch.from_arrays([r.column("a"), r.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return both.select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(check, "a long, b long")
+
+
+def likely_within(members: DataFrame, percent: int, cell: int = CELL) -> DataFrame:
+    """Pairs (a, b) of documents of one entry, but of two components, whose sizes and sketches allow a link.
+
+    ``members`` has (entry, doc_id, n, sketch, c).  Pairs that fail aren't made:
+    a task compares bits of at most ``cell`` documents with those of as many
+    others; an entry with more is dealt to a grid of such cells.
+    """
+    counts = members.groupBy("entry").agg(F.ceil(F.count(F.lit(1)) / cell).cast("int").alias("parts"))
+    dealt = members.join(counts, "entry").withColumn("mine", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = dealt.select("entry", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "doc_id", "n", "c", "sketch")
+
+    def run(key, t):
+        import numpy as np
+        import pyarrow as pa
 
-    return narrow.mapInArrow(run, "doc_id long, n long, fp1 long, fp2 long, entries array<long>")
+        ids, n, c, mine = (t.column(k).to_numpy() for k in ("doc_id", "n", "c", "mine"))
+        raw = t.column("sketch").to_pylist()
+        size = min(map(len, raw))
+        bits = np.stack([folded(x, size) for x in raw])
+        first, second = [], []
+        for k in range(len(ids)):
+            ok = (c != c[k]) & (percent * np.maximum(n, n[k]) <= 100 * np.minimum(n, n[k])) & (ids > ids[k])
+            if key[1].as_py() != key[2].as_py():  # cells off the diagonal: one from each part
+                ok &= mine != mine[k]
+            at = np.flatnonzero(ok)
+            if len(at):
+                apart = np.bitwise_count(bits[at] ^ bits[k]).sum(1, dtype=np.int64)
+                at = at[apart <= (100 - percent) * (n[at] + n[k]) // (100 + percent)]
+                first.append(np.full(len(at), ids[k]))
+                second.append(ids[at])
+        none = np.empty(0, np.int64)
+        return pa.table({"a": np.concatenate([none, *first]), "b": np.concatenate([none, *second])})
+
+    return dealt.groupBy("entry", "i", "j").applyInArrow(run, "a long, b long")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int, doc_id: str, text: str) -> DataFrame:
@@ -208,17 +287,16 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, doc
     two = shared.where("docs = 2").select("a", F.col("z").alias("b"))
     many = shared.where("docs > 2")
     members = spool(own.join(many.select("entry", "a"), "entry").select("entry", "doc_id", "n", "a"), "members")
-    stars = spool(two.union(members.where("a < doc_id").select("a", F.col("doc_id").alias("b"))).distinct(), "stars")
+    sets = keyed.select("doc_id", "n", "sketch").dropDuplicates(["doc_id"])
+    stars = spool(likely(two.union(members.where("a < doc_id").select("a", F.col("doc_id").alias("b"))).distinct(), sets, percent), "stars")
     links = spool(verified(stars, docs, shingle, percent, doc_id, text), "links")
     joined = spool(connected_components(links), "joined")
 
     # Entries that the star left in several components: pairs between those components.
-    labelled = members.join(joined, members["doc_id"] == joined["node"], "left").select("entry", "doc_id", "n", F.coalesce("component", "doc_id").alias("c"))
+    labelled = members.join(joined, members["doc_id"] == joined["node"], "left").select("entry", "doc_id", F.coalesce("component", "doc_id").alias("c"))
     open_entries = labelled.groupBy("entry").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("entry")
     rest = spool(labelled.join(open_entries, "entry"), "open")
-    x, y = rest.alias("x"), rest.alias("y")
-    close = (F.col("x.entry") == F.col("y.entry")) & (F.col("x.c") < F.col("y.c")) & (percent * F.greatest("x.n", "y.n") <= 100 * F.least("x.n", "y.n"))
-    more = x.join(y, close).select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
+    more = likely_within(rest.join(sets, "doc_id"), percent).distinct().join(stars, ["a", "b"], "left_anti")
     more = spool(more, "more")
     if more.limit(1).count():
         again = spool(verified(more, docs, shingle, percent, doc_id, text), "again")
