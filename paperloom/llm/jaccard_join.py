@@ -287,7 +287,7 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, doc
     two = shared.where("docs = 2").select("a", F.col("z").alias("b"))
     many = shared.where("docs > 2")
     members = spool(own.join(many.select("entry", "a"), "entry").select("entry", "doc_id", "n", "a"), "members")
-    sets = keyed.select("doc_id", "n", "sketch").dropDuplicates(["doc_id"])
+    sets = spool(keyed.select("doc_id", "n", "sketch").dropDuplicates(["doc_id"]), "sketches")
     stars = spool(likely(two.union(members.where("a < doc_id").select("a", F.col("doc_id").alias("b"))).distinct(), sets, percent), "stars")
     links = spool(verified(stars, docs, shingle, percent, doc_id, text), "links")
     joined = spool(connected_components(links), "joined")

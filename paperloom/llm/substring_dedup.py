@@ -122,11 +122,15 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS, core_words: int = CORE_
 
     ``kept_doc_id`` has the earliest occurrence of the passage's first unit.
     Earlier means a smaller id; what repeats within one document stays.  Null
-    and empty texts have no passages; rows without an id are left out; rows
-    that repeat an id never count as copies of each other.  Spans of a document
+    and empty texts have no passages; rows without an id are left out; of rows
+    that repeat an id, the text that sorts first counts.  Spans of a document
     may overlap where two earlier passages do.  Extra columns don't matter.
     """
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null")
+    twice = spool(narrow.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("doc_id"), "twice")
+    if twice.limit(1).count():
+        once = narrow.join(twice, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+        narrow = spool(narrow.join(twice, "doc_id", "left_anti").union(once), "once")
     table = spool(unit_table(narrow), "units")
     unit = table.select("doc_id", "starts", "n_words", F.posexplode("digests").alias("i", "digest"))
     unit = unit.select("digest", "doc_id", F.expr("starts[i]").alias("word"), F.coalesce(F.expr("get(starts, i + 1)"), "n_words").alias("upto"))
