@@ -37,6 +37,13 @@ def spool(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = 1024) -> None:
+    """Limits the session's Arrow batches to so many rows: with Spark's 10,000, a batch of long texts, or of pairs of sets, fills a worker."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def bytes_of(df: DataFrame, size: Column) -> tuple[int, int]:
     """Rows and summed ``size`` of a spooled table: the check that goes before any broadcast."""
     row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()

@@ -21,12 +21,16 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 WINDOW, BLOCK_BYTES = 13, 64 << 20
 
 #: Bytes of words stay (A-Z as a-z), all others become spaces.
 TO_WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
-SPANS = "doc_id long, n_words long, spans array<struct<item_id:long,word:long,words:long,start:long,end:long>>"
+KEYS = ("item_id", "word", "words", "start", "end")
+SPAN = "array<struct<item_id:long,word:long,words:long,start:long,end:long>>"
+FOUND = f"doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans {SPAN}"
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -91,16 +95,41 @@ def _blocks(items: list[tuple[int, str | None]], window: int, block_bytes: int)
     yield patterns_of(part, window)
 
 
-def occurrences(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_words, and every occurrence of an item's window with its offsets.
+def covered(spans: list[dict]) -> int:
+    """Words inside any of the spans."""
+    n, upto = 0, -1
+    for a, b in sorted((s["word"], s["word"] + s["words"]) for s in spans):
+        n += max(0, b - max(a, upto))
+        upto = max(upto, b)
+    return n
 
-    Items stream to the driver, which holds ``block_bytes`` of patterns at a
-    time.  Null or empty texts have no words; items without
-    words or without an id match nothing.  Repeated rows of
-    ``docs`` are scanned one by one (with several blocks of items they must
-    have different ids).  Extra columns don't matter.
+
+def summed(ids: list, sizes: list[int], spans: list[list[dict]], share: int):
+    """The Arrow batch of FOUND."""
+    import pyarrow as pa
+
+    hit = [covered(x) for x in spans]
+    items = [sorted({str(s["item_id"]) for s in x}) for x in spans]
+    sums = [hashlib.sha256(",".join(x).encode()).hexdigest() for x in items]
+    bad = [h > 0 and share * h >= n for h, n in zip(hit, sizes, strict=True)]
+    shape = pa.list_(pa.struct([(n, pa.int64()) for n in KEYS]))
+    cols = [pa.array(ids, pa.int64()), *(pa.array(x, pa.int64()) for x in (sizes, hit, map(len, items))), pa.array(sums, pa.string()), pa.array(bad, pa.bool_()), pa.array(spans, shape)]
+    return pa.RecordBatch.from_arrays(cols, ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans"])
+
+
+def verdicts(docs: DataFrame, items: DataFrame, share: int = 20, window: int = WINDOW, block_bytes: int = BLOCK_BYTES, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, spans.
+
+    ``spans`` has every occurrence of an item's window with its place in words
+    and in code points of the original.  A document is contaminated if at least
+    one in ``share`` of its words lies in a span.  Items stream to the driver,
+    which holds ``block_bytes`` of patterns at a time.  Null or empty texts have
+    no words; items without words or without an id match nothing.  Repeated
+    rows of ``docs`` are scanned one by one (with several blocks of items they
+    must have different ids).  Extra columns don't matter.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     rows = ((r[0], r[1]) for r in items.where(F.col(item_id).isNotNull()).select(F.col(item_id).cast("long"), F.col(item_text)).toLocalIterator())
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     parts = []
@@ -108,46 +137,20 @@ def occurrences(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_b
         sent = spark.sparkContext.broadcast(pickle.dumps(patterns, 5))
 
         def run(batches, sent=sent):
-            import pyarrow as pa
-
             tree = automaton_of(pickle.loads(sent.value))
-            shape = pa.list_(pa.struct([(n, pa.int64()) for n in ("item_id", "word", "words", "start", "end")]))
-            keys = ("item_id", "word", "words", "start", "end")
             for b in batches:
                 got = [scan(x.as_py(), tree) for x in b.column(1)]
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([n for n, _ in got], pa.int64()), pa.array([[dict(zip(keys, s, strict=True)) for s in spans] for _, spans in got], shape)], ["doc_id", "n_words", "spans"])
+                yield summed(b.column(0).to_pylist(), [n for n, _ in got], [[dict(zip(KEYS, s, strict=True)) for s in spans] for _, spans in got], share)
 
-        parts.append(narrow.mapInArrow(run, SPANS))
+        parts.append(narrow.mapInArrow(run, FOUND))
     if len(parts) == 1:
         return parts[0]
     out = parts[0]
     for p in parts[1:]:
         out = out.union(p)
-    return out.groupBy("doc_id").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"))
-
-
-def covered(spans: list) -> int:
-    """Words inside any of the spans."""
-    n, upto = 0, -1
-    for a, b in sorted((s["word"], s["word"] + s["words"]) for s in spans):
-        n += max(0, b - max(a, upto))
-        upto = max(upto, b)
-    return n
-
-
-def verdicts(docs: DataFrame, items: DataFrame, share: int = 20, **how) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, spans: a document is contaminated if at least one in ``share`` of its words is hit."""
-
-    def run(batches):
-        import pyarrow as pa
 
+    def again(batches):
         for b in batches:
-            spans = b.column(2).to_pylist()
-            hit = [covered(x) for x in spans]
-            ids = [sorted({str(s["item_id"]) for s in x}) for x in spans]
-            sums = [hashlib.sha256(",".join(x).encode()).hexdigest() for x in ids]
-            bad = [h > 0 and share * h >= n for h, n in zip(hit, b.column(1).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(hit, pa.int64()), pa.array([len(x) for x in ids], pa.int64()), pa.array(sums, pa.string()), pa.array(bad, pa.bool_()), b.column(2)], ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans"])
-
-    head, _, tail = SPANS.partition(", spans")
-    return occurrences(docs, items, **how).mapInArrow(run, f"{head}, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans{tail}")
+            yield summed(*(b.column(c).to_pylist() for c in ("doc_id", "n_words", "spans")), share)
+
+    return out.groupBy("doc_id").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans")).mapInArrow(again, FOUND)

@@ -33,7 +33,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import spool
+from .common import small_batches, spool
 from .components import connected_components
 from .hashing import WordHasher
 
@@ -276,6 +276,7 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, doc
     for the one id.  Rows without an id have component null.  Extra columns
     don't matter; an empty table gives an empty result.
     """
+    small_batches(docs.sparkSession)
     table = spool(index_table(docs, shingle, percent, doc_id, text, doubled), "index")
     keyed = table.where("n > 0 and doc_id is not null")
     # Equal sets: each class is stood for by its smallest id.

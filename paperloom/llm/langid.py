@@ -18,7 +18,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_fold
+from .common import in_fold, small_batches
 
 PER_LANG, LANDMARKS, RIDGE, SHARPNESS = 300, 64, 1e-3, 5.0
 SLOTS, CHUNK = 256 + 3 * 65536, 1 << 20
@@ -144,6 +144,7 @@ def classify(docs: DataFrame, model: dict, doc_id: str = "doc_id", text: str = "
     empty result.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     sent = spark.sparkContext.broadcast(pickle.dumps(model, 5))
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
 

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import spool
+from .common import small_batches, spool
 from .hashing import WordHasher
 
 MIN_WORDS, RADIUS, CORE_WORDS = 50, 3, 15
@@ -131,6 +131,7 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS, core_words: int = CORE_
     if twice.limit(1).count():
         once = narrow.join(twice, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
         narrow = spool(narrow.join(twice, "doc_id", "left_anti").union(once), "once")
+    small_batches(docs.sparkSession)
     table = spool(unit_table(narrow), "units")
     unit = table.select("doc_id", "starts", "n_words", F.posexplode("digests").alias("i", "digest"))
     unit = unit.select("digest", "doc_id", F.expr("starts[i]").alias("word"), F.coalesce(F.expr("get(starts, i + 1)"), "n_words").alias("upto"))

@@ -15,7 +15,7 @@ import pickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_fold, spool
+from .common import in_fold, small_batches
 
 #: Bounds of what is learnt from: texts of each class (half for the dictionaries, half for the calibration) and bytes of each.
 PER_CLASS, TEXT_BYTES = 1500, 16384
@@ -138,6 +138,7 @@ def scores(docs: DataFrame, model: dict, keep: tuple[str, ...] = ("doc_id",)) ->
     for an empty text.  Repeated rows get equal scores.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     sent = spark.sparkContext.broadcast(pickle.dumps(model, 5))
     keys = [f"k{i}" for i in range(len(keep))]
     narrow = docs.select(*[F.col(c).alias(k) for c, k in zip(keep, keys, strict=True)], F.col("text").alias("t"))
