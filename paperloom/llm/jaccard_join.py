@@ -40,7 +40,7 @@ from .hashing import WordHasher
 SHINGLE, PERCENT = 4, 85
 BAND, SLACK, CHANCE = 4, 0.15, 0.05
 #: Documents of an index entry that one task compares with each other, or with as many others.
-CELL = 2048
+CELL = 1024
 
 
 def most_apart(a: int, b: int, percent: int) -> int:

@@ -18,9 +18,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import spool
+from .common import bytes_of, spool
 
 ENTROPY, REPEATS, GRID, PASSES, RANGES, SEED = 0.97, 4.0, 32, 5, 4096, "mix-1"
+BROADCAST_BYTES = 16 << 20
 
 
 def tokens_of(text: Column) -> Column:
@@ -96,7 +97,10 @@ def plan(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, bu
     quota = quota.withColumn("rest", F.floor((F.col("r") - F.col("whole")) * F.col("t")))
 
     key = lambda block: F.md5(F.concat_ws("|", F.lit(seed), block.cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    named_rows = rows.join(quota, "s")
+    # A row a source: broadcast if they are few, else a join that AQE deals out where a source is hot.
+    quota = spool(quota, "quota")
+    _, size = bytes_of(quota, F.octet_length("s") + 48)
+    named_rows = rows.join(F.broadcast(quota) if size <= BROADCAST_BYTES else quota, "s")
     full = named_rows.where("whole > 0").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("whole").cast("int") - 1))).withColumn("order_key", key(F.col("block")))
 
     last = named_rows.where("rest > 0").withColumn("block", F.col("whole").cast("int")).withColumn("order_key", key(F.col("block")))
