@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BLOCK, QUERY_BLOCK, PROJECTIONS, SHARE, RATE, GROWTH = 16384, 1024, 48, 0.78, 0.2, 1.25
+BLOCK, QUERY_BLOCK, PROJECTIONS, SHARE, RATE, GROWTH = 16384, 1024, 48, 0.75, 0.24, 1.15
 
 
 def usable(v: Column) -> Column:
@@ -31,45 +31,46 @@ def usable(v: Column) -> Column:
 class Index:
     """Sorted projections of one block of vectors."""
 
-    def __init__(self, ids, vectors, projections: int = PROJECTIONS, seed: int = 7):
+    def __init__(self, ids, vectors, k: int, projections: int = PROJECTIONS, share: float = SHARE, rate: float = RATE, seed: int = 7):
         import numpy as np
 
-        self.ids, self.vectors = ids, vectors
-        lengths = np.sqrt((vectors * vectors).sum(1))
-        self.most = lengths.max()
-        last = np.sqrt(np.maximum(0.0, 1 - (lengths / self.most) ** 2))
-        self.axes = np.random.default_rng(seed).standard_normal((vectors.shape[1] + 1, projections)).astype(np.float32)
-        spots = np.hstack([vectors / self.most, last[:, None]]).astype(np.float32) @ self.axes
-        self.order = np.ascontiguousarray(np.argsort(spots, axis=0, kind="stable").T.astype(np.int32))
-        self.spots = np.ascontiguousarray(np.sort(spots, axis=0).T)
-
-    def search(self, query, own_id, k: int, rate: float = RATE, share: float = SHARE):
-        """(ids, scores) of the best k for one query, without the row whose id is the query's."""
+        by_id = np.argsort(ids, kind="stable")
+        self.ids, self.vectors, self.k = ids[by_id], vectors[by_id], k
+        n, size = self.vectors.shape
+        lengths = np.sqrt((self.vectors**2).sum(1))
+        self.axes = np.random.default_rng(seed).standard_normal((size + 1, projections))
+        last = np.sqrt(np.maximum(0.0, 1 - (lengths / lengths.max()) ** 2))
+        spots = np.hstack([self.vectors / lengths.max(), last[:, None]]) @ self.axes
+        self.need, self.enough = int(np.ceil(share * projections)), int(min(n, 8 * (k + 1) + rate * n))
+        # The sorted arrays stand in one, each with room to the next, so that one binary search serves all.
+        self.room = 4 * np.abs(spots).max() + 64 * projections
+        self.base = np.arange(projections) * self.room
+        self.order = np.argsort(spots, axis=0, kind="stable").T.astype(np.int32)
+        self.flat = (np.sort(spots, axis=0).T + self.base[:, None]).ravel()
+        # Where windows start: wide enough for half of a few vectors of the block, taken as queries.
+        tried = [np.partition(np.partition(np.abs(spots - spots[i]), self.need - 1, axis=1)[:, self.need - 1], self.enough - 1)[self.enough - 1] for i in range(0, n, -(-n // 9))]
+        self.wide = max(float(np.median(tried)), 1e-6)
+
+    def search(self, query, own_id):
+        """(ids, scores) of the best k for one query, without rows that have the query's id."""
         import numpy as np
 
-        n, m = len(self.ids), len(self.spots)
-        at = np.append(query / np.sqrt((query * query).sum()), 0).astype(np.float32) @ self.axes
-        enough, need, wide = min(n, 8 * (k + 1) + rate * n), int(np.ceil(share * m)), 1.0
-        hits = np.zeros(n, np.int16)
-        lo = hi = np.array([np.searchsorted(self.spots[j], at[j]) for j in range(m)])
+        n, m = self.order.shape[1], len(self.base)
+        at = np.append(query / np.sqrt((query * query).sum()), 0) @ self.axes + self.base
+        wide, first = self.wide, np.arange(m) * n
         while True:
-            left = np.array([np.searchsorted(self.spots[j], at[j] - wide, "left") for j in range(m)])
-            right = np.array([np.searchsorted(self.spots[j], at[j] + wide, "right") for j in range(m)])
-            for j in range(m):  # what the wider window adds on either side
-                hits[self.order[j, left[j] : lo[j]]] += 1
-                hits[self.order[j, hi[j] : right[j]]] += 1
-            lo, hi = left, right
-            found = np.flatnonzero(hits >= need)
-            if len(found) >= enough or (lo == 0).all() and (hi == n).all():
+            lo, hi = np.searchsorted(self.flat, at - wide) - first, np.searchsorted(self.flat, at + wide, "right") - first
+            hits = np.bincount(np.concatenate([self.order[j, x:y] for j, (x, y) in enumerate(zip(lo.tolist(), hi.tolist(), strict=True))]), minlength=n)
+            found = np.flatnonzero(hits >= self.need)
+            if len(found) >= self.enough or (lo <= 0).all() and (hi >= n).all():
                 break
             wide *= GROWTH
         found = found[self.ids[found] != own_id]
         scores = (self.vectors[found] * query).sum(1)
-        if len(found) > k:
-            edge = np.partition(scores, len(scores) - k)[len(scores) - k]
-            keep = scores >= edge
+        if len(found) > self.k:
+            keep = scores >= np.partition(scores, len(scores) - self.k)[len(scores) - self.k]
             found, scores = found[keep], scores[keep]
-        best = np.lexsort((self.ids[found], -scores))[:k]
+        best = np.lexsort((self.ids[found], -scores))[: self.k]
         return self.ids[found][best], scores[best]
 
 
@@ -101,9 +102,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "ve
                 q = right[right["v"].map(len) == size]
                 if not len(q):
                     continue
-                index = Index(group["vec_id"].to_numpy(), np.stack(group["v"].to_numpy()).astype(float))
+                index = Index(group["vec_id"].to_numpy(), np.stack(group["v"].to_numpy()).astype(float), k)
                 for own, x in zip(q["vec_id"], q["v"], strict=True):
-                    ids, scores = index.search(np.asarray(x, float), own, k)
+                    ids, scores = index.search(np.asarray(x, float), own)
                     out.append(pd.DataFrame({"query_id": own, "vec_id": ids, "score": scores}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
 
