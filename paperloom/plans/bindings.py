@@ -1,27 +1,757 @@
-"""Queries that bind the operators to the test tables, with the SQL that says what they return."""
+"""Queries that bind the operators to the test tables, with the SQL that says what they return.
+
+The tables hold no literature, so a binding makes records of what is there: a
+document is a work, its source a provider, an event an event of a user.  Titles,
+identifiers and types come from the row's number by rules that both engines share.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from paperloom.functions import normalize as N
+from paperloom.functions import text as T
+from paperloom.functions.ids import stable_id
+from paperloom.operators import access, classify, coverage, facets, graph, queue, rank, resolve, rules, score, state
+from paperloom.operators import events as E
 from paperloom.session import table
+from paperloom.sources import payloads
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def joined(col: Column | str) -> Column:
+    """An array as text: how results carry lists."""
+    return F.array_join(col, "|")
+
+
+def nth(values: list[str], n: Column) -> Column:
+    return F.element_at(F.array(*map(F.lit, values)), (n % len(values)).cast("int") + 1)
+
+
+def sql_nth(values: list[str], n: str) -> str:
+    return f"[{', '.join(repr(v) for v in values)}][({n} % {len(values)}) + 1]"
+
+
+START, END = datetime(2024, 1, 27, 12, tzinfo=UTC), datetime(2024, 1, 30, 12, tzinfo=UTC)
+TERMS = ["the", "and of", "tion*", "una", "licensed under", "der"]
+TITLES = [
+    "A randomized controlled trial of sleep",
+    "Rationale of a randomized controlled trial of rest",
+    "Systematic review and meta-analysis of training load",
+    "Retracted: a cohort study of walking",
+    "Study protocol for a pragmatic randomized trial",
+    "Editorial: what we read",
+    "Attachment to a chatbot: a survey",
+    "Retrieval and grounding in a large language model benchmark",
+    "Case report of a case series",
+    "Exercise in mice: an animal study",
+    "Consensus statement on diet and exercise",
+    "Clinical guideline: screening of older adults",
+    "Cross-sectional study of muscle strength",
+]
+TYPES = ["Journal Article", "Randomized Controlled Trial", "review", "Preprint", "Clinical Trial Protocol", "Practice Guideline", "proceedings-article", "Case Reports", ""]
+STREAMS = ["sport_science", "fitness_health", "sport_nutrition", "clinical_medicine", "llm_l3_retrieval_grounding", "human_h1_llm_relationship"]
+
+
+def docs(spark: SparkSession, d: str, *cols: str) -> DataFrame:
+    return table(spark, d, "documents").select(*cols)
+
+
+def papers(spark: SparkSession, d: str) -> DataFrame:
+    """Documents as papers of the older ranking."""
+    n = F.col("doc_id")
+    rows = docs(spark, d, "doc_id", "source", "n_chars")
+    return rows.select(
+        n.alias("paper_id"), nth(TITLES, n).alias("title"), F.concat(F.lit("We studied n = "), F.col("n_chars").cast("string"), F.lit(" participants for health.")).alias("abstract"), F.lit("The Lancet").alias("journal_or_venue"),
+        nth(STREAMS, n).alias("stream"), F.array().cast("array<string>").alias("secondary_streams"), "source", F.concat(F.lit("2024-01-"), F.lpad((n % 28 + 1).cast("string"), 2, "0")).alias("publication_date"),
+        F.when(n % 3 == 0, F.concat(F.lit("10.1000/"), F.floor(n / 6).cast("string"))).otherwise("").alias("doi"), F.when(n % 4 == 1, n.cast("string")).otherwise("").alias("pmid"), F.lit("").alias("pmcid"), F.lit("").alias("openalex_id"),
+        F.array_compact(F.array(F.nullif(nth(TYPES, n), F.lit("")))).alias("publication_types"), (n % 9 == 4).alias("is_preprint"), F.when(n % 2 == 0, True).alias("open_access"), F.array().cast("array<string>").alias("repository_versions"),
+    )
+
+
+PAPERS = f"""paper AS (SELECT doc_id AS paper_id, lower({sql_nth(TITLES, 'doc_id')}) AS title, lower('We studied n = ' || n_chars || ' participants for health.') AS abstract, {sql_nth(STREAMS, 'doc_id')} AS stream,
+    '2024-01-' || lpad((doc_id % 28 + 1)::VARCHAR, 2, '0') AS publication_date, lower({sql_nth(TYPES, 'doc_id')}) AS type, doc_id % 9 = 4 AS is_preprint, n_chars, source, doc_id,
+    CASE WHEN doc_id % 3 = 0 THEN '10.1000/' || (doc_id // 6) ELSE '' END AS doi, CASE WHEN doc_id % 4 = 1 THEN doc_id::VARCHAR ELSE '' END AS pmid FROM documents),
+txt AS (SELECT *, title || ' ' || abstract AS text FROM paper)"""
+
+# --- events and windows
+
+KIND = {"signup": "version_of_record_first_online", "purchase": "first_formal_indexing", "click": "formal_version_verified", "error": "embargo_lifted"}
+
+
+def user_events(spark: SparkSession, d: str) -> DataFrame:
+    """The events table with each row as an event: sign-ups carry a bare date, views are of no known type."""
+    rows = table(spark, d, "events")
+    kind = F.col("event_type")
+    for k, v in KIND.items():
+        kind = F.when(F.col("event_type") == k, v).otherwise(kind)
+    by_day = F.col("event_type") == "signup"
+    at = F.when(by_day, F.date_format("ts", "yyyy-MM-dd")).otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    return rows.select("event_id", "user_id", "ts", F.col("event_type").alias("kind"), E.event(kind, at, "log", "ts", "", F.when(by_day, "date").otherwise("instant"), "log").alias("e"))
+
+
+IN_WINDOW = "event_type <> 'view' AND CASE WHEN event_type = 'signup' THEN ts::DATE > DATE '2024-01-27' AND ts::DATE <= DATE '2024-01-30' ELSE ts BETWEEN TIMESTAMP '2024-01-27 12:00:00' AND TIMESTAMP '2024-01-30 12:00:00' END"
+
+
+@query(f"SELECT event_id, user_id FROM events WHERE {IN_WINDOW}")
+def event_window(spark, d):
+    return user_events(spark, d).where(E.in_window(F.col("e"), START, END, "UTC")).select("event_id", "user_id")
+
+
+CASE_KIND = "CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in KIND.items()) + " ELSE event_type END"
+AT = "CASE WHEN event_type = 'signup' THEN strftime(ts, '%Y-%m-%d') ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END"
+
+
+@query(f"SELECT user_id, event_type, occurred_at FROM (SELECT user_id, {CASE_KIND} AS event_type, {AT} AS occurred_at, row_number() OVER (PARTITION BY user_id ORDER BY {AT} DESC, {CASE_KIND} DESC) AS k FROM events WHERE {IN_WINDOW}) WHERE k = 1")
+def latest_event(spark, d):
+    rows = user_events(spark, d).where(E.in_window(F.col("e"), START, END, "UTC"))
+    best = rows.groupBy("user_id").agg(F.max(F.struct("e.occurred_at", "e.event_type")).alias("m"))
+    return best.select("user_id", "m.event_type", "m.occurred_at")
+
+
+@query(f"""SELECT event_id, CASE WHEN NOT ({IN_WINDOW}) THEN 'OTHER' WHEN event_type = 'purchase' AND DATE '2024-01-01' + (event_id % 40)::INTEGER < DATE '2024-01-27' THEN 'BACKFILL_INDEXING'
+    WHEN event_type = 'signup' THEN 'NEW_PUBLICATION' ELSE 'OTHER' END AS event_class, NOT ({IN_WINDOW}) AS missing FROM events""")
+def event_class(spark, d):
+    rows = user_events(spark, d).select("event_id", F.lit("a title").alias("title"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("event_id") % 40).cast("int")).cast("string").alias("publication_date"), F.lit(False).alias("is_preprint"), F.lit("unknown").alias("document_type"), F.array("e").alias("events"), F.lit("PRIORITY").alias("triage_status"), F.array().cast("array<string>").alias("triage_reasons"))
+    out = E.annotate(rows, START, END, "UTC")
+    return out.select("event_id", "event_class", F.array_contains("triage_reasons", "MISSING_QUALIFYING_EVENT").alias("missing"))
+
+
+@query("SELECT user_id, count(*) AS n_events, min(k) AS first_key FROM (SELECT DISTINCT user_id, lower(event_type) || '|' || strftime(ts, '%Y-%m-%d') || '|log|ts' AS k FROM events) GROUP BY user_id")
+def events_merge(spark, d):
+    # One list a user and half, merged by fingerprint: the second half repeats none of the first's.
+    rows = table(spark, d, "events").select("user_id", "event_id", E.event(F.col("event_type"), F.date_format("ts", "yyyy-MM-dd"), "log", "ts", "", "date", "log").alias("e"))
+    halves = rows.groupBy("user_id").agg(F.collect_list(F.when(F.col("event_id") % 2 == 0, F.col("e"))).alias("a"), F.collect_list(F.when(F.col("event_id") % 2 == 1, F.col("e"))).alias("b"))
+    merged = halves.select("user_id", E.merge_events(F.col("a"), F.col("b")).alias("m"))
+    first = F.get("m", F.lit(0))
+    return merged.select("user_id", F.size("m").cast("long").alias("n_events"), F.lower(F.concat_ws("|", first["event_type"], first["occurred_at"], first["source"], first["source_field"])).alias("first_key"))
+
+
+@query("SELECT event_id, CASE WHEN event_type = 'purchase' THEN 'formal_proceedings_release' ELSE 'formal_version_verified' END AS event_type FROM events WHERE event_id % 5 <> 0")
+def provider_event(spark, d):
+    none = F.array().cast(f"array<{payloads.EVENT}>")
+    rows = table(spark, d, "events").select("event_id", (F.col("event_id") % 5 == 0).alias("is_preprint"), F.lit("2024-01-01").alias("publication_date"), F.lit("x").alias("source"), F.array(F.when(F.col("event_type") == "purchase", "Proceedings Article").otherwise("article")).alias("t"))
+    out = rows.withColumn("events", E.with_provider_event(none, F.col("t"))).where(F.size("events") > 0)
+    return out.select("event_id", F.get("events", F.lit(0))["event_type"].alias("event_type"))
+
+
+# --- scores and triage
+
+
+def _has(term: str) -> str:
+    body, open_end = term.rstrip("*"), term.endswith("*")
+    return f"regexp_matches(t, '(^|[^a-z0-9]){body.replace(' ', chr(92) + 's+')}" + ("" if open_end else "($|[^a-z0-9])") + "')::INTEGER"
+
+
+@query(f"SELECT doc_id, least(100, 40 + 6 * ({' + '.join(map(_has, TERMS))}) + CASE WHEN doc_id % 3 = 0 THEN 8 ELSE 0 END + CASE WHEN doc_id % 2 = 0 THEN 4 ELSE 0 END)::INTEGER AS score FROM (SELECT doc_id, lower(text) AS t FROM documents)")
+def routing_score(spark, d):
+    n = F.col("doc_id")
+    rows = docs(spark, d, "doc_id", "text").select("doc_id", F.lit("").alias("title"), F.col("text").alias("abstract"), F.when(n % 3 == 0, "10.1/x").otherwise("").alias("doi"), F.lit("").alias("pmid"), (n % 2 == 0).alias("open_access"))
+    return score.routing_score(rows, TERMS).select("doc_id", "score")
+
+
+@query(f"""SELECT doc_id, CASE WHEN contains(t, 'retracted') THEN 'REVIEW_REQUIRED' WHEN contains(t, 'protocol') OR contains(t, 'editorial') OR s < m THEN 'LOWER_PRIORITY' ELSE 'PRIORITY' END AS triage_status,
+    CASE WHEN contains(t, 'retracted') THEN 'RETRACTION_SIGNAL_REQUIRES_REVIEW' ELSE coalesce(nullif(concat_ws('|', CASE WHEN s < m THEN 'BELOW_CATEGORY_ROUTING_THRESHOLD' END, CASE WHEN contains(t, 'editorial') THEN 'EDITORIAL_TITLE_ROUTED_LOWER' END,
+    CASE WHEN contains(t, 'protocol') THEN 'PROTOCOL_TITLE_ROUTED_LOWER' END), ''), 'MEETS_CATEGORY_ROUTING_THRESHOLD') END AS reasons FROM (SELECT doc_id, lower({sql_nth(TITLES, 'doc_id')}) AS t, n_chars % 100 AS s, CASE lang WHEN 'en' THEN 60 WHEN 'fr' THEN 30 ELSE 0 END AS m FROM documents)""")
+def triage(spark, d):
+    rows = docs(spark, d, "doc_id", "lang", "n_chars").select("doc_id", nth(TITLES, F.col("doc_id")).alias("title"), F.col("lang").alias("category"), (F.col("n_chars") % 100).alias("score"))
+    return score.triage(rows, {"en": 60, "fr": 30}).select("doc_id", "triage_status", joined("triage_reasons").alias("reasons"))
+
+
+@query("SELECT o_orderkey, round(0.4 * (o_orderkey % 101) + 0.3 * (o_custkey % 101) + 0.2 * (floor(o_totalprice)::BIGINT % 101) + 0.1 * (o_orderkey % 7), 1) AS total_score FROM orders")
+def legacy_total(spark, d):
+    o = table(spark, d, "orders")
+    rows = o.select("o_orderkey", (F.col("o_orderkey") % 101).alias("evidence_score"), (F.col("o_custkey") % 101).alias("relevance_score"), (F.floor("o_totalprice") % 101).alias("interest_score"), (F.col("o_orderkey") % 7).alias("practical_score"))
+    return rows.select("o_orderkey", score.total().alias("total_score"))
+
+
+TERMS_OLD = ["trial", "screening", "muscle", "language model"]
+
+
+def _says(terms, col="text") -> str:
+    return "(" + " OR ".join(f"contains({col}, '{t}')" for t in terms) + ")"
+
+
+@query(f"""WITH {PAPERS} SELECT paper_id, study_design, evidence_tier, evidence_score FROM (SELECT paper_id, CASE
+    WHEN {_says(['meta-analysis', 'meta analysis'])} THEN {{'d': 'Meta-analysis', 't': 'Meta/A', 's': 95}} WHEN {_says(['systematic review'])} THEN {{'d': 'Systematic review', 't': 'SR/A', 's': 90}}
+    WHEN contains(type, 'guideline') OR {_says(['clinical guideline'])} THEN {{'d': 'Guideline', 't': 'Guideline/A', 's': 92}} WHEN {_says(['consensus'])} THEN {{'d': 'Consensus statement', 't': 'Stmt/B+', 's': 78}}
+    WHEN contains(type, 'randomized controlled trial') OR regexp_matches(text, '\\brandomi[sz]ed\\b') THEN {{'d': 'Randomized controlled trial', 't': 'RCT/A', 's': 88}} WHEN {_says(['cohort'])} THEN {{'d': 'Cohort study', 't': 'Cohort/B+', 's': 72}}
+    WHEN {_says(['cross-sectional'])} THEN {{'d': 'Cross-sectional study', 't': 'Cross/B', 's': 52}} WHEN {_says(['survey'])} THEN {{'d': 'Survey', 't': 'Survey/B', 's': 48}} WHEN contains(type, 'review') THEN {{'d': 'Narrative review', 't': 'Rev/B', 's': 60}} END AS r, is_preprint,
+    coalesce(r['d'], CASE WHEN is_preprint THEN 'Preprint' ELSE 'Other' END) AS study_design, CASE WHEN r IS NULL THEN CASE WHEN is_preprint THEN 'Preprint/U' ELSE 'Other/U' END WHEN is_preprint THEN split_part(r['t'], '/', 1) || '/U' ELSE r['t'] END AS evidence_tier,
+    (CASE WHEN r IS NULL THEN CASE WHEN is_preprint THEN 35 ELSE 40 END WHEN is_preprint THEN greatest(r['s'] - 20, 30) ELSE r['s'] END)::INTEGER AS evidence_score FROM txt)""")
+def base_study(spark, d):
+    rows = papers(spark, d).withColumn("s", classify.base_study())
+    return rows.select("paper_id", "s.*")
+
+
+_N = "CASE WHEN n_chars >= 10000 THEN 15 WHEN n_chars >= 1000 THEN 10 WHEN n_chars >= 200 THEN 5 ELSE 0 END"
+
+
+@query(f"""WITH {PAPERS} SELECT paper_id, least(100, CASE WHEN m > 0 THEN 48 ELSE 42 END + 7 * m + 4 * m)::INTEGER AS relevance_score, least(100, 43 + CASE WHEN contains(text, 'randomized') THEN 7 ELSE 0 END + {_N} + CASE WHEN doc_id % 3 = 0 THEN 5 ELSE 0 END)::INTEGER AS interest_score,
+    least(100, 40 + CASE WHEN doc_id % 3 = 0 THEN 25 ELSE 0 END + 4 * (contains(text, 'clinical')::INTEGER + contains(text, 'health')::INTEGER + contains(text, 'training')::INTEGER))::INTEGER AS practical_score
+    FROM (SELECT *, {' + '.join(f"contains(title, '{t}')::INTEGER" for t in TERMS_OLD)} AS m FROM txt)""")
+def base_scores(spark, d):
+    good = F.col("paper_id") % 3 == 0
+    rows = papers(spark, d).withColumns({"study_design": F.when(good, "Guideline").otherwise("Other"), "evidence_score": F.when(good, 92).otherwise(40)})
+    return rows.select("paper_id", score.base_relevance(TERMS_OLD).alias("relevance_score"), score.interest().alias("interest_score"), score.practical().alias("practical_score"))
+
+
+@query(f"""WITH {PAPERS} SELECT paper_id, CASE stream WHEN 'sport_science' THEN {_says(classify.SPORT, 'title')} WHEN 'fitness_health' THEN {_says(classify.FITNESS, 'title')} WHEN 'sport_nutrition' THEN {_says(classify.NUTRITION_ACTIVITY, 'title')} AND {_says(classify.NUTRITION, 'title')}
+    WHEN 'clinical_medicine' THEN TRUE WHEN 'llm_l3_retrieval_grounding' THEN {_says(classify.MODEL_SIGNALS)} AND {_says(classify.DIRECTION_TERMS['L3'])} AND ({_says(classify.MODEL_SIGNALS, 'title')} OR {_says(classify.DIRECTION_TERMS['L3'], 'title')})
+    ELSE {_says(classify.MODEL_SIGNALS)} AND {_says(classify.DIRECTION_TERMS['H1'])} END AS relevant FROM txt""")
+def stream_relevance(spark, d):
+    return papers(spark, d).select("paper_id", classify.is_relevant().alias("relevant"))
+
+
+_STREAM_D = "CASE stream WHEN 'llm_l3_retrieval_grounding' THEN 'L3' WHEN 'human_h1_llm_relationship' THEN 'H1' END"
+_FOUND = ", ".join(f"CASE WHEN coalesce({_STREAM_D} = '{x}', FALSE) OR ({_says(classify.AI_SIGNALS if x == 'H2' else classify.MODEL_SIGNALS)} AND {_says(classify.DIRECTION_TERMS[x])}) THEN '{x}' END" for x in classify.DIRECTIONS)
+
+
+@query(f"""WITH {PAPERS}, f AS (SELECT paper_id, stream, {_STREAM_D} AS own, list_filter([{_FOUND}], lambda x: x IS NOT NULL) AS ds FROM txt)
+    SELECT paper_id, array_to_string(ds, '|') AS directions, coalesce(own, ds[1]) AS direction, CASE WHEN own = 'H1' THEN 'human_ai' WHEN len(list_filter(ds, lambda x: starts_with(x, 'L'))) > 0 THEN 'llm_research' WHEN len(ds) > 0 THEN 'human_ai'
+    WHEN stream IN ('sport_nutrition', 'fitness_health') THEN 'sport_nutrition_fitness' WHEN stream = 'sport_science' THEN 'sport_science' WHEN stream = 'clinical_medicine' THEN 'clinical_medicine' END AS category FROM f""")
+def directions(spark, d):
+    return papers(spark, d).select("paper_id", joined(classify.directions()).alias("directions"), classify.primary_direction().alias("direction"), classify.category().alias("category"))
+
+
+@query(f"WITH {PAPERS} SELECT paper_id, CASE WHEN n_chars >= 10 THEN n_chars::INTEGER END AS sample_size FROM txt")
+def sample_size(spark, d):
+    return papers(spark, d).select("paper_id", classify.sample_size().alias("sample_size"))
+
+
+# --- classification and normalisation
+
+_PAT = {k: p.replace("(?:", "(?:") for k, p in classify.TITLE_DESIGNS.items()}
+_TITLE_HITS = ", ".join(f"CASE WHEN regexp_matches(t, '{p}'){' AND NOT plan' if k == 'randomized_controlled_trial' else ''} THEN '{k}' END" for k, p in _PAT.items())
+_PLAN = r"regexp_matches(t, '\b(?:rationale|protocol|trial\s+design|study\s+design|design\s+paper)\b')"
+_PROVIDER = {"Randomized Controlled Trial": "CASE WHEN plan THEN [] ELSE ['randomized_controlled_trial'] END", "review": "['review']", "Case Reports": "['case_report']", "Clinical Trial Protocol": "['protocol']"}
+
+
+@query(f"""WITH a AS (SELECT doc_id, lower({sql_nth(TITLES, 'doc_id')}) AS t, {sql_nth(TYPES, 'doc_id')} AS y, doc_id % 9 = 4 AS pre, ['pubmed', 'PMLR', 'openalex'][doc_id % 3 + 1] AS src FROM documents), b AS (SELECT *, {_PLAN} AS plan FROM a),
+    c AS (SELECT *, list_filter([{_TITLE_HITS}], lambda x: x IS NOT NULL) AS own, CASE y {' '.join(f"WHEN '{k}' THEN {v}" for k, v in _PROVIDER.items())} ELSE [] END AS told FROM b)
+    SELECT doc_id, CASE WHEN y = 'Clinical Trial Protocol' THEN 'protocol' WHEN y = 'Practice Guideline' THEN 'guideline' WHEN y = 'proceedings-article' THEN 'conference_paper' WHEN y = 'Journal Article' THEN 'journal_article' WHEN y = 'Preprint' OR pre THEN 'preprint'
+    WHEN list_contains(own, 'protocol') THEN 'protocol' WHEN regexp_matches(t, '\\bguidelines?\\b') THEN 'guideline' WHEN src = 'PMLR' THEN 'conference_paper' WHEN src = 'pubmed' THEN 'journal_article' ELSE 'unknown' END AS document_type,
+    array_to_string(list_sort(list_distinct(list_concat(told, own))), '|') AS study_designs, CASE WHEN len(told) > 0 AND len(own) > 0 THEN 'PROVIDER_METADATA_AND_TITLE' WHEN len(told) > 0 THEN 'PROVIDER_METADATA' WHEN len(own) > 0 THEN 'TITLE_EXPLICIT' ELSE 'UNKNOWN' END AS study_design_basis FROM c""")
+def classify_document(spark, d):
+    n = F.col("doc_id")
+    rows = docs(spark, d, "doc_id").select("doc_id", nth(TITLES, n).alias("title"), F.array(nth(TYPES, n)).alias("provider_publication_types"), (n % 9 == 4).alias("is_preprint"), nth(["pubmed", "PMLR", "openalex"], n).alias("source"))
+    return classify.classify(rows).select("doc_id", "document_type", joined("study_designs").alias("study_designs"), "study_design_basis")
+
+
+@query("SELECT l_orderkey, array_to_string(list_sort(list_distinct(list(upper(l_returnflag || l_linestatus)))), '|') AS types FROM lineitem GROUP BY l_orderkey")
+def stable_types(spark, d):
+    li = table(spark, d, "lineitem")
+    both = F.concat("l_returnflag", "l_linestatus")
+    lists = li.groupBy("l_orderkey").agg(F.flatten(F.collect_list(F.array(both, F.lower(both)))).alias("t"))
+    return lists.select("l_orderkey", joined(classify.stable_types(F.col("t"))).alias("types"))
+
+
+@query("""SELECT page_id, CASE WHEN h = '' THEN '' ELSE CASE WHEN p <> '' AND p <> '/' THEN regexp_replace(u, '/+$', '') ELSE u END END AS url FROM (SELECT page_id, h, p, lower(regexp_extract(url, '^([A-Za-z]+)://', 1)) || '://' || h || p || CASE WHEN len(q) > 0 THEN '?' || array_to_string(list_sort(q), '&') ELSE '' END AS u FROM
+    (SELECT page_id, url, lower(regexp_extract(url, '^[A-Za-z]+://([^/?#]*)', 1)) AS h, regexp_extract(url, '^[A-Za-z]+://[^/?#]*([^?#]*)', 1) AS p, list_filter(string_split(regexp_extract(url, '^[^?#]*\\?([^#]*)', 1), '&'), lambda x: x <> '' AND NOT starts_with(lower(x), 'utm_')) AS q FROM pages))""")
+def canon_url(spark, d):
+    return table(spark, d, "pages").select("page_id", N.canonical_url(F.col("url")).alias("url"))
+
+
+HOSTS = ["doi.org", "www.pubmed.ncbi.nlm.nih.gov", "europepmc.org", "export.arxiv.org", "openreview.net", "aclanthology.org", "api.openalex.org", "journal.example.org"]
+PATHS = ["/articles/PMC1", "/pdf/2401.1", "/pdf?id=1", "/x"]
+
+
+@query(f"""WITH a AS (SELECT page_id, {sql_nth(HOSTS, 'page_id')} AS h, {sql_nth(PATHS, '(page_id // 8)')} AS p FROM pages), b AS (SELECT *, CASE h WHEN 'www.pubmed.ncbi.nlm.nih.gov' THEN 'pubmed' WHEN 'europepmc.org' THEN 'europe_pmc' WHEN 'export.arxiv.org' THEN 'arxiv'
+    WHEN 'openreview.net' THEN 'openreview' WHEN 'aclanthology.org' THEN 'conference_proceedings' WHEN 'api.openalex.org' THEN 'other' ELSE 'publisher' END AS k FROM a)
+    SELECT page_id, k AS source_type, CASE WHEN k = 'europe_pmc' AND p = '/articles/PMC1' OR k = 'arxiv' AND p = '/pdf/2401.1' OR k = 'openreview' AND starts_with(p, '/pdf') THEN 'PRIMARY_RESEARCH' WHEN k IN ('publisher', 'conference_proceedings') THEN 'FORMAL_PUBLICATION' ELSE 'DISCOVERY_ONLY' END AS source_role FROM b""")
+def source_roles(spark, d):
+    n = F.col("page_id")
+    rows = table(spark, d, "pages").select("page_id", F.concat(F.lit("https://"), nth(HOSTS, n), nth(PATHS, F.floor(n / 8))).alias("u"))
+    return rows.select("page_id", N.source_type(F.col("u")).alias("source_type"), N.source_role(F.col("u"), N.source_type(F.col("u"))).alias("source_role"))
+
+
+@query("""SELECT page_id, split_part(u, '?', 1) || '?' || CASE WHEN q = '' THEN '' ELSE q || '&' END || 'page=' || (page_id % 7) || f AS url FROM (SELECT page_id, split_part(url, '#', 1) AS u, regexp_extract(url, '(#.*)$', 1) AS f,
+    array_to_string(list_filter(string_split(CASE WHEN contains(split_part(url, '#', 1), '?') THEN split_part(split_part(url, '#', 1), '?', 2) ELSE '' END, '&'), lambda x: x <> '' AND split_part(x, '=', 1) <> 'page'), '&') AS q FROM pages)""")
+def page_urls(spark, d):
+    return table(spark, d, "pages").select("page_id", N.with_page(F.col("url"), "page", F.col("page_id") % 7).alias("url"))
+
+
+DOIS = ["https://doi.org/10.1234/AbC.1 .", "doi: 10.5555/x(1)y;", "DOI:10.1000/182", " 10.12/short ", "see 10.4321/q/2, there", "", "http://dx.doi.org/10.9999/Z"]
+_CLEAN = "regexp_replace(regexp_replace(regexp_replace(lower(trim(x)), '^https?://(?:dx\\.)?doi\\.org/', ''), '^doi:\\s*', ''), '[ .]+$', '')"
+
+
+@query(f"SELECT doc_id, {_CLEAN} AS doi, lower(regexp_replace(regexp_extract(x, '(?i)(10\\.\\d{{4,9}}/[-._;()/:A-Z0-9]+)', 1), '[ .,;]+$', '')) AS feed_doi FROM (SELECT doc_id, {sql_nth(DOIS, 'doc_id')} AS x FROM documents)")
+def dois(spark, d):
+    x = nth(DOIS, F.col("doc_id"))
+    return docs(spark, d, "doc_id").select("doc_id", N.doi(x).alias("doi"), N.feed_doi(x).alias("feed_doi"))
+
+
+DATES = ["2024-02-03", "2024-02-03T23:59:00Z", "Tue, 06 Feb 2024 10:00:00 GMT", "2024-02", "n/a", "2024-02-30", "", "7 Mar 2024 01:02:03 +0900"]
+ISO = ["2024-02-03", "2024-02-03", "2024-02-06", "", "", "", "", "2024-03-07"]
+YEARS, MONTHS_, DAYS = ["2023", "2024", ""], ["Feb", "2", "December", "13", "", "x"], ["29", "7", ""]
+
+
+@query(f"""SELECT doc_id, {sql_nth(ISO, 'doc_id')} AS provider_date, strftime(make_timestamp((1700000000 + doc_id * 86400)::BIGINT * 1000000), '%Y-%m-%d') AS epoch_date, CASE WHEN y = '' THEN '' WHEN m = 13 OR m = 2 AND y = '2023' AND d = 29 THEN y || '-01-01' ELSE y || '-' || lpad(m::VARCHAR, 2, '0') || '-' || lpad(d::VARCHAR, 2, '0') END AS lenient_date
+    FROM (SELECT doc_id, {sql_nth(YEARS, 'doc_id')} AS y, [2, 2, 12, 13, 1, 1][doc_id // 3 % 6 + 1] AS m, [29, 7, 1][doc_id // 18 % 3 + 1] AS d FROM documents)""")
+def dates(spark, d):
+    n = F.col("doc_id")
+    seconds = F.lit(1700000000) + n * 86400
+    return docs(spark, d, "doc_id").select("doc_id", N.provider_date(nth(DATES, n)).alias("provider_date"), N.epoch_date(F.when(n % 2 == 0, seconds).otherwise(seconds * 1000)).alias("epoch_date"), N.lenient_date(nth(YEARS, n), nth(MONTHS_, F.floor(n / 3)), nth(DAYS, F.floor(n / 18))).alias("lenient_date"))
+
+
+@query(f"""WITH {PAPERS} SELECT paper_id, CASE WHEN doi <> '' THEN 'doi:' || doi WHEN pmid <> '' THEN 'pmid:' || pmid ELSE 'title:' || sha256(trim(regexp_replace(regexp_replace(title, '[^\\w\\s]', ' ', 'g'), '\\s+', ' ', 'g'))) END AS work_id,
+    array_to_string(list_filter([CASE WHEN doi <> '' THEN 'https://doi.org/' || doi END, CASE WHEN pmid <> '' THEN 'https://pubmed.ncbi.nlm.nih.gov/' || pmid || '/' END], lambda x: x IS NOT NULL), '|') AS links FROM paper""")
+def work_ids(spark, d):
+    rows = papers(spark, d).withColumns({c: F.lit("") for c in ("arxiv_id", "anthology_id", "landing_url")})
+    return rows.select("paper_id", N.work_id().alias("work_id"), joined(N.discovery_urls()).alias("links"))
+
+
+@query("SELECT doc_id, array_to_string(list_sort(list_distinct(w)), ' ') AS words FROM (SELECT doc_id, list_filter(string_split(regexp_replace(lower(text[:200]), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '')[:12] AS w FROM documents)")
+def inverted_abstract(spark, d):
+    # Words to their place in the alphabet, and back again as text by place.
+    words = F.slice(F.filter(F.split(F.regexp_replace(F.lower(F.substring("text", 1, 200)), "[^a-z0-9]+", " "), " "), lambda x: x != ""), 1, 12)
+    rows = docs(spark, d, "doc_id", "text").select("doc_id", F.array_sort(F.array_distinct(words)).alias("w"))
+    index = F.map_from_entries(F.transform("w", lambda x, i: F.struct(x, F.array(i))))
+    return rows.select("doc_id", N.inverted_abstract(index).alias("words"))
+
+
+@query("""SELECT doc_id, CASE WHEN length(t) <= 100 THEN t ELSE regexp_replace(CASE WHEN cut >= 50 THEN h[:cut] ELSE h END, '[ ,，;；:]+$', '') || '…' END AS summary FROM (SELECT doc_id, t, t[:99] AS h, length(regexp_extract(t[:99], '(?s)^(.*)[ ，,]', 1)) AS cut FROM
+    (SELECT doc_id, trim(regexp_replace(text, '[ \\t\\n\\r]+', ' ', 'g')) AS t FROM documents))""")
+def truncate(spark, d):
+    return docs(spark, d, "doc_id", "text").select("doc_id", T.truncate(F.col("text"), 100).alias("summary"))
+
+
+@query("SELECT doc_id, regexp_replace('GET /x?api_key=' || doc_id || '&email=a' || doc_id || '@b.c&q=1', '(?i)(api_key|email)=[^&\\s]+', '\\1=[REDACTED]', 'g') AS said FROM documents")
+def redact(spark, d):
+    n = F.col("doc_id").cast("string")
+    return docs(spark, d, "doc_id").select("doc_id", T.redact(F.concat(F.lit("GET /x?api_key="), n, F.lit("&email=a"), n, F.lit("@b.c&q=1"))).alias("said"))
+
+
+MATCH = ['"the of" and licensed', "licensed under*", '"no such phrase" the', "the of"]
+
+
+def _any(*bodies: str) -> str:
+    return "(" + " OR ".join(f"regexp_matches(t, '(^|[^a-z0-9]){b}($|[^a-z0-9])')" for b in bodies) + ")"
+
+
+@query(f"""SELECT doc_id, {_any('the\\s+of', 'licensed')} AS core_0, {_any('licensed', 'under')} AS core_1, {_any('no\\s+such\\s+phrase', 'such', 'phrase')} AS core_2, {_any('the\\s+of')} AS feed_0, {_any('licensed', 'under')} AS feed_1, {_any('no\\s+such\\s+phrase')} AS feed_2, TRUE AS feed_3
+    FROM (SELECT doc_id, lower(text) AS t FROM documents)""")
+def query_match(spark, d):
+    rows = docs(spark, d, "doc_id", "text").withColumn("t", F.lower("text"))
+    core = {f"core_{i}": T.matches_core_query(F.col("t"), MATCH[i]) for i in range(3)}
+    feed = {f"feed_{i}": T.matches_feed_query(F.col("t"), MATCH[i]) for i in range(4)}
+    return rows.select("doc_id", *[c.alias(k) for k, c in (core | feed).items()])
+
+
+# --- resolution
+
+
+@query("SELECT min(doc_id) AS doc_id, count(*) AS n FROM documents GROUP BY text HAVING count(*) > 1")
+def dedup_exact(spark, d):
+    return docs(spark, d, "doc_id", "text").groupBy(F.sha2("text", 256).alias("h")).agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id", "n")
+
+
+def _components(spark, d) -> DataFrame:
+    rows = docs(spark, d, "doc_id", "lang", "text").select("doc_id", F.explode(F.array(F.concat(F.lit("h"), F.sha2("text", 256)), F.concat(F.lit("p"), F.col("lang"), F.substring(T.label(F.col("text")), 1, 40)))).alias("k"))
+    edges = rows.join(rows.groupBy("k").agg(F.min("doc_id").alias("a")), "k").select("a", F.col("doc_id").alias("b"))
+    return graph.components(docs(spark, d, F.col("doc_id").alias("id")), edges).withColumnRenamed("id", "doc_id")
+
+
+_RECURSIVE = """k AS (SELECT doc_id, 'h' || text AS k FROM documents UNION ALL SELECT doc_id, 'p' || lang || trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g'))[:40] FROM documents), e AS (SELECT DISTINCT x.doc_id AS a, y.doc_id AS b FROM k x JOIN k y USING (k)),
+    reach(a, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.b, reach.c FROM reach JOIN e ON e.a = reach.a)"""
+
 
+@query(f"WITH RECURSIVE {_RECURSIVE} SELECT a AS doc_id, min(c) AS component FROM reach GROUP BY a")
+def identity_components(spark, d):
+    return _components(spark, d)
 
-def topk_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+
+@query(f"WITH RECURSIVE {_RECURSIVE}, comp AS (SELECT a AS doc_id, min(c) AS component FROM reach GROUP BY a) SELECT component, count(DISTINCT lang) AS n_langs, count(*) AS n FROM comp JOIN documents USING (doc_id) GROUP BY component HAVING count(DISTINCT lang) > 1 OR count(*) > 4")
+def conflict_groups(spark, d):
+    rows = _components(spark, d).join(docs(spark, d, "doc_id", "lang"), "doc_id")
+    return rows.groupBy("component").agg(F.count_distinct("lang").alias("n_langs"), F.count(F.lit(1)).alias("n")).where("n_langs > 1 or n > 4")
+
+
+def observations(spark: SparkSession, d: str) -> DataFrame:
+    """Documents as observations: three of a row share a DOI, every seventh has none, scores and sources differ."""
+    n, work = F.col("doc_id"), F.floor(F.col("doc_id") / 3)
+    rows = docs(spark, d, "doc_id", "source", "n_chars").select(
+        F.concat(F.lit("Work number "), work.cast("string"), F.lit(" on the long term effects of reading")).alias("title"), F.lit("s").alias("stream"), F.lit("c").alias("category"), nth(["pubmed", "openalex", "arxiv"], n).alias("source"),
+        F.when(n % 3 == 2, "").otherwise(F.concat(F.lit("2024-01-"), F.lpad((work % 28 + 1).cast("string"), 2, "0"))).alias("publication_date"), F.array(F.concat(F.lit("Author "), (n % 5).cast("string"))).alias("authors"),
+        F.when(n % 3 == 1, F.concat(F.lit("Venue "), work.cast("string"))).otherwise("").alias("venue"), F.when(n % 7 == 3, "").otherwise(F.concat(F.lit("10.1000/"), work.cast("string"))).alias("doi"), F.when(n % 7 == 3, F.concat(F.lit("P"), n.cast("string"))).otherwise("").alias("pmid"),
+        (n % 3 == 2).alias("is_preprint"), F.array(F.when(n % 3 == 2, "preprint").otherwise("journal-article")).alias("provider_publication_types"), (F.col("n_chars") % 100).cast("int").alias("score"), F.array(F.concat(F.lit("q"), (n % 2).cast("string"))).alias("query_ids"),
+    )
+    return payloads.as_candidates(rows)
+
+
+@query("""WITH o AS (SELECT doc_id // 3 AS w, doc_id % 3 AS k, doc_id, n_chars % 100 AS score, doc_id % 7 = 3 AS lone FROM documents), g AS (SELECT CASE WHEN lone THEN 'pmid:P' || doc_id ELSE 'doi:10.1000/' || w END AS work_id, * FROM o)
+    SELECT work_id, max(score)::INTEGER AS score, count(*) AS n_observations, CASE WHEN bool_and(k = 2) THEN 'preprint' ELSE 'journal_article' END AS document_type, coalesce(max(CASE WHEN k = 1 THEN 'Venue ' || w END), '') AS venue,
+    array_to_string(list_sort(list_distinct(list(['pubmed', 'openalex', 'arxiv'][k + 1]))), '|') AS sources, array_to_string(list_sort(list_distinct(list('q' || (doc_id % 2)))), '|') AS queries FROM g GROUP BY work_id""")
+def works(spark, d):
+    out = resolve.deduplicate(observations(spark, d), bridge=False)
+    return out.select("work_id", "score", "n_observations", "document_type", "venue", joined("observed_sources").alias("sources"), joined("query_ids").alias("queries"))
+
+
+@query("""WITH b AS (SELECT doc_id, trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g'))[:40] AS k, lang, source FROM documents) SELECT x.doc_id AS a, y.doc_id AS b FROM b x JOIN b y ON x.k = y.k AND x.lang = y.lang AND x.doc_id < y.doc_id
+    WHERE x.source = y.source AND len(string_split(x.k, ' ')) >= 4 AND length(replace(x.k, ' ', '')) >= 20""")
+def title_bridge(spark, d):
+    rows = docs(spark, d, "doc_id", "lang", "source", "text").select("doc_id", F.substring(T.label(F.col("text")), 1, 40).alias("k"), "lang", F.array("source").alias("s"))
+    telling = (F.size(F.split("k", " ")) >= 4) & (F.length(F.replace("k", F.lit(" "), F.lit(""))) >= 20)
+    x, y = rows.where(telling).alias("x"), rows.alias("y")
+    same = (F.col("x.k") == F.col("y.k")) & (F.col("x.lang") == F.col("y.lang")) & (F.col("x.doc_id") < F.col("y.doc_id"))
+    return x.join(y, same).where(F.arrays_overlap("x.s", "y.s")).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
+
+
+@query("SELECT '10.1000/' || (p_partkey // 2) AS doi, 'The long study of ' || min_by(p_name || ' ' || p_partkey, p_partkey) AS title, max(CASE WHEN p_partkey % 2 = 1 THEN p_type ELSE '' END) AS venue, count(*) AS n_records FROM part GROUP BY p_partkey // 2")
+def feed_registry(spark, d):
+    """A feed and a registry of parts that share DOIs in pairs: feed titles win, counts of merged records."""
+    p = table(spark, d, "part")
+    rows = p.select(F.concat(F.lit("10.1000/"), F.floor(F.col("p_partkey") / 2).cast("string")).alias("doi"), F.lit("").alias("landing_url"), F.concat_ws(" ", F.lit("The long study of"), "p_name", "p_partkey").alias("title"), F.lit("2024-01-01").alias("publication_date"), F.array("p_brand").alias("authors"), F.when(F.col("p_partkey") % 2 == 1, F.col("p_type")).otherwise("").alias("venue"), "p_partkey")
+    merged = resolve.merge_feed_and_registry(rows.where("p_partkey % 2 = 0").drop("p_partkey"), rows.where("p_partkey % 2 = 1").drop("p_partkey"))
+    return merged.select("doi", "title", "venue", "n_records")
+
+
+# --- ranking
+
+
+def ranked_papers(spark: SparkSession, d: str) -> DataFrame:
+    n = F.col("doc_id")
+    return docs(spark, d, "doc_id", "lang", "source", "n_chars").select(n.alias("paper_id"), F.col("lang").alias("category"), F.col("lang").alias("stream"), F.col("source").alias("direction"), F.col("n_chars").cast("double").alias("total_score"), F.lit("2024").alias("publication_date"), (n % 101).alias("evidence_score"), (n % 97).alias("relevance_score"), (n % 89).alias("interest_score"), nth(["Guideline", "Survey", "Meta-analysis"], n).alias("study_design"), F.lit("X/A").alias("evidence_tier"), F.when(n % 10 == 0, "x").alias("exclusion_reason"))
+
+
+@query("WITH a AS (SELECT doc_id, lang, source, n_chars, row_number() OVER (PARTITION BY lang, source ORDER BY n_chars DESC, doc_id) AS k FROM documents), b AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n_chars DESC, doc_id) AS rn FROM a WHERE k <= 2) SELECT doc_id, lang, source, n_chars, rn FROM b WHERE rn <= 8")
+def topk_cap(spark, d):
+    rows = docs(spark, d, "doc_id", "lang", "source", "n_chars")
     best = Window.partitionBy("lang", "source").orderBy(F.desc("n_chars"), "doc_id")
-    ranked = docs.withColumn("rn_source", F.row_number().over(best)).where("rn_source <= 2")
     top = Window.partitionBy("lang").orderBy(F.desc("n_chars"), "doc_id")
-    return ranked.withColumn("rn", F.row_number().over(top)).where("rn <= 8").select("doc_id", "lang", "source", "n_chars", "rn")
+    return rows.withColumn("k", F.row_number().over(best)).where("k <= 2").withColumn("rn", F.row_number().over(top)).where("rn <= 8").drop("k")
+
+
+@query("""WITH a AS (SELECT *, row_number() OVER (PARTITION BY lang, source ORDER BY n_chars DESC, doc_id) AS k FROM documents), b AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY CASE WHEN k = 1 THEN 0 ELSE 1 END, n_chars DESC, doc_id) AS place FROM a WHERE k <= 2)
+    SELECT doc_id AS paper_id, lang AS category, place FROM b WHERE place <= 30""")
+def diverse(spark, d):
+    return rank.diverse(ranked_papers(spark, d), 30, 2).select("paper_id", "category", "place")
+
+
+@query("""WITH a AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n_chars DESC, doc_id) AS k FROM documents WHERE n_chars >= 45 AND doc_id % 10 <> 0 AND doc_id % 97 >= 62) SELECT doc_id AS paper_id, lang AS stream FROM a WHERE k <= CASE lang WHEN 'en' THEN 3 WHEN 'fr' THEN 2 ELSE 30 END ORDER BY n_chars DESC, doc_id LIMIT 10""")
+def stream_pool(spark, d):
+    return rank.stream_pool(ranked_papers(spark, d), most=10, per_stream={"en": 3, "fr": 2}).select("paper_id", "stream")
+
+
+@query("""SELECT doc_id AS paper_id, CASE WHEN doc_id % 10 = 0 THEN NULL WHEN doc_id % 101 >= 75 AND doc_id % 3 <> 1 AND doc_id % 97 >= 65 THEN 'anchor' WHEN doc_id % 101 >= 55 AND doc_id % 97 >= 60 THEN 'strong_watch' WHEN doc_id % 89 >= 85 AND doc_id % 97 >= 65 THEN 'weird_but_important' END AS section FROM documents""")
+def sections(spark, d):
+    return ranked_papers(spark, d).select("paper_id", rank.section().alias("section"))
+
+
+_CAPPED = """WITH RECURSIVE a AS (SELECT doc_id, lang, source AS src, row_number() OVER (PARTITION BY lang ORDER BY n_chars DESC, doc_id) AS place FROM documents),
+    t(lang, place, taken, doc_id, ok) AS (SELECT lang, 0::BIGINT, []::VARCHAR[], NULL::BIGINT, FALSE FROM (SELECT DISTINCT lang FROM a) UNION ALL SELECT t.lang, a.place, CASE WHEN c THEN list_append(taken, a.src) ELSE taken END, a.doc_id, c FROM
+    (SELECT t.lang, t.taken, a.doc_id, len(t.taken) < 6 AND len(list_filter(t.taken, lambda x: x = a.src)) < CASE a.src WHEN 'src0' THEN 2 ELSE 1 END AS c FROM t JOIN a ON a.lang = t.lang AND a.place = t.place + 1) AS t JOIN a ON a.doc_id = t.doc_id)
+    SELECT lang AS category, doc_id AS paper_id FROM t WHERE ok"""
+
+
+@query(_CAPPED)
+def section_caps(spark, d):
+    rows = ranked_papers(spark, d).withColumn("place", F.row_number().over(Window.partitionBy("category").orderBy(*rank.best())))
+    return rank.capped_in_order(rows, "category", {"direction": {"src0": 2, "*": 1}}, 6).select("category", "paper_id")
+
+
+def records(spark: SparkSession, d: str) -> DataFrame:
+    n = F.col("doc_id")
+    return docs(spark, d, "doc_id", "lang", "n_chars", "source").select(F.format_string("w%06d", n).alias("work_id"), F.col("lang").alias("category"), (F.col("n_chars") % 1000).alias("routing_score"), nth(["PRIORITY", "LOWER_PRIORITY", "REVIEW_REQUIRED", "LOWER_PRIORITY"], n).alias("triage_status"), F.when(n % 6 == 0, "NO_QUALIFYING_EVENT").otherwise("QUALIFYING").alias("event_status"), F.when(n % 5 == 0, "BACKFILL_INDEXING").otherwise("OTHER").alias("event_class"), "source")
+
+
+_REC = "r AS (SELECT 'w' || lpad(doc_id::VARCHAR, 6, '0') AS work_id, lang AS category, n_chars % 1000 AS s, [0, 2, 1, 2][doc_id % 4 + 1] AS t, doc_id % 6 <> 0 AND doc_id % 5 <> 0 AS ok, doc_id % 5 = 0 AS late, source FROM documents)"
+
+
+@query(f"""WITH {_REC}, p AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY t, -s, work_id) AS k, count(*) FILTER (WHERE t < 2) OVER (PARTITION BY category) AS np, CASE category WHEN 'es' THEN 1 ELSE 3 END AS tg, CASE category WHEN 'es' THEN 2 ELSE 5 END AS hm FROM r WHERE ok),
+    q AS (SELECT *, k <= least(greatest(least(np, hm), tg), hm) AS chosen, k <= least(tg, least(greatest(least(np, hm), tg), hm)) AS anchor FROM p WHERE k <= hm), u AS (SELECT *, row_number() OVER (ORDER BY chosen DESC, t, -s, work_id) AS pl FROM q), v AS (SELECT *, row_number() OVER (ORDER BY anchor DESC, t, -s, work_id) AS z FROM u WHERE chosen OR pl <= 14)
+    SELECT work_id, category FROM v WHERE z <= 16""")
+def featured(spark, d):
+    policy = rank.Policy(3, 5, {"es": (1, 2)}, 50, 14, 16)
+    return rank.featured(records(spark, d), policy).select("work_id", "category")
+
+
+@query(f"WITH {_REC} SELECT work_id, row_number() OVER (PARTITION BY category ORDER BY CASE WHEN source = 'src1' THEN 0 ELSE 1 END, late, CASE t WHEN 1 THEN 0 WHEN 0 THEN 1 ELSE 2 END, s DESC, work_id)::INTEGER AS display_rank, CASE category WHEN 'fr' THEN 1 WHEN 'en' THEN 2 END AS c FROM r")
+def display_order_rank(spark, d):
+    rows = records(spark, d).withColumn("score", F.col("routing_score"))
+    out = rank.display_order(rows, ["fr", "en"], rows.where("source = 'src1'"))
+    return out.select("work_id", "display_rank", F.when(F.col("category_rank") < 2, F.col("category_rank") + 1).alias("c"))
+
+
+@query("WITH a AS (SELECT page_id, url, row_number() OVER (PARTITION BY lower(regexp_extract(url, '://([^/?#]*)', 1)) ORDER BY page_id) AS k FROM pages WHERE url <> '') SELECT page_id, row_number() OVER (ORDER BY page_id)::INTEGER AS attempt FROM a WHERE k <= 2 ORDER BY page_id LIMIT 15")
+def budgeted_probe_static(spark, d):
+    return rank.probe_plan(table(spark, d, "pages"), 15, 2, "url", "page_id").select("page_id", "attempt")
+
+
+@query("WITH a AS (SELECT p_partkey, lower(p_name || p_brand) AS doi, round(p_retailprice * 100)::BIGINT AS c, row_number() OVER (PARTITION BY lower(p_name || p_brand) ORDER BY round(p_retailprice * 100)::BIGINT DESC, p_partkey) AS k FROM part) SELECT p_partkey FROM a WHERE k = 1 ORDER BY c DESC, doi, p_partkey LIMIT 40")
+def newest_first(spark, d):
+    rows = table(spark, d, "part").select("p_partkey", F.concat("p_name", "p_brand").alias("doi"), F.format_string("%012d", F.round(F.col("p_retailprice") * 100).cast("long")).alias("publication_date"), F.lit("t").alias("title"), F.format_string("%09d", "p_partkey").alias("landing_url"))
+    return rank.newest_first(rows, 40).select("p_partkey")
+
+
+
+# --- state
+
+
+def half_state(spark: SparkSession, d: str, half: int) -> DataFrame:
+    e = table(spark, d, "events").where(F.col("event_id") % 2 == half)
+    day = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    depth = F.when(F.col("event_type") == "purchase", "FULL_TEXT").when(F.col("event_type") == "click", "LANDING_PAGE").otherwise("METADATA")
+    return e.groupBy(F.col("user_id").cast("string").alias("work_id")).agg(F.lit("t").alias("title"), F.lit("c").alias("category"), F.min(day).alias("first_seen_at"), F.max(day).alias("last_seen_at"), F.count(F.lit(1)).alias("seen_count"), F.array_sort(F.collect_set("event_type")).alias("streams"), F.when(F.max((depth == "FULL_TEXT").cast("int")) == 1, "FULL_TEXT").when(F.max((depth == "LANDING_PAGE").cast("int")) == 1, "LANDING_PAGE").otherwise("METADATA").alias("access_depth"), F.when(F.max("value") > 49.5, "YES").otherwise("UNKNOWN").alias("oa_status"))
+
+
+@query("""SELECT user_id::VARCHAR AS work_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS first_seen_at, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS last_seen_at, count(*) AS seen_count, array_to_string(list_sort(list_distinct(list(event_type))), '|') AS streams,
+    CASE WHEN bool_or(event_type = 'purchase') THEN 'FULL_TEXT' WHEN bool_or(event_type = 'click') THEN 'LANDING_PAGE' ELSE 'METADATA' END AS access_depth, CASE WHEN max(value) > 49.5 THEN 'YES' ELSE 'UNKNOWN' END AS oa_status FROM events GROUP BY user_id""")
+def upsert(spark, d):
+    out = state.upsert(half_state(spark, d, 0), half_state(spark, d, 1))
+    return out.select("work_id", "first_seen_at", "last_seen_at", "seen_count", joined("streams").alias("streams"), "access_depth", "oa_status")
+
+
+@query("""WITH h AS (SELECT user_id, event_id % 2 AS s, min(ts) AS f, max(ts) AS l, count(*) AS n FROM events GROUP BY ALL) SELECT (user_id // 2)::VARCHAR AS pair, count(*) AS n_records, strftime(min(f), '%Y-%m-%d %H:%M:%S.%f') AS first_seen_at, strftime(max(l), '%Y-%m-%d %H:%M:%S.%f') AS last_seen_at, max(n) AS seen_count, min(user_id::VARCHAR) AS work_id FROM h GROUP BY user_id // 2""")
+def state_merge(spark, d):
+    # Users in pairs share an identifier, so each pair is one work, whichever state it is from.
+    none = F.array().cast("array<string>")
+
+    def side(half: int) -> DataFrame:
+        pair = F.floor(F.col("work_id").cast("long") / 2).cast("string")
+        more = {"identifiers": F.create_map(F.lit("doi"), pair), "notes": none, "notified_event_ids": none, "access_status": F.lit("NOT_CHECKED"), "fulltext_locations": F.array().cast(f"array<{access.LOCATION}>")}
+        return half_state(spark, d, half).withColumns(more)
+
+    out = state.merge_works(side(0), side(1))
+    sides = side(0).unionByName(side(1)).groupBy(F.col("identifiers")["doi"].alias("pair")).agg(F.count(F.lit(1)).alias("n_records"))
+    return out.select(F.col("identifiers")["doi"].alias("pair"), "first_seen_at", "last_seen_at", "seen_count", "work_id").join(sides, "pair")
+
+
+@query("SELECT event_id FROM events e WHERE event_type = 'purchase' AND NOT EXISTS (SELECT 1 FROM events s WHERE s.event_type = 'signup' AND s.user_id = e.user_id AND s.ts < e.ts)")
+def anti_notified(spark, d):
+    e = table(spark, d, "events").select("event_id", "user_id", "ts", "event_type")
+    first = e.where("event_type = 'signup'").groupBy("user_id").agg(F.min("ts").alias("first"))
+    return e.where("event_type = 'purchase'").join(first, "user_id", "left").where("first is null or first >= ts").select("event_id")
+
+
+@query("SELECT event_id, event_type FROM events WHERE event_id % 3 = 0 OR event_id % 4 = 0")
+def append_new(spark, d):
+    e = table(spark, d, "events").select("event_id", "event_type")
+    return state.append_new(e.where("event_id % 3 = 0"), e.where("event_id % 4 = 0").unionByName(e.where("event_id % 12 = 0")), "event_id")
+
+
+@query("SELECT user_id, event_type AS last_type, value AS last_value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_type DESC) AS k FROM events WHERE event_type <> '') WHERE k = 1")
+def latest_value(spark, d):
+    e = table(spark, d, "events").withColumn("last_seen_at", F.col("ts"))
+    return e.groupBy("user_id").agg(state.latest("event_type").alias("last_type"), F.max_by("value", F.struct("ts", "event_type")).alias("last_value"))
+
+
+@query("""SELECT 'gap-' || substr(sha256('["SOURCE_UNAVAILABLE","' || user_id || '"]'), 1, 24) AS gap_id, user_id::VARCHAR AS scope_id, CASE WHEN ok = 0 THEN CASE WHEN least(errors, 5) + prior >= 3 THEN 'UNRESOLVABLE' ELSE 'OPEN' END ELSE 'RESOLVED' END AS status, (least(errors, 5) + prior)::INTEGER AS attempt_count FROM
+    (SELECT user_id, count(*) FILTER (WHERE event_type = 'purchase') AS ok, count(*) FILTER (WHERE event_type = 'error') AS errors, user_id % 3 AS prior FROM events WHERE event_id % 7 = 0 GROUP BY user_id) WHERE ok = 0 OR prior > 0""")
+def gap_state(spark, d):
+    e = table(spark, d, "events").where("event_id % 7 = 0").withColumn("source_id", F.col("user_id").cast("string"))
+    checks = e.groupBy("source_id").agg(F.when(F.max((F.col("event_type") == "purchase").cast("int")) == 1, "SUCCESS").otherwise("FAILED").alias("status"))
+    k = F.row_number().over(Window.partitionBy("source_id", "event_type").orderBy("event_id"))
+    tries = e.where("event_type in ('purchase', 'error')").withColumn("k", k).where("event_type = 'purchase' or k <= 5")
+    attempts = tries.select(F.col("event_id").cast("string").alias("attempt_id"), "source_id", F.when(F.col("event_type") == "error", "FOLLOWUP").otherwise("DISCOVERY").alias("stage"), F.when(F.col("event_type") == "error", "FAILED").otherwise("SUCCESS").alias("status"))
+    prior = checks.where(F.col("source_id").cast("long") % 3 > 0).select(stable_id("gap", F.lit("SOURCE_UNAVAILABLE"), F.col("source_id")).alias("gap_id"), F.col("source_id").alias("scope_id"), F.lit("r0").alias("first_seen_run"), F.lit("r0").alias("last_attempt_run"), F.lit("OPEN").alias("status"), (F.col("source_id").cast("int") % 3).alias("attempt_count"), F.lit(3).alias("max_attempts"), F.array().cast("array<string>").alias("receipt_ids"))
+    return state.gap_backlog(checks, attempts, prior, "r1").select("gap_id", "scope_id", "status", "attempt_count")
+
+
+@query("""WITH m AS (SELECT c_custkey AS k, count(DISTINCT o_orderkey) AS n, min(o_orderkey) AS o FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey HAVING count(DISTINCT o_orderkey) = 1)
+    SELECT 'workrel-' || substr(sha256('["c' || k || '","o' || o || '","' || t || '"]'), 1, 24) AS relation_id, 'c' || k AS from_work_id, 'o' || o AS to_work_id, t AS relation_type FROM (SELECT *, CASE WHEN k % 2 = 0 AND o % 2 = 0 THEN 'PREPRINT_TO_VOR' ELSE 'NEW_VERSION' END AS t FROM m)""")
+def work_relations(spark, d):
+    # Customers are earlier works, orders current ones; they share a PubMed id, each side has an id of its own kind besides.
+    c, o = table(spark, d, "customer"), table(spark, d, "orders")
+    prior = c.select(F.concat(F.lit("c"), "c_custkey").alias("work_id"), F.map_filter(F.create_map(F.lit("pmid"), F.col("c_custkey").cast("string"), F.lit("arxiv_id"), F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("a"), "c_custkey")).otherwise("")), lambda k, v: v != "").alias("identifiers"))
+    now = o.select(F.concat(F.lit("o"), "o_orderkey").alias("work_id"), F.map_filter(F.create_map(F.lit("pmid"), F.col("o_custkey").cast("string"), F.lit("doi"), F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("d"), "o_orderkey")).otherwise("")), lambda k, v: v != "").alias("identifiers"), F.lit(False).alias("is_preprint"))
+    return state.work_relations(prior, now, "r1").select("relation_id", "from_work_id", "to_work_id", "relation_type")
+
+
+_CLAIM = ["SUPPORTED", "PARTIAL", "UNVERIFIED", "CONFLICT"]
+
+
+@query(f"SELECT 'q' || (doc_id % 50) AS claim_id, {_CLAIM}[max(CASE WHEN quality = 0 THEN 4 WHEN toxic = 1 THEN 3 ELSE doc_id % 2 + 1 END)] AS status, count(DISTINCT doc_id) AS n_sources FROM labels GROUP BY doc_id % 50")
+def claim_status(spark, d):
+    n = F.col("doc_id")
+    rows = table(spark, d, "labels").select(F.concat(F.lit("q"), (n % 50).cast("string")).alias("claim_id"), F.lit("c").alias("claim"), nth(_CLAIM, F.when(F.col("quality") == 0, 3).when(F.col("toxic") == 1, 2).otherwise(n % 2)).alias("status"), F.array(n.cast("string")).alias("source_ids"))
+    even = F.get("source_ids", F.lit(0)).cast("long") % 2 == 0
+    out = state.merge_claims(rows.where(even), rows.where(~even))
+    return out.select("claim_id", "status", F.size("source_ids").cast("long").alias("n_sources"))
+
+
+@query("""WITH a AS (SELECT user_id, list_sort(list_distinct(list(event_id))) AS ids, count(*) FILTER (WHERE event_type = 'error') AS n, max(ts) AS l FROM events WHERE event_id % 2 = 0 AND event_id % 5 = 0 GROUP BY 1), b AS (SELECT user_id, list_sort(list_distinct(list(event_id))) AS ids, count(*) FILTER (WHERE event_type = 'error') AS n, max(ts) AS l FROM events WHERE event_id % 5 = 0 AND event_id % 3 <> 1 GROUP BY 1)
+    SELECT coalesce(a.user_id, b.user_id)::VARCHAR AS gap_id, least(4, CASE WHEN a.ids IS NULL OR b.ids IS NULL OR list_has_all(a.ids, b.ids) OR list_has_all(b.ids, a.ids) THEN greatest(coalesce(a.n, 0), coalesce(b.n, 0)) ELSE a.n + b.n END)::INTEGER AS attempt_count, len(list_distinct(list_concat(coalesce(a.ids, []), coalesce(b.ids, []))))::BIGINT AS n_receipts FROM a FULL JOIN b ON a.user_id = b.user_id""")
+def gaps_merge(spark, d):
+    e = table(spark, d, "events").where("event_id % 5 = 0")
+    side = lambda cond: e.where(cond).groupBy(F.col("user_id").cast("string").alias("gap_id")).agg(F.lit("s").alias("scope_id"), F.lit("OPEN").alias("status"), F.count(F.when(F.col("event_type") == "error", 1)).alias("attempt_count"), F.lit(4).alias("max_attempts"), F.max("ts").cast("string").alias("last_attempt_at"), F.array_sort(F.collect_set(F.col("event_id").cast("string"))).alias("receipt_ids"))
+    out = state.merge_gaps(side("event_id % 2 = 0"), side("event_id % 3 <> 1"))
+    return out.select("gap_id", "attempt_count", F.size("receipt_ids").cast("long").alias("n_receipts"))
+
+
+@query("""WITH l AS (SELECT doc_id, ['NOT_CHECKED', 'ACCESSIBLE', 'FAILED', 'UNKNOWN'][doc_id % 4 + 1] AS a, ['NOT_CHECKED', 'BLOCKED', 'UNKNOWN'][doc_id % 3 + 1] AS b, ['ABSTRACT_ONLY', 'REPOSITORY', 'HTML', 'PDF'] AS kinds FROM labels WHERE doc_id % 11 <> 0)
+    SELECT doc_id::VARCHAR AS work_id, CASE WHEN b = 'BLOCKED' THEN b WHEN a IN ('ACCESSIBLE', 'FAILED') THEN a WHEN 'NOT_CHECKED' IN (a, b) THEN 'NOT_CHECKED' ELSE 'UNKNOWN' END AS access_status, kinds[greatest(doc_id % 4, doc_id % 3) + 1] AS fulltext_kind, CASE WHEN doc_id % 5 = 0 THEN 1 ELSE 2 END::BIGINT AS n_urls FROM l""")
+def fulltext_merge(spark, d):
+    n, kinds = F.col("doc_id"), ["ABSTRACT_ONLY", "REPOSITORY", "HTML", "PDF"]
+    rows = table(spark, d, "labels").where("doc_id % 11 <> 0")
+
+    def side(statuses: list[str], url: Column) -> DataFrame:
+        s = nth(statuses, n)
+        place = F.struct(url.alias("url"), F.lit("PDF").alias("kind"), F.lit("REPOSITORY").alias("host_type"), s.alias("access_status"), F.lit("").alias("reason"))
+        return rows.select(n.cast("string").alias("work_id"), F.lit("UNKNOWN").alias("oa_status"), s.alias("access_status"), nth(kinds[: len(statuses)], n).alias("fulltext_kind"), F.array(url).alias("download_urls"), F.array(place).alias("fulltext_locations"))
+
+    same = F.lit("https://x.org/a")
+    out = access.merge_fulltext(side(["NOT_CHECKED", "ACCESSIBLE", "FAILED", "UNKNOWN"], same), side(["NOT_CHECKED", "BLOCKED", "UNKNOWN"], F.when(n % 5 == 0, same).otherwise("https://x.org/b")))
+    return out.select("work_id", "access_status", "fulltext_kind", F.size("download_urls").cast("long").alias("n_urls"))
+
+
+@query("""WITH i AS (SELECT 't:' || p_name AS alias, min_by('k' || p_partkey, p_partkey) AS key FROM part WHERE p_partkey % 3 = 0 GROUP BY 1), j AS (SELECT 's:' || p_partkey AS alias, 'k' || p_partkey AS key, p_partkey FROM part WHERE p_partkey % 3 = 0)
+    SELECT p.p_partkey AS paper_id, coalesce(j.key, i.key, 's:' || (p.p_partkey - p.p_partkey % 2)) AS key, CASE WHEN coalesce(j.key, i.key) IS NULL THEN 'new_work' WHEN p.p_partkey % 5 = 0 THEN 'new_version_event' ELSE 'history_duplicate' END AS outcome FROM part p LEFT JOIN j ON j.p_partkey = p.p_partkey - p.p_partkey % 2 LEFT JOIN i ON i.alias = 't:' || p.p_name""")
+def history(spark, d):
+    p, n = table(spark, d, "part"), F.col("p_partkey")
+    alias = lambda k: F.array(F.concat(F.lit("s:"), k.cast("string")), F.concat(F.lit("t:"), F.col("p_name")))
+    none, false = F.array().cast("array<string>"), F.lit(False)
+    known = p.where("p_partkey % 3 = 0").select(F.concat(F.lit("k"), n.cast("string")).alias("key"), n.alias("position"), alias(n).alias("aliases"), false.alias("is_preprint"), false.alias("open_access"), none.alias("repository_versions"), false.alias("embargoed"))
+    new = p.select(n.alias("paper_id"), alias(n - n % 2).alias("aliases"), false.alias("is_preprint"), (n % 5 == 0).alias("open_access"), none.alias("repository_versions"))
+    return state.match_history(new, known).select("paper_id", "key", "outcome")
+
+
+# --- coverage, receipts, registry
+
+
+@query("""SELECT user_id::VARCHAR AS source_id, CASE WHEN bool_or(event_type = 'error') THEN 'FAILED' WHEN bool_or(event_type = 'purchase') THEN 'SUCCESS' WHEN count(*) FILTER (WHERE event_type NOT IN ('view', 'click')) = 0 AND count(event_id) > 0 THEN 'NO_RESULTS' ELSE 'NOT_ATTEMPTED' END AS status, coalesce(sum(event_id % 10), 0)::BIGINT AS result_count, count(event_id) AS n_checks
+    FROM (SELECT DISTINCT user_id FROM events) LEFT JOIN (SELECT * FROM events WHERE event_id % 23 = 0) USING (user_id) GROUP BY user_id""")
+def source_coverage(spark, d):
+    e = table(spark, d, "events")
+    status = F.when(F.col("event_type") == "error", "FAILED").when(F.col("event_type") == "purchase", "SUCCESS").when(F.col("event_type").isin("view", "click"), "NO_RESULTS").otherwise("NOT_ATTEMPTED")
+    seen = e.where("event_id % 23 = 0").select(F.col("user_id").cast("string").alias("provider"), status.alias("status"), (F.col("event_id") % 10).alias("result_count"), F.lit(None).cast("int").alias("window_record_count"), F.col("ts").cast("string").alias("accessed_at"), F.lit("").alias("url"), F.lit("").alias("error"))
+    return coverage.source_coverage(seen, e.select(F.col("user_id").cast("string").alias("source_id")), "end").select("source_id", "status", "result_count", "n_checks")
+
+
+@query("""SELECT count(*) AS deduplicated_candidates, count(*) FILTER (WHERE doc_id % 4 = 0) AS triage_priority, count(*) FILTER (WHERE doc_id % 5 = 0) AS class_backfill_indexing, count(*) FILTER (WHERE doc_id % 6 <> 0) AS event_qualifying FROM documents""")
+def run_counts(spark, d):
+    rows = records(spark, d).withColumns({"n_observations": F.lit(1), "oa_status": F.lit("YES")})
+    return coverage.run_counts(rows).select("deduplicated_candidates", "triage_priority", "class_backfill_indexing", "event_qualifying")
+
+
+@query("""WITH q AS (SELECT 'q' || n_nationkey AS query_id, 'r' || n_regionkey AS src, n_nationkey AS n FROM nation), ex AS (SELECT * FROM q WHERE n % 3 = 0)
+    SELECT 'attempt-' || substr(sha256('["run1","DISCOVERY","' || query_id || '","' || src || '"]'), 1, 24) AS attempt_id, query_id, src AS source_id, CASE WHEN n % 3 = 0 THEN 'SUCCESS' ELSE 'NOT_ATTEMPTED' END AS status, CASE WHEN n % 3 = 0 THEN 1 ELSE 0 END::INTEGER AS pages_received, CASE WHEN n % 3 = 0 THEN NULL ELSE 'REQUEST_NOT_ATTEMPTED' END AS error_class FROM q
+    UNION ALL SELECT 'attempt-' || substr(sha256('["run1","CONTENT_FETCH","publisher-' || s_suppkey || '"]'), 1, 24), NULL, 'publisher', CASE WHEN s_suppkey % 2 = 0 THEN 'SUCCESS' ELSE 'FAILED' END, CASE WHEN s_suppkey % 2 = 0 THEN 1 ELSE 0 END, CASE WHEN s_suppkey % 2 = 0 THEN NULL ELSE 'ACCESS_BLOCKED_OR_FAILED' END FROM supplier""")
+def receipts(spark, d):
+    n, s = table(spark, d, "nation"), table(spark, d, "supplier")
+    no, text = F.lit(None).cast("int"), lambda c: F.col(c).cast("string")
+    queries = n.select(F.concat(F.lit("q"), text("n_nationkey")).alias("query_id"), F.lit("x").alias("query"), F.array(F.concat(F.lit("r"), text("n_regionkey"))).alias("source_ids"), F.lit("").alias("status"), F.lit(0).alias("result_count"), F.lit("t").alias("searched_at"))
+    base = dict(result_count=F.lit(0), url=F.lit("https://x.org"), accessed_at=F.lit("t"), work_id=F.lit(""), http_requests_attempted=no, http_responses_received=no)
+    one = n.where("n_nationkey % 3 = 0").select(F.concat_ws("-", F.concat(F.lit("q"), text("n_nationkey")), F.concat(F.lit("r"), text("n_regionkey"))).alias("source_id"), F.lit("none").alias("provider"), F.lit("SUCCESS").alias("status")).withColumns(base)
+    two = s.select(F.concat(F.lit("publisher-"), text("s_suppkey")).alias("source_id"), F.lit("publisher").alias("provider"), F.when(F.col("s_suppkey") % 2 == 0, "SUCCESS").otherwise("FAILED").alias("status")).withColumns(base)
+    none = s.select(F.lit("w").alias("work_id"), F.array().cast("array<string>").alias("query_ids"), F.array().cast("array<string>").alias("discovery_sources")).limit(0)
+    return coverage.receipts(queries, one.unionByName(two), none, "run1", START, END, 40).select("attempt_id", "query_id", "source_id", "status", "pages_received", "error_class")
+
+
+@query("""WITH u AS (SELECT page_id, 'https://j.org/' || (page_id // 2) AS url FROM pages), a AS (SELECT 'https://j.org/' || (event_id % 200) AS url, arg_max(event_type, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') || event_type) AS last_status FROM events GROUP BY 1)
+    SELECT 'src-' || substr(sha256('["' || url || '"]'), 1, 24) AS source_id, (page_id // 2)::VARCHAR AS work_id, url, 'FORMAL_PUBLICATION' AS source_role, last_status FROM (SELECT DISTINCT page_id // 2 * 2 AS page_id, url FROM u) LEFT JOIN a USING (url)""")
+def registry_latest(spark, d):
+    p, e = table(spark, d, "pages"), table(spark, d, "events")
+    pair = F.floor(F.col("page_id") / 2).cast("string")
+    works_ = p.groupBy(pair.alias("work_id")).agg(F.collect_list(F.concat(F.lit("https://J.org/"), pair, F.lit("/?utm_source=x#top"))).alias("urls"))
+    seen = e.select(F.concat(F.lit("https://j.org/"), (F.col("event_id") % 200).cast("string")).alias("url"), F.col("event_type").alias("status"), F.col("ts").cast("string").alias("accessed_at"))
+    return coverage.source_registry(works_, seen).select("source_id", "work_id", "url", "source_role", "last_status")
+
+
+@query("SELECT source AS source_id, CASE WHEN l THEN 'left' ELSE 'right' END AS side FROM (SELECT source, bool_or(doc_id % 100 < 15) AS l, bool_or(doc_id % 100 >= 20) AS r FROM documents GROUP BY source) WHERE l <> r")
+def source_parity(spark, d):
+    rows = docs(spark, d, "doc_id", F.col("source").alias("source_id"))
+    return coverage.parity(rows.where("doc_id % 100 < 15"), rows.where("doc_id % 100 >= 20"), "source_id")
+
+
+@query("SELECT o_orderkey, field, l AS \"left\", r AS \"right\" FROM (SELECT o_orderkey, 'o_orderstatus' AS field, o_orderstatus AS l, CASE WHEN o_orderkey % 9 = 0 THEN 'X' ELSE o_orderstatus END AS r FROM orders UNION ALL SELECT o_orderkey, 'o_custkey', o_custkey::VARCHAR, (CASE WHEN o_orderkey % 7 = 0 THEN 0 ELSE o_custkey END)::VARCHAR FROM orders) WHERE l <> r")
+def field_parity(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_custkey")
+    other = o.withColumns({"o_orderstatus": F.when(F.col("o_orderkey") % 9 == 0, "X").otherwise(F.col("o_orderstatus")), "o_custkey": F.when(F.col("o_orderkey") % 7 == 0, 0).otherwise(F.col("o_custkey"))})
+    return coverage.field_parity(o, other, "o_orderkey", ["o_orderstatus", "o_custkey"])
+
+
+@query("SELECT l_suppkey AS source_id, count(DISTINCT l_partkey) AS containers, bool_and(l_linestatus = 'O' OR l_quantity > 2) AS all_shards_complete, sum(l_linenumber)::BIGINT AS n_records FROM lineitem GROUP BY l_suppkey")
+def shard_rollup(spark, d):
+    li = table(spark, d, "lineitem")
+    rows = li.select(F.col("l_suppkey").alias("source_id"), F.col("l_partkey").alias("container"), ((F.col("l_linestatus") == "O") | (F.col("l_quantity") > 2)).alias("complete"), F.col("l_linenumber").alias("n_records"))
+    return coverage.shard_rollup(rows)
+
+
+@query("SELECT user_id AS source_id, sum(event_id % 3 + 1)::BIGINT AS http_requests_attempted, sum(event_id % 3 + CASE WHEN event_type <> 'error' THEN 1 ELSE 0 END)::BIGINT AS http_responses_received FROM events GROUP BY user_id")
+def http_telemetry(spark, d):
+    e = table(spark, d, "events")
+    return coverage.http_telemetry(e.select(F.col("user_id").alias("source_id"), (F.col("event_id") % 3).alias("redirects"), (F.col("event_type") != "error").alias("responded")))
+
+
+# --- integrity
+
+
+@query("""SELECT 'order_unique' AS rule, o_orderkey::VARCHAR AS key, '2' AS detail FROM orders WHERE o_orderkey % 50 = 0 UNION ALL SELECT 'customer_known', o_custkey::VARCHAR, 'unknown' FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 20 <> 0) GROUP BY o_custkey
+    UNION ALL SELECT 'price_in_range', o_orderkey::VARCHAR, o_orderstatus FROM orders WHERE NOT (o_totalprice BETWEEN 5000 AND 480000) UNION ALL SELECT 'counts', o_orderstatus, (count(*) - 1)::VARCHAR || '/' || count(*) FROM orders GROUP BY o_orderstatus""")
+def schema_violations(spark, d):
+    o, c = table(spark, d, "orders"), table(spark, d, "customer")
+    stated = o.groupBy("o_orderstatus").agg((F.count(F.lit(1)) - 1).alias("n"))
+    return rules.union(rules.unique("order_unique", o.unionByName(o.where("o_orderkey % 50 = 0")), "o_orderkey"), rules.foreign("customer_known", o, "o_custkey", c.where("c_custkey % 20 <> 0"), "c_custkey"), rules.holds("price_in_range", o, "o_orderkey", F.col("o_totalprice").between(5000, 480000), "o_orderstatus"), rules.same_counts("counts", o, "o_orderstatus", stated))
+
+
+@query("SELECT event_id, regexp_extract(props, '\"k\": *(\\d+)', 1)::INTEGER AS k, event_id % 4 <> 0 AS strict FROM events")
+def json_props(spark, d):
+    p = F.col("props")
+    odd = F.when(F.col("event_id") % 4 == 0, F.concat(F.lit('{"a": 1, "a": 2, "p": '), p, F.lit("}"))).otherwise(p)
+    return table(spark, d, "events").select("event_id", F.get_json_object(p, "$.k").cast("int").alias("k"), F.try_parse_json(odd).isNotNull().alias("strict"))
+
+
+# --- payloads and pages
+
+
+@query("SELECT page_id, trim(regexp_replace(replace(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '&amp;', '&'), '\\s+', ' ', 'g')) AS title FROM pages")
+def html_titles(spark, d):
+    return table(spark, d, "pages").select("page_id", T.strip_markup(F.regexp_extract("html", r"(?s)<title>(.*?)</title>", 1)).alias("title"))
+
+
+@query("SELECT page_id, len(regexp_extract_all(html, '(?is)<a\\s[^>]*?href\\s*=\\s*\"([^\"]+)\"[^>]*>.*?</a>', 1))::BIGINT AS n_links, array_to_string(list_sort(list_distinct(regexp_extract_all(html, '(?is)<a\\s[^>]*?href\\s*=\\s*\"([^\"]+)\"[^>]*>.*?</a>', 1))), '|') AS hrefs FROM pages WHERE regexp_matches(html, '(?is)<a\\s[^>]*?href\\s*=\\s*\"[^\"]+\"[^>]*>.*?</a>')")
+def html_links(spark, d):
+    return payloads.anchors(table(spark, d, "pages")).groupBy("page_id").agg(F.count(F.lit(1)).alias("n_links"), joined(F.array_sort(F.collect_set("href"))).alias("hrefs"))
+
+
+# --- queues and facets
+
+
+@query("""WITH RECURSIVE a AS (SELECT doc_id, greatest(length(text) // 4, 1) AS c, row_number() OVER (ORDER BY doc_id) AS i FROM documents), t(i, doc_id, batch, n, size) AS (SELECT i, doc_id, 1, 1, c FROM a WHERE i = 1 UNION ALL SELECT a.i, a.doc_id, CASE WHEN t.n >= 24 OR t.size + a.c > 16000 THEN t.batch + 1 ELSE t.batch END,
+    CASE WHEN t.n >= 24 OR t.size + a.c > 16000 THEN 1 ELSE t.n + 1 END, CASE WHEN t.n >= 24 OR t.size + a.c > 16000 THEN a.c ELSE t.size + a.c END FROM t JOIN a ON a.i = t.i + 1) SELECT doc_id, batch::INTEGER AS batch FROM t""")
+def batch_plan(spark, d):
+    rows = docs(spark, d, "doc_id", "text").select("doc_id", F.col("doc_id").alias("position"), F.greatest(F.floor(F.length("text") / 4), F.lit(1)).alias("chars"))
+    return queue.pack(rows).select("doc_id", "batch")
+
+
+@query("SELECT doc_id % 40 AS batch, count(*) FILTER (WHERE doc_id % 7 = 0) AS done, count(*) AS planned FROM documents GROUP BY doc_id % 40 HAVING count(*) FILTER (WHERE doc_id % 7 = 0) BETWEEN 1 AND count(*) - 1")
+def partial_batches(spark, d):
+    rows = docs(spark, d, F.col("doc_id").alias("item_id")).withColumn("batch", F.col("item_id") % 40)
+    return queue.partial_batches(rows.where("item_id % 7 = 0"), rows).select("batch", "done", "planned")
+
+
+@query(f"SELECT lang AS category, count(*) AS visible FROM documents WHERE doc_id % 4 IN (0) AND source IN ('src3', 'src4') AND contains(lower({sql_nth(TITLES, 'doc_id')}), 'study') GROUP BY lang")
+def facet_filter(spark, d):
+    n = F.col("doc_id")
+    rows = docs(spark, d, "doc_id", "lang", "source").select(F.col("lang").alias("category"), nth(["PRIORITY", "b", "c", "e"], n).alias("triage_status"), nth(TITLES, n).alias("title"), F.lit("v").alias("venue"), F.lit("").alias("doi"), F.array().cast("array<string>").alias("authors"), F.array(F.when(F.col("source").isin("src3", "src4"), "feed").otherwise("x"), F.lit("y")).alias("observed_sources"), F.array().cast("array<string>").alias("study_designs"))
+    return facets.facet_counts(facets.facet_filter(facets.with_facets(rows), search=" Study", source="feed", triage_status="PRIORITY"))
+
+
+@query("SELECT trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g'))[:40] AS k, count(*) AS n, min(doc_id) AS first_doc FROM documents GROUP BY 1 HAVING count(*) > 1")
+def title_norm_groups(spark, d):
+    return docs(spark, d, "doc_id", "text").groupBy(F.substring(T.label(F.col("text")), 1, 40).alias("k")).agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_doc")).where("n > 1")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"topk_cap": topk_cap}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"topk_cap": "WITH a AS (SELECT doc_id, lang, source, n_chars, row_number() OVER (PARTITION BY lang, source ORDER BY n_chars DESC, doc_id) AS k FROM documents), b AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n_chars DESC, doc_id) AS rn FROM a WHERE k <= 2) SELECT doc_id, lang, source, n_chars, rn FROM b WHERE rn <= 8"}
+    return dict(SQL)
