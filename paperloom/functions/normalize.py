@@ -31,7 +31,7 @@ def first_doi(*fields: Column) -> Column:
 
 def title_key(title: Column) -> Column:
     """Folded title, what is neither word nor space as blanks, collapsed."""
-    return collapse(F.regexp_replace(fold(text_of(title)), r"(?U)[^\w\s]", " "))
+    return collapse(F.regexp_replace(fold(text_of(title)), r"(?U)[^\p{L}\p{N}_\s]", " "))
 
 
 def record_title_key(title: Column) -> Column:
@@ -69,7 +69,7 @@ def arxiv_id(url: Column) -> Column:
 
 def identity_key() -> Column:
     """DOI, else PubMed id, else OpenAlex id, else hash of the title."""
-    title = F.trim(F.regexp_replace(F.lower(text_of(F.col("title"))), r"(?U)[^\w]+", " "))
+    title = F.trim(F.regexp_replace(F.lower(text_of(F.col("title"))), r"[^\p{L}\p{N}_]+", " "))
     return F.coalesce(
         F.concat(F.lit("doi:"), identifier("doi")),
         F.concat(F.lit("pmid:"), identifier("pmid")),
@@ -80,7 +80,7 @@ def identity_key() -> Column:
 
 def aliases() -> Column:
     """Every key a paper may have been seen under before, strongest first."""
-    title = F.trim(F.regexp_replace(F.lower(text_of(F.col("title"))), r"(?U)[^\w]+", " "))
+    title = F.trim(F.regexp_replace(F.lower(text_of(F.col("title"))), r"[^\p{L}\p{N}_]+", " "))
     named = [("doi", "doi", identifier("doi")), ("pmid", "pmid", F.lower(identifier("pmid"))), ("pmcid", "pmcid", F.lower(identifier("pmcid"))), ("openalex_id", "openalex", F.nullif(F.lower(terminal_id(F.col("openalex_id"))), F.lit("")))]
     return F.array_distinct(F.array_compact(F.array(*[F.concat(F.lit(f"{p}:"), v) for _, p, v in named], F.concat(F.lit("title:"), F.sha1(title)))))
 

@@ -1,4 +1,4 @@
-"""Connected components by minimum labels that spread along edges and jump along themselves."""
+"""Connected components over an edge table, by alternating large-star and small-star rounds."""
 
 from __future__ import annotations
 
@@ -8,20 +8,44 @@ from pyspark.sql import functions as F
 from paperloom.storage import spool
 
 
-def components(nodes: DataFrame, edges: DataFrame, most_rounds: int = 50) -> DataFrame:
-    """(id, component) for every row of ``nodes`` (id); the component is the smallest id that ``edges`` (a, b) reach.
+def _stars(edges: DataFrame) -> DataFrame:
+    """One large-star and one small-star round over (hi, lo) edges with hi > lo.
 
-    A round takes each node's smallest neighbouring label, then that label's own
-    label, so labels travel twice as far each time.  Every round is spooled.
+    A hub's neighbours are never gathered: its smallest neighbour comes from a
+    map-side combined minimum, and the join against it is one that AQE can split.
     """
-    both = spool(edges.where("a <> b").select("a", "b").union(edges.where("a <> b").select("b", "a")).distinct(), "edges")
-    labels = spool(nodes.select("id", F.col("id").alias("component")).distinct(), "labels")
+    both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(edges.select("lo", "hi"))
+    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    large = both.join(least, "u").where("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
+    large = large.where("hi <> lo").distinct()
+    least = large.groupBy("hi").agg(F.min("lo").alias("m"))
+    small = large.join(least, "hi")
+    small = small.select(F.col("lo").alias("hi"), F.col("m").alias("lo")).union(small.select("hi", F.col("m").alias("lo")))
+    return small.where("hi <> lo").distinct()
+
+
+def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+    """(node, component) for every node of ``edges`` (columns a, b); the component is its smallest node.
+
+    Nodes without edges don't appear.  Self-loops, repeated and reversed edges
+    are harmless.  Rounds grow as the logarithm of the longest path, and each
+    one is spooled, so the plan stays short and a lost executor costs one round.
+    """
+    now = spool(edges.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct(), "edges")
+    mark = None
     for _ in range(most_rounds):
-        near = both.join(labels, both["b"] == labels["id"]).groupBy("a").agg(F.min("component").alias("m"))
-        step = labels.join(near, labels["id"] == near["a"], "left").select("id", F.col("component").alias("was"), F.least("component", "m").alias("c"))
-        root = labels.select(F.col("id").alias("c"), F.col("component").alias("cc"))
-        moved = spool(step.join(root, "c", "left").select("id", "was", F.least("c", "cc").alias("component")), "labels")
-        labels = moved.select("id", "component")
-        if not moved.where("component <> was").limit(1).count():
-            return labels
-    raise RuntimeError(f"components did not settle in {most_rounds} rounds")
+        seen = now.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("hi", "lo").cast("decimal(20,0)")).alias("h")).first()
+        if seen["n"] == 0 or (seen["n"], seen["h"]) == mark:
+            break
+        mark = (seen["n"], seen["h"])
+        now = spool(_stars(now), "stars")
+    else:
+        raise RuntimeError(f"components did not settle in {most_rounds} rounds")
+    roots = now.select(F.col("lo").alias("node")).distinct()
+    return now.select(F.col("hi").alias("node"), F.col("lo").alias("component")).union(roots.select("node", F.col("node").alias("component")))
+
+
+def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(id, component) for every row of ``nodes`` (id); a node without edges is a component of its own."""
+    found = connected_components(edges)
+    return spool(nodes.select("id").distinct().join(found, F.col("id") == F.col("node"), "left").select("id", F.coalesce("component", "id").alias("component")), "components")

@@ -146,7 +146,8 @@ def _untangled(edges: DataFrame, joined: DataFrame, merged: DataFrame, torn: Dat
             held[top] = dict(values)
         return pd.DataFrame(keep, columns=["a", "b"], dtype="int64")
 
-    some = mine.join(torn, "component").groupBy("component").cogroup(known.groupBy("component")).applyInPandas(greedy, "a long, b long")
+    mine, known = spool(mine.join(torn, "component"), "torn-bridges"), spool(known, "torn-parts")
+    some = mine.groupBy("component").cogroup(known.groupBy("component")).applyInPandas(greedy, "a long, b long")
     return fine.union(some)
 
 
@@ -234,7 +235,7 @@ def merge_feed_and_registry(feed: DataFrame, registry: DataFrame) -> DataFrame:
 
 def deduplicate_papers(papers: DataFrame) -> DataFrame:
     """Papers with the same key or title as one (J21): the best total's row, ids filled from the others, streams and versions united."""
-    rows = spool(papers.withColumn("id", F.monotonically_increasing_id()).withColumn("_keys", F.array(F.concat(F.lit("k:"), identity_key()), F.concat(F.lit("t:"), F.trim(F.regexp_replace(F.lower(text_of(F.col("title"))), r"(?U)[^\w]+", " "))))), "papers")
+    rows = spool(papers.withColumn("id", F.monotonically_increasing_id()).withColumn("_keys", F.array(F.concat(F.lit("k:"), identity_key()), F.concat(F.lit("t:"), F.trim(F.regexp_replace(F.lower(text_of(F.col("title"))), r"[^\p{L}\p{N}_]+", " "))))), "papers")
     each = rows.select("id", F.explode("_keys").alias("k")).where("k <> 't:'")
     edges = each.join(each.groupBy("k").agg(F.min("id").alias("a")), "k").where("a <> id").select("a", F.col("id").alias("b"))
     joined = components(rows.select("id"), edges)

@@ -1,10 +1,12 @@
-"""A Spark data source of stored provider payloads, one partition a query, with the window pushed down.
-
-A store is a folder of ``<source>/<query_id>.json`` (or .xml) files, each what a
-provider answered.  ``spark.read.format("payloads").option("path", p).load()``
-gives (source, query_id, fetched_on, body); equality on source and bounds on
-fetched_on skip files before they are opened.  Files are local to executors or
-on a shared mount; for object stores read the same layout with Spark's own text reader (``read_store``).
+"""A Spark data source of stored provider payloads, one partition a query.
+
+A store is a folder of ``<source>/<query_id>@<day>.json`` (or .xml) files, each
+what a provider answered.  ``spark.read.format("payloads").option("path", p).load()``
+gives (source, query_id, fetched_on, body).  The options ``source``, ``since``
+and ``until`` skip files before they are opened.  They are options, not pushed
+filters: Spark 4.1 keeps what a Python source has pushed for every later scan of
+the same relation.  Files are local to executors or on a shared mount; from
+object stores ``read_store`` reads the same layout with Spark's own reader.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThanOrEqual, InputPartition, LessThanOrEqual
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 
 class PayloadPartition(InputPartition):
@@ -22,18 +24,8 @@ class PayloadPartition(InputPartition):
 
 
 class PayloadReader(DataSourceReader):
-    def __init__(self, path: str, most_bytes: int):
-        self.path, self.most, self.source, self.since, self.until = path, most_bytes, None, "", "9999"
-
-    def pushFilters(self, filters: list[Filter]):
-        for f in filters:
-            if isinstance(f, EqualTo) and f.attribute == ("source",):
-                self.source = f.value
-            elif isinstance(f, GreaterThanOrEqual) and f.attribute == ("fetched_on",):
-                self.since = max(self.since, f.value)
-            elif isinstance(f, LessThanOrEqual) and f.attribute == ("fetched_on",):
-                self.until = min(self.until, f.value)
-            yield f  # Spark checks again what was pushed
+    def __init__(self, path: str, most_bytes: int, source: str | None, since: str, until: str):
+        self.path, self.most, self.source, self.since, self.until = path, most_bytes, source, since, until
 
     def partitions(self):
         out = []
@@ -55,7 +47,7 @@ class PayloadReader(DataSourceReader):
 
 
 class PayloadSource(DataSource):
-    """Short name ``payloads``; options ``path`` and ``maxBytes`` (8 MiB)."""
+    """Short name ``payloads``; options ``path``, ``maxBytes`` (8 MiB), ``source``, ``since`` and ``until`` (ISO days, both included)."""
 
     @classmethod
     def name(cls):
@@ -65,24 +57,24 @@ class PayloadSource(DataSource):
         return "source string, query_id string, fetched_on string, body string"
 
     def reader(self, schema):
-        return PayloadReader(self.options["path"], int(self.options.get("maxBytes", 8 << 20)))
+        o = self.options
+        return PayloadReader(o["path"], int(o.get("maxBytes", 8 << 20)), o.get("source"), o.get("since", ""), o.get("until", "9999"))
 
 
 def register(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(PayloadSource)
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
     """The same table by Spark's own reader, from any file system."""
-    files = spark.read.option("wholetext", True).text(f"{path}/*/*").select(F.input_file_name().alias("p"), F.col("value").alias("body"))
+    files = spark.read.text(f"{path}/*/*", wholetext=True).select(F.input_file_name().alias("p"), F.col("value").alias("body"))
     name = F.regexp_extract("p", r"/([^/]+)\.[^./]+$", 1)
     return files.select(F.regexp_extract("p", r"/([^/]+)/[^/]+$", 1).alias("source"), F.substring_index(F.url_decode(name), "@", 1).alias("query_id"), F.when(F.contains(F.url_decode(name), F.lit("@")), F.substring_index(F.url_decode(name), "@", -1)).otherwise("").alias("fetched_on"), "body")
 
 
 def read_state(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """(rows, fingerprints) of stored state documents (S18, S19, S20): rows of strict documents only, and the hash of each file."""
-    raw = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("path"), "value")
+    raw = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), "value")
     good = raw.where(F.try_parse_json("value").isNotNull())
     rows = good.select(F.from_json("value", schema).alias("d")).select("d.*")
     return rows, raw.select("path", F.sha2("value", 256).alias("sha256"), F.try_parse_json("value").isNotNull().alias("valid"))
