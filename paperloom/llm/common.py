@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paperloom.storage import spool
+
+__all__ = ["LOWER", "UPPER", "ascii_lower", "bytes_of", "in_fold", "read", "small_batches", "spool"]
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -20,23 +21,6 @@ def ascii_lower(col: Column) -> Column:
     return F.translate(col, UPPER, LOWER)
 
 
-_OWN: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; a temporary one only where the session names none (tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    return named or _OWN.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="paperloom-"))
-
-
-def spool(df: DataFrame, tag: str) -> DataFrame:
-    """Writes ``df`` to the shared folder and reads it back: the lineage is cut, and a lost executor loses nothing."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/paperloom-{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def small_batches(spark: SparkSession, rows: int = 1024) -> None:
     """Limits the session's Arrow batches to so many rows: with Spark's 10,000, a batch of long texts, or of pairs of sets, fills a worker."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -33,8 +33,9 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paperloom.operators.graph import connected_components
+
 from .common import small_batches, spool
-from .components import connected_components
 from .hashing import WordHasher
 
 SHINGLE, PERCENT = 4, 85

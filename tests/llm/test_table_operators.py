@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 pytest.importorskip("paperloom.llm")
 import corpus_pipeline  # noqa: E402
-from paperloom.llm import ann, components, decontaminate, jaccard_join, mixing, queries, url_reputation, zstd_quality  # noqa: E402
+from paperloom.llm import ann, mixing, queries, url_reputation, zstd_quality  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -172,31 +172,6 @@ def test_neighbours_on_the_test_table(spark):
     assert hits >= 0.9 * 20 * (ids % 20 == 0).sum()
 
 
-# --- components
-
-
-def test_components_of_paths_and_hubs(spark):
-    rng = random.Random(6)
-    edges = [(i, i + 1) for i in range(0, 90)] + [(1000, 1000 + i) for i in range(1, 60)] + [(2000 + i, 2001 + i) for i in range(5)] + [(7, 7), (5, 4), (5, 4)]
-    rng.shuffle(edges)
-    ids = list(range(3000))
-    rng.shuffle(ids)
-    edges = [(ids[a], ids[b]) for a, b in edges]
-    up = {}
-
-    def root(x):
-        while up.setdefault(x, x) != x:
-            x = up[x]
-        return x
-
-    for a, b in edges:
-        if a != b:
-            p, q = sorted((root(a), root(b)))
-            up[q] = p
-    got = {r["node"]: r["component"] for r in components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert got == {x: root(x) for x in list(up)}
-
-
 # --- the pipeline
 
 
