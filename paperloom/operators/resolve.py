@@ -224,7 +224,7 @@ def merge_feed_and_registry(feed: DataFrame, registry: DataFrame) -> DataFrame:
     dois = Window.partitionBy("component")
     many = F.size(F.collect_set(F.when(filled(F.col("doi")), F.lower("doi"))).over(dois)) > 1
     rows = rows.withColumn("_group", F.when(many & filled(F.col("doi")), F.concat_ws("|", "component", F.lower("doi"))).when(many, F.concat_ws("|", "component", "id")).otherwise(F.col("component").cast("string")))
-    first = lambda c, ok: F.min_by(c, F.when(ok, F.struct("_rank", "id"))).alias(c)
+    first = lambda c, ok: F.coalesce(F.min_by(c, F.when(ok, F.struct("_rank", "id"))), F.min_by(c, F.struct("_rank", "id"))).alias(c)
     cols = [c for c in feed.columns]
     some = lambda c: F.size(c) > 0 if dict(rows.dtypes)[c].startswith("array") else filled(F.col(c).cast("string"))
     return rows.groupBy("_group").agg(*[first(c, some(c)) for c in cols], F.count(F.lit(1)).alias("n_records")).drop("_group")

@@ -308,3 +308,9 @@ def first_seen_union(base: Column, incoming: Column) -> Column:
     return F.array_union(base, incoming)
 
 
+
+
+def promote(base: DataFrame, incoming: DataFrame, base_sources: DataFrame, incoming_sources: DataFrame, registry: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(works, sources) of an offline promotion (J24, K19): states merged, sources projected and bound to the merged works."""
+    works = merge_works(base, incoming)
+    return works, remap(project_sources(base_sources, incoming_sources, registry), id_map(works))

@@ -12,7 +12,7 @@ from paperloom.operators.state import StateConflict
 from paperloom.plans import report
 from paperloom.plans.run import Config, discover, execute
 from paperloom.schema import EVENT
-from paperloom.sources import offline, payloads
+from paperloom.sources import inventory, offline, payloads
 from paperloom.streaming import state_stream
 
 TOKYO = ZoneInfo("Asia/Tokyo")
@@ -202,3 +202,26 @@ def test_gated_stream_keeps_each_event_once(spark, tmp_path):
     q = stream.select("event_id").writeStream.format("memory").queryName("gated").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert [r["event_id"] for r in spark.table("gated").collect()] == ["e1"]
+
+
+def test_inventories(spark):
+    schema = "record_id string, doi string, landing_url string, title string, publication_date string, authors array<string>, venue string, summary string"
+    feed = spark.createDataFrame([("f1", "10.1/a", "u1", "Sleep and memory", "2026-08-08", [], "", "x"), ("f2", "10.1/b", "u2", "Cooking at home", "2026-08-08", [], "", ""), ("f3", "10.1/c", "u3", "Sleep, long ago", "2020-01-01", [], "", "")], schema)
+    registry = spark.createDataFrame([("r1", "10.1/a", "", "Other", "2026-08-07", ["A"], "V", ""), ("r2", "10.1/d", "u4", "More sleep", "2026-08-09", [], "", "")], schema)
+    got = [(r["record_id"], r["venue"]) for r in inventory.feed_inventory(feed, registry, "2026-08-06", "2026-08-09", '"sleep"').collect()]
+    assert got == [("r2", ""), ("f1", "V")]
+    rows, done = inventory.sharded(feed.unionByName(feed), spark.createDataFrame([("s", "a", True), ("s", "b", False)], "source_id string, shard string, complete boolean"), 2)
+    assert [r["record_id"] for r in rows.collect()] == ["f1", "f2"] and done.first()["complete"] is False
+    conf = spark.createDataFrame([("a", "publisher_listing_v1", 2), ("b", "publisher_listing_v1", 0), ("c", "rss", 0)], "source_id string, template string, n_shards int")
+    assert [r["adapter"] for r in inventory.dispatch(conf).orderBy("source_id").collect()] == ["sharded_listing", "listing", "feed"]
+    obs = spark.createDataFrame([("o1", ["q1"]), ("o1", ["q9"])], "observation_id string, query_ids array<string>")
+    q = spark.createDataFrame([("q1", 1, 2)], "query_id string, raw_count int, unique_count int")
+    assert sorted(map(tuple, inventory.input_faults(obs, q).collect())) == [("observation_unique", "o1"), ("query_known", "q9"), ("raw_at_least_unique", "q1")]
+    line = inventory.metadata_summary("{topic}: {kind} in {venue}, {date}", {"sleep": ("sleep", "rest")}, "other")
+    one = feed.where("record_id = 'f1'").withColumn("document_type", F.lit("journal_article"))
+    assert one.select(line.alias("s")).first()["s"] == "sleep: journal article in , 2026-08-08"
+
+
+@pytest.mark.parametrize(("url", "fine"), [("https://example.org/x", True), ("http://8.8.8.8:80/", True), ("https://user@example.org/", False), ("https://example.org:8443/", False), ("http://localhost/", False), ("http://192.168.1.1/", False), ("http://172.20.0.1/", False), ("http://[::1]/", False), ("ftp://example.org", False), ("http://2130706433/", False), (None, False), ("http://printer.local/", False)])
+def test_public_urls(spark, url, fine):
+    assert spark.createDataFrame([(url,)], "u string").select(inventory.is_public_url(F.col("u")).alias("v")).first()["v"] is fine
