@@ -7,10 +7,10 @@ wherever it stands, also in the middle of a line.  The digests of all units are
 grouped over the corpus; of each, the occurrence with the smallest (document,
 place) is the one to keep.
 
-Units in a row that all occur in earlier documents are a run.  A run is grown word
-by word at both ends, against the place where its first and last unit were
-first seen; if it then has ``min_words`` words, the span is removed.  Spans are
-given in code points of the original text.
+Units in a row that were first seen in a row, in one earlier document, are a run.
+A run is grown word by word at both ends, against the text around the place where
+it was first seen; if it then has ``min_words`` words, the span is removed.  Spans
+are given in code points of the original text.
 """
 
 from __future__ import annotations
@@ -21,11 +21,16 @@ from pyspark.sql import functions as F
 from .common import small_batches, spool
 from .hashing import WordHasher
 
-MIN_WORDS, RADIUS, CORE_WORDS = 50, 3, 15
+MIN_WORDS, RADIUS, CORE_WORDS, LOOP_WORDS = 50, 3, 15, 16
 
 
 def cuts(hashes, breaks, hasher: WordHasher, radius: int = RADIUS):
-    """First words of the units: line starts, and words whose hash with the next word's is below all within ``radius``."""
+    """First words of the units: line starts, and words whose hash with the next word's is below all within ``radius``.
+
+    A loop of words has no such least hash; where a unit would have twice
+    LOOP_WORDS words, it is cut at hashes that are no greater than those around
+    them, LOOP_WORDS apart, so that equal loops have equal units.
+    """
     import numpy as np
 
     n = len(hashes)
@@ -40,7 +45,17 @@ def cuts(hashes, breaks, hasher: WordHasher, radius: int = RADIUS):
     cut = (score < left) & (score <= right)
     cut[breaks] = True
     cut[0] = True
-    return np.flatnonzero(cut)
+    at = np.flatnonzero(cut)
+    wide = np.flatnonzero(np.diff(np.append(at, n)) > 2 * LOOP_WORDS)
+    if len(wide):
+        weak = np.flatnonzero((score <= left) & (score <= right))
+        for a, b in zip(at[wide].tolist(), np.append(at, n)[wide + 1].tolist(), strict=True):
+            i = np.searchsorted(weak, a + LOOP_WORDS)
+            while i < len(weak) and weak[i] < b:
+                cut[weak[i]] = True
+                i = np.searchsorted(weak, weak[i] + LOOP_WORDS)
+        at = np.flatnonzero(cut)
+    return at
 
 
 def words_and_breaks(text: str | None):
@@ -80,34 +95,46 @@ def unit_table(docs: DataFrame) -> DataFrame:
 
 
 def _contexts(docs: DataFrame, asks: DataFrame, reach: int) -> DataFrame:
-    """doc_id, word, before, after, chars for each asked (doc_id, word): hashes of up to ``reach`` words on either side, nearest first.
+    """doc_id, word, left, words, spots for each asked (doc_id, word, left): what stands beside a boundary between words.
 
-    ``chars`` has the code point offsets of those words' starts and ends: [start of each of after..., end of each of before...] as pairs.
+    ``words`` has 32-bit hashes of up to ``reach`` words, nearest first, on the
+    left or the right; spots[i] is where a span ends that takes i of them, in code points.
     """
-    wanted = asks.distinct().groupBy("doc_id").agg(F.collect_list("word").alias("words"))
-    texts = docs.join(wanted, "doc_id").dropDuplicates(["doc_id"])
+    wanted = asks.distinct().groupBy("doc_id").agg(F.collect_list(F.struct("word", "left")).alias("asked"))
+    texts = docs.join(wanted, "doc_id")
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        h = WordHasher()
+        h, out = WordHasher(), []
+
+        def batch():
+            cols = list(zip(*out, strict=True)) if out else [[]] * 5
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.bool_()), *(pa.array(c, pa.list_(pa.int32())) for c in cols[3:])], ["doc_id", "word", "left", "words", "spots"])
+
         for b in batches:
-            out = []
-            for d, t, asked in zip(b.column("doc_id").to_pylist(), b.column("text"), b.column("words").to_pylist(), strict=True):
+            for d, t, asked in zip(b.column("doc_id").to_pylist(), b.column("text"), b.column("asked").to_pylist(), strict=True):
                 raw = t.as_py().encode()
-                x = h.words(words_and_breaks(t.as_py())[0])
+                x = (h.words(words_and_breaks(t.as_py())[0]) >> np.uint64(32)).astype(np.uint32).view(np.int32)
                 blank = np.isin(np.frombuffer(b" " + raw + b" ", np.uint8), (32, 9, 10, 11, 12, 13))
                 edges = np.flatnonzero(blank[1:] != blank[:-1])
-                edges = np.concatenate([[0], np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)])[edges]
+                edges = np.concatenate([[0], np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)])[edges].astype(np.int32)
                 first, last = edges[::2], edges[1::2]
-                for w in asked:
-                    lo, hi = max(0, w - reach), min(len(x), w + reach)
-                    out.append((d, w, x[lo:w][::-1].view(np.int64), x[w:hi].view(np.int64), first[lo : w + 1][::-1], last[max(0, w - 1) : hi]))
-            cols = list(zip(*out, strict=True)) if out else [[]] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), *(pa.array(c, pa.list_(pa.int64())) for c in cols[2:])], ["doc_id", "word", "before", "after", "firsts", "lasts"])
+                for ask in asked:
+                    w = ask["word"]
+                    if ask["left"]:
+                        lo = max(0, w - reach)
+                        out.append((d, w, True, x[lo:w][::-1].copy(), first[lo : w + 1][::-1].copy()))
+                    else:
+                        hi = w + reach
+                        out.append((d, w, False, x[w:hi].copy(), last[max(0, w - 1) : hi].copy()))
+                    if len(out) >= 1024:
+                        yield batch()
+        yield batch()
 
-    return texts.select("doc_id", "text", "words").mapInArrow(run, "doc_id long, word int, before array<long>, after array<long>, firsts array<long>, lasts array<long>")
+    return texts.select("doc_id", "text", "asked").mapInArrow(run, "doc_id long, word int, left boolean, words array<int>, spots array<int>")
 
 
 def _alike(x, y):
@@ -120,11 +147,11 @@ def _alike(x, y):
 def repeats(docs: DataFrame, min_words: int = MIN_WORDS, core_words: int = CORE_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, start, end, n_words, kept_doc_id: the passages of ``min_words`` words or more that an earlier document has too.
 
-    ``kept_doc_id`` has the earliest occurrence of the passage's first unit.
-    Earlier means a smaller id; what repeats within one document stays.  Null
+    ``kept_doc_id`` has the passage too.  Earlier means a smaller id; what repeats within one document stays.  Null
     and empty texts have no passages; rows without an id are left out; of rows
     that repeat an id, the text that sorts first counts.  Spans of a document
-    may overlap where two earlier passages do.  Extra columns don't matter.
+    may overlap: where parts of a passage were first seen in different
+    documents, each part is grown on its own.  Extra columns don't matter.
     """
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null")
     twice = spool(narrow.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("doc_id"), "twice")
@@ -139,27 +166,34 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS, core_words: int = CORE_
     again = unit.join(first, "digest").where("f.doc_id < doc_id").select("doc_id", "word", "upto", "f")
 
     by_doc = Window.partitionBy("doc_id").orderBy("word")
-    new = F.when(F.lag("upto").over(by_doc) == F.col("word"), 0).otherwise(1)
+    before = lambda c: F.lag(c).over(by_doc)
+    follows = (before("upto") == F.col("word")) & (before("f.doc_id") == F.col("f.doc_id")) & (before("f.upto") == F.col("f.word"))
+    new = F.when(follows, 0).otherwise(1)
     runs = again.withColumn("new", new).withColumn("run", F.sum("new").over(by_doc.rowsBetween(Window.unboundedPreceding, 0)))
     runs = runs.groupBy("doc_id", "run").agg(F.min("word").alias("word"), F.max("upto").alias("upto"), F.min_by("f", "word").alias("l"), F.max_by("f", "word").alias("r"))
     # The first occurrence of the last unit ends where that unit does there.
     runs = spool(runs.where(F.col("upto") - F.col("word") >= core_words).select("doc_id", "word", "upto", F.col("l.doc_id").alias("l_doc"), F.col("l.word").alias("l_word"), F.col("r.doc_id").alias("r_doc"), F.col("r.upto").alias("r_word")).distinct(), "runs")
 
-    asks = runs.select("doc_id", "word").union(runs.select("doc_id", "upto")).union(runs.select("l_doc", "l_word")).union(runs.select("r_doc", "r_word"))
+    sides = {True: ("doc_id", "word", "l_doc", "l_word"), False: ("doc_id", "upto", "r_doc", "r_word")}
+    asks = None
+    for left, (d, w, e, v) in sides.items():
+        both = runs.select(F.col(d).alias("doc_id"), F.col(w).alias("word")).union(runs.select(e, v)).withColumn("left", F.lit(left))
+        asks = both if asks is None else asks.union(both)
     seen = spool(_contexts(narrow, asks, min_words), "contexts")
 
-    def at(prefix: str) -> DataFrame:
-        return seen.select(*[F.col(c).alias(f"{prefix}_{c}") for c in seen.columns])
-
-    def meets(rows: DataFrame, prefix: str, doc: str, word: str) -> DataFrame:
-        side = at(prefix)
-        return rows.join(side, (rows[doc] == side[f"{prefix}_doc_id"]) & (rows[word] == side[f"{prefix}_word"])).drop(f"{prefix}_doc_id", f"{prefix}_word")
-
-    grown = meets(meets(meets(meets(runs, "a", "doc_id", "word"), "b", "doc_id", "upto"), "c", "l_doc", "l_word"), "d", "r_doc", "r_word")
-    left, right = _alike(F.col("a_before"), F.col("c_before")), _alike(F.col("b_after"), F.col("d_after"))
-    grown = grown.withColumns({"left": left, "right": right})
-    spans = grown.where(F.col("upto") - F.col("word") + F.col("left") + F.col("right") >= min_words)
-    return spans.select("doc_id", F.expr("a_firsts[left]").alias("start"), F.expr("b_lasts[right]").alias("end"), (F.col("upto") - F.col("word") + F.col("left") + F.col("right")).cast("long").alias("n_words"), F.col("l_doc").alias("kept_doc_id"))
+    def grown(left: bool) -> DataFrame:
+        """How many words a run grows by on one side, and where its span ends there."""
+        d, w, e, v = sides[left]
+        own = seen.where(F.col("left") == left)
+        mine = own.select(F.col("doc_id").alias(d), F.col("word").alias(w), F.col("words").alias("x"), "spots")
+        theirs = own.select(F.col("doc_id").alias(e), F.col("word").alias(v), F.col("words").alias("y"))
+        rows = runs.select(d, w, e, v).distinct().join(mine, [d, w]).join(theirs, [e, v])
+        more = "more_l" if left else "more_r"
+        return rows.withColumn(more, _alike(F.col("x"), F.col("y"))).select(d, w, e, v, more, F.expr(f"spots[{more}]").cast("long").alias("start" if left else "end"))
+
+    rows = runs.join(grown(True), list(sides[True])).join(grown(False), list(sides[False]))
+    n = F.col("upto") - F.col("word") + F.col("more_l") + F.col("more_r")
+    return rows.where(n >= min_words).select("doc_id", "start", "end", n.cast("long").alias("n_words"), F.col("l_doc").alias("kept_doc_id"))
 
 
 def cut_out(text: str | None, spans: list[tuple[int, int]]) -> str | None:
