@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 from .common import small_batches
 
-WINDOW, BLOCK_BYTES = 13, 64 << 20
+#: An automaton takes about 37 bytes of memory for each byte of its patterns, so 300 MB a worker at most.
+WINDOW, BLOCK_BYTES = 13, 8 << 20
 
 #: Bytes of words stay (A-Z as a-z), all others become spaces.
 TO_WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
