@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from paperloom.storage import spool
 
-__all__ = ["LOWER", "UPPER", "ascii_lower", "bytes_of", "in_fold", "read", "small_batches", "spool"]
+__all__ = ["LOWER", "UPPER", "ascii_lower", "bytes_of", "in_fold", "read", "sampled", "small_batches", "spool"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -34,6 +34,11 @@ def bytes_of(df: DataFrame, size: Column) -> tuple[int, int]:
     return int(row["n"]), int(row["b"])
 
 
+def sampled(share: Column, *keys: str | Column) -> Column:
+    """Whether a hash of the keys falls into ``share`` (0 to 1), which may be as small as 1e-12: 40 bits of the hash count."""
+    return F.pmod(F.xxhash64(*keys), F.lit(1 << 40)) < share * float(1 << 40)
+
+
 def in_fold(doc_id: str, folds: int, fold: int) -> Column:
     """Whether crc32 of the id as text falls into ``fold``; ids that are null count as the empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % folds == fold

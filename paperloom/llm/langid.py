@@ -18,9 +18,11 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_fold, small_batches
+from .common import in_fold, sampled, small_batches
 
-PER_LANG, LANDMARKS, RIDGE, SHARPNESS = 300, 64, 1e-3, 5.0
+#: Bounds of what is learnt from: texts of each language, and characters of each.
+PER_LANG, TEXT_CHARS = 300, 65536
+LANDMARKS, RIDGE, SHARPNESS = 64, 1e-3, 5.0
 SLOTS, CHUNK = 256 + 3 * 65536, 1 << 20
 
 #: Letters as they are (A-Z as a-z), bytes of other scripts too, all else a space.
@@ -121,19 +123,22 @@ def predict(texts: list[str | None], model: dict) -> list[tuple[str, float]]:
     return out
 
 
-def training_rows(docs: DataFrame, per_lang: int = PER_LANG, folds: int = 3, held: int = 1) -> list[tuple[str, str]]:
+def training_rows(docs: DataFrame, per_lang: int = PER_LANG, text_chars: int = TEXT_CHARS, folds: int = 3, held: int = 1) -> list[tuple[str, str]]:
     """About ``per_lang`` (text, language) rows of each language outside the held-out fold, chosen by a hash of the id.
 
     Languages are counted on the narrow columns first, then documents are read
-    once; what comes to the driver is bounded by ``per_lang`` and the number of languages.
+    once; what comes to the driver is bounded by ``per_lang``, ``text_chars`` and
+    the number of languages.  Of rows that repeat an id, the text that sorts first
+    teaches; rows without an id, language or text teach nothing.
     """
-    known = docs.where(~in_fold("doc_id", folds, held) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
+    known = docs.where(~in_fold("doc_id", folds, held) & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
     counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = F.lit(0.0)
     for lang, n in counts.items():
         share = F.when(F.col("lang") == lang, per_lang / n).otherwise(share)
-    rows = known.where(F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(1 << 20)) < share * (1 << 20)).collect()
-    return [(r["text"], r["lang"]) for r in sorted(rows, key=lambda r: (r["doc_id"] is None, r["doc_id"], r["text"]))]
+    chosen = known.where(sampled(share, "doc_id", F.lit(6))).select("doc_id", "lang", F.substring("text", 1, text_chars).alias("text"))
+    rows = chosen.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).collect()
+    return [(r["text"], r["lang"]) for r in sorted(rows, key=lambda r: (r["doc_id"], r["lang"]))]
 
 
 def classify(docs: DataFrame, model: dict, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
