@@ -15,7 +15,7 @@ import pickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_fold, small_batches
+from .common import in_fold, sampled, small_batches
 
 #: Bounds of what is learnt from: texts of each class (half for the dictionaries, half for the calibration) and bytes of each.
 PER_CLASS, TEXT_BYTES = 1500, 16384
@@ -117,16 +117,17 @@ def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS
 
     The labels alone are counted and sampled first; then documents are read
     once, against ids whose number is bounded by the parameters.  A document
-    with both labels, a null label or no text teaches nothing.
+    with both labels, a null label or no text teaches nothing; of rows that repeat
+    an id, the text that sorts first teaches.
     """
     known = labels.where(~in_fold("doc_id", folds, held) & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.min(label).alias("y"), F.max(label).alias("most")).where("y = most")
     counts = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = F.lit(0.0)
     for y, n in counts.items():
         share = F.when(F.col("y") == y, per_class / n).otherwise(share)
-    chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * (1 << 20)).select("doc_id", "y")
+    chosen = known.where(sampled(share, "doc_id")).select("doc_id", "y")
     text = docs.where("text is not null and doc_id is not null").select("doc_id", F.substring("text", 1, TEXT_BYTES).alias("text"))
-    rows = text.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "y").collect()
+    rows = text.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text")).collect()
     prior = counts.get(1, 0) / sum(counts.values()) if counts else None
     return [(r["text"], int(r["y"])) for r in sorted(rows, key=lambda r: r["doc_id"])], prior
 
