@@ -209,6 +209,8 @@ def likely_within(members: DataFrame, percent: int, cell: int = CELL) -> DataFra
     dealt = members.join(counts, "entry").withColumn("mine", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     dealt = dealt.select("entry", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "doc_id", "n", "c", "sketch")
+    # The join left the rows dealt by entry, which serves the grouping, too, but brings all cells of an entry into one task.
+    dealt = dealt.repartition(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), "entry", "i", "j")
 
     def run(key, t):
         import numpy as np
