@@ -163,6 +163,7 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS, core_words: int = CORE_
     unit = table.select("doc_id", "starts", "n_words", F.posexplode("digests").alias("i", "digest"))
     unit = unit.select("digest", "doc_id", F.expr("starts[i]").alias("word"), F.coalesce(F.expr("get(starts, i + 1)"), "n_words").alias("upto"))
     first = unit.groupBy("digest").agg(F.min(F.struct("doc_id", "word", "upto")).alias("f"), F.max("doc_id").alias("z")).where("f.doc_id < z").select("digest", "f")
+    first = spool(first, "first")  # as a table of its own: an aggregate in the join would keep AQE from splitting a frequent digest
     again = unit.join(first, "digest").where("f.doc_id < doc_id").select("doc_id", "word", "upto", "f")
 
     by_doc = Window.partitionBy("doc_id").orderBy("word")
