@@ -1,16 +1,21 @@
-"""Substring dedup by hashing the units of lines.
-
-A line is normalised (A-Z lower-cased, words parted by single blanks) and cut
-into units at words whose hash is the least among their neighbours.  Where a cut
-falls depends on a few words around it only, so a passage has the same units
-wherever it stands, also in the middle of a line.  The digests of all units are
-grouped over the corpus; of each, the occurrence with the smallest (document,
-place) is the one to keep.
-
-Units in a row that were first seen in a row, in one earlier document, are a run.
-A run is grown word by word at both ends, against the text around the place where
-it was first seen; if it then has ``min_words`` words, the span is removed.  Spans
-are given in code points of the original text.
+"""Substring dedup by hashing windows of words.
+
+A text is a row of words (A-Z lower-cased, parted by blanks or line ends).  A
+word goes if some window of ``min_words`` words around it stands in an earlier
+document too.  That is decided exactly, up to collisions of 64-bit hashes, in
+two steps:
+
+Anchors.  Of all runs of half a window, those are taken whose hash is the least
+in any window.  Windows that are equal have an anchor in common, so a window
+none of whose anchors is in two documents repeats nowhere.
+
+Windows.  Every window around a shared anchor is hashed and grouped over the
+corpus; the occurrence with the smallest (document, place) is the one to keep.
+Each window meets its own earliest copy, so an edited early copy hides nothing
+of what later documents share.
+
+Windows in a row that were first seen in a row, in one earlier document, are a
+passage.  Spans are given in code points of the original text.
 """
 
 from __future__ import annotations
@@ -21,137 +26,108 @@ from pyspark.sql import functions as F
 from .common import small_batches, spool
 from .hashing import WordHasher
 
-MIN_WORDS, RADIUS, CORE_WORDS, LOOP_WORDS = 50, 3, 15, 16
+MIN_WORDS, BATCH_WINDOWS = 50, 1 << 15
 
 
-def cuts(hashes, breaks, hasher: WordHasher, radius: int = RADIUS):
-    """First words of the units: line starts, and words whose hash with the next word's is below all within ``radius``.
+def words_of(text: str | None) -> list[bytes]:
+    """Words of the text, lower-cased."""
+    return text.encode().lower().split() if text else []
 
-    A loop of words has no such least hash; where a unit would have twice
-    LOOP_WORDS words, it is cut at hashes that are no greater than those around
-    them, LOOP_WORDS apart, so that equal loops have equal units.
-    """
+
+def rows_of(hashes, k: int, hasher: WordHasher):
+    """One hash for every ``k`` words in a row; none if there are fewer."""
     import numpy as np
 
     n = len(hashes)
-    if n == 0:
+    if n < k:
+        return np.empty(0, np.uint64)
+    hasher.grow(n)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * hasher.power[:n])])
+    return hasher.mix((sums[k:] - sums[:-k]) * hasher.inverse[: n - k + 1] + np.uint64(k))
+
+
+def anchors(rows, width: int):
+    """Places of the least (the first of equal ones) of every ``width`` hashes in a row."""
+    import numpy as np
+
+    if len(rows) < width:
         return np.empty(0, np.int64)
-    after = np.append(hashes[1:], np.uint64(0))
-    score = hasher.mix(hashes + after * np.uint64(3))
-    padded = np.full(n + 2 * radius, ~np.uint64(0))
-    padded[radius : radius + n] = score
-    around = np.lib.stride_tricks.sliding_window_view(padded, 2 * radius + 1)
-    left, right = around[:, :radius].min(1), around[:, radius + 1 :].min(1)
-    cut = (score < left) & (score <= right)
-    cut[breaks] = True
-    cut[0] = True
-    at = np.flatnonzero(cut)
-    wide = np.flatnonzero(np.diff(np.append(at, n)) > 2 * LOOP_WORDS)
-    if len(wide):
-        weak = np.flatnonzero((score <= left) & (score <= right))
-        for a, b in zip(at[wide].tolist(), np.append(at, n)[wide + 1].tolist(), strict=True):
-            i = np.searchsorted(weak, a + LOOP_WORDS)
-            while i < len(weak) and weak[i] < b:
-                cut[weak[i]] = True
-                i = np.searchsorted(weak, weak[i] + LOOP_WORDS)
-        at = np.flatnonzero(cut)
-    return at
-
-
-def words_and_breaks(text: str | None):
-    """Words of the text, lower-cased, and the words that start a line."""
-    words, breaks = [], []
-    for line in text.encode().lower().split(b"\n") if text else []:
-        own = line.split()
-        if own:
-            breaks.append(len(words))
-            words += own
-    return words, breaks
-
-
-def unit_table(docs: DataFrame) -> DataFrame:
-    """doc_id, digests, starts (first words) and n_words for every row of (doc_id, text)."""
+    at = np.lib.stride_tricks.sliding_window_view(rows, width).argmin(1)
+    return np.unique(at + np.arange(len(at)))
+
+
+def _half(min_words: int) -> tuple[int, int]:
+    """Words of an anchor, and how many such rows of words a window has."""
+    k = (min_words + 1) // 2
+    return k, min_words - k + 1
+
+
+def anchor_table(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """doc_id, digests and places (first words) of the anchors, for every row of (doc_id, text)."""
+    k, width = _half(min_words)
 
     def run(batches):
-        import numpy as np
         import pyarrow as pa
 
         h = WordHasher()
         for b in batches:
-            digests, starts, sizes = [], [], []
+            digests, places = [], []
             for t in b.column(1):
-                words, breaks = words_and_breaks(t.as_py())
-                x = h.words(words)
-                at = cuts(x, breaks, h)
-                h.grow(len(x))
-                sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(x * h.power[: len(x)])])
-                ends = np.append(at[1:], len(x)) if len(at) else at
-                digests.append(h.mix((sums[ends] - sums[at]) * h.inverse[at] + (ends - at).astype(np.uint64)).view(np.int64))
-                starts.append(at.astype(np.int32))
-                sizes.append(len(x))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(digests, pa.list_(pa.int64())), pa.array(starts, pa.list_(pa.int32())), pa.array(sizes, pa.int32())], ["doc_id", "digests", "starts", "n_words"])
-
-    return docs.mapInArrow(run, "doc_id long, digests array<long>, starts array<int>, n_words int")
+                rows = rows_of(h.words(words_of(t.as_py())), k, h)
+                at = anchors(rows, width)
+                digests.append(rows[at].view("int64"))
+                places.append(at.astype("int32"))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(digests, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32()))], ["doc_id", "digests", "places"])
 
+    return docs.mapInArrow(run, "doc_id long, digests array<long>, places array<int>")
 
-def _contexts(docs: DataFrame, asks: DataFrame, reach: int) -> DataFrame:
-    """doc_id, word, left, words, spots for each asked (doc_id, word, left): what stands beside a boundary between words.
 
-    ``words`` has 32-bit hashes of up to ``reach`` words, nearest first, on the
-    left or the right; spots[i] is where a span ends that takes i of them, in code points.
-    """
-    wanted = asks.distinct().groupBy("doc_id").agg(F.collect_list(F.struct("word", "left")).alias("asked"))
-    texts = docs.join(wanted, "doc_id")
+def window_table(docs: DataFrame, asked: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """digest, doc_id, word, start, end of each window around the anchors asked for, as (doc_id, place); start and end are code points."""
+    k, _ = _half(min_words)
+    texts = docs.join(asked.groupBy("doc_id").agg(F.collect_list("place").alias("places")), "doc_id")
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        h, out = WordHasher(), []
-
-        def batch():
-            cols = list(zip(*out, strict=True)) if out else [[]] * 5
-            out.clear()
-            return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.bool_()), *(pa.array(c, pa.list_(pa.int32())) for c in cols[3:])], ["doc_id", "word", "left", "words", "spots"])
-
+        h, out, size = WordHasher(), [], 0
+        names = ["digest", "doc_id", "word", "start", "end"]
         for b in batches:
-            for d, t, asked in zip(b.column("doc_id").to_pylist(), b.column("text"), b.column("asked").to_pylist(), strict=True):
+            for d, t, places in zip(b.column("doc_id").to_pylist(), b.column("text"), b.column("places"), strict=True):
                 raw = t.as_py().encode()
-                x = (h.words(words_and_breaks(t.as_py())[0]) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                rows = rows_of(h.words(words_of(t.as_py())), min_words, h)
+                places = np.asarray(places.values)
+                marks = np.zeros(len(rows) + 1, np.int64)
+                np.add.at(marks, np.maximum(places - (min_words - k), 0), 1)
+                np.add.at(marks, np.minimum(places + 1, len(rows)), -1)
+                at = np.flatnonzero(np.cumsum(marks[:-1]))
                 blank = np.isin(np.frombuffer(b" " + raw + b" ", np.uint8), (32, 9, 10, 11, 12, 13))
                 edges = np.flatnonzero(blank[1:] != blank[:-1])
-                edges = np.concatenate([[0], np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)])[edges].astype(np.int32)
+                edges = np.concatenate([[0], np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)])[edges]
                 first, last = edges[::2], edges[1::2]
-                for ask in asked:
-                    w = ask["word"]
-                    if ask["left"]:
-                        lo = max(0, w - reach)
-                        out.append((d, w, True, x[lo:w][::-1].copy(), first[lo : w + 1][::-1].copy()))
-                    else:
-                        hi = w + reach
-                        out.append((d, w, False, x[w:hi].copy(), last[max(0, w - 1) : hi].copy()))
-                    if len(out) >= 1024:
-                        yield batch()
-        yield batch()
-
-    return texts.select("doc_id", "text", "asked").mapInArrow(run, "doc_id long, word int, left boolean, words array<int>, spots array<int>")
-
+                for i in range(0, len(at), BATCH_WINDOWS):
+                    w = at[i : i + BATCH_WINDOWS]
+                    out.append(pa.RecordBatch.from_arrays([pa.array(rows[w].view(np.int64)), pa.array(np.full(len(w), d, np.int64)), *(pa.array(x.astype(np.int32)) for x in (w, first[w], last[w + min_words - 1]))], names))
+                    size += len(w)
+                    if size >= BATCH_WINDOWS:
+                        yield from pa.Table.from_batches(out).combine_chunks().to_batches()
+                        out, size = [], 0
+        if out:
+            yield from pa.Table.from_batches(out).combine_chunks().to_batches()
 
-def _alike(x, y):
-    """Leading elements that two arrays have in common."""
-    differs = F.transform(F.arrays_zip(x.alias("x"), y.alias("y")), lambda p: ~F.coalesce(p["x"] == p["y"], F.lit(False)))
-    at = F.array_position(differs, True)
-    return F.when(at > 0, at - 1).otherwise(F.size(differs)).cast("int")
+    return texts.select("doc_id", "text", "places").mapInArrow(run, "digest long, doc_id long, word int, start int, end int")
 
 
-def repeats(docs: DataFrame, min_words: int = MIN_WORDS, core_words: int = CORE_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def repeats(docs: DataFrame, min_words: int = MIN_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, start, end, n_words, kept_doc_id: the passages of ``min_words`` words or more that an earlier document has too.
 
     ``kept_doc_id`` has the passage too.  Earlier means a smaller id; what repeats within one document stays.  Null
     and empty texts have no passages; rows without an id are left out; of rows
     that repeat an id, the text that sorts first counts.  Spans of a document
     may overlap: where parts of a passage were first seen in different
-    documents, each part is grown on its own.  Extra columns don't matter.
+    documents, or at different places, each part is a span.  Together, the
+    spans cover every window that an earlier document has.  Extra columns don't matter.
     """
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null")
     twice = spool(narrow.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("doc_id"), "twice")
@@ -159,42 +135,21 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS, core_words: int = CORE_
         once = narrow.join(twice, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
         narrow = spool(narrow.join(twice, "doc_id", "left_anti").union(once), "once")
     small_batches(docs.sparkSession)
-    table = spool(unit_table(narrow), "units")
-    unit = table.select("doc_id", "starts", "n_words", F.posexplode("digests").alias("i", "digest"))
-    unit = unit.select("digest", "doc_id", F.expr("starts[i]").alias("word"), F.coalesce(F.expr("get(starts, i + 1)"), "n_words").alias("upto"))
-    first = unit.groupBy("digest").agg(F.min(F.struct("doc_id", "word", "upto")).alias("f"), F.max("doc_id").alias("z")).where("f.doc_id < z").select("digest", "f")
-    first = spool(first, "first")  # as a table of its own: an aggregate in the join would keep AQE from splitting a frequent digest
-    again = unit.join(first, "digest").where("f.doc_id < doc_id").select("doc_id", "word", "upto", "f")
+    table = spool(anchor_table(narrow, min_words), "anchors")
+    anchor = table.select("doc_id", F.explode(F.arrays_zip("digests", "places")).alias("x")).select("doc_id", F.col("x.digests").alias("digest"), F.col("x.places").alias("place"))
+    # Tables of their own: an aggregate in the join would keep AQE from splitting a frequent digest.
+    shared = spool(anchor.groupBy("digest").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).where("a < z").select("digest"), "shared")
+    windows = spool(window_table(narrow, anchor.join(shared, "digest").select("doc_id", "place"), min_words), "windows")
+    first = windows.groupBy("digest").agg(F.min(F.struct("doc_id", "word")).alias("f"), F.max("doc_id").alias("z")).where("f.doc_id < z")
+    first = spool(first.select("digest", F.col("f.doc_id").alias("kept"), F.col("f.word").alias("at")), "first")
+    again = windows.join(first, "digest").where("kept < doc_id").select("doc_id", "word", "start", "end", "kept", "at")
 
     by_doc = Window.partitionBy("doc_id").orderBy("word")
     before = lambda c: F.lag(c).over(by_doc)
-    follows = (before("upto") == F.col("word")) & (before("f.doc_id") == F.col("f.doc_id")) & (before("f.upto") == F.col("f.word"))
-    new = F.when(follows, 0).otherwise(1)
-    runs = again.withColumn("new", new).withColumn("run", F.sum("new").over(by_doc.rowsBetween(Window.unboundedPreceding, 0)))
-    runs = runs.groupBy("doc_id", "run").agg(F.min("word").alias("word"), F.max("upto").alias("upto"), F.min_by("f", "word").alias("l"), F.max_by("f", "word").alias("r"))
-    # The first occurrence of the last unit ends where that unit does there.
-    runs = spool(runs.where(F.col("upto") - F.col("word") >= core_words).select("doc_id", "word", "upto", F.col("l.doc_id").alias("l_doc"), F.col("l.word").alias("l_word"), F.col("r.doc_id").alias("r_doc"), F.col("r.upto").alias("r_word")).distinct(), "runs")
-
-    sides = {True: ("doc_id", "word", "l_doc", "l_word"), False: ("doc_id", "upto", "r_doc", "r_word")}
-    asks = None
-    for left, (d, w, e, v) in sides.items():
-        both = runs.select(F.col(d).alias("doc_id"), F.col(w).alias("word")).union(runs.select(e, v)).withColumn("left", F.lit(left))
-        asks = both if asks is None else asks.union(both)
-    seen = spool(_contexts(narrow, asks, min_words), "contexts")
-
-    def grown(left: bool) -> DataFrame:
-        """How many words a run grows by on one side, and where its span ends there."""
-        d, w, e, v = sides[left]
-        own = seen.where(F.col("left") == left)
-        mine = own.select(F.col("doc_id").alias(d), F.col("word").alias(w), F.col("words").alias("x"), "spots")
-        theirs = own.select(F.col("doc_id").alias(e), F.col("word").alias(v), F.col("words").alias("y"))
-        rows = runs.select(d, w, e, v).distinct().join(mine, [d, w]).join(theirs, [e, v])
-        more = "more_l" if left else "more_r"
-        return rows.withColumn(more, _alike(F.col("x"), F.col("y"))).select(d, w, e, v, more, F.expr(f"spots[{more}]").cast("long").alias("start" if left else "end"))
-
-    rows = runs.join(grown(True), list(sides[True])).join(grown(False), list(sides[False]))
-    n = F.col("upto") - F.col("word") + F.col("more_l") + F.col("more_r")
-    return rows.where(n >= min_words).select("doc_id", "start", "end", n.cast("long").alias("n_words"), F.col("l_doc").alias("kept_doc_id"))
+    follows = (before("word") + 1 == F.col("word")) & (before("kept") == F.col("kept")) & (before("at") + 1 == F.col("at"))
+    runs = again.withColumn("new", F.when(follows, 0).otherwise(1)).withColumn("run", F.sum("new").over(by_doc.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = runs.groupBy("doc_id", "run", "kept").agg(F.min("start").cast("long").alias("start"), F.max("end").cast("long").alias("end"), (F.count(F.lit(1)) + (min_words - 1)).alias("n_words"))
+    return runs.select("doc_id", "start", "end", "n_words", F.col("kept").alias("kept_doc_id"))
 
 
 def cut_out(text: str | None, spans: list[tuple[int, int]]) -> str | None:

@@ -201,6 +201,39 @@ def test_substring_dedup_copies_loops_and_nothing(spark):
     assert substring_dedup.repeats(docs(spark, rows).where("false")).count() == 0
 
 
+def brute_covered(texts, n):
+    """Per text, the places of words that lie in a window of n words which an earlier text has."""
+    seen, out = set(), {}
+    for i, t in enumerate(texts):
+        w = tuple((t or "").lower().split())
+        own = [w[k : k + n] for k in range(len(w) - n + 1)]
+        out[i] = {k + j for k, x in enumerate(own) if x in seen for j in range(n)}
+        seen |= set(own)
+    return out
+
+
+@pytest.mark.parametrize("least", [50, 7])
+def test_substring_dedup_is_brute_force_behind_edited_copies(spark, least):
+    rng = random.Random(least)
+    texts = []
+    for every in (30, 40, 50, 60, 90):
+        base = prose(rng, 400).split()
+        edited = [f"new{k}" if k % every == every // 2 else x for k, x in enumerate(base)]
+        middle = f"{prose(rng, 9)} {' '.join(base[190:215])} {prose(rng, 9)}"
+        texts += [" ".join(edited), middle, " ".join(base), f"é {prose(rng, 20)}\n{' '.join(base)} end", " ".join(base[:100] + base[200:300])]
+    texts += ["la " * 130 + "x", "la " * 90, "a b c " * 40, "z b c a " + "b c a " * 30]
+    rows = substring_dedup.repeats(docs(spark, plain(texts)), least).collect()
+    got = {i: set() for i in range(len(texts))}
+    for r in rows:
+        t = texts[r["doc_id"]]
+        span = t[r["start"] : r["end"]].split()
+        assert len(span) == r["n_words"] >= least and r["kept_doc_id"] < r["doc_id"]
+        assert f" {' '.join(span)} " in f" {' '.join(texts[r['kept_doc_id']].split())} "
+        k = len(t[: r["start"]].split())
+        got[r["doc_id"]] |= set(range(k, k + r["n_words"]))
+    assert got == brute_covered(texts, least)
+
+
 # --- language and quality
 
 TONGUES = {"aa": "lorem ipsum dolor sit amet consectetur".split(), "bb": "zwölf große straße über müde äpfel".split(), "cc": "кот дом река небо лес вода".split()}
