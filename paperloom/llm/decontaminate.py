@@ -8,8 +8,8 @@ words (the whole item, if shorter) is a pattern; each text is scanned once.
 
 The automaton is built on the driver and sent to each worker.  Its size is
 checked: items beyond ``block_bytes`` of patterns are dealt into several
-automata, each of which scans in a job of its own, and the spans of a document
-are brought together after.
+automata, each of which scans all rows, and the spans of a row are brought
+together after by the row's number.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import small_batches, spool
 
 #: An automaton takes about 37 bytes of memory for each byte of its patterns, so 300 MB a worker at most.
 WINDOW, BLOCK_BYTES = 13, 8 << 20
@@ -125,33 +125,35 @@ def verdicts(docs: DataFrame, items: DataFrame, share: int = 20, window: int = W
     and in code points of the original.  A document is contaminated if at least
     one in ``share`` of its words lies in a span.  Items stream to the driver,
     which holds ``block_bytes`` of patterns at a time.  Null or empty texts have
-    no words; items without words or without an id match nothing.  Repeated
-    rows of ``docs`` are scanned one by one (with several blocks of items they
-    must have different ids).  Extra columns don't matter.
+    no words; items without words or without an id match nothing.  Rows that
+    repeat an id, or have none, are scanned one by one; with several blocks of
+    items, rows are numbered in a table first.  Extra columns don't matter.
     """
     spark = docs.sparkSession
     small_batches(spark)
     rows = ((r[0], r[1]) for r in items.where(F.col(item_id).isNotNull()).select(F.col(item_id).cast("long"), F.col(item_text)).toLocalIterator())
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    parts = []
-    for patterns in _blocks(rows, window, block_bytes):
-        sent = spark.sparkContext.broadcast(pickle.dumps(patterns, 5))
-
-        def run(batches, sent=sent):
-            tree = automaton_of(pickle.loads(sent.value))
-            for b in batches:
-                got = [scan(x.as_py(), tree) for x in b.column(1)]
-                yield summed(b.column(0).to_pylist(), [n for n, _ in got], [[dict(zip(KEYS, s, strict=True)) for s in spans] for _, spans in got], share)
-
-        parts.append(narrow.mapInArrow(run, FOUND))
-    if len(parts) == 1:
-        return parts[0]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.union(p)
+    sent = [spark.sparkContext.broadcast(pickle.dumps(x, 5)) for x in _blocks(rows, window, block_bytes)]
+
+    def scanned(batches, sent):
+        tree = automaton_of(pickle.loads(sent.value))
+        for b in batches:
+            got = [scan(x.as_py(), tree) for x in b.column(1)]
+            yield summed(b.column(0).to_pylist(), [n for n, _ in got], [[dict(zip(KEYS, s, strict=True)) for s in spans] for _, spans in got], share)
+
+    if len(sent) == 1:
+        return narrow.mapInArrow(lambda batches, x=sent[0]: scanned(batches, x), FOUND)
+    numbered = spool(narrow.withColumn("row", F.monotonically_increasing_id()), "numbered")  # a table, so that every scan sees the same numbers
+    out = None
+    for i, x in enumerate(sent):
+        part = numbered.select(F.col("row").alias("doc_id"), "text").mapInArrow(lambda batches, x=x: scanned(batches, x), FOUND)
+        part = part.select(F.col("doc_id").alias("row"), "n_words", "spans").where(F.lit(i == 0) | (F.size("spans") > 0))
+        out = part if out is None else out.union(part)
+    whole = out.groupBy("row").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"))
+    whole = numbered.select("row", "doc_id").join(whole, "row").select("doc_id", "n_words", "spans")
 
     def again(batches):
         for b in batches:
             yield summed(*(b.column(c).to_pylist() for c in ("doc_id", "n_words", "spans")), share)
 
-    return out.groupBy("doc_id").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans")).mapInArrow(again, FOUND)
+    return whole.mapInArrow(again, FOUND)

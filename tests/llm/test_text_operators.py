@@ -57,6 +57,17 @@ def test_decontaminate_is_brute_force(spark, block):
             assert found == decontaminate.words_of(t)[s["word"] : s["word"] + s["words"]]
 
 
+@pytest.mark.parametrize("block", [64 << 20, 300])
+def test_decontaminate_gives_a_row_for_each_row(spark, block):
+    rng = random.Random(11)
+    items = [(i, prose(rng, 20)) for i in range(4)]
+    ids = [None, None, None, 7, 7, 7, 8]
+    texts = [items[0][1], prose(rng, 40), f"{items[1][1]} {items[3][1]}", items[2][1], prose(rng, 50), None, f"{items[3][1]} {prose(rng, 30)}"]
+    rows = [(i, t, "en", "s", 1) for i, t in zip(ids, texts, strict=True)]
+    got = decontaminate.verdicts(docs(spark, rows), spark.createDataFrame(items, "item_id long, text string"), block_bytes=block).collect()
+    assert sorted(map(str, (tuple(r)[:6] for r in got))) == sorted(str((i, *brute_decontaminate(t, items))) for i, t in zip(ids, texts, strict=True))
+
+
 def test_decontaminate_empty_tables(spark):
     none = docs(spark, plain(["a b"])).where("false")
     items = spark.createDataFrame([(1, "a b")], "item_id long, text string")
