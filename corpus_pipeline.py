@@ -33,9 +33,9 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that aren't contaminated: those with benchmark windows over at least a twentieth of their words go."""
-    found = decontaminate.verdicts(docs, read(spark, sf_dir, "benchmark")).where("contaminated").select(F.col("doc_id").alias("_bad"))
-    bad = spool(found.distinct(), "contaminated")
-    return docs.join(bad, F.col("doc_id").cast("long") == F.col("_bad"), "left_anti").select(*docs.columns)
+    rows = spool(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")  # ids may be null or repeat
+    bad = decontaminate.verdicts(rows, read(spark, sf_dir, "benchmark"), doc_id="_row").where("contaminated").select(F.col("doc_id").alias("_row"))
+    return rows.join(spool(bad, "contaminated"), "_row", "left_anti").select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

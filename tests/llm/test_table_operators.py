@@ -198,6 +198,16 @@ def test_pipeline_is_its_stages_by_hand(spark):
         assert stage(spark, docs, SF).columns == docs.columns
 
 
+def test_benchmark_stage_judges_row_by_row(spark, tmp_path):
+    item = " ".join(f"word{i}" for i in range(20))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, item, "en", "s", 1), (None, "clean one", "en", "s", 1), (5, item, "en", "s", 1), (5, "clean two", "en", "s", 1), (6, None, "en", "s", 0), (7, item, "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.benchmark(spark, docs, str(tmp_path))
+    assert got.columns == docs.columns
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, [rows[1], rows[3], rows[4]]))
+
+
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_queries_equal_their_sql(spark, name):
     import os
