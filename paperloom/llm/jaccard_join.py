@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.operators.graph import connected_components
@@ -154,10 +154,33 @@ def folded(raw: bytes, size: int):
     return x
 
 
-def index_table(docs: DataFrame, shingle: int, percent: int, doc_id: str, text: str, doubled: int | None = None) -> DataFrame:
-    """doc_id, n (set size), fp1 and fp2 (128 bits of the set), sketch, entries."""
-    narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    count = float(docs.count())
+def repeated_ids(docs: DataFrame, doc_id: str) -> DataFrame | None:
+    """doc_id and rows of the ids that several rows have; None if there are none."""
+    ids = docs.select(F.col(doc_id).cast("long").alias("doc_id")).where("doc_id is not null")
+    twice = spool(ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1"), "twice")
+    return twice if twice.limit(1).count() else None
+
+
+def texts_by_id(docs: DataFrame, twice: DataFrame | None, doc_id: str, text: str) -> DataFrame:
+    """doc_id and texts: one row an id, and one for each row without an id."""
+    narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.array(text).alias("texts"))
+    if twice is None:
+        return narrow
+    many = narrow.join(twice, "doc_id", "left_semi").groupBy("doc_id").agg(F.flatten(F.collect_set("texts")).alias("texts"))
+    return spool(narrow.join(twice, "doc_id", "left_anti").union(many), "by-id")
+
+
+def union_of(texts: list[str | None], ix: Index):
+    """The set of a document: the shingles of all its texts."""
+    import numpy as np
+
+    sets = [ix.shingles(t) for t in texts]
+    return sets[0] if len(sets) == 1 else np.unique(np.concatenate(sets)) if sets else ix.shingles(None)
+
+
+def index_table(narrow: DataFrame, shingle: int, percent: int, doubled: int | None = None) -> DataFrame:
+    """doc_id, n (set size), fp1 and fp2 (128 bits of the set), sketch, entries, for every row of (doc_id, texts)."""
+    count = float(narrow.count())
 
     def run(batches):
         import numpy as np
@@ -167,7 +190,7 @@ def index_table(docs: DataFrame, shingle: int, percent: int, doc_id: str, text:
         for b in batches:
             n, one, two, bits, entries = [], [], [], [], []
             for t in b.column(1):
-                x = ix.shingles(t.as_py())
+                x = union_of(t.as_py(), ix)
                 n.append(len(x))
                 one.append(int(ix.hasher.mix(x).sum(dtype=np.uint64).view(np.int64)))
                 two.append(int(ix.hasher.mix(x ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).view(np.int64)))
@@ -237,23 +260,23 @@ def likely_within(members: DataFrame, percent: int, cell: int = CELL) -> DataFra
     return dealt.groupBy("entry", "i", "j").applyInArrow(run, "a long, b long")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int, doc_id: str, text: str) -> DataFrame:
+def verified(pairs: DataFrame, narrow: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets link, by the exact sizes of intersection and union.
 
     Sets are made anew for the documents in pairs only, and meet in two joins;
     a document in many pairs is dealt to several tasks by AQE.
     """
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).join(wanted, "doc_id", "left_semi")
+    texts = narrow.join(wanted, "doc_id", "left_semi")
 
     def sets(batches):
         import pyarrow as pa
 
         ix = Index(shingle, percent, 1.0)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([ix.shingles(t.as_py()).tobytes() for t in b.column(1)], pa.binary())], ["doc_id", "set"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([union_of(t.as_py(), ix).tobytes() for t in b.column(1)], pa.binary())], ["doc_id", "set"])
 
-    made = spool(texts.mapInArrow(sets, "doc_id long, set binary").dropDuplicates(["doc_id"]), "sets")
+    made = spool(texts.mapInArrow(sets, "doc_id long, set binary"), "sets")
     both = pairs.join(made.select(F.col("doc_id").alias("b"), F.col("set").alias("y")), "b").join(made.select(F.col("doc_id").alias("a"), F.col("set").alias("x")), "a")
 
     def check(batches):
@@ -275,12 +298,14 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, doc
     """doc_id, n_shingles and component_id (the smallest id reachable by links) for every row of ``docs``.
 
     Texts that are null or have no word have no set and link with nothing, not
-    even each other.  Rows that repeat an id give a row each; their texts count
-    for the one id.  Rows without an id have component null.  Extra columns
+    even each other.  Rows that repeat an id give a row each; the id's set
+    has the shingles of all its texts.  Rows without an id have component null.  Extra columns
     don't matter; an empty table gives an empty result.
     """
     small_batches(docs.sparkSession)
-    table = spool(index_table(docs, shingle, percent, doc_id, text, doubled), "index")
+    twice = repeated_ids(docs, doc_id)
+    narrow = texts_by_id(docs, twice, doc_id, text)
+    table = spool(index_table(narrow, shingle, percent, doubled), "index")
     keyed = table.where("n > 0 and doc_id is not null")
     # Equal sets: each class is stood for by its smallest id.
     groups = spool(keyed.groupBy("n", "fp1", "fp2").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last")).where("rep < last").drop("last"), "groups")
@@ -291,9 +316,9 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, doc
     two = shared.where("docs = 2").select("a", F.col("z").alias("b"))
     many = shared.where("docs > 2")
     members = spool(own.join(many.select("entry", "a"), "entry").select("entry", "doc_id", "n", "a"), "members")
-    sets = spool(keyed.select("doc_id", "n", "sketch").dropDuplicates(["doc_id"]), "sketches")
+    sets = spool(keyed.select("doc_id", "n", "sketch"), "sketches")
     stars = spool(likely(two.union(members.where("a < doc_id").select("a", F.col("doc_id").alias("b"))).distinct(), sets, percent), "stars")
-    links = spool(verified(stars, docs, shingle, percent, doc_id, text), "links")
+    links = spool(verified(stars, narrow, shingle, percent), "links")
     joined = spool(connected_components(links), "joined")
 
     # Entries that the star left in several components: pairs between those components.
@@ -303,16 +328,25 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, doc
     more = likely_within(rest.join(sets, "doc_id"), percent).distinct().join(stars, ["a", "b"], "left_anti")
     more = spool(more, "more")
     if more.limit(1).count():
-        again = spool(verified(more, docs, shingle, percent, doc_id, text), "again")
+        again = spool(verified(more, narrow, shingle, percent), "again")
         joined = spool(connected_components(links.union(again)), "joined")
 
     reps = copies.join(joined, copies["rep"] == joined["node"], "left").select("doc_id", F.coalesce("component", "rep").alias("component"))
     labels = joined.join(copies.select("doc_id"), joined["node"] == copies["doc_id"], "left_anti").select(F.col("node").alias("doc_id"), "component")
     found = spool(reps.union(labels).groupBy("doc_id").agg(F.min("component").alias("component")), "found")
+    if twice is not None:
+        table = table.join(twice, "doc_id", "left").withColumn("row", F.explode(F.sequence(F.lit(1), F.coalesce("rows", F.lit(1)))))
     return table.join(found, "doc_id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their group, with all their columns; rows without an id stay."""
-    gone = classes(docs, shingle, percent, doc_id, text).where("component_id <> doc_id").select(F.col("doc_id").alias("_gone"))
-    return docs.join(spool(gone, "gone"), F.col(doc_id).cast("long") == F.col("_gone"), "left_anti")
+    """The rows of ``docs`` whose id is the smallest of their group, with all their columns; of rows that repeat an id, that with the text that sorts first; rows without an id stay."""
+    gone = classes(docs, shingle, percent, doc_id, text).where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
+    kept = docs.join(spool(gone, "gone"), F.col(doc_id).cast("long") == F.col("_gone"), "left_anti")
+    twice = repeated_ids(kept, doc_id)
+    if twice is None:
+        return kept
+    twice = twice.select(F.col("doc_id").alias("_twice"))
+    same = F.col(doc_id).cast("long") == F.col("_twice")
+    many = kept.join(twice, same).withColumn("_nth", F.row_number().over(Window.partitionBy("_twice").orderBy(F.col(text).asc_nulls_last(), F.xxhash64(*kept.columns))))
+    return kept.join(twice, same, "left_anti").union(many.where("_nth = 1").select(*kept.columns))

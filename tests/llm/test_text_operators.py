@@ -169,6 +169,17 @@ def test_jaccard_join_odd_rows(spark):
     assert {r["doc_id"] for r in jaccard_join.one_of_each(docs(spark, rows)).collect()} == {0, None}
 
 
+def test_jaccard_join_counts_all_texts_of_an_id(spark):
+    rng = random.Random(12)
+    one, two, three = (prose(rng, 40) for _ in range(3))
+    rows = plain([one, f"{one} {two}", two, three]) + [(0, two, "en", "s", 1), (3, three, "en", "s", 1), (3, None, "en", "s", 1), (None, one, "en", "s", 1), (None, one, "en", "s", 1)]
+    for x in (rows, rows[::-1]):
+        got = sorted((tuple(r) for r in jaccard_join.classes(docs(spark, x), 5, 80).collect()), key=str)
+        assert got == sorted([(0, 72, 0), (0, 72, 0), (1, 76, 0), (2, 36, 2), (3, 36, 3), (3, 36, 3), (3, 36, 3), (None, 36, None), (None, 36, None)], key=str)
+        left = sorted(((r["doc_id"], r["text"]) for r in jaccard_join.one_of_each(docs(spark, x)).collect()), key=str)
+        assert left == sorted([(0, min(one, two)), (2, two), (3, three), (None, one), (None, one)], key=str)
+
+
 def test_allocation_doubles_when_chance_matches_are_likely():
     assert jaccard_join.allocate(500, 85, 1e5)[0] == 0
     assert jaccard_join.allocate(500, 85, 1e12)[0] > 0
