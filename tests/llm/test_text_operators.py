@@ -256,6 +256,15 @@ def test_substring_dedup_is_brute_force_behind_edited_copies(spark, least):
     assert got == brute_covered(texts, least)
 
 
+def test_substring_dedup_covers_passages_whose_parts_were_seen_elsewhere(spark):
+    rng = random.Random(13)
+    base = prose(rng, 400).split()
+    part = lambda a, b: f"{prose(rng, 9)} {' '.join(base[a:b])} {prose(rng, 9)}"
+    texts = [part(0, 150), part(250, 400), " ".join(base), f"{prose(rng, 30)} {' '.join(base)}"]
+    cut = {r["doc_id"]: r["text"].split() for r in substring_dedup.remove_repeats(docs(spark, plain(texts))).collect()}
+    assert cut == {0: texts[0].split(), 1: texts[1].split(), 2: base[150:250], 3: texts[3].split()[:30]}
+
+
 # --- language and quality
 
 TONGUES = {"aa": "lorem ipsum dolor sit amet consectetur".split(), "bb": "zwölf große straße über müde äpfel".split(), "cc": "кот дом река небо лес вода".split()}
