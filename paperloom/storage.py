@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,9 +12,13 @@ _OWN: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; a temporary folder only where it names none (tests)."""
+    """The session's ``spark.checkpoint.dir``; where it names none, a temporary folder in local mode (tests), else an error."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return named or _OWN.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="paperloom-"))
+    if named:
+        return named
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return _OWN.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="paperloom-"))
 
 
 def spool(df: DataFrame, tag: str) -> DataFrame:
@@ -21,4 +26,14 @@ def spool(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/paperloom-{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._spooled_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that ``spool`` returned and that nothing reads any more."""
+    for t in tables:
+        jvm = t.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(t._spooled_at)
+        path.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

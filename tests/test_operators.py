@@ -228,8 +228,30 @@ def test_components_of_paths_and_hubs(spark):
         if a != b:
             p, q = sorted((root(a), root(b)))
             up[q] = p
-    got = {r["node"]: r["component"] for r in graph.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert got == {x: root(x) for x in list(up)}
+    for small in (graph.SMALL, 40, 0):  # in one task, handed over to it halfway, and by rounds alone
+        got = {r["node"]: r["component"] for r in graph.connected_components(spark.createDataFrame(edges, "a long, b long"), small=small).collect()}
+        assert got == {x: root(x) for x in list(up)}
+
+
+def test_components_of_a_hub_and_its_join(spark):
+    n = 300_000
+    edges = spark.range(1, n).select(F.lit(0).cast("long").alias("a"), F.col("id").alias("b"))
+    got = graph.connected_components(edges, small=0)
+    assert got.agg(F.count("*"), F.max("component")).first()[:] == (n, 0)
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        star = graph.spool(edges.select(F.col("a").alias("u"), F.col("b").alias("v")), "hub")
+        least = graph.spool(star.groupBy("u").agg(F.min("v").alias("m")), "least")
+        out = graph.with_least(star, "u", least)
+        assert out.agg(F.count("*"), F.max("m")).first()[:] == (n - 1, 1)
+        out.collect()
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 # --- ranking
