@@ -59,6 +59,18 @@ def automaton_of(patterns: dict[str, tuple[int, set[int]]]):
     return tree
 
 
+def automaton_in_worker(sent):
+    """The automaton of a broadcast: a worker process builds it once for all its tasks, and keeps no more than one."""
+    import sys
+
+    kept = sys.__dict__.setdefault("_paperloom_automaton", {})
+    key = hashlib.blake2b(sent.value).digest()
+    if key not in kept:
+        kept.clear()
+        kept[key] = automaton_of(pickle.loads(sent.value))
+    return kept[key]
+
+
 def scan(text: str | None, tree) -> tuple[int, list[tuple[int, int, int, int, int]]]:
     """Words of the text, and an (item, first word, words, start, end) per occurrence; start and end are code points of the original."""
     import numpy as np
@@ -127,33 +139,35 @@ def verdicts(docs: DataFrame, items: DataFrame, share: int = 20, window: int = W
     which holds ``block_bytes`` of patterns at a time.  Null or empty texts have
     no words; items without words or without an id match nothing.  Rows that
     repeat an id, or have none, are scanned one by one; with several blocks of
-    items, rows are numbered in a table first.  Extra columns don't matter.
+    items, rows are numbered in a table first.  The scan runs when this is called;
+    its result is a table.  Extra columns don't matter.
     """
     spark = docs.sparkSession
-    small_batches(spark)
     rows = ((r[0], r[1]) for r in items.where(F.col(item_id).isNotNull()).select(F.col(item_id).cast("long"), F.col(item_text)).toLocalIterator())
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     sent = [spark.sparkContext.broadcast(pickle.dumps(x, 5)) for x in _blocks(rows, window, block_bytes)]
 
     def scanned(batches, sent):
-        tree = automaton_of(pickle.loads(sent.value))
+        tree = automaton_in_worker(sent)
         for b in batches:
             got = [scan(x.as_py(), tree) for x in b.column(1)]
             yield summed(b.column(0).to_pylist(), [n for n, _ in got], [[dict(zip(KEYS, s, strict=True)) for s in spans] for _, spans in got], share)
 
     if len(sent) == 1:
-        return narrow.mapInArrow(lambda batches, x=sent[0]: scanned(batches, x), FOUND)
-    numbered = spool(narrow.withColumn("row", F.monotonically_increasing_id()), "numbered")  # a table, so that every scan sees the same numbers
-    out = None
-    for i, x in enumerate(sent):
-        part = numbered.select(F.col("row").alias("doc_id"), "text").mapInArrow(lambda batches, x=x: scanned(batches, x), FOUND)
-        part = part.select(F.col("doc_id").alias("row"), "n_words", "spans").where(F.lit(i == 0) | (F.size("spans") > 0))
-        out = part if out is None else out.union(part)
-    whole = out.groupBy("row").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"))
-    whole = numbered.select("row", "doc_id").join(whole, "row").select("doc_id", "n_words", "spans")
-
-    def again(batches):
-        for b in batches:
-            yield summed(*(b.column(c).to_pylist() for c in ("doc_id", "n_words", "spans")), share)
-
-    return whole.mapInArrow(again, FOUND)
+        with small_batches(spark):
+            return spool(narrow.mapInArrow(lambda batches, x=sent[0]: scanned(batches, x), FOUND), "verdicts")
+    with small_batches(spark):
+        numbered = spool(narrow.withColumn("row", F.monotonically_increasing_id()), "numbered")  # a table, so that every scan sees the same numbers
+        out = None
+        for i, x in enumerate(sent):
+            part = numbered.select(F.col("row").alias("doc_id"), "text").mapInArrow(lambda batches, x=x: scanned(batches, x), FOUND)
+            part = spool(part.select(F.col("doc_id").alias("row"), "n_words", "spans").where(F.lit(i == 0) | (F.size("spans") > 0)), "block")
+            out = part if out is None else out.union(part)
+        whole = out.groupBy("row").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"))
+        whole = numbered.select("row", "doc_id").join(whole, "row").select("doc_id", "n_words", "spans")
+
+        def again(batches):
+            for b in batches:
+                yield summed(*(b.column(c).to_pylist() for c in ("doc_id", "n_words", "spans")), share)
+
+        return spool(whole.mapInArrow(again, FOUND), "verdicts")

@@ -19,7 +19,10 @@ against the chance matches that the number of documents makes likely.
 Sets that are equal are one class from the start.  The documents of an index
 entry are linked to its smallest one, not to each other, so a group of n near
 copies costs n verifications.  Where a verified star leaves an entry in several
-components, pairs between those are looked at as well; no link is lost.
+components, pairs between those are looked at as well; no link is lost.  An entry
+with many such documents is not compared pair by pair: its documents are indexed
+once more, with segments cut by another hash, and meet only where they share an
+entry of that index, too, which every link does.
 
 Every set has a parity sketch, one bit for each shingle or so, whose bits that
 differ are a lower bound of the symmetric difference.  Pairs are held against it
@@ -35,13 +38,13 @@ from pyspark.sql import functions as F
 
 from paperloom.operators.graph import connected_components
 
-from .common import small_batches, spool
+from .common import discard, fresh, small_batches, spool
 from .hashing import WordHasher
 
 SHINGLE, PERCENT = 4, 85
 BAND, SLACK, CHANCE = 4, 0.15, 0.05
-#: Documents of an index entry that one task compares with each other, or with as many others.
-CELL = 1024
+#: Documents of an index entry that one task compares with each other, or with as many others; and how often an entry with more is indexed anew.
+CELL, DEPTH = 1024, 2
 
 
 def most_apart(a: int, b: int, percent: int) -> int:
@@ -75,8 +78,9 @@ def allocate(largest: int, percent: int, docs: float) -> tuple[int, int, int]:
 class Index:
     """Index entries of shingle sets; one per worker."""
 
-    def __init__(self, shingle: int, percent: int, docs: float, doubled: int | None = None):
+    def __init__(self, shingle: int, percent: int, docs: float, doubled: int | None = None, cut: int = 0):
         self.hasher, self.k, self.percent, self.docs, self.force = WordHasher(), shingle, percent, docs, doubled
+        self.salt = self.hasher.np.uint64(cut * 0x632BE59BD9B4E019 & 0xFFFFFFFFFFFFFFFF)  # another universe partition for every cut
         self.ends, self.schemes = band_ends(percent), {}
 
     def shingles(self, text: str | None):
@@ -113,7 +117,7 @@ class Index:
             if mine == 0:  # equal sets only, which are one class already
                 continue
             units = 2 * doubled + plain
-            spot = (h.mix(x ^ np.uint64(b * 2 + 1)) >> np.uint64(11)).astype(np.float64) * (units / (1 << 53))
+            spot = (h.mix(x ^ np.uint64(b * 2 + 1) ^ self.salt) >> np.uint64(11)).astype(np.float64) * (units / (1 << 53))
             spot = np.minimum(spot.astype(np.int64), units - 1)
             seg = np.where(spot < 2 * doubled, spot // 2, spot - doubled)
             value = h.mix(x + np.uint64(b))
@@ -178,9 +182,8 @@ def union_of(texts: list[str | None], ix: Index):
     return sets[0] if len(sets) == 1 else np.unique(np.concatenate(sets)) if sets else ix.shingles(None)
 
 
-def index_table(narrow: DataFrame, shingle: int, percent: int, doubled: int | None = None) -> DataFrame:
+def index_table(narrow: DataFrame, shingle: int, percent: int, count: float, doubled: int | None = None) -> DataFrame:
     """doc_id, n (set size), fp1 and fp2 (128 bits of the set), sketch, entries, for every row of (doc_id, texts)."""
-    count = float(narrow.count())
 
     def run(batches):
         import numpy as np
@@ -228,8 +231,9 @@ def likely_within(members: DataFrame, percent: int, cell: int = CELL) -> DataFra
     a task compares bits of at most ``cell`` documents with those of as many
     others; an entry with more is dealt to a grid of such cells.
     """
-    counts = members.groupBy("entry").agg(F.ceil(F.count(F.lit(1)) / cell).cast("int").alias("parts"))
-    dealt = members.join(counts, "entry").withColumn("mine", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
+    # Only entries with more than a cell are counted in a table of its own, at most a row for every cell of documents.
+    crowded = spool(members.groupBy("entry").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") > cell).select("entry", F.ceil(F.col("docs") / cell).cast("int").alias("parts")), "crowded")
+    dealt = members.join(crowded, "entry", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("mine", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     dealt = dealt.select("entry", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "doc_id", "n", "c", "sketch")
     # The join left the rows dealt by entry, which serves the grouping, too, but brings all cells of an entry into one task.
@@ -260,6 +264,34 @@ def likely_within(members: DataFrame, percent: int, cell: int = CELL) -> DataFra
     return dealt.groupBy("entry", "i", "j").applyInArrow(run, "a long, b long")
 
 
+def cut_finer(members: DataFrame, narrow: DataFrame, shingle: int, percent: int, docs: float, doubled: int | None, cut: int, cell: int = CELL) -> DataFrame:
+    """``members`` (entry, doc_id, c) with entries of more than ``cell`` documents replaced by those of another universe partition.
+
+    A link in an entry shares a segment of the other partition, too, so it stays
+    in one of the finer entries.  Finer entries of one component hold no link
+    that is new, and go.
+    """
+    crowded = spool(members.groupBy("entry").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") > cell).select("entry"), "crowded")
+    if not crowded.limit(1).count():
+        return members
+    many = spool(members.join(crowded, "entry"), "many")
+    texts = narrow.join(spool(many.select("doc_id").distinct(), "wanted"), "doc_id", "left_semi")
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        ix = Index(shingle, percent, docs, doubled, cut)
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([ix.entries(union_of(t.as_py(), ix)).view(np.int64) for t in b.column(1)], pa.list_(pa.int64()))], ["doc_id", "more"])
+
+    again = spool(texts.mapInArrow(run, "doc_id long, more array<long>"), "finer")
+    finer = many.join(again, "doc_id").select("entry", "doc_id", "c", F.explode("more").alias("m")).select(F.xxhash64("entry", "m").alias("entry"), "doc_id", "c")
+    finer = spool(finer, "finer-members")
+    open_ = spool(finer.groupBy("entry").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("entry"), "finer-open")
+    return spool(members.join(crowded, "entry", "left_anti").union(finer.join(open_, "entry").select("entry", "doc_id", "c")), "open")
+
+
 def verified(pairs: DataFrame, narrow: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets link, by the exact sizes of intersection and union.
 
@@ -294,7 +326,7 @@ def verified(pairs: DataFrame, narrow: DataFrame, shingle: int, percent: int) ->
     return both.select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
 
-def classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text", doubled: int | None = None) -> DataFrame:
+def classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text", doubled: int | None = None, cell: int = CELL, depth: int = DEPTH) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest id reachable by links) for every row of ``docs``.
 
     Texts that are null or have no word have no set and link with nothing, not
@@ -302,34 +334,38 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, doc
     has the shingles of all its texts.  Rows without an id have component null.  Extra columns
     don't matter; an empty table gives an empty result.
     """
-    small_batches(docs.sparkSession)
     twice = repeated_ids(docs, doc_id)
     narrow = texts_by_id(docs, twice, doc_id, text)
-    table = spool(index_table(narrow, shingle, percent, doubled), "index")
-    keyed = table.where("n > 0 and doc_id is not null")
-    # Equal sets: each class is stood for by its smallest id.
-    groups = spool(keyed.groupBy("n", "fp1", "fp2").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last")).where("rep < last").drop("last"), "groups")
-    copies = keyed.join(groups, ["n", "fp1", "fp2"]).where("doc_id <> rep").select("doc_id", "rep")
-    own = keyed.join(copies.select("doc_id"), "doc_id", "left_anti").select("doc_id", "n", F.explode("entries").alias("entry"))
-
-    shared = spool(own.groupBy("entry").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z"), F.count(F.lit(1)).alias("docs")).where("a < z"), "shared")
-    two = shared.where("docs = 2").select("a", F.col("z").alias("b"))
-    many = shared.where("docs > 2")
-    members = spool(own.join(many.select("entry", "a"), "entry").select("entry", "doc_id", "n", "a"), "members")
-    sets = spool(keyed.select("doc_id", "n", "sketch"), "sketches")
-    stars = spool(likely(two.union(members.where("a < doc_id").select("a", F.col("doc_id").alias("b"))).distinct(), sets, percent), "stars")
-    links = spool(verified(stars, narrow, shingle, percent), "links")
-    joined = spool(connected_components(links), "joined")
-
-    # Entries that the star left in several components: pairs between those components.
-    labelled = members.join(joined, members["doc_id"] == joined["node"], "left").select("entry", "doc_id", F.coalesce("component", "doc_id").alias("c"))
-    open_entries = labelled.groupBy("entry").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("entry")
-    rest = spool(labelled.join(open_entries, "entry"), "open")
-    more = likely_within(rest.join(sets, "doc_id"), percent).distinct().join(stars, ["a", "b"], "left_anti")
-    more = spool(more, "more")
-    if more.limit(1).count():
-        again = spool(verified(more, narrow, shingle, percent), "again")
-        joined = spool(connected_components(links.union(again)), "joined")
+    count = float(narrow.count())
+    with small_batches(docs.sparkSession):
+        table = spool(index_table(narrow, shingle, percent, count, doubled), "index")
+        keyed = table.where("n > 0 and doc_id is not null")
+        # Equal sets: each class is stood for by its smallest id.
+        groups = spool(keyed.groupBy("n", "fp1", "fp2").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last")).where("rep < last").drop("last"), "groups")
+        copies = spool(keyed.join(groups, ["n", "fp1", "fp2"]).where("doc_id <> rep").select("doc_id", "rep"), "copies")
+        own = keyed.join(copies.select("doc_id"), "doc_id", "left_anti").select("doc_id", F.explode("entries").alias("entry"))
+
+        shared = spool(own.groupBy("entry").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z"), F.count(F.lit(1)).alias("docs")).where("a < z"), "shared")
+        two = shared.where("docs = 2").select("a", F.col("z").alias("b"))
+        many = shared.where("docs > 2")
+        members = spool(own.join(many.select("entry", "a"), "entry").select("entry", "doc_id", "a"), "members")
+        sets = spool(keyed.select("doc_id", "n", "sketch"), "sketches")
+        stars = spool(likely(two.union(members.where("a < doc_id").select("a", F.col("doc_id").alias("b"))).distinct(), sets, percent), "stars")
+        links = spool(verified(stars, narrow, shingle, percent), "links")
+        joined = spool(connected_components(links), "joined")
+
+        # Entries that the star left in several components: pairs between those components.
+        labelled = spool(members.join(joined, members["doc_id"] == joined["node"], "left").select("entry", "doc_id", F.coalesce("component", "doc_id").alias("c")), "labelled")
+        open_entries = spool(labelled.groupBy("entry").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("entry"), "open-entries")
+        rest = spool(labelled.join(open_entries, "entry"), "open")
+        discard(shared, members, labelled)
+        if rest.limit(1).count():
+            for cut in range(1, depth + 1):
+                rest = cut_finer(rest, narrow, shingle, percent, count, doubled, cut, cell)
+            more = spool(likely_within(rest.join(sets, "doc_id"), percent, cell).distinct().join(stars, ["a", "b"], "left_anti"), "more")
+            if more.limit(1).count():
+                again = spool(verified(more, narrow, shingle, percent), "again")
+                joined = spool(connected_components(links.union(again)), "joined")
 
     reps = copies.join(joined, copies["rep"] == joined["node"], "left").select("doc_id", F.coalesce("component", "rep").alias("component"))
     labels = joined.join(copies.select("doc_id"), joined["node"] == copies["doc_id"], "left_anti").select(F.col("node").alias("doc_id"), "component")
@@ -341,12 +377,13 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, doc
 
 def one_of_each(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of their group, with all their columns; of rows that repeat an id, that with the text that sorts first; rows without an id stay."""
-    gone = classes(docs, shingle, percent, doc_id, text).where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(spool(gone, "gone"), F.col(doc_id).cast("long") == F.col("_gone"), "left_anti")
+    found, nth = fresh(docs, "found"), fresh(docs, "nth")
+    gone = classes(docs, shingle, percent, doc_id, text).where("component_id <> doc_id").select(F.col("doc_id").alias(found)).distinct()
+    kept = docs.join(spool(gone, "gone"), F.col(doc_id).cast("long") == F.col(found), "left_anti")
     twice = repeated_ids(kept, doc_id)
     if twice is None:
         return kept
-    twice = twice.select(F.col("doc_id").alias("_twice"))
-    same = F.col(doc_id).cast("long") == F.col("_twice")
-    many = kept.join(twice, same).withColumn("_nth", F.row_number().over(Window.partitionBy("_twice").orderBy(F.col(text).asc_nulls_last(), F.xxhash64(*kept.columns))))
-    return kept.join(twice, same, "left_anti").union(many.where("_nth = 1").select(*kept.columns))
+    twice = twice.select(F.col("doc_id").alias(found))
+    same = F.col(doc_id).cast("long") == F.col(found)
+    many = kept.join(twice, same).withColumn(nth, F.row_number().over(Window.partitionBy(found).orderBy(F.col(text).asc_nulls_last(), F.xxhash64(*kept.columns))))
+    return kept.join(twice, same, "left_anti").union(many.where(F.col(nth) == 1).select(*kept.columns))

@@ -7,7 +7,9 @@ one ridge regression per language is solved.  A batch of texts is scored by two
 matrix products: presence bits by landmarks, then kernel rows by weights.
 
 Everything that is learnt comes from a bounded sample: ``per_lang`` texts of
-each language, of which ``landmarks`` in all serve as landmarks.
+each language, of which ``landmarks`` in all serve as landmarks.  A softmax over
+the regressions' outputs is the score; its sharpness is the one under which the
+sample's languages are likeliest, each text predicted by all others.
 """
 
 from __future__ import annotations
@@ -18,11 +20,13 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_fold, sampled, small_batches
+from .common import in_fold, sampled, small_batches, spool, spread
 
-#: Bounds of what is learnt from: texts of each language, and characters of each.
-PER_LANG, TEXT_CHARS = 300, 65536
-LANDMARKS, RIDGE, SHARPNESS = 64, 1e-3, 5.0
+#: Bounds of what is learnt from: texts of each language, and languages (those with most texts).
+PER_LANG, MAX_LANGS = 300, 512
+#: Of a text longer than that, so many pieces of so many characters, spread over all of it, teach.
+TEXT_PIECES, PIECE_CHARS = 16, 4096
+LANDMARKS, RIDGE = 64, 1e-3
 SLOTS, CHUNK = 256 + 3 * 65536, 1 << 20
 
 #: Letters as they are (A-Z as a-z), bytes of other scripts too, all else a space.
@@ -94,8 +98,25 @@ def fit(rows: list[tuple[str, str]], landmarks: int = LANDMARKS, ridge: float =
     phi = np.hstack([phi, np.ones((len(rows), 1))])
     y = np.array([[1.0 if k == lang else -1.0 for lang in langs] for _, k in rows])
     share = 1 / np.maximum(1, (y > 0).sum(0))[(y > 0).argmax(1)]  # languages weigh alike
-    w = np.linalg.solve((phi * share[:, None]).T @ phi + ridge * np.eye(phi.shape[1]), (phi * share[:, None]).T @ y)
-    return {"langs": langs, "slots": slots.astype(np.int32), "marks": np.packbits(marks.astype(bool)), "shape": marks.shape, "norms": norms, "weights": root @ w[:-1], "bias": w[-1]}
+    inverse = np.linalg.inv((phi * share[:, None]).T @ phi + ridge * np.eye(phi.shape[1]))
+    w = inverse @ (phi * share[:, None]).T @ y
+    return {"sharpness": sharpness(phi, y, share, inverse, w), "langs": langs, "slots": slots.astype(np.int32), "marks": np.packbits(marks.astype(bool)), "shape": marks.shape, "norms": norms, "weights": root @ w[:-1], "bias": w[-1]}
+
+
+def sharpness(phi, y, share, inverse, w) -> float:
+    """The factor in the softmax under which the texts' languages are likeliest, each text's outputs taken from a fit without it."""
+    import numpy as np
+
+    own = share * ((phi @ inverse) * phi).sum(1)
+    out = (phi @ w - own[:, None] * y) / np.maximum(1e-9, 1 - own)[:, None]
+    tried = 2.0 ** np.arange(-1, 6.01, 0.25)
+    right = (y > 0).argmax(1)
+
+    def loss(s):
+        z = s * (out - out.max(1, keepdims=True))
+        return (share * (np.log(np.exp(z).sum(1)) - z[np.arange(len(z)), right])).sum()
+
+    return float(min(tried, key=loss))
 
 
 def unpacked(model: dict) -> dict:
@@ -116,27 +137,28 @@ def predict(texts: list[str | None], model: dict) -> list[tuple[str, float]]:
     at = [i for i, t in enumerate(texts) if model["langs"] and has_letter(t)]
     if at:
         f = kernel_rows([texts[i] for i in at], model["slots"], model["marks"], model["norms"]) @ model["weights"] + model["bias"]
-        p = np.exp(SHARPNESS * (f - f.max(1, keepdims=True)))
+        p = np.exp(model["sharpness"] * (f - f.max(1, keepdims=True)))
         p /= p.sum(1, keepdims=True)
         for i, k, s in zip(at, p.argmax(1), p.max(1), strict=True):
             out[i] = (model["langs"][k], float(s))
     return out
 
 
-def training_rows(docs: DataFrame, per_lang: int = PER_LANG, text_chars: int = TEXT_CHARS, folds: int = 3, held: int = 1) -> list[tuple[str, str]]:
+def training_rows(docs: DataFrame, per_lang: int = PER_LANG, most_langs: int = MAX_LANGS, folds: int = 3, held: int = 1) -> list[tuple[str, str]]:
     """About ``per_lang`` (text, language) rows of each language outside the held-out fold, chosen by a hash of the id.
 
     Languages are counted on the narrow columns first, then documents are read
-    once; what comes to the driver is bounded by ``per_lang``, ``text_chars`` and
-    the number of languages.  Of rows that repeat an id, the text that sorts first
-    teaches; rows without an id, language or text teach nothing.
+    once; what comes to the driver is bounded by ``per_lang``, ``most_langs`` and
+    64 K characters a text.  Languages beyond the ``most_langs`` with most texts
+    (of equals, those that sort first) are not learnt.  Of rows that repeat an id,
+    the text that sorts first teaches; rows without an id, language or text teach
+    nothing.
     """
     known = docs.where(~in_fold("doc_id", folds, held) & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    share = F.lit(0.0)
-    for lang, n in counts.items():
-        share = F.when(F.col("lang") == lang, per_lang / n).otherwise(share)
-    chosen = known.where(sampled(share, "doc_id", F.lit(6))).select("doc_id", "lang", F.substring("text", 1, text_chars).alias("text"))
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(most_langs)
+    counts = spool(counts.select("lang", (per_lang / F.col("n")).alias("share")), "languages")  # at most most_langs rows
+    chosen = known.join(F.broadcast(counts), "lang").where(sampled(F.col("share"), "doc_id", F.lit(6)))
+    chosen = chosen.select("doc_id", "lang", F.array_join(spread(F.col("text"), TEXT_PIECES, PIECE_CHARS), " ").alias("text"))
     rows = chosen.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).collect()
     return [(r["text"], r["lang"]) for r in sorted(rows, key=lambda r: (r["doc_id"], r["lang"]))]
 
@@ -146,10 +168,9 @@ def classify(docs: DataFrame, model: dict, doc_id: str = "doc_id", text: str = "
 
     Null texts and texts without a letter are ``und`` with score 0.  Repeated
     rows get equal results; extra columns don't matter; an empty table gives an
-    empty result.
+    empty result.  Whole texts are read, when this is called; the result is a table.
     """
     spark = docs.sparkSession
-    small_batches(spark)
     sent = spark.sparkContext.broadcast(pickle.dumps(model, 5))
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
 
@@ -161,4 +182,5 @@ def classify(docs: DataFrame, model: dict, doc_id: str = "doc_id", text: str = "
             got = [x for i in range(0, b.num_rows, 64) for x in predict(b.column(1)[i : i + 64].to_pylist(), m)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x for x, _ in got], pa.string()), pa.array([x for _, x in got], pa.float64())], ["doc_id", "lang_pred", "score"])
 
-    return narrow.mapInArrow(run, f"doc_id {dict(narrow.dtypes)['doc_id']}, lang_pred string, score double")
+    with small_batches(spark):
+        return spool(narrow.mapInArrow(run, f"doc_id {dict(narrow.dtypes)['doc_id']}, lang_pred string, score double"), "languages")

@@ -17,7 +17,7 @@ def op1_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_frequency.drop_boilerplate(read(spark, sf_dir, "documents"))
-    return out.select("doc_id", "source", "n_lines", "n_dropped", F.length("text").cast("long").alias("chars_left"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+    return out.select("doc_id", "source", "n_lines", "n_dropped", "all_dropped", F.length("text").cast("long").alias("chars_left"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,8 +44,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    model = zstd_quality.fit(*zstd_quality.training_rows(docs, read(spark, sf_dir, "labels")))
-    found = zstd_quality.scores(docs, model)
+    found = zstd_quality.scores(docs, zstd_quality.learn(docs, read(spark, sf_dir, "labels")))
     return found.select("doc_id", in_fold("doc_id", 4, 2).alias("held_out"), "score", F.when(F.col("score") >= zstd_quality.THRESHOLD, 1).otherwise(0).cast("int").alias("predicted"))
 
 
@@ -65,14 +64,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def _op1_sql() -> str:
-    u = url_reputation
-    two = ", ".join(f"'{x}'" for x in u.TWO_LABEL_SUFFIXES)
-    fits = {r: f"((host = '{r.partition('/')[0]}' OR ends_with(host, '.{r.partition('/')[0]}')) AND starts_with(path, '/{r.partition('/')[2]}'))" for r, _ in u.RULES}
-    rules = sorted(u.RULES, key=lambda r: (-len(r[0]), r[0]))
+    stated = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
+    two = ", ".join(f"'{x}'" for x in url_reputation.TWO_LABEL_SUFFIXES)
+    fits = {r: f"((host = '{r.partition('/')[0]}' OR ends_with(host, '.{r.partition('/')[0]}')) AND starts_with(path, '/{r.partition('/')[2]}'))" for r, _ in stated}
+    rules = sorted(stated, key=lambda r: (-len(r[0]), r[0]))
     case = lambda k: "CASE " + " ".join(f"WHEN {fits[r[0]]} THEN '{r[k]}'" for r in rules) + " END"
 
     def rho(groups: str, m: str) -> str:
-        return f"(SELECT 1 / least(greatest(coalesce(sum(pow(b - n * {m}, 2) - n * {m} * (1 - {m})) / nullif(sum((n - 1) * n * {m} * (1 - {m})), 0), {u.RHO_LEAST}), {u.RHO_LEAST}), {u.RHO_MOST}) - 1 FROM {groups})"
+        return f"(SELECT 1 / least(greatest(coalesce(sum(pow(b - n * {m}, 2) - n * {m} * (1 - {m})) / nullif(sum((n - 1) * n * {m} * (1 - {m})), 0), 0.001), 0.001), 0.5) - 1 FROM {groups})"
 
     return f"""
 WITH page AS (SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), '{UPPER}', '{LOWER}') AS host,
@@ -90,20 +89,19 @@ dom AS (SELECT suffix, domain, sum(n) AS n, sum(b) AS b, any_value(m_suffix) AS
 dom2 AS (SELECT suffix, domain, (b + s * m) / (n + s) AS m_domain FROM dom, (SELECT {rho('dom', 'm')} AS s)),
 hst AS (SELECT host, n, b, m_domain AS m FROM leaf JOIN dom2 USING (suffix, domain)),
 rep AS (SELECT host, n, (b + s * m) / (n + s) AS mean, s FROM hst, (SELECT {rho('hst', 'm')} AS s)),
-judged AS (SELECT page_id, host, path, {case(0)} AS rule, {case(1)} AS own, n AS n_labelled, greatest(0.0, mean - {u.Z} * sqrt(mean * (1 - mean) / (n + s + 1))) AS bound FROM page JOIN rep USING (host))
-SELECT page_id, host, path, rule, coalesce(own, CASE WHEN bound >= {u.LIMIT} THEN 'block' ELSE 'allow' END) AS verdict, n_labelled, round(bound, 6) AS bad_bound FROM judged"""
+judged AS (SELECT page_id, host, path, {case(0)} AS rule, {case(1)} AS own, n AS n_labelled, greatest(0.0, mean - 1.645 * sqrt(mean * (1 - mean) / (n + s + 1))) AS bound FROM page JOIN rep USING (host))
+SELECT page_id, host, path, rule, coalesce(own, CASE WHEN bound >= 0.5 THEN 'block' ELSE 'allow' END) AS verdict, n_labelled, round(bound, 6) AS bad_bound FROM judged"""
 
 
 def _op2_sql() -> str:
-    m = line_frequency
-    return f"""
+    return """
 WITH each AS (SELECT DISTINCT d.rowid AS r, source, trim(u.x, ' \t\r') AS x FROM (SELECT row_number() OVER () AS rowid, * FROM documents) d, unnest(string_split(text, chr(10))) AS u(x) WHERE source IS NOT NULL),
 tot AS (SELECT source, count(*) AS pages FROM documents WHERE source IS NOT NULL GROUP BY source),
-bp AS (SELECT source, list(x) AS bad FROM (SELECT source, x FROM each JOIN tot USING (source) WHERE x <> '' GROUP BY source, x, pages HAVING count(*) >= {m.MIN_PAGES} AND count(*) > {m.RATIO} * pages) GROUP BY source),
+bp AS (SELECT source, list(x) AS bad FROM (SELECT source, x FROM each JOIN tot USING (source) WHERE x <> '' GROUP BY source, x, pages HAVING count(*) >= 2 AND count(*) > 0.1 * pages) GROUP BY source),
 cut AS (SELECT doc_id, documents.source, text, string_split(text, chr(10)) AS lines, list_filter(string_split(text, chr(10)), lambda x: trim(x, ' \t\r') = '' OR NOT coalesce(list_contains(bad, trim(x, ' \t\r')), FALSE)) AS kept FROM documents LEFT JOIN bp ON bp.source = documents.source),
-done AS (SELECT *, text IS NOT NULL AND len(kept) < len(lines) AND len(list_filter(kept, lambda x: trim(x, ' \t\r') <> '')) > 0 AS less FROM cut)
-SELECT doc_id, source, CASE WHEN text IS NULL THEN 0 ELSE len(lines) END::BIGINT AS n_lines, CASE WHEN less THEN len(lines) - len(kept) ELSE 0 END::BIGINT AS n_dropped,
-    length(CASE WHEN less THEN array_to_string(kept, chr(10)) ELSE text END)::BIGINT AS chars_left, sha256(coalesce(CASE WHEN less THEN array_to_string(kept, chr(10)) ELSE text END, '')) AS text_sha256 FROM done"""
+done AS (SELECT *, text IS NOT NULL AND len(kept) < len(lines) AS less FROM cut)
+SELECT doc_id, source, CASE WHEN text IS NULL THEN 0 ELSE len(lines) END::BIGINT AS n_lines, CASE WHEN less THEN len(lines) - len(kept) ELSE 0 END::BIGINT AS n_dropped, less AND len(list_filter(kept, lambda x: trim(x, ' \t\r') <> '')) = 0 AS all_dropped,
+    length(CASE WHEN less THEN coalesce(array_to_string(kept, chr(10)), '') ELSE text END)::BIGINT AS chars_left, sha256(coalesce(CASE WHEN less THEN array_to_string(kept, chr(10)) ELSE text END, '')) AS text_sha256 FROM done"""
 
 
 def _op3_sql() -> str:
@@ -137,30 +135,29 @@ SELECT doc_id, a[i]::BIGINT AS "start", z[e - 1]::BIGINT AS "end", (e - i)::BIGI
 
 
 def _op5_sql() -> str:
-    m = jaccard_join
     return f"""
 WITH RECURSIVE doc AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents),
-sh AS (SELECT DISTINCT doc_id, hash(s) AS s FROM (SELECT doc_id, array_to_string(w[i:i + {m.SHINGLE - 1}], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {m.SHINGLE - 1}, 1) + 1)) AS i FROM doc WHERE len(w) > 0))),
+sh AS (SELECT DISTINCT doc_id, hash(s) AS s FROM (SELECT doc_id, array_to_string(w[i:i + 3], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM doc WHERE len(w) > 0))),
 size AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
 pair AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
-link AS (SELECT a, b FROM pair JOIN size p ON p.doc_id = a JOIN size q ON q.doc_id = b WHERE 100 * k >= {m.PERCENT} * (p.n + q.n - k)),
+link AS (SELECT a, b FROM pair JOIN size p ON p.doc_id = a JOIN size q ON q.doc_id = b WHERE 100 * k >= 85 * (p.n + q.n - k)),
 both_ways AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
 reach(a, c) AS (SELECT doc_id, doc_id FROM doc UNION SELECT b, c FROM reach JOIN both_ways USING (a))
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id FROM (SELECT a AS doc_id, min(c) AS component_id FROM reach GROUP BY a) LEFT JOIN size USING (doc_id)"""
 
 
 def _op7_sql() -> str:
-    m = mixing
+    grid_points, passes = 32, 5
     ctes, lo, hi = [], "0.0::DOUBLE", "1.0::DOUBLE"
     ctes.append(f"e0 AS (SELECT {lo} AS lo, {hi} AS hi)")
-    grid = lambda prev: f"(SELECT i, lo + (hi - lo) / {m.GRID} * i AS x, lo, hi FROM {prev}, range({m.GRID + 1}) AS g(i))"
-    for k in range(m.PASSES):
-        ctes.append(f"e{k + 1} AS (SELECT coalesce(max(x) FILTER (WHERE ok), any_value(lo)) AS lo, coalesce(least(max(x) FILTER (WHERE ok) + any_value((hi - lo) / {m.GRID}), any_value(hi)), any_value(lo)) AS hi FROM (SELECT x, lo, hi, ln(sum(pow(p, x))) - x * sum(pow(p, x) * ln(p)) / sum(pow(p, x)) >= {m.ENTROPY} * ln(count(*)) AS ok FROM {grid(f'e{k}')}, share GROUP BY x, lo, hi))")
-    ctes.append(f"f0 AS (SELECT lo, 1.0::DOUBLE AS hi FROM e{m.PASSES})")
-    for k in range(m.PASSES):
-        ctes.append(f"f{k + 1} AS (SELECT greatest(min(x) FILTER (WHERE ok) - any_value((hi - lo) / {m.GRID}), any_value(lo)) AS lo, min(x) FILTER (WHERE ok) AS hi FROM (SELECT x, lo, hi, pow(max(p) / min(p), 1 - x) <= {m.REPEATS} AS ok FROM {grid(f'f{k}')}, share GROUP BY x, lo, hi))")
-    alpha = f"(SELECT CASE WHEN count(*) < 2 THEN 1.0 WHEN pow(max(p) / min(p), 1 - (SELECT lo FROM e{m.PASSES})) > {m.REPEATS} THEN (SELECT hi FROM f{m.PASSES}) ELSE (SELECT lo FROM e{m.PASSES}) END AS a FROM share)"
-    key = lambda block: f"md5(concat_ws('|', '{m.SEED}', {block}::VARCHAR, coalesce(doc_id::VARCHAR, '')))"
+    grid = lambda prev: f"(SELECT i, lo + (hi - lo) / {grid_points} * i AS x, lo, hi FROM {prev}, range({grid_points + 1}) AS g(i))"
+    for k in range(passes):
+        ctes.append(f"e{k + 1} AS (SELECT coalesce(max(x) FILTER (WHERE ok), any_value(lo)) AS lo, coalesce(least(max(x) FILTER (WHERE ok) + any_value((hi - lo) / {grid_points}), any_value(hi)), any_value(lo)) AS hi FROM (SELECT x, lo, hi, ln(sum(pow(p, x))) - x * sum(pow(p, x) * ln(p)) / sum(pow(p, x)) >= 0.97 * ln(count(*)) AS ok FROM {grid(f'e{k}')}, share GROUP BY x, lo, hi))")
+    ctes.append(f"f0 AS (SELECT lo, 1.0::DOUBLE AS hi FROM e{passes})")
+    for k in range(passes):
+        ctes.append(f"f{k + 1} AS (SELECT greatest(min(x) FILTER (WHERE ok) - any_value((hi - lo) / {grid_points}), any_value(lo)) AS lo, min(x) FILTER (WHERE ok) AS hi FROM (SELECT x, lo, hi, pow(max(p) / min(p), 1 - x) <= 4.0 AS ok FROM {grid(f'f{k}')}, share GROUP BY x, lo, hi))")
+    alpha = f"(SELECT CASE WHEN count(*) < 2 THEN 1.0 WHEN pow(max(p) / min(p), 1 - (SELECT lo FROM e{passes})) > 4.0 THEN (SELECT hi FROM f{passes}) ELSE (SELECT lo FROM e{passes}) END AS a FROM share)"
+    key = lambda block: f"md5(concat_ws('|', 'mix-1', {block}::VARCHAR, coalesce(doc_id::VARCHAR, '')))"
     return f"""
 WITH tok AS (SELECT doc_id, source, coalesce('=' || source, '-') AS s, coalesce(len(regexp_extract_all(text, '[^ \\t\\n\\r]+')), 0)::BIGINT AS n_tokens FROM documents),
 tot AS (SELECT s, sum(n_tokens)::BIGINT AS t FROM tok GROUP BY s),
@@ -176,5 +173,41 @@ run AS (SELECT *, sum(n_tokens) OVER (PARTITION BY s, block ORDER BY order_key,
 SELECT doc_id, source, n_tokens, block::INTEGER AS block, order_key, round(weight, 6) AS weight FROM run WHERE block < whole OR (rest > 0 AND upto <= rest)"""
 
 
+def _op9_sql() -> str:
+    kinds = {
+        "assign": (r"""((?i:password|passwd|secret|token|api_?key))["\']?\x20*[:=]\x20*["\']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+        "access": (r"AKIA[A-Z0-9]+", 0, 20),
+        "hex": (r"[0-9a-f]+", 0, 24),
+        "random": (r"[A-Za-z0-9+/_-]{20,}={0,2}", 0, 20),
+    }
+    quoted = lambda p: p.replace("\\'", "''")
+    found = " UNION ALL ".join(f"SELECT r, {i} AS kind, {least} AS least, string_split_regex(t, '{quoted(p)}') AS p, regexp_extract_all(t, '{quoted(p)}', 0) AS h, regexp_extract_all(t, '{quoted(p)}', {group}) AS s FROM doc" for i, (p, group, least) in enumerate(kinds.values()))
+    name = "['assign', 'access', 'hex', 'random'][kind + 1]"
+    tail = lambda z: f"(1 / (1 + exp(1.5976 * greatest(-8.0, least(8.0, {z})) + 0.07056 * pow(greatest(-8.0, least(8.0, {z})), 3))))"
+    far = lambda p: f"tan((0.5 - greatest(1e-12, least(1 - 1e-12, {p}))) * pi())"
+    text = lambda of: f"string_agg({name} || ':' || a || ':' || z, ',' ORDER BY a, kind, z) FILTER (WHERE {of})"
+    return f"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+part AS (SELECT r, kind, least, unnest(p[:len(h)]) AS p, unnest(h) AS h, unnest(s) AS s, unnest(range(len(h))) AS i FROM ({found})),
+hit AS (SELECT r, kind, h, z - length(h) AS a, z FROM (SELECT *, sum(length(p) + length(h)) OVER (PARTITION BY r, kind ORDER BY i) AS z FROM part) WHERE length(s) >= least),
+base AS (SELECT * FROM hit WHERE kind < 3),
+bare AS (SELECT *, rtrim(h, '=') AS b FROM hit WHERE kind = 3),
+named AS (SELECT *, CASE WHEN NOT (regexp_matches(b, '[0-9]') AND regexp_matches(b, '[A-Za-z]')) THEN NULL WHEN regexp_full_match(b, '[0-9a-f]+|[0-9A-F]+') THEN 'hex' WHEN regexp_full_match(b, '[A-Z2-7]+') THEN 'base32' WHEN regexp_full_match(b, '[a-z0-9]+|[A-Z0-9]+') THEN 'base36' WHEN regexp_full_match(b, '[A-Za-z0-9]+') THEN 'base62' ELSE 'base64' END AS enc FROM bare),
+coded AS (SELECT *, length(t)::DOUBLE AS n, length(abc)::DOUBLE AS k, list_transform(string_split(t, ''), lambda x: instr(abc, x)::DOUBLE) AS c FROM (SELECT *, CASE WHEN enc IN ('hex', 'base36') THEN lower(b) ELSE translate(b, '-_', '+/') END AS t,
+    CASE enc WHEN 'hex' THEN '0123456789abcdef' WHEN 'base32' THEN 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567' WHEN 'base36' THEN '0123456789abcdefghijklmnopqrstuvwxyz' WHEN 'base62' THEN '0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz' ELSE 'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/' END AS abc FROM named WHERE enc IS NOT NULL)),
+summed AS (SELECT *, list_sum(list_transform(string_split(abc, ''), lambda x: pow(n - length(replace(t, x, '')), 2))) AS squares, list_sum(c) / n AS m, len(list_filter(c, lambda v: v > k / 2))::DOUBLE AS high, list_zip(c[:-2], c[2:]) AS uv FROM coded),
+tested AS (SELECT *, 1.0 + len(list_filter(uv, lambda x: (x[1] > k / 2) <> (x[2] > k / 2))) AS turns, list_sum(list_transform(uv, lambda x: (x[1] - m) * (x[2] - m))) AS up, list_sum(list_transform(c, lambda v: (v - m) * (v - m))) AS down, 2 * high * (n - high) AS mix FROM summed),
+judged AS (SELECT r, kind, a, z, enc, t, floor(ln(n) / ln(2) * 2)::INTEGER AS size, 0.5 - atan(({far(tail('(k / n * squares - n - (k - 1)) / sqrt(2 * (k - 1) * (n - 1) / n)'))} + {far('2 * ' + tail('abs(CASE WHEN mix > 0 THEN (turns - mix / n - 1) / sqrt(greatest(mix * (mix - n) / (n * n * (n - 1)), 1e-9)) ELSE 9.0 END)'))}
+    + {far('2 * ' + tail('abs((CASE WHEN down > 0 THEN up / down ELSE 1.0 END + 1 / n) * sqrt(n))'))}) / 3) / pi() AS p FROM tested),
+bin AS (SELECT enc, size, least(floor(p * 20)::INTEGER, 19) AS bin FROM (SELECT enc, size, t, any_value(p) AS p FROM judged GROUP BY ALL)),
+class AS (SELECT enc, size, count(*) AS total, least(1.0, count(*) FILTER (WHERE bin >= 10) / 0.5 / count(*)) * count(*) AS random FROM bin GROUP BY ALL),
+step AS (SELECT enc, size, random, i, (SELECT count(*) FROM bin WHERE bin.enc = class.enc AND bin.size = class.size AND bin.bin >= i) AS above FROM class, range(11) AS g(i)),
+least_p AS (SELECT enc, size, greatest(min(i) / 20.0, 0.01) AS least_p FROM step WHERE above > 0 AND greatest(0.0, above - random * (1 - i / 20.0)) / above <= 0.1 GROUP BY ALL),
+more AS (SELECT r, kind, a, z FROM judged JOIN least_p USING (enc, size) WHERE p >= least_p AND NOT EXISTS (SELECT 1 FROM base WHERE base.r = judged.r AND base.a < judged.z AND judged.a < base.z)),
+span AS (SELECT r, kind, a::BIGINT AS a, z::BIGINT AS z FROM base UNION ALL SELECT r, kind, a::BIGINT, z::BIGINT FROM more),
+said AS (SELECT r, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access, count(*) FILTER (WHERE kind = 2) AS n_hex, {text('kind < 3')} AS base, {text('TRUE')} AS spans FROM span GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM doc LEFT JOIN said USING (r)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_reputation": _op1_sql(), "op2_line_frequency": _op2_sql(), "op3_decontaminate": _op3_sql(), "op4_substring_dedup": _op4_sql(), "op5_jaccard_join": _op5_sql(), "op7_mixing": _op7_sql()}
+    return {"op1_url_reputation": _op1_sql(), "op2_line_frequency": _op2_sql(), "op3_decontaminate": _op3_sql(), "op4_substring_dedup": _op4_sql(), "op5_jaccard_join": _op5_sql(), "op7_mixing": _op7_sql(), "op9_secrets": _op9_sql()}

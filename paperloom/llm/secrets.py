@@ -40,6 +40,9 @@ ALPHABETS = {
 }
 FDR, BINS, HALF = 0.1, 20, 0.5
 
+#: Matches of a text that are folded in one list; more are folded in parts, as a list is copied for each match added to it.
+PART = 128
+
 SPAN = "struct<start:int,kind:int,end:int>"
 
 
@@ -57,7 +60,19 @@ def _matches(text: Column, pattern: str, kind: int, least: int = 0, group: int =
         span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), *([x["h"].alias("token")] if with_token else []))
         return F.struct(end.alias("at"), F.when(F.length(x["s"]) >= least, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
 
-    return F.aggregate(steps, F.struct(F.lit(0).alias("at"), F.array().cast(shape).alias("out")), step, lambda acc: acc["out"])
+    def fold(xs: Column, start: Column) -> Column:
+        return F.aggregate(xs, F.struct(start.alias("at"), F.array().cast(shape).alias("out")), step, lambda acc: acc["out"])
+
+    def in_parts(parts: Column) -> Column:
+        sizes = F.transform(parts, lambda xs: F.aggregate(xs, F.lit(0), lambda n, x: n + F.length(x["p"]) + F.length(x["h"])))
+        starts = F.aggregate(sizes, F.array(F.lit(0)), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
+        return F.flatten(F.zip_with(parts, F.slice(starts, 1, F.size(parts)), fold))
+
+    def whole(xs: Column) -> Column:
+        parts = F.transform(F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / PART).cast("int")), lambda i: F.slice(xs, i * PART + 1, F.lit(PART)))
+        return F.when(F.size(xs) <= PART, fold(xs, F.lit(0))).otherwise(F.element_at(F.transform(F.array(parts), in_parts), 1))
+
+    return F.element_at(F.transform(F.array(steps), whole), 1)
 
 
 def _where(condition: Column, spans: Column, shape: str = SPAN) -> Column:

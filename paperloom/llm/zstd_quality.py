@@ -1,25 +1,28 @@
 """Quality classifier by compression: zstandard dictionaries of good and of bad text.
 
-A text is cut into pieces of about 2 KB, so that a dictionary tells as much at
-the end of a long text as at its start, and each piece is compressed with both
-dictionaries.  The difference of the two sizes, as a share of their sum, says
-which kind the text is like; the size itself, as a share of the text's bytes,
-tells loops from prose.  A logistic calibration, fitted on labelled texts that
-went into neither dictionary, turns these into a score.
+A text is cut into pieces of about 512 bytes, so that a dictionary tells as much
+at the end of a long text as at its start, and each piece is compressed with both
+dictionaries.  The difference of the two sums of sizes, as a share of the text's
+bytes, says which kind the text is like.  A logistic calibration of this one
+number, fitted on labelled texts that went into neither dictionary, makes it a
+score.
 """
 
 from __future__ import annotations
 
+import math
 import pickle
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_fold, sampled, small_batches
+from .common import fresh, in_fold, sampled, small_batches, spool, spread
 
-#: Bounds of what is learnt from: texts of each class (half for the dictionaries, half for the calibration) and bytes of each.
-PER_CLASS, TEXT_BYTES = 1500, 16384
-PIECE, DICT_BYTES, LEVEL, THRESHOLD = 2048, 112 << 10, 3, 0.7
+#: Bound of what is learnt from: labelled texts of each class, half for the dictionaries, half for the calibration.
+PER_CLASS = 1500
+#: Of a text longer than that, so many pieces of so many characters, spread over all of it, go into a dictionary.
+DICT_PIECES, DICT_CHARS = 8, 2048
+PIECE, DICT_BYTES, LEVEL, THRESHOLD = 512, 112 << 10, 3, 0.7
 
 
 class Compressors:
@@ -30,116 +33,95 @@ class Compressors:
 
         self.one, self.two = (z.ZstdCompressor(level=LEVEL, dict_data=z.ZstdCompressionDict(d), write_checksum=False, write_content_size=False, write_dict_id=False) for d in (good, bad))
 
-    def features(self, text: str | None) -> tuple[float, float, float, float]:
-        """(difference in bytes, its share of the sum, bytes kept per byte, log of the bytes); zeros for an empty text."""
-        import math
-
+    def difference(self, text: str | None) -> float:
+        """Bytes by which good text's dictionary compresses better, for each byte of the text; 0 for an empty text."""
         raw = (text or "").encode()
-        if not raw:
-            return 0.0, 0.0, 0.0, 0.0
-        a = b = 0
         n = max(1, round(len(raw) / PIECE))
-        for i in range(n):
+        gap = 0
+        for i in range(n if raw else 0):
             piece = raw[len(raw) * i // n : len(raw) * (i + 1) // n]
-            a += len(self.one.compress(piece))
-            b += len(self.two.compress(piece))
-        return b - a, (b - a) / (a + b), min(a, b) / len(raw), math.log(len(raw))
+            gap += len(self.two.compress(piece)) - len(self.one.compress(piece))
+        return gap / len(raw) if raw else 0.0
 
 
-def expand(x):
-    """Features of the calibration from those of the compressors."""
-    import numpy as np
+def dictionary_of(texts: list[str]) -> bytes:
+    """A dictionary trained on the texts; with too little to train on, the text itself."""
+    import zstandard as z
 
-    gap, d, kept, size = np.asarray(x, float).reshape(-1, 4).T
-    small = 1 / (1 + np.exp(size - 5))
-    return np.stack([np.ones_like(d), np.arcsinh(gap / 4), d, kept, kept**2, np.maximum(0, 0.2 - kept), np.maximum(0, 0.3 - kept), small, small * d, small * kept], 1)
+    pieces = [raw[i : i + 4 * PIECE] for t in texts for raw in [t.encode()] for i in range(0, len(raw), 4 * PIECE)]
+    try:
+        return z.train_dictionary(DICT_BYTES, pieces).as_bytes()
+    except z.ZstdError:
+        return b"".join(pieces)[-DICT_BYTES:] or b"\n" * 8
 
 
-def fit_logistic(x, y, ridge: float = 1e-2, rounds: int = 60):
-    """Weights of a ridge-penalised logistic regression on standardised columns, by Newton's method, in the columns' own units."""
+def calibrated(x: list[float], y: list[int], prior: float, ridge: float = 1e-2, rounds: int = 60) -> tuple[float, float]:
+    """Intercept and slope of a ridge-penalised logistic regression on standardised ``x``, by Newton's method, moved to the prior."""
     import numpy as np
 
-    mean, std = x.mean(0), x.std(0)
-    mean[0], std = 0, np.where(std > 0, std, 1)
-    z, w = (x - mean) / std, np.zeros(x.shape[1])
+    x, y = np.asarray(x, float), np.asarray(y, float)
+    mean, std = x.mean(), x.std() or 1.0
+    z, w = np.stack([np.ones_like(x), (x - mean) / std], 1), np.zeros(2)
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + ridge * np.eye(len(w)), z.T @ (p - y) + ridge * w)
+        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + ridge * np.eye(2), z.T @ (p - y) + ridge * w)
         w -= step
         if abs(step).max() < 1e-8:
             break
-    w = w / std
-    w[0] -= mean[1:] @ w[1:]
-    return w
+    slope = w[1] / std
+    shift = math.log(prior / (1 - prior)) - math.log(y.mean() / (1 - y.mean()))
+    return float(w[0] - slope * mean + shift), float(slope)
 
 
-def fit(rows: list[tuple[str, int]], prior: float | None = None) -> dict:
-    """A model from (text, label) rows with labels 0 and 1; ``prior`` is the share of label 1 where the rows were drawn (default: in the rows).
-
-    With a class missing, every score is that share (1/2 without rows).
-    """
-    import math
-
-    import numpy as np
-    import zstandard as z
-
-    kinds = {k: [(t or "")[:TEXT_BYTES] for t, y in rows if y == k] for k in (0, 1)}
-    prior = prior if prior is not None else len(kinds[1]) / len(rows) if rows else 0.5
-    if min(map(len, kinds.values())) < 8:
-        return {"prior": prior}
-    dicts = {}
-    for k, texts in kinds.items():
-        pieces = [raw[i : i + PIECE] for t in texts[::2] for raw in [t.encode()] for i in range(0, len(raw), PIECE)]
-        try:
-            dicts[k] = z.train_dictionary(DICT_BYTES, pieces).as_bytes()
-        except z.ZstdError:  # too little text to train on: the text itself
-            dicts[k] = b"".join(pieces)[-DICT_BYTES:]
-    pair = Compressors(dicts[1], dicts[0])
-    held = [(t, k) for k, texts in kinds.items() for t in texts[1::2]]
-    y = np.array([k for _, k in held], float)
-    x = expand([pair.features(t) for t, _ in held])
-    w = fit_logistic(x, y)
-    w[0] += math.log(prior / (1 - prior)) - math.log(y.mean() / (1 - y.mean()))
-    return {"prior": prior, "good": dicts[1], "bad": dicts[0], "weights": w.tolist()}
-
-
-def score_all(texts: list[str | None], model: dict, pair: Compressors | None) -> list[float]:
-    import numpy as np
-
-    if pair is None:
-        return [model["prior"]] * len(texts)
-    z = expand([pair.features(t) for t in texts]) @ np.array(model["weights"])
-    return (1 / (1 + np.exp(-np.clip(z, -30, 30)))).tolist()
+def score_of(difference: float, model: dict) -> float:
+    a, b = model["line"]
+    return 1 / (1 + math.exp(-min(30.0, max(-30.0, a + b * difference))))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, folds: int = 4, held: int = 2, label: str = "quality") -> tuple[list[tuple[str, int]], float | None]:
-    """At most about ``per_class`` labelled texts of each class outside the held-out fold, chosen by a hash of the id; and the share of label 1 among all such rows.
+def sample_of(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, folds: int = 4, held: int = 2, label: str = "quality") -> tuple[DataFrame, float | None]:
+    """(doc_id, y, half, text): about ``per_class`` labelled texts of each class outside the held-out fold, chosen by a hash of the id, as a table; and the share of label 1 among all such labels.
 
     The labels alone are counted and sampled first; then documents are read
-    once, against ids whose number is bounded by the parameters.  A document
+    once, against ids whose number is bounded by the parameter.  A document
     with both labels, a null label or no text teaches nothing; of rows that repeat
     an id, the text that sorts first teaches.
     """
-    known = labels.where(~in_fold("doc_id", folds, held) & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.min(label).alias("y"), F.max(label).alias("most")).where("y = most")
+    known = labels.where(~in_fold("doc_id", folds, held) & F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(label).alias("y"), F.max(label).alias("most")).where("y = most")
     counts = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = F.lit(0.0)
     for y, n in counts.items():
         share = F.when(F.col("y") == y, per_class / n).otherwise(share)
-    chosen = known.where(sampled(share, "doc_id")).select("doc_id", "y")
-    text = docs.where("text is not null and doc_id is not null").select("doc_id", F.substring("text", 1, TEXT_BYTES).alias("text"))
-    rows = text.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text")).collect()
-    prior = counts.get(1, 0) / sum(counts.values()) if counts else None
-    return [(r["text"], int(r["y"])) for r in sorted(rows, key=lambda r: r["doc_id"])], prior
+    half = (F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(2))).cast("int")
+    chosen = spool(known.where(sampled(share, "doc_id")).select("doc_id", F.col("y").cast("int").alias("y"), half.alias("half")), "chosen")
+    few = chosen.count() <= 1 << 20
+    text = docs.where("text is not null and doc_id is not null").select("doc_id", "text")
+    rows = text.join(F.broadcast(chosen) if few else chosen, "doc_id").groupBy("doc_id", "y", "half").agg(F.min("text").alias("text"))
+    return spool(rows, "sample"), counts.get(1, 0) / sum(counts.values()) if counts else None
 
 
-def scores(docs: DataFrame, model: dict, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep`` of ``docs`` and a score in 0..1 (higher: label 1 likelier) for every row, whatever its text.
+def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, folds: int = 4, held: int = 2, label: str = "quality") -> dict:
+    """The model: both dictionaries from pieces of the sample's one half, the calibration from whole texts of the other.
 
-    Whole texts are scored; null and empty texts get the calibration's value
-    for an empty text.  Repeated rows get equal scores.
+    Where a half lacks a class, all of the sample serves for both.  With a class
+    missing altogether, the model is a constant: the share of label 1 among the
+    labels (1/2 without labels).
     """
+    sample, prior = sample_of(docs, labels, per_class, folds, held, label)
+    sizes = {(r["y"], r["half"]) for r in sample.select("y", "half").distinct().collect()}
+    if {y for y, _ in sizes} != {0, 1}:
+        return {"prior": 0.5 if prior is None else prior}
+    split = len(sizes) == 4
+    taught = sample.where("half = 0") if split else sample
+    rows = taught.select("doc_id", "y", spread(F.col("text"), DICT_PIECES, DICT_CHARS).alias("x")).collect()  # at most per_class texts of 16 K characters
+    texts = {k: [t for r in sorted(rows, key=lambda r: r["doc_id"]) if r["y"] == k for t in r["x"]] for k in (0, 1)}
+    model = {"prior": prior, "good": dictionary_of(texts[1]), "bad": dictionary_of(texts[0])}
+    held_out = differences(sample.where("half = 1") if split else sample, model, ("y",)).collect()  # two numbers a text
+    return model | {"line": calibrated([r["difference"] for r in held_out], [r["y"] for r in held_out], prior)}
+
+
+def differences(docs: DataFrame, model: dict, keep: tuple[str, ...], name: str = "difference") -> DataFrame:
+    """The columns ``keep`` of ``docs`` and the difference of every row's whole text."""
     spark = docs.sparkSession
-    small_batches(spark)
     sent = spark.sparkContext.broadcast(pickle.dumps(model, 5))
     keys = [f"k{i}" for i in range(len(keep))]
     narrow = docs.select(*[F.col(c).alias(k) for c, k in zip(keep, keys, strict=True)], F.col("text").alias("t"))
@@ -148,18 +130,37 @@ def scores(docs: DataFrame, model: dict, keep: tuple[str, ...] = ("doc_id",)) ->
         import pyarrow as pa
 
         m = pickle.loads(sent.value)
-        pair = Compressors(m["good"], m["bad"]) if "weights" in m else None
+        pair = Compressors(m["good"], m["bad"])
         for b in batches:
-            s = [x for i in range(0, b.num_rows, 64) for x in score_all(b.column(b.num_columns - 1)[i : i + 64].to_pylist(), m, pair)]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(s, pa.float64())], [*b.schema.names[:-1], "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array([pair.difference(t.as_py()) for t in b.column(b.num_columns - 1)], pa.float64())], [*b.schema.names[:-1], "x"])
 
     kinds = dict(narrow.dtypes)
-    out = narrow.mapInArrow(run, ", ".join([*(f"{k} {kinds[k]}" for k in keys), "score double"]))
-    return out.select(*[F.col(k).alias(c) for c, k in zip(keep, keys, strict=True)], "score")
+    out = narrow.mapInArrow(run, ", ".join([*(f"{k} {kinds[k]}" for k in keys), "x double"]))
+    return out.select(*[F.col(k).alias(c) for c, k in zip(keep, keys, strict=True)], F.col("x").alias(name))
+
+
+def _scored(docs: DataFrame, model: dict, keep: tuple[str, ...], name: str) -> DataFrame:
+    if "line" not in model:
+        return docs.select(*keep, F.lit(float(model["prior"])).alias(name))
+    a, b = model["line"]
+    found = differences(docs, model, keep, name)
+    return found.withColumn(name, 1 / (1 + F.exp(-F.least(F.lit(30.0), F.greatest(F.lit(-30.0), a + b * F.col(name))))))
+
+
+def scores(docs: DataFrame, model: dict, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns ``keep`` of ``docs`` and a score in 0..1 (higher: label 1 likelier) for every row, whatever its text.
+
+    Whole texts are scored, when this is called; the result is a table.  Null and
+    empty texts get the calibration's value for a difference of 0.  Repeated rows
+    get equal scores.  If ``keep`` has a column ``score``, the new one takes an
+    underscore more.
+    """
+    with small_batches(docs.sparkSession):
+        return spool(_scored(docs, model, keep, fresh(docs.select(*keep), "score")), "scores")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` whose score reaches ``threshold``, with all their columns."""
-    model = fit(*training_rows(docs, labels))
-    cols = docs.columns
-    return scores(docs, model, keep=tuple(cols)).where(F.col("score") >= threshold).select(*cols)
+    """The rows of ``docs`` whose score reaches ``threshold``, with all their columns, as a table."""
+    model, name = learn(docs, labels), fresh(docs, "score")
+    with small_batches(docs.sparkSession):
+        return spool(_scored(docs, model, tuple(docs.columns), name).where(F.col(name) >= threshold).select(*docs.columns), "good")
