@@ -21,9 +21,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the boilerplate lines of their source; n_chars follows the text."""
-    cut = line_frequency.drop_boilerplate(docs)
-    return cut.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    """All documents, without the boilerplate lines of their source; n_chars follows the text.
+
+    A document of boilerplate alone keeps its text: such documents are copies, and the next stage leaves one of them.
+    """
+    cut = line_frequency.drop_boilerplate(docs.withColumn("_whole", F.col("text")))
+    cut = cut.withColumn("text", F.when(F.col("all_dropped"), F.col("_whole")).otherwise(F.col("text")))
+    less = (F.col("n_dropped") > 0) & ~F.col("all_dropped")
+    return cut.withColumn("n_chars", F.when(less, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +40,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that aren't contaminated: those with benchmark windows over at least a twentieth of their words go."""
     rows = spool(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")  # ids may be null or repeat
     bad = decontaminate.verdicts(rows, read(spark, sf_dir, "benchmark"), doc_id="_row").where("contaminated").select(F.col("doc_id").alias("_row"))
-    return rows.join(spool(bad, "contaminated"), "_row", "left_anti").select(*docs.columns)
+    return rows.join(bad, "_row", "left_anti").select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
