@@ -66,7 +66,7 @@ def in_fold(doc_id: str, folds: int, fold: int) -> Column:
 
 
 def spread(text: Column, pieces: int, size: int) -> Column:
-    """The whole text as one piece if it has at most pieces * size characters, else so many pieces of that size, the first at its start, the last at its end."""
+    """The whole text as one piece if it has at most pieces * size characters, else so many pieces of that size, the first at its start, the last at its end; null for null."""
     step = (F.length(text) - size) / (pieces - 1)
     some = F.transform(F.sequence(F.lit(0), F.lit(pieces - 1)), lambda i: F.substr(text, F.floor(i * step).cast("int") + 1, F.lit(size)))
-    return F.when(F.length(text) <= pieces * size, F.array(text)).otherwise(some)
+    return F.when(F.length(text) <= pieces * size, F.array(text)).when(text.isNotNull(), some)

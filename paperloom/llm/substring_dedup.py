@@ -228,14 +228,12 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS, line_words: int = LINE_
     return out("doc_id", "kept_doc_id")
 
 
-def cut_out(text: str | None, spans: list[tuple[int, int]]) -> str | None:
-    """The text without the spans."""
-    out, upto = [], 0
-    for a, b in sorted(spans):
-        if a > upto:
-            out.append((text or "")[upto:a])
-        upto = max(upto, b)
-    return None if text is None else "".join(out) + text[upto:]
+def cut_out(text: str | None, spans: list[tuple[int, int]] | None) -> str | None:
+    """The text without the spans, none of which touches another; null stays null."""
+    if text is None or not spans:
+        return text
+    starts, ends = zip(*sorted(spans), strict=True)
+    return "".join(text[a:b] for a, b in zip((0, *ends), (*starts, len(text)), strict=True))
 
 
 def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, line_words: int = LINE_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -249,5 +247,5 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, line_words: int
     spans = found.groupBy(F.col("rank").alias(of)).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias(removed))
     joined = rows.join(spans, F.col(rank) == F.col(of), "left")
     cut = F.udf(cut_out, "string", useArrow=True)
-    joined = joined.withColumn(text, F.when(F.col(removed).isNotNull(), cut(F.col(text), F.col(removed))).otherwise(F.col(text)))
+    joined = joined.withColumn(text, cut(F.col(text), F.col(removed)))
     return joined.withColumn(removed, F.coalesce(F.col(removed), F.array())).select(*docs.columns, removed)

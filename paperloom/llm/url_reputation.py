@@ -111,6 +111,6 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str]
     return judged.select("page_id", "host", "path", fitting_rule(host, path, rules, 0).alias("rule"), F.coalesce(fitting_rule(host, path, rules, 1), own).alias("verdict"), F.col("n").alias("n_labelled"), F.round("bound", 6).alias("bad_bound"))
 
 
-def outcomes_of(labels: DataFrame) -> DataFrame:
-    """Labels as page outcomes: the page of a document has the document's id; low quality or toxic is bad."""
-    return labels.select(F.col("doc_id").alias("page_id"), F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).when(F.col("quality").isNotNull(), 0).alias("bad"))
+def outcomes_of(labels: DataFrame, page_id: str = "doc_id") -> DataFrame:
+    """Labels as page outcomes: ``page_id`` names the column that says which page a label is of; low quality or toxic is bad."""
+    return labels.select(F.col(page_id).alias("page_id"), F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).when(F.col("quality").isNotNull(), 0).alias("bad"))

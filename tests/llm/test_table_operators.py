@@ -139,7 +139,7 @@ def test_neighbours_have_recall_and_order(spark):
     odd = [(5000, None, 0), (5020, [0.0] * 24, 0), (5040, [float("nan")] + [1.0] * 23, 0), (5060, [None] + [1.0] * 23, 0), (5080, [1.0, 2.0], 0), (5001, [3.0, 4.0], 0), (5100, [], 0), (5120, [float("inf")] * 24, 0), (None, [1.0] * 24, 0)]
     table = spark.createDataFrame([(i, v, k, "x", 1) for i, v, k in rows + odd], "vec_id long, embedding array<float>, label int, part string, query_id long")
     got = {}
-    for r in ann.nearest(table, F.col("vec_id") % 20 == 0, 20, block=600, query_block=40).collect():
+    for r in ann.nearest(table, F.col("vec_id") % 20 == 0, 20, block=600).collect():
         got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
     assert set(got) == {*range(0, 1500, 20), 5080}
     assert sorted(got.pop(5080)) == [(1, 5001, 11.0)]
@@ -172,20 +172,71 @@ def test_neighbours_on_the_test_table(spark):
     assert hits >= 0.9 * 20 * (ids % 20 == 0).sum()
 
 
+def test_neighbours_of_repeated_ids_and_of_vectors_of_any_size(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((400, 8))
+    # Every third id stands for several rows; a query is a row, its candidates all others.
+    ids = [i // 3 * 3 if i < 90 else i for i in range(400)]
+    for factor in (1.0, 1e200, 1e-200, 1e-160):
+        y = x * factor
+        table = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, y, strict=True)], "vec_id long, embedding array<double>")
+        got = [tuple(r) for r in ann.nearest(table, F.col("vec_id") % 20 == 0, 10, block=150, confidence=0.999999).collect()]
+        with np.errstate(over="ignore", invalid="ignore"):
+            want = []
+            for row in np.flatnonzero(np.array(ids) % 20 == 0):
+                s = (y * y[row]).sum(1)
+                rest = [i for i in range(400) if i != row]
+                best = sorted(rest, key=lambda i: (-s[i] if not np.isnan(s[i]) else np.inf, ids[i]))[:10]
+                want += [(ids[row], k + 1, ids[i], s[i]) for k, i in enumerate(best)]
+        assert len(got) == len(want) and sorted({r[:2] for r in got}) == sorted({r[:2] for r in want})
+        hits = len({(q, v) for q, _, v, _ in got} & {(q, v) for q, _, v, _ in want}) / len({(q, v) for q, _, v, _ in want})
+        assert hits >= (0.98 if factor == 1.0 else 0.9 if factor == 1e-160 else 0), (factor, hits)
+        assert all(sorted(k for q, k, _, _ in got if q == i) == sorted(k for q, k, _, _ in want if q == i) for i in set(ids))
+
+
+def test_neighbours_of_mixed_lengths(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((600, 12)) * np.exp2(rng.integers(-30, 30, (600, 1)))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.nearest(table, F.col("vec_id") % 20 == 0, 5).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hits = sum(len(got[q] & set([i for i in np.argsort(-(x @ x[q]), kind="stable") if i != q][:5])) for q in range(0, 600, 20))
+    assert hits >= 0.9 * 5 * 30
+
+
+def test_structured_vectors_verify_few():
+    import numpy as np
+
+    rng = np.random.default_rng(9)
+    sizes = []
+    for n in (2000, 16000):
+        centres = rng.standard_normal((n // 50, 32))
+        x = np.repeat(centres, 50, 0) + 0.02 * rng.standard_normal((n, 32))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        index = ann.Index(np.arange(n), np.arange(n), x, 20)
+        sizes.append(sum(len(band.candidates(x[i], 20)) for i in range(0, n, n // 20) for _, _, band in index.bands) / 20 / n)
+    assert sizes[1] < 0.5 * sizes[0]  # a smaller share of more vectors
+
+
 # --- the pipeline
 
 
 def test_pipeline_is_its_stages_by_hand(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     labels, items = spark.read.parquet(f"{SF}/labels.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
-    model = zstd_quality.fit(*zstd_quality.training_rows(docs, labels))
-    pair = zstd_quality.Compressors(model["good"], model["bad"]) if "weights" in model else None
+    model = zstd_quality.learn(docs, labels)
     rows = sorted(docs.collect())
-    kept = [r for r, s in zip(rows, zstd_quality.score_all([r["text"] for r in rows], model, pair), strict=True) if s >= 0.7]
 
-    from tests.llm.test_text_operators import brute_classes, brute_decontaminate, brute_lines
+    from tests.llm.test_text_operators import brute_classes, brute_decontaminate, brute_lines, brute_quality
 
-    text = {d: t for d, t, _ in brute_lines([tuple(r) for r in kept])}
+    kept = [r for r, s in zip(rows, brute_quality([r["text"] for r in rows], model), strict=True) if s >= 0.7]
+    whole = {r["doc_id"]: r["text"] for r in kept}
+    text = {d: whole[d] if gone else t for d, t, _, gone in brute_lines([tuple(r) for r in kept])}
     classes = brute_classes([(r["doc_id"], text[r["doc_id"]]) for r in kept], 5, 80)
     kept = [r for r in kept if classes[r["doc_id"]][1] == r["doc_id"]]
     bench = [tuple(r) for r in items.select("item_id", "text").collect()]
@@ -198,6 +249,19 @@ def test_pipeline_is_its_stages_by_hand(spark):
         assert stage(spark, docs, SF).columns == docs.columns
 
 
+def test_pipeline_stages_take_empty_tables_null_and_repeated_ids(spark, tmp_path):
+    words = [" ".join(f"w{i}x{j}" for j in range(60)) for i in range(6)]
+    rows = [(None, words[0], "en", "s", 1), (None, words[1], "en", "s", 1), (1, words[2], "en", None, 1), (1, words[3], None, "s", 1), (2, None, "en", "s", 0), (3, "", "en", "s", 0), (4, words[2] + " more", "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for name, table, schema in (("labels", [(1, 1, 0)], "doc_id long, quality int, toxic int"), ("benchmark", [(1, words[1])], "item_id long, text string")):
+        spark.createDataFrame(table, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        none = stage(spark, docs.where("false"), str(tmp_path))
+        assert none.count() == 0
+        got = stage(spark, docs, str(tmp_path))
+        assert got.columns == none.columns and got.count() >= {"quality": 7, "lines": 7, "near_copies": 5, "benchmark": 6, "mix": 7}[name]
+
+
 def test_benchmark_stage_judges_row_by_row(spark, tmp_path):
     item = " ".join(f"word{i}" for i in range(20))
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
@@ -219,5 +283,6 @@ def test_queries_equal_their_sql(spark, name):
     got = queries.queries()[name](spark, SF)
     cols = sorted(got.columns)
     clean = lambda rows: sorted(tuple("" if v is None else str(v) for v in r) for r in rows)
-    want = con.execute(f"SELECT {', '.join(cols)} FROM ({queries.oracle_sql()[name]})").fetchall()
+    names = ", ".join(f'"{c}"' for c in cols)
+    want = con.execute(f"SELECT {names} FROM ({queries.oracle_sql()[name]})").fetchall()
     assert clean(got.select(*cols).collect()) == clean(want)

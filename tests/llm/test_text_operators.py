@@ -79,7 +79,7 @@ def test_decontaminate_empty_tables(spark):
 # --- line frequency
 
 
-def brute_lines(rows, ratio=0.1, least=10):
+def brute_lines(rows, ratio=0.1, least=2):
     bare = lambda x: x.strip(" \t\r")
     pages, freq = {}, {}
     for _, text, _, src, _ in rows:
@@ -90,12 +90,12 @@ def brute_lines(rows, ratio=0.1, least=10):
     out = []
     for d, text, _, src, _ in rows:
         if text is None or src is None:
-            out.append((d, text, 0))
+            out.append((d, text, 0, False))
             continue
         lines = text.split("\n")
         kept = [x for x in lines if not (bare(x) and freq[src, bare(x)] >= least and freq[src, bare(x)] > ratio * pages[src])]
-        less = len(kept) < len(lines) and any(map(bare, kept))
-        out.append((d, "\n".join(kept) if less else text, len(lines) - len(kept) if less else 0))
+        less = len(kept) < len(lines)
+        out.append((d, "\n".join(kept), len(lines) - len(kept), less and not any(map(bare, kept))))
     return sorted(out, key=str)
 
 
@@ -108,10 +108,14 @@ def test_line_frequency_is_brute_force(spark, limit):
         if i % 3 == 0:
             own.insert(rng.randrange(3), rng.choice(["  All rights reserved. ", "All rights reserved.", "Ünï line\r"]))
         rows.append((i, "\n".join(own), "en", "hot" if i % 2 else f"s{i % 5}", 1))
+    rows += [(300 + i, f"Footer\n{prose(rng, 4)}", "en", "small", 1) for i in range(9)] + [(320, "lone\npage", "en", "lonely", 1)]
     rows += [(900, None, "en", "hot", 0), (901, "", "en", "hot", 0), (902, "All rights reserved.", "en", "hot", 0), (903, "All rights reserved.\nx", "en", None, 0), (904, "\n\n", "en", "hot", 0), rows[1]]
     got = line_frequency.drop_boilerplate(docs(spark, rows), broadcast_bytes=limit)
     assert got.columns[:11] == docs(spark, rows).columns
-    assert sorted(((r["doc_id"], r["text"], r["n_dropped"]) for r in got.collect()), key=str) == brute_lines(rows)
+    found = sorted(((r["doc_id"], r["text"], r["n_dropped"], r["all_dropped"]) for r in got.collect()), key=str)
+    assert found == brute_lines(rows)
+    assert {x[2] for x in found if x[0] is not None and 300 <= x[0] < 309} == {1} and (320, "lone\npage", 0, False) in found
+    assert [x[3] for x in found if x[0] == 902] == [True]
     assert line_frequency.drop_boilerplate(docs(spark, rows).where("false")).count() == 0
 
 
@@ -161,6 +165,39 @@ def test_jaccard_join_is_brute_force(spark, percent, doubled):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
 
 
+@pytest.mark.parametrize(("cell", "depth"), [(8, 0), (8, 1), (4, 2)])
+def test_jaccard_join_of_crowded_entries_is_brute_force(spark, cell, depth):
+    rng = random.Random(cell + depth)
+    common = prose(rng, 300).split()  # every text has much of it, so that entries are crowded with texts that don't link
+    texts = []
+    for _ in range(24):
+        base = common + prose(rng, rng.choice([40, 110, 130, 150])).split()
+        texts.append(" ".join(base))
+        for _ in range(rng.randrange(0, 3)):
+            w = list(base)
+            for _ in range(rng.randrange(1, 12)):
+                w[rng.randrange(len(w))] = prose(rng, 1)
+            texts.append(" ".join(w))
+    rng.shuffle(texts)
+    got = jaccard_join.classes(docs(spark, plain(texts)), 4, 85, cell=cell, depth=depth).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_classes(enumerate(texts), 4, 85)
+
+
+def test_another_cut_keeps_every_link():
+    rng = random.Random(3)
+    base = prose(rng, 200).split()
+    for cut in (0, 1, 2):
+        ix = jaccard_join.Index(4, 85, 1e4, None, cut)
+        for _ in range(30):
+            w = list(base)
+            for _ in range(rng.randrange(0, 4)):
+                w[rng.randrange(len(w))] = prose(rng, 1)
+            x, y = ix.shingles(" ".join(base)), ix.shingles(" ".join(w))
+            same = len(set(x.tolist()) & set(y.tolist()))
+            if len(x) != same and 100 * same >= 85 * (len(x) + len(y) - same):
+                assert set(ix.entries(x).tolist()) & set(ix.entries(y).tolist())
+
+
 def test_jaccard_join_odd_rows(spark):
     rows = plain(["a b c d e f", "a b c d e f"]) + [(0, "a b c d e f", "en", "s", 1), (None, "a b c d e f", "en", "s", 1)]
     got = sorted(((r["doc_id"], r["component_id"]) for r in jaccard_join.classes(docs(spark, rows)).collect()), key=str)
@@ -191,51 +228,99 @@ def test_allocation_doubles_when_chance_matches_are_likely():
 # --- substring dedup
 
 
+def brute_removed(rows, n=50, line=20):
+    """(doc_id, start, end, words, kept doc_id) of every run to remove, by comparing units as tuples of words."""
+    import xxhash
+
+    signed = lambda t: (xxhash.xxh64_intdigest(t.encode(), 42) + (1 << 63)) % (1 << 64) - (1 << 63) if t is not None else 42
+    rows = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, signed(r[1])))
+    first, units = {}, []
+    for rank, (_, text) in enumerate(rows):
+        spots = [(m.start(), m.end()) for m in re.finditer(r"[^ \t\n\r\x0b\x0c]+", text or "")]
+        w = [text[a:b].translate({i: i + 32 for i in range(65, 91)}) for a, b in spots]
+        mine = [("passage", k, n, tuple(w[k : k + n])) for k in range(len(w) - n + 1)]
+        at = 0
+        for x in (text or "").split("\n"):
+            size = len(re.findall(r"[^ \t\n\r\x0b\x0c]+", x))
+            if size >= line:
+                mine.append(("line", at, size, tuple(w[at : at + size])))
+            at += size
+        units.append((spots, mine))
+        for kind, k, _, key in mine:
+            first.setdefault((kind, key), (rank, k))
+            first[kind, key] = min(first[kind, key], (rank, k))
+    out = []
+    for rank, (spots, mine) in enumerate(units):
+        gone = []
+        for kind, k, size, key in mine:
+            kept, at = first[kind, key]
+            if kept < rank or at + (n if kind == "passage" else 1) <= k:
+                gone.append((k, kept, k + size))
+        runs = []
+        for k, kept, stop in sorted(gone):
+            if runs and k <= runs[-1][2]:
+                runs[-1][2] = max(runs[-1][2], stop)
+            else:
+                runs.append([k, kept, stop])
+        out += [(rows[rank][0], spots[k][0], spots[stop - 1][1], stop - k, rows[kept][0]) for k, kept, stop in runs]
+    return sorted(out, key=str)
+
+
+def removed(spark, rows, *args):
+    found = substring_dedup.repeats(docs(spark, [(d, t, "en", "s", 1) for d, t in rows]), *args).collect()
+    return sorted(((r["doc_id"], r["start"], r["end"], r["n_words"], r["kept_doc_id"]) for r in found), key=str)
+
+
 def test_substring_dedup_finds_passages_inside_lines(spark):
     rng = random.Random(5)
     passages = [prose(rng, n) for n in (51, 60, 90, 200)]
-    short = prose(rng, 30)
-    texts, want = [], {}
+    short, line = prose(rng, 19), prose(rng, 25)
+    texts = []
     for i in range(120):
         kind = i % 6
         head, tail = prose(rng, rng.randrange(0, 80)), prose(rng, rng.randrange(1, 80))
         if kind < 4:
             p = passages[kind] if i % 12 < 6 else passages[kind].upper().replace(" ", "  ")
             text = f"{head} é{i} {p} {i}é {tail}" if i % 5 else f"{head} é{i}\n{p}\n{i}é {tail}"
-            if i >= 6:
-                want[i] = (text.index(p), text.index(p) + len(p), len(p.split()))
         else:
-            text = f"{head} {short if kind == 4 else ''} {tail}"
+            text = f"{head}\n{short if kind == 4 else line}\n{tail}"
         texts.append(text)
-    texts += [None, "", "   "]
-    got = {r["doc_id"]: (r["start"], r["end"], r["n_words"]) for r in substring_dedup.repeats(docs(spark, plain(texts))).collect()}
-    assert got == want
+    texts += [None, "", "   ", "\n \n"]
+    rows = list(enumerate(texts))
+    got = removed(spark, rows)
+    assert got == brute_removed(rows)
+    for i in range(6, 120):
+        words = sum(x[3] for x in got if x[0] == i)
+        assert words == (51, 60, 90, 200, 0, 25)[i % 6]
     cut = {r["doc_id"]: r["text"] for r in substring_dedup.remove_repeats(docs(spark, plain(texts))).collect()}
-    assert cut == {i: substring_dedup.cut_out(t, [want[i][:2]]) if i in want else t for i, t in enumerate(texts)}
+    assert cut == {i: substring_dedup.cut_out(t, [x[1:3] for x in got if x[0] == i]) for i, t in enumerate(texts)}
 
 
-def test_substring_dedup_copies_loops_and_nothing(spark):
-    rng = random.Random(6)
-    whole = prose(rng, 120)
-    rows = plain([whole, whole, "loop it " * 200, whole + " more"]) + [(1, whole, "en", "s", 1), (None, whole, "en", "s", 1)]
-    got = sorted((r["doc_id"], r["start"], r["end"], r["kept_doc_id"]) for r in substring_dedup.repeats(docs(spark, rows)).distinct().collect())
-    assert got == [(1, 0, len(whole), 0), (3, 0, len(whole), 0)]
-    assert substring_dedup.repeats(docs(spark, rows).where("false")).count() == 0
-
-
-def brute_covered(texts, n):
-    """Per text, the places of words that lie in a window of n words which an earlier text has."""
-    seen, out = set(), {}
-    for i, t in enumerate(texts):
-        w = tuple((t or "").lower().split())
-        own = [w[k : k + n] for k in range(len(w) - n + 1)]
-        out[i] = {k + j for k, x in enumerate(own) if x in seen for j in range(n)}
-        seen |= set(own)
-    return out
+def test_substring_dedup_repeats_within_a_document(spark):
+    rng = random.Random(14)
+    once, line = prose(rng, 80), prose(rng, 30)
+    text = f"{once}\n{prose(rng, 7)} {once} {prose(rng, 5)}\n{line}\n{prose(rng, 9)}\n{line}"
+    rows = [(0, text), (1, "loop it " * 200), (2, "la " * 99), (3, "la " * 101)]
+    got = removed(spark, rows)
+    assert got == brute_removed(rows)
+    assert [(x[3], x[4]) for x in got if x[0] == 0] == [(80, 0), (30, 0)] or [(x[3], x[4]) for x in got if x[0] == 0] == [(30, 0), (80, 0)]
 
 
-@pytest.mark.parametrize("least", [50, 7])
-def test_substring_dedup_is_brute_force_behind_edited_copies(spark, least):
+def test_substring_dedup_copies_repeated_and_null_ids(spark):
+    rng = random.Random(6)
+    whole, other = prose(rng, 120), prose(rng, 90)
+    rows = [(0, f"{whole} start"), (1, whole), (1, whole), (1, f"{other} {whole}"), (2, other), (None, whole), (None, f"{other} end"), (None, None), (3, f"x {prose(rng, 30)}"), (4, f"{whole} start")]
+    assert removed(spark, rows) == brute_removed(rows)
+    table = docs(spark, [(d, t, "en", "s", 1) for d, t in rows])
+    left = substring_dedup.remove_repeats(table)
+    assert left.columns == [*table.columns, "removed"] and left.count() == len(rows)
+    assert substring_dedup.repeats(table.where("false")).count() == 0
+    plain_rows = [(i, t) for i, (_, t) in enumerate(rows)]
+    assert removed(spark, plain_rows) == brute_removed(plain_rows)
+
+
+@pytest.mark.parametrize(("least", "line"), [(50, 20), (7, 3)])
+def test_substring_dedup_is_brute_force_behind_edited_copies(spark, least, line):
     rng = random.Random(least)
     texts = []
     for every in (30, 40, 50, 60, 90):
@@ -243,26 +328,10 @@ def test_substring_dedup_is_brute_force_behind_edited_copies(spark, least):
         edited = [f"new{k}" if k % every == every // 2 else x for k, x in enumerate(base)]
         middle = f"{prose(rng, 9)} {' '.join(base[190:215])} {prose(rng, 9)}"
         texts += [" ".join(edited), middle, " ".join(base), f"é {prose(rng, 20)}\n{' '.join(base)} end", " ".join(base[:100] + base[200:300])]
-    texts += ["la " * 130 + "x", "la " * 90, "a b c " * 40, "z b c a " + "b c a " * 30]
-    rows = substring_dedup.repeats(docs(spark, plain(texts)), least).collect()
-    got = {i: set() for i in range(len(texts))}
-    for r in rows:
-        t = texts[r["doc_id"]]
-        span = t[r["start"] : r["end"]].split()
-        assert len(span) == r["n_words"] >= least and r["kept_doc_id"] < r["doc_id"]
-        assert f" {' '.join(span)} " in f" {' '.join(texts[r['kept_doc_id']].split())} "
-        k = len(t[: r["start"]].split())
-        got[r["doc_id"]] |= set(range(k, k + r["n_words"]))
-    assert got == brute_covered(texts, least)
-
-
-def test_substring_dedup_covers_passages_whose_parts_were_seen_elsewhere(spark):
-    rng = random.Random(13)
-    base = prose(rng, 400).split()
-    part = lambda a, b: f"{prose(rng, 9)} {' '.join(base[a:b])} {prose(rng, 9)}"
-    texts = [part(0, 150), part(250, 400), " ".join(base), f"{prose(rng, 30)} {' '.join(base)}"]
-    cut = {r["doc_id"]: r["text"].split() for r in substring_dedup.remove_repeats(docs(spark, plain(texts))).collect()}
-    assert cut == {0: texts[0].split(), 1: texts[1].split(), 2: base[150:250], 3: texts[3].split()[:30]}
+    texts += ["la " * 130 + "x", "la " * 90, "a b c " * 40, "z b c a " + "b c a " * 30, prose(rng, 20000)]
+    texts.append("before " + texts[-1] + " after")
+    rows = list(enumerate(texts))
+    assert removed(spark, rows, least, line) == brute_removed(rows, least, line)
 
 
 # --- language and quality
@@ -289,13 +358,74 @@ def test_language_id_on_held_out_texts(spark):
     assert {r["lang_pred"] for r in langid.classify(table, langid.fit([])).collect()} == {"und"}
 
 
+def brute_grams(text):
+    """The slots of the text's byte 1- to 4-grams, by the hash that folds the longer ones."""
+    raw = text.encode().translate(langid.TO_LETTERS)
+    out = set()
+    for n in (1, 2, 3, 4):
+        for i in range(len(raw) - n + 1):
+            v = int.from_bytes(raw[i : i + n], "big")
+            out.add({1: v, 2: 256 + v, 3: 65792 + (v * 2654435761 % (1 << 32) >> 16), 4: 131328 + (v * 2246822519 % (1 << 32) >> 16)}[n])
+    return out
+
+
+def test_language_kernel_nystrom_and_ridge_are_brute_force():
+    import numpy as np
+
+    rng = random.Random(17)
+    rows = [(speech(rng, x, rng.randrange(3, 40)), x) for x in ["aa", "bb", "cc"] for _ in range(8)]
+    model = langid.unpacked(langid.fit(rows, landmarks=6))
+    by = {y: [t for t, k in rows if k == y] for y in ("aa", "bb", "cc")}
+    marks = [brute_grams(t) for y in by for t in by[y][::4][:2]]  # every fourth of eight: two landmarks a language
+    kernel = lambda a, b: len(a & b) / (len(a) * len(b)) ** 0.5
+    slots = set().union(*marks)
+    k = lambda t: [len(brute_grams(t) & slots & m) / (len(brute_grams(t)) * len(m)) ** 0.5 for m in marks]
+    own = np.array([[kernel(a, b) for b in marks] for a in marks])
+    values, vectors = np.linalg.eigh(own)
+    root = vectors / np.sqrt(values)
+    phi = np.hstack([np.array([k(t) for t, _ in rows]) @ root, np.ones((len(rows), 1))])
+    y = np.array([[1.0 if lang == x else -1.0 for x in ("aa", "bb", "cc")] for _, lang in rows])
+    weight = np.full(len(rows), 1 / 8)
+    w = np.linalg.solve(phi.T @ (weight[:, None] * phi) + 1e-3 * np.eye(phi.shape[1]), phi.T @ (weight[:, None] * y))
+    fresh_texts = [speech(rng, x, 12) for x in ("aa", "bb", "cc")] + ["123 ½", None]
+    out = np.hstack([np.array([k(t) for t in fresh_texts[:3]]) @ root, np.ones((3, 1))]) @ w
+    # Each text's outputs by a fit without it, and the sharpness they make likeliest.
+    loo = []
+    for i in range(len(rows)):
+        keep = np.arange(len(rows)) != i
+        v = np.linalg.solve(phi[keep].T @ (weight[keep, None] * phi[keep]) + 1e-3 * np.eye(phi.shape[1]), phi[keep].T @ (weight[keep, None] * y[keep]))
+        loo.append(phi[i] @ v)
+    likely = lambda s: sum(np.log(np.exp(s * o).sum()) - s * o[int(t.argmax())] for o, t in zip(loo, y, strict=True))
+    assert model["sharpness"] == min((2.0**e for e in np.arange(-1, 6.01, 0.25)), key=likely)
+    p = np.exp(model["sharpness"] * out)
+    p /= p.sum(1, keepdims=True)
+    got = langid.predict(fresh_texts, model)
+    assert [x for x, _ in got] == [("aa", "bb", "cc")[i] for i in out.argmax(1)] + ["und", "und"]
+    assert np.allclose([s for _, s in got[:3]], p.max(1), atol=1e-3)
+
+
+def test_long_texts_teach_from_start_to_end(spark):
+    from paperloom.llm.common import spread
+
+    long = "".join(chr(97 + i % 26) for i in range(100)) * 10
+    rows = spark.createDataFrame([(long,), ("short",), ("",), (None,)], "t string").select(spread(F.col("t"), 4, 50).alias("x")).collect()
+    assert [r["x"] for r in rows[1:]] == [["short"], [""], None]
+    assert rows[0]["x"] == [long[int(i * (1000 - 50) / 3) :][:50] for i in range(4)] and rows[0]["x"][-1] == long[-50:]
+
+
+def test_languages_beyond_the_bound_are_not_learnt(spark):
+    rows = [(i, f"text {i}", ("aa", "bb", "cc")[min(2, i // 80)] if i < 240 else f"x{i}", "s", 1) for i in range(300)]
+    assert {y for _, y in langid.training_rows(docs(spark, rows), per_lang=20, most_langs=2)} <= {"aa", "bb", "cc"}
+    assert len({y for _, y in langid.training_rows(docs(spark, rows), per_lang=20, most_langs=2)}) == 2
+
+
 def test_training_never_sees_the_held_out_fold(spark):
     rows = [(i, f"text {i}", "en", "s", 1) for i in range(200)]
     seen = {int(t.split()[1]) for t, _ in langid.training_rows(docs(spark, rows), per_lang=1000)}
     assert seen == {i for i in range(200) if zlib.crc32(str(i).encode()) % 3 != 1}
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(200)], "doc_id long, quality int, toxic int")
-    got, prior = zstd_quality.training_rows(docs(spark, rows), labels, per_class=1000)
-    assert {int(t.split()[1]) for t, _ in got} == {i for i in range(200) if zlib.crc32(str(i).encode()) % 4 != 2}
+    got, prior = zstd_quality.sample_of(docs(spark, rows), labels, per_class=1000)
+    assert {int(r["text"].split()[1]) for r in got.collect()} == {i for i in range(200) if zlib.crc32(str(i).encode()) % 4 != 2}
     assert abs(prior - 0.5) < 0.1
 
 
@@ -306,14 +436,60 @@ def test_quality_on_held_out_texts(spark):
     rows = [(i, good() if i % 4 else bad(), "en", "s", 1) for i in range(400)] + [(900, None, "en", "s", 0), (901, "", "en", "s", 0)]
     labels = spark.createDataFrame([(i, int(bool(i % 4)), 0) for i in range(400)] + [(5, None, 0), (6, 0, 0), (None, 1, 0), (7777, 1, 1)], "doc_id long, quality int, toxic int")
     table = docs(spark, rows)
-    got = {r["doc_id"]: r["score"] for r in zstd_quality.scores(table, zstd_quality.fit(*zstd_quality.training_rows(table, labels))).collect()}
+    got = {r["doc_id"]: r["score"] for r in zstd_quality.scores(table, zstd_quality.learn(table, labels)).collect()}
     held = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 == 2]
     assert sum((got[i] >= 0.7) == bool(i % 4) for i in held) >= 0.97 * len(held)
     assert all(0 <= s <= 1 for s in got.values()) and got[900] == got[901]
     kept = zstd_quality.keep_good(table, labels)
     assert kept.columns == table.columns and kept.count() < 330
     assert zstd_quality.keep_good(table.where("false"), labels.where("false")).count() == 0
-    assert {r["score"] for r in zstd_quality.scores(table, zstd_quality.fit([])).collect()} == {0.5}
+    assert {r["score"] for r in zstd_quality.scores(table, zstd_quality.learn(table, labels.where("false"))).collect()} == {0.5}
+    assert {r["score"] for r in zstd_quality.scores(table, zstd_quality.learn(table, labels.where("quality = 1"))).collect()} == {1.0}
+
+
+def brute_quality(texts, model):
+    """Scores by sizes of pieces compressed one by one."""
+    import math
+
+    import zstandard as z
+
+    out = []
+    for t in texts:
+        raw = (t or "").encode()
+        n = max(1, round(len(raw) / 512))
+        size = {}
+        for k in ("good", "bad"):
+            c = z.ZstdCompressor(level=3, dict_data=z.ZstdCompressionDict(model[k]), write_checksum=False, write_content_size=False, write_dict_id=False)
+            size[k] = sum(len(c.compress(raw[len(raw) * i // n : len(raw) * (i + 1) // n])) for i in range(n))
+        a, b = model["line"]
+        out.append(1 / (1 + math.exp(-(a + b * ((size["bad"] - size["good"]) / len(raw) if raw else 0)))))
+    return out
+
+
+def test_quality_sizes_and_calibration_are_brute_force(spark):
+    import numpy as np
+
+    rng = random.Random(18)
+    rows = [(i, prose(rng, rng.randrange(1, 90)) if i % 3 else "buy now !!! " * rng.randrange(1, 40) + prose(rng, 3), "en", "s", 1) for i in range(240)]
+    rows += [(900, None, "en", "s", 0), (901, "", "en", "s", 0), (902, prose(rng, 30000), "en", "s", 0)]
+    table = docs(spark, rows)
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(240)], "doc_id long, quality int, toxic int")
+    model = zstd_quality.learn(table, labels)
+    got = {r["doc_id"]: r["score"] for r in zstd_quality.scores(table, model).collect()}
+    assert np.allclose([got[r[0]] for r in rows], brute_quality([r[1] for r in rows], model), atol=1e-9)
+    x, y = [rng.gauss(i % 2, 1) for i in range(200)], [i % 2 for i in range(200)]
+    a, b = zstd_quality.calibrated(x, y, 0.5, ridge=1e-9)
+    p = 1 / (1 + np.exp(-(a + b * np.array(x))))
+    assert abs((p - y).sum()) < 1e-5 and abs(((p - y) * x).sum()) < 1e-5  # the likelihood's slope is zero
+    shifted = zstd_quality.calibrated(x, y, 0.9, ridge=1e-9)
+    assert abs(shifted[0] - a - np.log(9)) < 1e-9 and shifted[1] == b
+
+
+def test_quality_learns_from_a_text_of_each_class(spark):
+    rows = [(0, "all good words here " * 20, "en", "s", 1), (1, "bad!!! bad!!! " * 30, "en", "s", 1), (2, "all good words", "en", "s", 1)]
+    labels = spark.createDataFrame([(0, 1, 0), (1, 0, 0)], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r["score"] for r in zstd_quality.scores(docs(spark, rows), zstd_quality.learn(docs(spark, rows), labels, folds=10**9)).collect()}
+    assert got[0] > got[1]
 
 
 # --- secrets
@@ -353,3 +529,76 @@ def test_secrets_base_is_brute_force_and_random_tokens_are_found(spark):
     assert sum(planted[i] in found.get(i, "") for i in planted) >= 0.9 * len(planted)
     assert sum(i not in planted for i in found) <= 0.15 * len(found)
     assert secrets.scan(docs(spark, plain(texts)).where("false")).count() == 0
+
+
+def brute_thresholds(tokens, fdr):
+    """From (class, p) of each token: the least of the allowed limits at which what isn't uniform is few enough."""
+    out = {}
+    for key in {k for k, _ in tokens}:
+        ps = [p for k, p in tokens if k == key]
+        random_ = min(1.0, 2 * sum(p >= 0.5 for p in ps) / len(ps)) * len(ps)
+        for t in [i / 20 for i in range(11)]:
+            above = sum(p >= t for p in ps)
+            if above and max(0.0, above - random_ * (1 - t)) / above <= fdr:
+                out[key] = max(t, 0.01)
+                break
+    return out
+
+
+@pytest.mark.parametrize("fdr", [0.01, 0.1, 0.4])
+def test_secret_thresholds_are_brute_force(fdr):
+    import math
+    from collections import Counter
+
+    rng = random.Random(19)
+    tokens = [((e, c), (rng.randrange(1000) + 0.5) / 1000 if rng.random() < q else (rng.randrange(80) + 0.5) / 1000) for e, c, q in (("hex", 9, 1.0), ("hex", 10, 0.8), ("base62", 9, 0.3), ("base64", 11, 0.0)) for _ in range(300)]
+    bins = Counter((e, c, math.floor(p * 20)) for (e, c), p in tokens)
+    assert secrets.thresholds([(*k, n) for k, n in bins.items()], fdr) == brute_thresholds(tokens, fdr)
+    assert secrets.thresholds([], fdr) == {}
+
+
+def test_secrets_of_texts_with_very_many_matches(spark):
+    texts = ["token=abcdef0 " * n for n in (127, 128, 129, 256, 1000, 5000)] + ["é " + "0123456789abcdef01234567 " * 300, "x" * 300000 + "1", "AKIA" + "Q" * 200000]
+    got = secrets.scan(docs(spark, plain(texts))).select("doc_id", secrets.as_text(F.col("base")).alias("base")).collect()
+    assert {r["doc_id"]: r["base"] for r in got} == {i: ",".join(brute_secrets(t)) for i, t in enumerate(texts)}
+
+
+# --- all of them
+
+
+CLASHES = "score removed n_lines n_dropped all_dropped rank row span_rank found nth word start end kept at digest text_ host keys bp_host bp_keys line key entry component query_id part dim asks difference y half t k0 x s w upto block order_key base spans tokens n_words n_hit contaminated id place".split()
+
+
+def test_clashing_columns_and_session_settings(spark):
+    from paperloom.llm import ann, mixing, url_reputation
+
+    rng = random.Random(20)
+    same = prose(rng, 70)
+    rows = [(i, f"{prose(rng, 9)}\n{same if i % 3 == 0 else prose(rng, 60)}", "en", "s", 9, i) for i in range(30)]
+    bare = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, n int")
+    table = bare.select("*", *[F.concat(F.lit(f"{c} of "), F.col("doc_id")).alias(c) for c in CLASHES])
+    items, labels = spark.createDataFrame([(1, same)], "item_id long, text string"), spark.createDataFrame([(i, i % 2, 0) for i in range(30)], "doc_id long, quality int, toxic int")
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    all_of = lambda df: sorted(str(tuple(r)) for r in df.collect())
+    model = zstd_quality.learn(bare, labels)
+    for run in (
+        lambda t: decontaminate.verdicts(t, items),
+        lambda t: substring_dedup.repeats(t),
+        lambda t: jaccard_join.classes(t),
+        lambda t: langid.classify(t, langid.fit(langid.training_rows(t))),
+        lambda t: mixing.plan(t),
+        lambda t: zstd_quality.scores(t, model),
+        lambda t: secrets.scan(t),
+        lambda t: url_reputation.judge(t.withColumnsRenamed({"doc_id": "page_id", "text": "url"}), url_reputation.outcomes_of(labels)),
+        lambda t: ann.nearest(t.withColumnRenamed("doc_id", "vec_id").withColumn("embedding", F.array(F.col("n") + 1.0, F.lit(1.0))), F.col("vec_id") % 20 == 0),
+    ):
+        assert all_of(run(table)) == all_of(run(bare))
+        assert spark.conf.get(key) == before
+    for run in (lambda t: line_frequency.drop_boilerplate(t), lambda t: substring_dedup.remove_repeats(t), lambda t: jaccard_join.one_of_each(t), lambda t: zstd_quality.keep_good(t, labels, 0.1)):
+        got, want = run(table), run(bare)
+        assert got.columns[: len(table.columns)] == table.columns and len(set(got.columns)) == len(got.columns)
+        assert all_of(got.select(*bare.columns)) == all_of(want.select(*bare.columns))
+        assert all_of(got.select(*got.columns[len(table.columns) :])) == all_of(want.select(*want.columns[len(bare.columns) :]))
+        assert got.where(" and ".join(f"`{c}` = concat('{c} of ', doc_id)" for c in CLASHES)).count() == got.count()
+        assert spark.conf.get(key) == before
