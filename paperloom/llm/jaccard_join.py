@@ -19,10 +19,11 @@ against the chance matches that the number of documents makes likely.
 Sets that are equal are one class from the start.  The documents of an index
 entry are linked to its smallest one, not to each other, so a group of n near
 copies costs n verifications.  Where a verified star leaves an entry in several
-components, pairs between those are looked at as well; no link is lost.  An entry
-with many such documents is not compared pair by pair: its documents are indexed
-once more, with segments cut by another hash, and meet only where they share an
-entry of that index, too, which every link does.
+components, other stars follow, around documents drawn by a hash, and in the end
+pairs between the components that are left; no link is lost.  An entry with many
+documents outside its largest component is not compared pair by pair: its
+documents are indexed once more, with segments cut by another hash, and meet
+only where they share an entry of that index, too, which every link does.
 
 Every set has a parity sketch, one bit for each shingle or so, whose bits that
 differ are a lower bound of the symmetric difference.  Pairs are held against it
@@ -43,8 +44,10 @@ from .hashing import WordHasher
 
 SHINGLE, PERCENT = 4, 85
 BAND, SLACK, CHANCE = 4, 0.15, 0.05
-#: Documents of an index entry that one task compares with each other, or with as many others; and how often an entry with more is indexed anew.
+#: Documents of an index entry that one task compares with as many others; how often an entry with more outside its largest component is indexed anew.
 CELL, DEPTH = 1024, 2
+#: Open entries with more documents than BUSY get up to STARS further stars before pairs are looked at.
+STARS, BUSY = 4, 32
 
 
 def most_apart(a: int, b: int, percent: int) -> int:
@@ -224,19 +227,32 @@ def likely(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(check, "a long, b long")
 
 
+def standing(members: DataFrame) -> DataFrame:
+    """entry, most (its largest component, of equal ones the smallest), inside and outside (documents in it, and not), for members (entry, doc_id, c)."""
+    parts = members.groupBy("entry", "c").agg(F.count(F.lit(1)).alias("k"))
+    top = F.max(F.struct("k", (-F.col("c")).alias("c")))
+    return parts.groupBy("entry").agg(top.alias("top"), F.sum("k").alias("docs")).select("entry", (-F.col("top.c")).alias("most"), F.col("top.k").alias("inside"), (F.col("docs") - F.col("top.k")).alias("outside"))
+
+
 def likely_within(members: DataFrame, percent: int, cell: int = CELL) -> DataFrame:
     """Pairs (a, b) of documents of one entry, but of two components, whose sizes and sketches allow a link.
 
-    ``members`` has (entry, doc_id, n, sketch, c).  Pairs that fail aren't made:
-    a task compares bits of at most ``cell`` documents with those of as many
-    others; an entry with more is dealt to a grid of such cells.
+    ``members`` has (entry, doc_id, n, sketch, c).  Pairs that fail aren't made.
+    Documents outside the entry's largest component meet those inside and each
+    other, in cells of at most ``cell`` documents by as many; those inside don't
+    meet each other.
     """
-    # Only entries with more than a cell are counted in a table of its own, at most a row for every cell of documents.
-    crowded = spool(members.groupBy("entry").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") > cell).select("entry", F.ceil(F.col("docs") / cell).cast("int").alias("parts")), "crowded")
-    dealt = members.join(crowded, "entry", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("mine", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = dealt.select("entry", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "doc_id", "n", "c", "sketch")
-    # The join left the rows dealt by entry, which serves the grouping, too, but brings all cells of an entry into one task.
+    parts = lambda c: F.ceil(F.col(c) / cell).cast("int")
+    shape = spool(standing(members).select("entry", "most", parts("inside").alias("p"), parts("outside").alias("q")), "shape")
+    dealt = members.join(shape, "entry").withColumn("far", F.col("c") == F.col("most"))
+    dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("doc_id"), F.when(F.col("far"), F.col("p")).otherwise(F.col("q"))).cast("int"))
+    upto = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
+    spot = lambda i, j: F.struct(i.alias("i"), j.alias("j"))
+    inside = F.transform(upto("q"), lambda j: spot(F.col("mine"), j))
+    outside = F.concat(F.transform(upto("p"), lambda i: spot(i, F.col("mine"))), F.transform(upto("q"), lambda j: spot(F.col("p") + F.least(j, F.col("mine")), F.greatest(j, F.col("mine")))))
+    dealt = dealt.where("q > 0").withColumn("at", F.explode(F.when(F.col("far"), inside).otherwise(outside)))
+    dealt = dealt.select("entry", "at.i", "at.j", "far", "mine", "doc_id", "n", "c", "sketch")
+    # A join by entry may have left the rows dealt by entry, which serves the grouping, too, but brings all cells of an entry into one task.
     dealt = dealt.repartition(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), "entry", "i", "j")
 
     def run(key, t):
@@ -244,34 +260,54 @@ def likely_within(members: DataFrame, percent: int, cell: int = CELL) -> DataFra
         import pyarrow as pa
 
         ids, n, c, mine = (t.column(k).to_numpy() for k in ("doc_id", "n", "c", "mine"))
+        far = t.column("far").to_numpy(zero_copy_only=False)
         raw = t.column("sketch").to_pylist()
         size = min(map(len, raw))
         bits = np.stack([folded(x, size) for x in raw])
+        one_group = not far.any() and (mine == mine[0]).all()
         first, second = [], []
-        for k in range(len(ids)):
-            ok = (c != c[k]) & (percent * np.maximum(n, n[k]) <= 100 * np.minimum(n, n[k])) & (ids > ids[k])
-            if key[1].as_py() != key[2].as_py():  # cells off the diagonal: one from each part
-                ok &= mine != mine[k]
+        for k in np.flatnonzero(~far):
+            ok = (c != c[k]) & (percent * np.maximum(n, n[k]) <= 100 * np.minimum(n, n[k]))
+            ok &= far if far.any() else (ids > ids[k]) if one_group else (mine > mine[k])
             at = np.flatnonzero(ok)
             if len(at):
                 apart = np.bitwise_count(bits[at] ^ bits[k]).sum(1, dtype=np.int64)
                 at = at[apart <= (100 - percent) * (n[at] + n[k]) // (100 + percent)]
-                first.append(np.full(len(at), ids[k]))
-                second.append(ids[at])
+                first.append(np.minimum(ids[at], ids[k]))
+                second.append(np.maximum(ids[at], ids[k]))
         none = np.empty(0, np.int64)
         return pa.table({"a": np.concatenate([none, *first]), "b": np.concatenate([none, *second])})
 
     return dealt.groupBy("entry", "i", "j").applyInArrow(run, "a long, b long")
 
 
+def open_members(members: DataFrame, joined: DataFrame) -> DataFrame:
+    """entry, doc_id and component c of the members of entries in several components."""
+    labelled = spool(members.join(joined, members["doc_id"] == joined["node"], "left").select("entry", "doc_id", F.coalesce("component", "doc_id").alias("c")), "labelled")
+    entries = spool(labelled.groupBy("entry").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("entry"), "open-entries")
+    out = spool(labelled.join(entries, "entry"), "open")
+    discard(labelled)
+    return out
+
+
+def star_pairs(members: DataFrame, turn: int, busy: int = BUSY) -> DataFrame | None:
+    """Pairs (a, b) around one member of each entry of more than ``busy``, drawn by a hash that is the same in all entries; None if there is no such entry."""
+    drawn = F.min_by(F.struct("doc_id", "c"), F.xxhash64("doc_id", F.lit(turn)))
+    centres = spool(members.groupBy("entry").agg(F.count(F.lit(1)).alias("docs"), drawn.alias("m")).where(F.col("docs") > busy).select("entry", F.col("m.doc_id").alias("m"), F.col("m.c").alias("mc")), "centres")
+    if not centres.limit(1).count():
+        return None
+    pairs = members.join(centres, "entry").where("c <> mc")
+    return pairs.select(F.least("doc_id", "m").alias("a"), F.greatest("doc_id", "m").alias("b")).distinct()
+
+
 def cut_finer(members: DataFrame, narrow: DataFrame, shingle: int, percent: int, docs: float, doubled: int | None, cut: int, cell: int = CELL) -> DataFrame:
-    """``members`` (entry, doc_id, c) with entries of more than ``cell`` documents replaced by those of another universe partition.
+    """``members`` (entry, doc_id, c) with entries of more than ``cell`` documents outside their largest component replaced by those of another universe partition.
 
     A link in an entry shares a segment of the other partition, too, so it stays
     in one of the finer entries.  Finer entries of one component hold no link
     that is new, and go.
     """
-    crowded = spool(members.groupBy("entry").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") > cell).select("entry"), "crowded")
+    crowded = spool(standing(members).where(F.col("outside") > cell).select("entry"), "crowded")
     if not crowded.limit(1).count():
         return members
     many = spool(members.join(crowded, "entry"), "many")
@@ -326,7 +362,7 @@ def verified(pairs: DataFrame, narrow: DataFrame, shingle: int, percent: int) ->
     return both.select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
 
-def classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text", doubled: int | None = None, cell: int = CELL, depth: int = DEPTH) -> DataFrame:
+def classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text", doubled: int | None = None, cell: int = CELL, depth: int = DEPTH, turns: int = STARS, busy: int = BUSY) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest id reachable by links) for every row of ``docs``.
 
     Texts that are null or have no word have no set and link with nothing, not
@@ -354,11 +390,18 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, doc
         links = spool(verified(stars, narrow, shingle, percent), "links")
         joined = spool(connected_components(links), "joined")
 
-        # Entries that the star left in several components: pairs between those components.
-        labelled = spool(members.join(joined, members["doc_id"] == joined["node"], "left").select("entry", "doc_id", F.coalesce("component", "doc_id").alias("c")), "labelled")
-        open_entries = spool(labelled.groupBy("entry").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("entry"), "open-entries")
-        rest = spool(labelled.join(open_entries, "entry"), "open")
-        discard(shared, members, labelled)
+        # Entries that the star left in several components: more stars, then pairs between the components.
+        rest = open_members(members.select("entry", "doc_id"), joined)
+        discard(shared, members)
+        for turn in range(1, turns + 1):
+            pairs = star_pairs(rest, turn, busy)
+            if pairs is None:
+                break
+            tried = spool(likely(pairs.join(stars, ["a", "b"], "left_anti"), sets, percent), "stars")
+            links = spool(links.union(verified(tried, narrow, shingle, percent)), "links")
+            stars = stars.union(tried)
+            joined = spool(connected_components(links), "joined")
+            rest = open_members(rest.select("entry", "doc_id"), joined)
         if rest.limit(1).count():
             for cut in range(1, depth + 1):
                 rest = cut_finer(rest, narrow, shingle, percent, count, doubled, cut, cell)

@@ -165,8 +165,8 @@ def test_jaccard_join_is_brute_force(spark, percent, doubled):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
 
 
-@pytest.mark.parametrize(("cell", "depth"), [(8, 0), (8, 1), (4, 2)])
-def test_jaccard_join_of_crowded_entries_is_brute_force(spark, cell, depth):
+@pytest.mark.parametrize(("cell", "depth", "turns"), [(8, 0, 0), (8, 1, 0), (4, 2, 2)])
+def test_jaccard_join_of_crowded_entries_is_brute_force(spark, cell, depth, turns):
     rng = random.Random(cell + depth)
     common = prose(rng, 300).split()  # every text has much of it, so that entries are crowded with texts that don't link
     texts = []
@@ -179,7 +179,7 @@ def test_jaccard_join_of_crowded_entries_is_brute_force(spark, cell, depth):
                 w[rng.randrange(len(w))] = prose(rng, 1)
             texts.append(" ".join(w))
     rng.shuffle(texts)
-    got = jaccard_join.classes(docs(spark, plain(texts)), 4, 85, cell=cell, depth=depth).collect()
+    got = jaccard_join.classes(docs(spark, plain(texts)), 4, 85, cell=cell, depth=depth, turns=turns, busy=3).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_classes(enumerate(texts), 4, 85)
 
 
