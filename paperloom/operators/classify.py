@@ -14,11 +14,11 @@ from paperloom.schema import FORMAL_EVENTS, strings, text_of
 
 # Phrases in titles that name a study design.
 TITLE_DESIGNS = {
-    "randomized_controlled_trial": r"\b(?:randomi[sz]ed\s+(?:controlled|clinical)\s+trial|(?:cluster[- ]|pragmatic\s+)randomi[sz]ed(?:\s+controlled)?\s+trial)\b",
+    "randomized_controlled_trial": r"\b(?:randomi[sz]ed\s+(?:controlled|clinical)\s+trial|cluster[- ]randomi[sz]ed(?:\s+controlled)?\s+trial|pragmatic\s+randomi[sz]ed(?:\s+controlled)?\s+trial)\b",
     "systematic_review": r"\bsystematic\s+review\b",
     "meta_analysis": r"\bmeta[- ]analys(?:is|es)\b",
     "scoping_review": r"\bscoping\s+review\b",
-    "cohort_study": r"\bcohort\s+stud(?:y|ies)\b",
+    "cohort_study": r"\b(?:prospective\s+|retrospective\s+)?cohort\s+stud(?:y|ies)\b",
     "case_control_study": r"\bcase[- ]control(?:led)?\s+stud(?:y|ies)\b",
     "cross_sectional_study": r"\bcross[- ]sectional\s+stud(?:y|ies)\b",
     "case_report": r"\bcase\s+(?:report|series)\b",

@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from paperloom.functions import normalize as N
 from paperloom.functions import text as T
-from paperloom.functions.ids import stable_id
+from paperloom.functions.ids import event_id, stable_id
 from paperloom.operators import access, classify, coverage, facets, graph, queue, rank, resolve, rules, score, state
 from paperloom.operators import events as E
+from paperloom.schema import IDENTIFIERS
 from paperloom.session import table
 from paperloom.sources import payloads
 
@@ -317,10 +318,10 @@ def work_ids(spark, d):
     return rows.select("paper_id", N.work_id().alias("work_id"), joined(N.discovery_urls()).alias("links"))
 
 
-@query("SELECT doc_id, array_to_string(list_sort(list_distinct(w)), ' ') AS words FROM (SELECT doc_id, list_filter(string_split(regexp_replace(lower(text[:200]), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '')[:12] AS w FROM documents)")
+@query("SELECT doc_id, array_to_string(list_sort(list_distinct(w)), ' ') AS words FROM (SELECT doc_id, list_filter(string_split(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '') AS w FROM documents)")
 def inverted_abstract(spark, d):
     # Words to their place in the alphabet, and back again as text by place.
-    words = F.slice(F.filter(F.split(F.regexp_replace(F.lower(F.substring("text", 1, 200)), "[^a-z0-9]+", " "), " "), lambda x: x != ""), 1, 12)
+    words = F.filter(F.split(F.regexp_replace(F.lower("text"), "[^a-z0-9]+", " "), " "), lambda x: x != "")
     rows = docs(spark, d, "doc_id", "text").select("doc_id", F.array_sort(F.array_distinct(words)).alias("w"))
     index = F.map_from_entries(F.transform("w", lambda x, i: F.struct(x, F.array(i))))
     return rows.select("doc_id", N.inverted_abstract(index).alias("words"))
@@ -363,12 +364,12 @@ def dedup_exact(spark, d):
 
 
 def _components(spark, d) -> DataFrame:
-    rows = docs(spark, d, "doc_id", "lang", "text").select("doc_id", F.explode(F.array(F.concat(F.lit("h"), F.sha2("text", 256)), F.concat(F.lit("p"), F.col("lang"), F.substring(T.label(F.col("text")), 1, 40)))).alias("k"))
+    rows = docs(spark, d, "doc_id", "lang", "text").select("doc_id", F.explode(F.array(F.concat(F.lit("h"), F.sha2("text", 256)), F.concat(F.lit("p"), F.col("lang"), T.label(F.col("text"))))).alias("k"))
     edges = rows.join(rows.groupBy("k").agg(F.min("doc_id").alias("a")), "k").select("a", F.col("doc_id").alias("b"))
     return graph.components(docs(spark, d, F.col("doc_id").alias("id")), edges).withColumnRenamed("id", "doc_id")
 
 
-_RECURSIVE = """k AS (SELECT doc_id, 'h' || text AS k FROM documents UNION ALL SELECT doc_id, 'p' || lang || trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g'))[:40] FROM documents), e AS (SELECT DISTINCT x.doc_id AS a, y.doc_id AS b FROM k x JOIN k y USING (k)),
+_RECURSIVE = """k AS (SELECT doc_id, 'h' || text AS k FROM documents UNION ALL SELECT doc_id, 'p' || lang || trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')) FROM documents), e AS (SELECT DISTINCT x.doc_id AS a, y.doc_id AS b FROM k x JOIN k y USING (k)),
     reach(a, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.b, reach.c FROM reach JOIN e ON e.a = reach.a)"""
 
 
@@ -403,14 +404,13 @@ def works(spark, d):
     return out.select("work_id", "score", "n_observations", "document_type", "venue", joined("observed_sources").alias("sources"), joined("query_ids").alias("queries"))
 
 
-@query("""WITH b AS (SELECT doc_id, trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g'))[:40] AS k, lang, source FROM documents) SELECT x.doc_id AS a, y.doc_id AS b FROM b x JOIN b y ON x.k = y.k AND x.lang = y.lang AND x.doc_id < y.doc_id
-    WHERE x.source = y.source AND len(string_split(x.k, ' ')) >= 4 AND length(replace(x.k, ' ', '')) >= 20""")
+@query("""WITH b AS (SELECT doc_id, trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')) AS k, lang, source FROM documents), g AS (SELECT k, min(doc_id) AS a FROM b GROUP BY k HAVING count(*) > 1 AND count(DISTINCT lang) = 1 AND count(DISTINCT source) = 1)
+    SELECT a, doc_id AS b FROM b JOIN g USING (k) WHERE doc_id <> a AND len(string_split(k, ' ')) >= 4 AND length(replace(k, ' ', '')) >= 20""")
 def title_bridge(spark, d):
-    rows = docs(spark, d, "doc_id", "lang", "source", "text").select("doc_id", F.substring(T.label(F.col("text")), 1, 40).alias("k"), "lang", F.array("source").alias("s"))
-    telling = (F.size(F.split("k", " ")) >= 4) & (F.length(F.replace("k", F.lit(" "), F.lit(""))) >= 20)
-    x, y = rows.where(telling).alias("x"), rows.alias("y")
-    same = (F.col("x.k") == F.col("y.k")) & (F.col("x.lang") == F.col("y.lang")) & (F.col("x.doc_id") < F.col("y.doc_id"))
-    return x.join(y, same).where(F.arrays_overlap("x.s", "y.s")).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
+    # Documents without identifiers: a text is a title, its language the day it came out.
+    none = F.array().cast("array<string>")
+    rows = docs(spark, d, "doc_id", "lang", "source", "text").select(F.col("doc_id").alias("component"), T.label(F.col("text")).alias("_title"), F.col("lang").alias("publication_date"), "source", none.alias("authors"), F.lit("").alias("venue"), none.alias("observed_sources"), *[F.lit("").alias(c) for c in IDENTIFIERS])
+    return resolve.title_bridges(rows).select("a", "b")
 
 
 @query("SELECT '10.1000/' || (p_partkey // 2) AS doi, 'The long study of ' || min_by(p_name || ' ' || p_partkey, p_partkey) AS title, max(CASE WHEN p_partkey % 2 = 1 THEN p_type ELSE '' END) AS venue, count(*) AS n_records FROM part GROUP BY p_partkey // 2")
@@ -533,11 +533,13 @@ def state_merge(spark, d):
     return out.select(F.col("identifiers")["doi"].alias("pair"), "first_seen_at", "last_seen_at", "seen_count", "work_id").join(sides, "pair")
 
 
-@query("SELECT event_id FROM events e WHERE event_type = 'purchase' AND NOT EXISTS (SELECT 1 FROM events s WHERE s.event_type = 'signup' AND s.user_id = e.user_id AND s.ts < e.ts)")
+@query("SELECT event_id, CASE WHEN event_type <> 'purchase' THEN 'NO_QUALIFYING_EVENT' WHEN event_id % 3 = 0 THEN 'ALREADY_NOTIFIED' ELSE 'QUALIFYING' END AS event_status, CASE WHEN event_id % 4 = 0 THEN 'u' || event_id END AS url FROM events")
 def anti_notified(spark, d):
-    e = table(spark, d, "events").select("event_id", "user_id", "ts", "event_type")
-    first = e.where("event_type = 'signup'").groupBy("user_id").agg(F.min("ts").alias("first"))
-    return e.where("event_type = 'purchase'").join(first, "user_id", "left").where("first is null or first >= ts").select("event_id")
+    # Purchases have a qualifying event; those of every third row were told before; every fourth row was probed twice.
+    rows = user_events(spark, d).select(F.col("event_id").alias("n"), F.col("event_id").cast("string").alias("work_id"), F.when(F.col("kind") == "purchase", F.col("e")).alias("qualifying_event"))
+    told = rows.where("n % 3 = 0 and qualifying_event is not null").select(event_id(F.col("work_id"), F.col("qualifying_event")).alias("event_id"))
+    probes = rows.where("n % 4 = 0").select("work_id", F.explode(F.array(F.lit("t"), F.concat(F.lit("u"), "work_id"))).alias("url"), F.lit("OK").alias("status"), F.lit(200).alias("http_status"))
+    return state.ledger(rows, probes, told).select(F.col("n").alias("event_id"), "event_status", F.col("probe.url").alias("url"))
 
 
 @query("SELECT event_id, event_type FROM events WHERE event_id % 3 = 0 OR event_id % 4 = 0")
@@ -744,9 +746,9 @@ def facet_filter(spark, d):
     return facets.facet_counts(facets.facet_filter(facets.with_facets(rows), search=" Study", source="feed", triage_status="PRIORITY"))
 
 
-@query("SELECT trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g'))[:40] AS k, count(*) AS n, min(doc_id) AS first_doc FROM documents GROUP BY 1 HAVING count(*) > 1")
+@query("SELECT md5(trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g'))) AS k, count(*) AS n, min(doc_id) AS first_doc FROM documents GROUP BY 1 HAVING count(*) > 1")
 def title_norm_groups(spark, d):
-    return docs(spark, d, "doc_id", "text").groupBy(F.substring(T.label(F.col("text")), 1, 40).alias("k")).agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_doc")).where("n > 1")
+    return docs(spark, d, "doc_id", "text").groupBy(F.md5(T.label(F.col("text"))).alias("k")).agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_doc")).where("n > 1")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

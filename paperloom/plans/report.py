@@ -112,17 +112,17 @@ def freeze(df: DataFrame, path: str) -> str:
     return sha256(f"{each['n']}:{each['s']}".encode())
 
 
-def grouped(ledger: DataFrame, featured: DataFrame, most: int = 500) -> DataFrame:
-    """The rows of a report (K6): the first so many of each category in display order, with whether they are featured."""
+def grouped(ledger: DataFrame, featured: DataFrame) -> DataFrame:
+    """The rows of a report (K6): all of each category in display order, with whether they are featured."""
     marked = ledger.join(featured.select("work_id", F.lit(True).alias("featured")), "work_id", "left").fillna({"featured": False})
-    return marked.where(F.col("display_rank") <= most).orderBy("category_rank", "category", F.desc("featured"), "display_rank")
+    return marked.orderBy("category_rank", "category", F.desc("featured"), "display_rank")
 
 
-def html_report(ledger: DataFrame, featured: DataFrame, title: str, most: int = 500) -> bytes:
-    """A page with a card per record, its facets as data attributes, and a count per category."""
+def html_report(ledger: DataFrame, featured: DataFrame, title: str, most: int = 100_000) -> bytes:
+    """A page with a card per record, its facets as data attributes (K6, K12, X2); more than ``most`` records are an error, none is left out."""
     esc = lambda v: html.escape("" if v is None else str(v), quote=True)
     out, last = [f'<!DOCTYPE html><html lang="en"><head><meta charset="utf-8"><title>{esc(title)}</title></head><body><h1>{esc(title)}</h1>'], None
-    for r in rows_of(grouped(ledger, featured, most)):
+    for r in rows_of(grouped(ledger, featured), most):
         if r["category"] != last:
             out.append(f"{'</section>' if last is not None else ''}<section data-category=\"{esc(r['category'])}\"><h2>{esc(r['category'])}</h2>")
             last = r["category"]
