@@ -25,26 +25,81 @@ class Config:
     minimum: dict[str, int] = field(default_factory=dict)
     categories: list[str] = field(default_factory=list)
     policy: rank.Policy = field(default_factory=rank.Policy)
+    adapters: dict[str, str] = field(default_factory=dict)  # source to adapter, where the source isn't named like it
+    listings: dict[str, dict] = field(default_factory=dict)  # source to the arguments of payloads.listing
+    fully_open: frozenset[str] = frozenset()  # sources whose every record is open access
 
 
-#: Adapter keys and the parsers behind them (S15, S28): each takes payloads and the run's configuration.
-ADAPTERS: dict[str, Callable[[DataFrame, Config], DataFrame]] = {
-    "pubmed": lambda p, c: payloads.pubmed(p),
-    "europe_pmc": lambda p, c: payloads.europe_pmc(p),
-    "openalex": lambda p, c: payloads.openalex(p),
-    "openreview": lambda p, c: payloads.openreview(p, c.start.date().isoformat(), c.end.date().isoformat()),
-    "arxiv": lambda p, c: payloads.arxiv(p, c.start.date().isoformat(), c.end.date().isoformat()),
+def _days(c: Config) -> tuple[str, str]:
+    return c.start.date().isoformat(), c.end.date().isoformat()
+
+
+def _records(records: DataFrame, p: DataFrame, key: str, source: str, c: Config) -> DataFrame:
+    """Records with the stream and category of the payload that their key names, as candidates."""
+    of = p.select(F.col("query_id").alias("_query"), "stream", "category").distinct()
+    rows = records.withColumnRenamed(key, "query_id").join(of, F.col("query_id") == F.col("_query")).drop("_query")
+    return payloads.record_candidates(rows, source, source in c.fully_open)
+
+
+def _feed(p: DataFrame, source: str, c: Config) -> DataFrame:
+    return _records(payloads.feed_records(p.withColumnRenamed("query_id", "feed_id")), p, "feed_id", source, c)
+
+
+def _registry(p: DataFrame, source: str, c: Config) -> DataFrame:
+    return _records(payloads.crossref_pages(p.withColumnRenamed("query_id", "inventory_id").withColumn("page", F.lit(0))), p, "inventory_id", source, c)
+
+
+def _listing(p: DataFrame, source: str, c: Config) -> DataFrame:
+    if source not in c.listings:
+        raise ValueError(f"no listing rules for the source {source}")
+    pages = p.select(F.col("query_id").alias("page_id"), F.col("body").alias("html"))
+    found = payloads.listing(pages, **c.listings[source]).where("usable").withColumns({"summary": F.lit(""), "authors": F.array().cast("array<string>"), "venue": F.lit("")})
+    return payloads.listing_access(_records(found, p, "page_id", source, c), source in c.fully_open)
+
+
+def _proceedings_feed(p: DataFrame, source: str, c: Config) -> DataFrame:
+    return _of_query(payloads.proceedings_atom(p.withColumnRenamed("query_id", "feed_id"), source, keep=("feed_id",)), p, "feed_id")
+
+
+def _proceedings_page(p: DataFrame, source: str, c: Config) -> DataFrame:
+    pages = p.select(F.col("query_id").alias("page_id"), F.col("body").alias("html"))
+    found = payloads.proceedings_html(pages).withColumns({"publication_date": F.lit(""), "summary": F.lit(""), "venue": F.lit("")})
+    return _records(found, p, "page_id", source, c)
+
+
+def _of_query(rows: DataFrame, p: DataFrame, key: str) -> DataFrame:
+    of = p.select(F.col("query_id"), "stream", "category").distinct()
+    return rows.drop("stream", "category").join(of, F.col(key) == of["query_id"]).drop(key)
+
+
+#: Adapter keys and the parsers behind them (S15, S28): each takes payloads, the source's name and the run's configuration.
+ADAPTERS: dict[str, Callable[[DataFrame, str, Config], DataFrame]] = {
+    "pubmed": lambda p, s, c: payloads.pubmed(p),
+    "europe_pmc": lambda p, s, c: payloads.europe_pmc(p),
+    "openalex": lambda p, s, c: payloads.openalex(p),
+    "openreview": lambda p, s, c: payloads.openreview(p, *_days(c)),
+    "arxiv": lambda p, s, c: payloads.arxiv(p, *_days(c)),
+    "acl_anthology": _proceedings_feed,
+    "pmlr": _proceedings_page,
+    "rss_atom": _feed,
+    "crossref": _registry,
+    "publisher_listing": _listing,
 }
 
 
 def discover(store: DataFrame, queries: DataFrame, config: Config) -> DataFrame:
-    """All adapters' observations (S26, S28): ``store`` has (source, query_id, body), ``queries`` (query_id, stream, category).
+    """All sources' observations (S26, S28): ``store`` has (source, query_id, body), ``queries`` (query_id, stream, category).
 
     A source is one filtered scan of the store; its queries are rows, not loops.
+    Sources are the adapters of their own name and those that ``config.adapters`` names.
     """
+    unknown = set(config.adapters.values()) - set(ADAPTERS)
+    if unknown:
+        raise ValueError(f"no such adapter: {', '.join(sorted(unknown))}")
+    asked = store.join(queries, "query_id")
     out = None
-    for name, parse in ADAPTERS.items():
-        rows = parse(store.where(F.col("source") == name).join(queries, "query_id"), config)
+    for name, adapter in ({k: k for k in ADAPTERS if k != "publisher_listing"} | config.adapters).items():
+        rows = ADAPTERS[adapter](asked.where(F.col("source") == name), name, config)
         rows = rows.withColumn("query_ids", F.array("query_id")).drop("query_id")
         out = rows if out is None else out.unionByName(rows)
     return out

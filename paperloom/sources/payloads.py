@@ -17,8 +17,8 @@ from paperloom.schema import CANDIDATE, EVENT, filled, text_of
 
 
 
-def as_candidates(rows: DataFrame) -> DataFrame:
-    """Rows with any of the candidate columns as whole candidates: what is missing is empty."""
+def as_candidates(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Rows with any of the candidate columns as whole candidates: what is missing is empty.  ``keep``: further columns that stay."""
     have = set(rows.columns)
     empty = {"string": F.lit(""), "int": F.lit(0), "boolean": F.lit(None).cast("boolean")}
     cols = []
@@ -27,7 +27,7 @@ def as_candidates(rows: DataFrame) -> DataFrame:
         blank = empty.get(kind, F.array().cast(f.dataType) if kind.startswith("array") else F.lit(None).cast(f.dataType))
         c = F.coalesce(F.col(f.name).cast(f.dataType), blank) if f.name in have else blank
         cols.append((F.lit("UNKNOWN") if f.name == "oa_status" and f.name not in have else c).alias(f.name))
-    own = [F.col(c) for c in ("query_id",) if c in have]
+    own = [F.col(c) for c in ("query_id", *keep) if c in have]
     return rows.select(*cols, *own)
 
 
@@ -230,12 +230,12 @@ def proceedings_html(pages: DataFrame) -> DataFrame:
     return e.select("page_id", part("title").alias("title"), F.filter(F.transform(F.split(part("authors"), ","), lambda a: F.trim(a)), lambda a: a != "").alias("authors"), F.regexp_extract("x", r'(?i)href="([^"]+\.html)"', 1).alias("landing_url")).where("title <> ''")
 
 
-def proceedings_atom(feeds: DataFrame, source: str = "acl_anthology") -> DataFrame:
+def proceedings_atom(feeds: DataFrame, source: str = "acl_anthology", keep: tuple[str, ...] = ()) -> DataFrame:
     """Proceedings feeds as candidates (S6, P25, P26): the date must agree with the year in the work's id; a date is a release."""
     r = feed_records(feeds).where("usable")
     day = N.guarded_date(F.col("publication_date"), F.col("landing_url"))
     made = event("formal_proceedings_release", day, source, "published", F.col("landing_url"), "date", "provider_metadata")
-    return as_candidates(r.withColumns({"source": F.lit(source), "publication_date": day, "abstract": F.col("summary"), "is_preprint": F.lit(False), "anthology_id": N.terminal_id(F.col("landing_url")), "provider_publication_types": F.array(F.lit("proceedings-article")), "events": _events(F.when(day != "", made))}))
+    return as_candidates(r.withColumns({"source": F.lit(source), "publication_date": day, "abstract": F.col("summary"), "is_preprint": F.lit(False), "anthology_id": N.terminal_id(F.col("landing_url")), "provider_publication_types": F.array(F.lit("proceedings-article")), "events": _events(F.when(day != "", made))}), keep)
 
 
 def markdown_history(files: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from paperloom.plans import bindings
+from paperloom.plans import bindings, payload_queries  # noqa: F401 - the second adds its queries to the first's
 
 SF = "/root/testdata/sf0.001"
 
