@@ -9,6 +9,7 @@ from paperloom.functions.ids import canonical_list
 from paperloom.functions.text import translation_faults
 from paperloom.operators.state import require_empty
 from paperloom.schema import text_of
+from paperloom.storage import spool
 
 MAX_ITEMS, MAX_CHARS = 24, 16_000
 
@@ -17,35 +18,85 @@ def source_chars() -> Column:
     return F.greatest(F.length(text_of(F.col("title"))) + F.length(text_of(F.col("excerpt"))), F.lit(1))
 
 
+def _next_start(chars: list[int], max_items: int, max_chars: int) -> list[int]:
+    """For each item, where the batch after the one that it starts begins."""
+    out, end, size = [0] * len(chars), 0, 0
+    for i, c in enumerate(chars):
+        if end <= i:
+            end, size = i + 1, c
+        while end < len(chars) and end - i < max_items and size + chars[end] <= max_chars:
+            size += chars[end]
+            end += 1
+        out[i] = end
+        size -= c
+    return out
+
+
+def _block_summary(chars: list[int], max_items: int, max_chars: int) -> tuple[list[int], list[int], list[int], list[int]]:
+    """(head, batches, items, size): the first items' characters, and for each of them as the first start in the block
+    how many batches start in it and what the last of them holds at its end."""
+    n, after = len(chars), _next_start(chars, max_items, max_chars)
+    count, last = [0] * n, [0] * n
+    for i in range(n - 1, -1, -1):
+        count[i], last[i] = (1, i) if after[i] >= n else (1 + count[after[i]], last[after[i]])
+    first = range(min(n, max_items))
+    return chars[:max_items], [count[i] for i in first], [n - last[i] for i in first], [sum(chars[last[i] :]) for i in first]
+
+
+def _entries(blocks: list[dict], max_items: int, max_chars: int) -> list[tuple[int, int]]:
+    """(first start, batches before) of each block of a queue, in order; the first start is the block's length where none is in it."""
+    out, batch, items, size = [], 0, max_items, 0  # before the first block, a full batch: the first item starts one
+    for b in blocks:
+        at = 0
+        while at < len(b["head"]) and items < max_items and size + b["head"][at] <= max_chars:
+            items, size, at = items + 1, size + b["head"][at], at + 1
+        out.append((at, batch))
+        if at < len(b["head"]):
+            batch, items, size = batch + b["batches"][at], b["items"][at], b["size"][at]
+    return out
+
+
 def pack(items: DataFrame, max_items: int = MAX_ITEMS, max_chars: int = MAX_CHARS, by: str | None = None, order: str = "position", chars: str = "chars") -> DataFrame:
     """Items in order with batch (from 1) (W8): a new one when it would have more items or characters than allowed.
 
-    Greedy packing is a sequence, folded over the ordered (order, characters)
-    list of each queue (``by``): two numbers an item, one queue a task.
+    Greedy packing is a sequence.  Each queue (``by``; without, all items are one) is dealt by ranges of ``order`` to
+    blocks.  A block says, for each of its first ``max_items`` items, how packing that starts there ends; these few numbers
+    a block are folded in order, and then all blocks are packed side by side.  No task holds more than a block.
     """
-    rows = items if by else items.withColumn("_queue", F.lit(1))
-    q = by or "_queue"
-    lists = rows.groupBy(q).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(chars).cast("long").alias("c")))).alias("x"))
-
-    def run(batches):
-        import pyarrow as pa
-
-        for b in batches:
-            queue, spot, number = [], [], []
-            for key, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                batch, n, size = 1, 0, 0
-                for item in x:
-                    if n and (n >= max_items or size + item["c"] > max_chars):
-                        batch, n, size = batch + 1, 0, 0
-                    n, size = n + 1, size + item["c"]
-                    queue.append(key)
-                    spot.append(item["o"])
-                    number.append(batch)
-            yield pa.RecordBatch.from_arrays([pa.array(queue, b.schema.field(0).type), pa.array(spot, b.schema.field(1).type.value_type.field(0).type), pa.array(number, pa.int32())], [q, order, "batch"])
+    import pyarrow as pa
 
+    q = by or "_queue"
+    rows = (items if by else items.withColumn("_queue", F.lit(1))).withColumn("_chars", F.col(chars).cast("long"))
+    rows = spool(rows.repartitionByRange(q, order).withColumn("_block", F.spark_partition_id()), "queue")
     kinds = dict(rows.dtypes)
-    plan = lists.mapInArrow(run, f"{q} {kinds[q]}, {order} {kinds[order]}, batch int")
-    out = rows.join(plan, [q, order])
+    some = rows.select(q, "_block", order, "_chars")
+    numbers = pa.list_(pa.int64())
+
+    def summary(t):
+        x = t.sort_by([(order, "ascending"), ("_chars", "ascending")]).column("_chars").to_pylist()
+        made = _block_summary(x, max_items, max_chars)
+        return pa.Table.from_arrays([t.column(q).slice(0, 1), t.column("_block").slice(0, 1), *[pa.array([m], numbers) for m in made]], [q, "_block", "head", "batches", "items", "size"])
+
+    def entries(t):
+        t = t.sort_by("_block")
+        made = _entries(t.select(["head", "batches", "items", "size"]).to_pylist(), max_items, max_chars)
+        return pa.Table.from_arrays([t.column(q), t.column("_block"), pa.array([a for a, _ in made], pa.int64()), pa.array([b for _, b in made], pa.int64())], [q, "_block", "_at", "_before"])
+
+    def packed(t):
+        t = t.sort_by([(order, "ascending"), ("_chars", "ascending")])
+        at, batch = t.column("_at")[0].as_py(), t.column("_before")[0].as_py()
+        after, number = _next_start(t.column("_chars").to_pylist(), max_items, max_chars), []
+        while len(number) < t.num_rows:
+            stop = at if not number and at else after[len(number)]
+            batch += 0 if not number and at else 1
+            number += [batch] * (stop - len(number))
+        return pa.Table.from_arrays([t.column(q), t.column(order), pa.array(number, pa.int32())], [q, order, "batch"])
+
+    lists = "head array<bigint>, batches array<bigint>, items array<bigint>, size array<bigint>"
+    blocks = some.groupBy(q, "_block").applyInArrow(summary, f"{q} {kinds[q]}, _block int, {lists}")
+    starts = spool(blocks.groupBy(q).applyInArrow(entries, f"{q} {kinds[q]}, _block int, _at bigint, _before bigint"), "starts")
+    plan = some.join(starts, [q, "_block"]).groupBy(q, "_block").applyInArrow(packed, f"{q} {kinds[q]}, {order} {kinds[order]}, batch int")
+    out = rows.drop("_block", "_chars").join(plan, [q, order])
     return out if by else out.drop("_queue")
 
 

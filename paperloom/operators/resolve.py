@@ -49,40 +49,32 @@ def conflicts(labelled: DataFrame, kinds: tuple[str, ...] = IDENTIFIERS) -> Data
     return found.where(F.size("values") > 1)
 
 
-def _common(sets: Column) -> Column:
-    """Whether all sets are there and share an element."""
-    shared = F.aggregate(F.slice(sets, 2, F.greatest(F.size(sets) - 1, F.lit(1))), F.get(sets, F.lit(0)), lambda acc, s: F.array_intersect(acc, s))
-    return F.size(shared) > 0
-
-
 def title_bridges(labelled: DataFrame) -> DataFrame:
-    """(a, b) between components of one title that complement each other and agree on date and author, venue or source."""
+    """(a, b) between components of one title that complement each other and agree on date and author, venue or source.
+
+    Nothing is gathered by title: what all components of a title share is found by
+    counting them for each value, contradictions by least and greatest identifier.
+    """
     plain = lambda c: F.regexp_replace(F.lower(text_of(c)), "[^a-z0-9]+", "")
-    some = lambda a: F.filter(F.array_distinct(a), lambda x: x != "")
     ids = F.array_compact(F.array(*[F.concat(F.lit(f"{k}="), F.lower(identifier(k))) for k in IDENTIFIERS]))
-    rows = labelled.where("_title <> ''").select(
-        "component", "_title", ids.alias("ids"),
-        some(F.array(F.substring(text_of(F.col("publication_date")), 1, 10))).alias("dates"),
-        some(F.transform(strings(F.col("authors")), plain)).alias("authors"),
-        some(F.array(plain(F.col("venue")))).alias("venues"),
-        F.array_except(some(F.transform(F.concat(F.array("source"), strings(F.col("observed_sources"))), plain)), F.array(*map(F.lit, GENERIC_SOURCES))).alias("sources"),
-    )
-    whole = labelled.select("component", F.explode(ids).alias("i")).groupBy("component").agg(F.collect_set("i").alias("all_ids"))
-    flat = lambda c: F.array_distinct(F.flatten(F.collect_set(c))).alias(c)
-    groups = rows.groupBy("_title", "component").agg(*map(flat, ("ids", "dates", "authors", "venues", "sources"))).join(whole, "component", "left")
-    titles = groups.groupBy("_title").agg(
-        F.array_sort(F.collect_list("component")).alias("parts"),
-        *[F.collect_list(c).alias(c) for c in ("dates", "authors", "venues", "sources")],
-        F.array_distinct(F.flatten(F.collect_list(F.coalesce("all_ids", F.array().cast("array<string>"))))).alias("ids"),
-        F.bool_or(F.size("ids") == 0).alias("bare"),
-    ).where(F.size("parts") > 1)
     words = F.regexp_extract_all("_title", F.lit("[a-z0-9]+"), 0)
     telling = (F.size(words) >= 4) & (F.length(F.array_join(words, "")) >= 20) & (F.size(F.array_except(words, F.array(*map(F.lit, GENERIC_TITLES)))) > 0)
-    kinds = F.transform("ids", lambda i: F.substring_index(i, "=", 1))
-    clean = F.size(F.array_distinct(kinds)) == F.size(kinds)
-    agree = _common(F.col("authors")) | _common(F.col("venues")) | (F.col("bare") & _common(F.col("sources")))
-    good = titles.where(telling & clean & _common(F.col("dates")) & agree)
-    return good.select(F.get("parts", F.lit(0)).alias("a"), F.explode(F.slice("parts", 2, F.size("parts") - 1)).alias("b"), "_title")
+    named = F.array_except(F.transform(F.concat(F.array("source"), strings(F.col("observed_sources"))), plain), F.array(*map(F.lit, GENERIC_SOURCES)))
+    said = {"date": F.array(F.substring(text_of(F.col("publication_date")), 1, 10)), "author": F.transform(strings(F.col("authors")), plain), "venue": F.array(plain(F.col("venue"))), "source": named}
+    of = lambda k: lambda v: F.struct(F.lit(k).alias("k"), v.alias("v"))
+    pairs = F.concat(*[F.transform(c, of(k)) for k, c in said.items()])
+    rows = spool(labelled.where(telling).select("component", "_title", (F.size(ids) == 0).alias("bare"), F.array_distinct(F.filter(pairs, lambda p: p["v"] != "")).alias("said")), "titles")
+    parts = rows.groupBy("_title", "component").agg(F.bool_and("bare").alias("bare"))
+    titles = spool(parts.groupBy("_title").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("a"), F.bool_or("bare").alias("bare")).where("n > 1"), "shared-titles")
+    values = rows.join(titles.select("_title"), "_title").select("_title", "component", F.explode("said").alias("s")).select("_title", "component", "s.k", "s.v").distinct()
+    agreed = values.groupBy("_title", "k", "v").agg(F.count(F.lit(1)).alias("m")).join(titles, "_title").where("m = n")
+    has = lambda *k: F.bool_or(F.col("k").isin(*k))
+    fine = agreed.groupBy("_title", "a").agg((has("date") & (has("author", "venue") | (F.bool_or("bare") & has("source")))).alias("ok")).where("ok").select("_title", "a")
+    some = rows.join(fine, "_title").select("_title", "component", "a").distinct()
+    held = labelled.select("component", F.explode(ids).alias("i")).distinct()
+    kind = F.substring_index("i", "=", 1).alias("kind")
+    clash = some.join(held, "component").groupBy("_title", kind).agg((F.min("i") < F.max("i")).alias("two")).where("two").select("_title").distinct()
+    return some.join(clash, "_title", "left_anti").where("component <> a").select("a", F.col("component").alias("b"), "_title")
 
 
 def label(candidates: DataFrame, bridge: bool = True) -> DataFrame:
@@ -212,13 +204,15 @@ def merge_feed_and_registry(feed: DataFrame, registry: DataFrame) -> DataFrame:
     by_alias = each.join(each.groupBy("k").agg(F.min("id").alias("a")), "k").where("a <> id").select("a", F.col("id").alias("b"))
     words = F.regexp_extract_all(F.lower(text_of(F.col("title"))), F.lit("[a-z0-9]+"), 0)
     telling = (F.size(words) >= 3) & (F.length("_key") >= 12) & ~F.col("_key").isin(*GENERIC_TITLES)
-    x = rows.where(telling & filled(F.col("publication_date"))).select("id", "doi", "_key", F.substring("publication_date", 1, 10).alias("d"), "authors", record_title_key(F.col("venue")).alias("v")).alias("x")
-    y = x.alias("y")
-    names = lambda c: F.transform(F.coalesce(c, F.array().cast("array<string>")), lambda n: F.regexp_replace(F.lower(n), "[^a-z0-9]+", ""))
-    same = (F.col("x._key") == F.col("y._key")) & (F.col("x.d") == F.col("y.d")) & (F.col("x.id") < F.col("y.id"))
-    support = F.arrays_overlap(names(F.col("x.authors")), names(F.col("y.authors"))) | ((F.col("x.v") == F.col("y.v")) & (F.col("x.v") != ""))
-    no_clash = ~(filled(F.col("x.doi")) & filled(F.col("y.doi")) & (F.lower("x.doi") != F.lower("y.doi")))
-    by_title = x.join(y, same).where(support & no_clash).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    names = F.transform(strings(F.col("authors")), lambda n: F.concat(F.lit("a:"), F.regexp_replace(F.lower(n), "[^a-z0-9]+", "")))
+    venue = record_title_key(F.col("venue"))
+    support = F.array_distinct(F.array_compact(F.concat(names, F.array(F.when(venue != "", F.concat(F.lit("v:"), venue))))))
+    told = spool(rows.where(telling & filled(F.col("publication_date"))).select("id", F.lower(text_of(F.col("doi"))).alias("doi"), "_key", F.substring("publication_date", 1, 10).alias("d"), F.explode(support).alias("s")), "support")
+    # Records that agree are linked to the first without a DOI; where each has one, to the first of the same.
+    free = spool(told.where("doi = ''").groupBy("_key", "d", "s").agg(F.min("id").alias("u")), "free")
+    same = spool(told.where("doi <> ''").groupBy("_key", "d", "s", "doi").agg(F.min("id").alias("m")), "same")
+    star = told.join(free, ["_key", "d", "s"], "left").join(same, ["_key", "d", "s", "doi"], "left").withColumn("c", F.coalesce("u", "m")).where("c <> id")
+    by_title = star.select(F.least("c", "id").alias("a"), F.greatest("c", "id").alias("b")).distinct()
     joined = components(rows.select("id"), by_alias.union(by_title))
     rows = rows.join(joined, "id")
     dois = Window.partitionBy("component")

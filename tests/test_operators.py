@@ -446,3 +446,36 @@ def test_facets(spark):
     assert facets.facet_filter(seen, search="SLEEP", source="pubmed", study="review", category="a").count() == 1
     assert facets.facet_filter(seen, source="pubmed").count() == 1
     assert {r["category"]: r["visible"] for r in facets.facet_counts(seen).collect()} == {"a": 1, "b": 1}
+
+
+@pytest.mark.parametrize("by", [None, "q"])
+def test_packing_goes_on_from_block_to_block(spark, by):
+    import random
+
+    draw = random.Random(7)
+    rows = [(f"q{draw.randrange(3)}", i, draw.choice([1, 5, 40, 90, 250])) for i in range(400)]
+    want, state = {}, {}
+    for name, i, c in rows:
+        batch, n, size = state.get(name if by else "", (0, 6, 0))
+        state[name if by else ""] = (batch, n + 1, size + c) if n < 6 and size + c <= 200 else (batch + 1, 1, c)
+        want[i] = state[name if by else ""][0]
+    items = spark.createDataFrame(rows, "q string, position int, chars int").repartition(5)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for parts in (1, 3, 120):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+            assert {r["position"]: r["batch"] for r in queue.pack(items, 6, 200, by).collect()} == want
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert queue.pack(items.limit(0), 6, 200, by).count() == 0
+
+
+def test_feed_titles_meet_by_author_or_venue_whatever_the_number(spark):
+    row = lambda i, doi, author, venue, day="2026-08-08": (doi, f"https://x.org/{i}", "The long study of sleep", day, [author], venue)
+    schema = "doi string, landing_url string, title string, publication_date string, authors array<string>, venue string"
+    feed = [row(0, "10.1/a", "A", ""), row(1, "10.1/b", "A", ""), row(2, "10.1/a", "A", ""), row(3, "", "Z", "", "2026-08-09")]
+    registry = [row(4, "", "B", "J"), row(5, "", "C", "J"), row(6, "", "C", ""), row(7, "", "D", "")]
+    counts = sorted(r["n_records"] for r in resolve.merge_feed_and_registry(spark.createDataFrame(feed, schema), spark.createDataFrame(registry, schema)).collect())
+    assert counts == [1, 1, 1, 2, 3]  # a twice; b; 3 of another day; 7; 4 to 6 by venue and author
