@@ -1,4 +1,4 @@
-"""The ten queries with production parameters, and SQL for those that SQL can express."""
+"""The thirteen queries with production parameters, and SQL for those that SQL can express."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontaminate, jaccard_join, langid, line_frequency, mixing, secrets, substring_dedup, url_reputation, zstd_quality
+from . import ann, decontaminate, filter_audit, jaccard_join, langid, line_frequency, mixing, pii, secrets, sessions, substring_dedup, url_reputation, zstd_quality
 from .common import LOWER, UPPER, in_fold, read
 
 
@@ -58,8 +58,24 @@ def op10_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.scan(read(spark, sf_dir, "documents"))
+    of = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter("spans", lambda x: x["kind"].isin(*pii.BASE))
+    return found.select("doc_id", *map(of, pii.BASE), F.sha2(pii.as_text(base), 256).alias("base_sha256"), pii.as_text(F.col("spans")).alias("spans"), F.array_join(F.transform("spans", lambda x: x["score"].cast("string")), ",").alias("scores"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op13_gap_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sessions.sessionise(read(spark, sf_dir, "clicks"))
+    return found.withColumn("path_sha256", F.sha2(F.array_join(F.col("path").cast("array<string>"), ","), 256)).drop("path")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_url_reputation, op2_line_frequency, op3_decontaminate, op4_substring_dedup, op5_jaccard_join, op6_language_id, op7_mixing, op8_quality, op9_secrets, op10_collision_ann)
+    found = (op1_url_reputation, op2_line_frequency, op3_decontaminate, op4_substring_dedup, op5_jaccard_join, op6_language_id, op7_mixing, op8_quality, op9_secrets, op10_collision_ann, op11_pii, op12_filter_audit, op13_gap_sessions)
     return {f.__name__: f for f in found}
 
 
@@ -209,5 +225,69 @@ said AS (SELECT r, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM doc LEFT JOIN said USING (r)"""
 
 
+def _op11_sql() -> str:
+    base = {
+        "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "TRUE"),
+        "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "len(list_filter(string_split(h, '.'), lambda x: length(ltrim(x, '0')) > 3 OR coalesce(TRY_CAST(x AS INTEGER), 0) > 255)) = 0"),
+        "card": (r"[0-9]([\x20-]?[0-9])+", "length(d) BETWEEN 13 AND 19 AND list_sum(list_transform(range(1, length(d) + 1), lambda i: CASE WHEN i % 2 = 1 THEN d[-i]::INTEGER WHEN d[-i]::INTEGER > 4 THEN 2 * d[-i]::INTEGER - 9 ELSE 2 * d[-i]::INTEGER END)) % 10 = 0"),
+        "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "length(d) BETWEEN 9 AND 15"),
+    }
+    iban, local = r"[A-Z]{2}[0-9]{2}(\x20?[A-Z0-9]){11,30}", r"\(?[0-9]{3}\)?[\x20.-][0-9]{3}[.-][0-9]{4}"
+    kinds = [*base, "iban", "local"]
+    found = " UNION ALL ".join(f"SELECT r, t, {i} AS kind, string_split_regex(t, '{p}') AS p, regexp_extract_all(t, '{p}') AS h FROM doc" for i, p in enumerate([*(p for p, _ in base.values()), iban, local]))
+    holds = "CASE kind " + " ".join(f"WHEN {i} THEN {ok}" for i, (_, ok) in enumerate(base.values())) + " END"
+    sizes = "CASE h[1:2] " + " ".join(f"WHEN '{c}' THEN {n}" for c, n in pii.IBAN_LENGTHS.items()) + " END"
+    value = lambda c: f"(CASE WHEN {c} BETWEEN '0' AND '9' THEN {c}::INTEGER ELSE ascii({c}) - 55 END)"
+    beside = "NOT regexp_matches(substr(t, a::BIGINT, CASE WHEN a > 0 THEN 1 ELSE 0 END) || substr(t, z::BIGINT + 1, 1), '[A-Za-z0-9]')"
+    speaks = "CASE kind " + " ".join(f"WHEN {i} THEN regexp_matches(near, '(^|[^a-z])({words})([^a-z]|$)')" for i, words in enumerate(["email|e-mail|mail|contact|write", "ip|host|server|address|login", "card|visa|mastercard|amex|credit|debit|payment", "phone|tel|telephone|call|mobile|cell|fax|whatsapp", "iban|account|bank|transfer", "phone|tel|telephone|call|mobile|cell|fax|whatsapp"])) + " END"
+    name = "['email', 'ip', 'card', 'phone', 'iban', 'local'][kind + 1]"
+    text = lambda of: f"string_agg({name} || ':' || a || ':' || z, ',' ORDER BY kind, a) FILTER (WHERE {of})"
+    return f"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+part AS (SELECT r, t, kind, unnest(p[:len(h)]) AS p, unnest(h) AS h, unnest(range(len(h))) AS i FROM ({found}) WHERE len(h) > 0),
+hit AS (SELECT *, regexp_replace(h, '[^0-9]', '', 'g') AS d, z - length(h) AS a FROM (SELECT *, sum(length(p) + length(h)) OVER (PARTITION BY r, kind ORDER BY i) AS z FROM part)),
+base AS (SELECT r, t, kind, a, z FROM hit WHERE kind < 4 AND {holds}),
+bank AS (SELECT r, t, 4 AS kind, a, a + place[n] AS z, list_transform(place[:n], lambda i: h[i]) AS c FROM (SELECT *, {sizes} AS n, list_filter(range(1, length(h) + 1), lambda i: h[i] <> ' ') AS place FROM hit WHERE kind = 4) WHERE n <= len(place)),
+more AS (SELECT r, t, kind, a, z FROM bank WHERE {beside} AND list_reduce(list_transform(c[5:] || c[:4], lambda x: {value('x')}), lambda acc, v: (acc * CASE WHEN v < 10 THEN 10 ELSE 100 END + v) % 97, 0) = 1
+    UNION ALL SELECT r, t, kind, a, z FROM hit WHERE kind = 5 AND {beside}),
+scored AS (SELECT *, least(100, greatest(0, [90, 60, 80, 70, 90, 40][kind + 1] + 30 * ({speaks})::INTEGER - 30 * regexp_matches(near, '(^|[^a-z])(isbn|issn|version|order|invoice|sku|example|test)([^a-z]|$)')::INTEGER)) AS score
+    FROM (SELECT *, translate(substr(t, greatest(a - 39, 1)::BIGINT, least(a, 40)::BIGINT) || chr(10) || substr(t, z::BIGINT + 1, 40), '{UPPER}', '{LOWER}') AS near FROM (SELECT * FROM base UNION ALL SELECT * FROM more))),
+span AS (SELECT r, kind, a::BIGINT AS a, z::BIGINT AS z, score FROM scored s WHERE kind < 4 OR score >= 50 AND NOT EXISTS (SELECT 1 FROM scored b WHERE b.r = s.r AND b.kind < s.kind AND (b.kind < 4 OR b.score >= 50) AND b.a < s.z AND s.a < b.z)),
+said AS (SELECT r, {', '.join(f"count(*) FILTER (WHERE kind = {i}) AS n_{k}" for i, k in enumerate(kinds[:4]))}, {text('kind < 4')} AS base, {text('TRUE')} AS spans, string_agg(score::VARCHAR, ',' ORDER BY kind, a) AS scores FROM span GROUP BY r)
+SELECT doc_id, {', '.join(f"coalesce(n_{k}, 0) AS n_{k}" for k in kinds[:4])}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(scores, '') AS scores FROM doc LEFT JOIN said USING (r)"""
+
+
+def _op12_sql() -> str:
+    letters = "(VALUES ('A'), ('B'), ('C'), ('D'), ('E'))"
+    return f"""
+WITH doc AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+first AS (SELECT t, min(doc_id) AS first FROM doc GROUP BY t),
+says AS (SELECT doc_id, coalesce(bool_or(quality = 1), FALSE) AS good, coalesce(bool_or(toxic = 1), FALSE) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+judged AS (SELECT part, good, toxic, (len(w) < 200)::INTEGER + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INTEGER + 4 * (100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * length(t))::INTEGER
+    + 8 * regexp_matches(t, '[#$%&*|]')::INTEGER + 16 * coalesce(doc_id > first, FALSE)::INTEGER AS mask FROM doc JOIN first USING (t) LEFT JOIN says USING (doc_id)),
+n AS (SELECT part, mask, count(*) AS n, count(*) FILTER (WHERE good) AS g, count(*) FILTER (WHERE toxic) AS x FROM judged GROUP BY part, mask),
+o AS (SELECT a.l || b.l || c.l || d.l || e.l AS o FROM {letters} a(l), {letters} b(l), {letters} c(l), {letters} d(l), {letters} e(l) WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+bits AS (SELECT o, s, (1 << (ascii(o[s]) - 65))::INTEGER AS bit, list_sum(list_transform(range(1, s), lambda i: 1 << (ascii(o[i]) - 65)))::INTEGER AS before FROM o, range(1, 6) AS r(s)),
+cell AS (SELECT part, o, s, bit, coalesce(sum(n) FILTER (WHERE mask & bit = 0 AND mask & coalesce(before, 0) = 0), 0) AS kept, coalesce(sum(n) FILTER (WHERE mask & bit > 0 AND mask & coalesce(before, 0) = 0), 0) AS removed, coalesce(sum(n) FILTER (WHERE mask & bit > 0 AND mask & before > 0), 0) AS redundant,
+    coalesce(sum(n) FILTER (WHERE mask = bit), 0) AS alone, coalesce(sum(g) FILTER (WHERE mask & bit > 0 AND mask & coalesce(before, 0) = 0), 0) AS good, coalesce(sum(x) FILTER (WHERE mask & bit > 0 AND mask & coalesce(before, 0) = 0), 0) AS toxic FROM n, bits GROUP BY ALL)
+SELECT part, o AS filter_order, s::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant, alone::BIGINT AS unique_fails, good::BIGINT AS good_lost, toxic::BIGINT AS toxic_lost, sum(removed) OVER (PARTITION BY part, bit)::BIGINT AS shapley FROM cell"""
+
+
+def _op13_sql() -> str:
+    return """
+WITH RECURSIVE one AS (SELECT click_id, min(struct_pack(us := epoch_us(ts), client_id := client_id, late := coalesce(epoch_us(arrived_at) - epoch_us(ts) > 3600000000, FALSE), final := coalesce(kind = 'purchase' AND value >= 60, FALSE),
+    cents := CASE WHEN value IS NULL OR NOT isfinite(value) THEN 0 ELSE floor(100 * value + 0.5)::BIGINT END)) AS x FROM clicks WHERE click_id IS NOT NULL AND client_id IS NOT NULL AND ts IS NOT NULL GROUP BY click_id),
+click AS (SELECT click_id, x.us AS us, x.client_id AS c, x.late AS late, x.final AS final, x.cents AS cents FROM one),
+timely AS (SELECT *, row_number() OVER w AS k, CASE WHEN lag(final) OVER w IS NULL THEN 'first' WHEN lag(final) OVER w THEN 'end' WHEN us - lag(us) OVER w >= 300000000 THEN 'gap' END AS sure FROM click WHERE NOT late WINDOW w AS (PARTITION BY c ORDER BY us, click_id)),
+isle AS (SELECT *, count(sure) OVER (PARTITION BY c ORDER BY k) AS isle FROM timely),
+nxt AS (SELECT a.c, a.k, min(b.k) AS n FROM isle a JOIN isle b ON a.c = b.c AND a.isle = b.isle AND b.us > a.us + 7200000000 GROUP BY a.c, a.k),
+head(c, k, why) AS (SELECT c, k, sure FROM isle WHERE sure IS NOT NULL UNION ALL SELECT head.c, n, 'length' FROM head JOIN nxt ON nxt.c = head.c AND nxt.k = head.k),
+mark AS (SELECT isle.*, why, count(why) OVER (PARTITION BY c ORDER BY k) AS s FROM isle LEFT JOIN head USING (c, k)),
+sess AS (SELECT c, s, arg_min(click_id, k) AS id, min(us) AS a, max(us) AS z, count(*) AS n, sum(cents) AS cents, arg_max(final, k) AS final, min(why) AS why, string_agg(click_id::VARCHAR, ',' ORDER BY k) AS path FROM mark GROUP BY c, s),
+chain AS (SELECT *, lead(a) OVER w AS next_a, lead(why) OVER w AS reason FROM sess WINDOW w AS (PARTITION BY c ORDER BY s)),
+tardy AS (SELECT chain.c, s, count(*) AS n_late FROM chain JOIN click ON click.c = chain.c AND late AND us >= a AND (next_a IS NULL OR us < next_a) GROUP BY chain.c, s)
+SELECT c AS client_id, id AS session_id, a AS start_us, z AS end_us, n AS n_clicks, coalesce(n_late, 0) AS n_late, cents::BIGINT AS value_cents, coalesce(reason, CASE WHEN final THEN 'end' ELSE 'none' END) AS closed_by, sha256(path) AS path_sha256 FROM chain LEFT JOIN tardy USING (c, s)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_reputation": _op1_sql(), "op2_line_frequency": _op2_sql(), "op3_decontaminate": _op3_sql(), "op4_substring_dedup": _op4_sql(), "op5_jaccard_join": _op5_sql(), "op7_mixing": _op7_sql(), "op9_secrets": _op9_sql()}
+    return {"op1_url_reputation": _op1_sql(), "op2_line_frequency": _op2_sql(), "op3_decontaminate": _op3_sql(), "op4_substring_dedup": _op4_sql(), "op5_jaccard_join": _op5_sql(), "op7_mixing": _op7_sql(), "op9_secrets": _op9_sql(), "op11_pii": _op11_sql(), "op12_filter_audit": _op12_sql(), "op13_gap_sessions": _op13_sql()}
