@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from paperloom.functions.ids import canonical_list
 from paperloom.functions.text import translation_faults
 from paperloom.operators.state import require_empty
-from paperloom.schema import text_of
+from paperloom.schema import fresh, text_of
 from paperloom.storage import spool
 
 MAX_ITEMS, MAX_CHARS = 24, 16_000
@@ -61,43 +61,52 @@ def pack(items: DataFrame, max_items: int = MAX_ITEMS, max_chars: int = MAX_CHAR
 
     Greedy packing is a sequence.  Each queue (``by``; without, all items are one) is dealt by ranges of ``order`` to
     blocks.  A block says, for each of its first ``max_items`` items, how packing that starts there ends; these few numbers
-    a block are folded in order, and then all blocks are packed side by side.  No task holds more than a block.
+    a block are folded in order, and then all blocks are packed side by side, each row as it is, so that rows out are
+    rows in.  No task holds more than a block.  A null place comes first, a null queue is a queue; equal places go by a hash
+    of the row.  A null number of characters counts as none.
     """
     import pyarrow as pa
+    import pyarrow.compute as pc
 
-    q = by or "_queue"
-    rows = (items if by else items.withColumn("_queue", F.lit(1))).withColumn("_chars", F.col(chars).cast("long"))
-    rows = spool(rows.repartitionByRange(q, order).withColumn("_block", F.spark_partition_id()), "queue")
+    q = by or fresh(items, "_queue")
+    rows = items if by else items.withColumn(q, F.lit(1))
+    block, size, tie = (fresh(rows, c) for c in ("_block", "_chars", "_tie"))
+    rows = rows.withColumn(size, F.coalesce(F.col(chars).cast("long"), F.lit(0))).withColumn(tie, F.xxhash64(F.to_json(F.struct(*items.columns))))
+    rows = spool(rows.repartitionByRange(q, order, tie).withColumn(block, F.spark_partition_id()), "queue")
     kinds = dict(rows.dtypes)
-    some = rows.select(q, "_block", order, "_chars")
     numbers = pa.list_(pa.int64())
 
+    def in_order(t):
+        nulls_first = pc.sort_indices(t.select([order, tie]), sort_keys=[(order, "ascending"), (tie, "ascending")], null_placement="at_start")
+        return t.take(nulls_first)
+
     def summary(t):
-        x = t.sort_by([(order, "ascending"), ("_chars", "ascending")]).column("_chars").to_pylist()
-        made = _block_summary(x, max_items, max_chars)
-        return pa.Table.from_arrays([t.column(q).slice(0, 1), t.column("_block").slice(0, 1), *[pa.array([m], numbers) for m in made]], [q, "_block", "head", "batches", "items", "size"])
+        made = _block_summary(in_order(t).column(size).to_pylist(), max_items, max_chars)
+        return pa.Table.from_arrays([t.column(q).slice(0, 1), t.column(block).slice(0, 1), *[pa.array([m], numbers) for m in made]], [q, block, "head", "batches", "items", "size"])
 
     def entries(t):
-        t = t.sort_by("_block")
+        t = t.sort_by(block)
         made = _entries(t.select(["head", "batches", "items", "size"]).to_pylist(), max_items, max_chars)
-        return pa.Table.from_arrays([t.column(q), t.column("_block"), pa.array([a for a, _ in made], pa.int64()), pa.array([b for _, b in made], pa.int64())], [q, "_block", "_at", "_before"])
-
-    def packed(t):
-        t = t.sort_by([(order, "ascending"), ("_chars", "ascending")])
-        at, batch = t.column("_at")[0].as_py(), t.column("_before")[0].as_py()
-        after, number = _next_start(t.column("_chars").to_pylist(), max_items, max_chars), []
+        return pa.Table.from_arrays([t.column(q), t.column(block), pa.array([a for a, _ in made], pa.int64()), pa.array([b for _, b in made], pa.int64())], [q, block, "at", "before"])
+
+    def packed(t, start):
+        if not t.num_rows:
+            return pa.Table.from_arrays([pa.array([], f.type) for f in t.schema] + [pa.array([], pa.int32())], [*t.column_names, "batch"]).drop_columns([block, size, tie])
+        t = in_order(t)
+        at, batch = start.column("at")[0].as_py(), start.column("before")[0].as_py()
+        after, number = _next_start(t.column(size).to_pylist(), max_items, max_chars), []
         while len(number) < t.num_rows:
             stop = at if not number and at else after[len(number)]
             batch += 0 if not number and at else 1
             number += [batch] * (stop - len(number))
-        return pa.Table.from_arrays([t.column(q), t.column(order), pa.array(number, pa.int32())], [q, order, "batch"])
+        return t.drop_columns([block, size, tie]).append_column("batch", pa.array(number, pa.int32()))
 
     lists = "head array<bigint>, batches array<bigint>, items array<bigint>, size array<bigint>"
-    blocks = some.groupBy(q, "_block").applyInArrow(summary, f"{q} {kinds[q]}, _block int, {lists}")
-    starts = spool(blocks.groupBy(q).applyInArrow(entries, f"{q} {kinds[q]}, _block int, _at bigint, _before bigint"), "starts")
-    plan = some.join(starts, [q, "_block"]).groupBy(q, "_block").applyInArrow(packed, f"{q} {kinds[q]}, {order} {kinds[order]}, batch int")
-    out = rows.drop("_block", "_chars").join(plan, [q, order])
-    return out if by else out.drop("_queue")
+    blocks = rows.select(q, block, order, size, tie).groupBy(q, block).applyInArrow(summary, f"`{q}` {kinds[q]}, {block} int, {lists}")
+    starts = blocks.groupBy(q).applyInArrow(entries, f"`{q}` {kinds[q]}, {block} int, at bigint, before bigint")
+    shape = ", ".join(f"`{c}` {kinds[c]}" for c in rows.columns if c not in (block, size, tie)) + ", batch int"
+    out = rows.groupBy(q, block).cogroup(starts.groupBy(q, block)).applyInArrow(packed, shape)
+    return out if by else out.drop(q)
 
 
 def batch_ids(packed: DataFrame, request_sha: str) -> DataFrame:

@@ -7,14 +7,15 @@ fold over that short list decides.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.functions.normalize import host_of
-from paperloom.schema import TRIAGE, rank_of
+from paperloom.schema import TRIAGE, filled, fresh, rank_of
+from paperloom.storage import spool
 
 
 @dataclass(frozen=True)
@@ -101,29 +102,61 @@ def probe_plan(candidates: DataFrame, most: int = 15, per_host: int = 2, url: st
     return first.withColumn("attempt", F.row_number().over(Window.orderBy(order))).drop("_host", "_n")
 
 
-def probe(planned: DataFrame, fetch, most: int = 15, per_host: int = 2, stop: tuple[int, ...] = (401, 403, 429)) -> DataFrame:
-    """Probes with feedback: a host that blocks gets no further request.
+#: Answers after which a host gets no further request; resolvers, which have no budget of their own.
+BLOCKS, RESOLVERS = (401, 403, 429), ("doi.org", "dx.doi.org")
 
-    ``planned`` may have more rows than will be tried; ``fetch(url)`` gives an
-    HTTP status.  One task goes through the plan in order: it is a budget, and short.
-    """
-
-    def run(key, rows):
-        import pandas as pd
 
-        counts, blocked, out = {}, set(), []
-        for r in rows.sort_values("attempt").itertuples():
-            host = r.publisher_url.split("/")[2].lower()
-            if len(out) >= most or host in blocked or counts.get(host, 0) >= per_host:
-                continue
-            counts[host] = counts.get(host, 0) + 1
-            code = fetch(r.publisher_url)
-            if code in stop:
-                blocked.add(host)
-            out.append((r.work_id, r.publisher_url, "SUCCESS" if 200 <= code < 400 else "FAILED", code))
-        return pd.DataFrame(out, columns=["work_id", "url", "status", "http_status"])
+def probe(candidates: DataFrame, fetch: Callable[[str], int], most: int = 15, per_host: int = 2, stop: tuple[int, ...] = BLOCKS, url: str = "publisher_url", order: str = "rank") -> DataFrame:
+    """Probes in order with feedback (W7): so many of a host, none after it blocked, so many in all.  Adds attempt (from 1), status, http_status.
 
-    return planned.groupBy(F.lit(1).alias("run")).applyInPandas(run, "work_id string, url string, status string, http_status int")
+    What is asked is what a loop over the candidates would ask, in rounds: a
+    candidate's turn has come if all before it of its host are answered, and if it is
+    within the budget even should every open candidate before it be asked.  A round
+    asks all whose turn has come, side by side, and writes the answers down before
+    the next; the first open candidate is always among them or beyond the budget.
+    Places are counted in ranges of the order, so no task sees all candidates.  Only the
+    ranges' sums, a few numbers for each task, are added up in one place.  A
+    candidate without url is passed over; equal places go by a hash of the row.
+    """
+    cols = candidates.columns
+    host, tie, k, block, at = (fresh(candidates, c) for c in ("_host", "_tie", "_k", "_block", "_at"))
+    rows = candidates.where(filled(F.col(url))).withColumn(host, host_of(F.col(url))).withColumn(tie, F.xxhash64(F.to_json(F.struct(*cols))))
+    own = F.row_number().over(Window.partitionBy(host).orderBy(order, tie))
+    rows = rows.withColumn(k, own).where(F.col(k) <= max(most, per_host)).where(F.col(k) <= F.when(F.col(host).isin(*RESOLVERS), most).otherwise(per_host))
+    rows = spool(rows.repartitionByRange(order, tie).withColumn(block, F.spark_partition_id()), "probes")
+    open_ = spool(rows.withColumn(at, F.row_number().over(Window.partitionBy(block).orderBy(order, tie, k))), "open")
+    kinds = dict(open_.dtypes)
+    shape = ", ".join(f"`{c}` {kinds[c]}" for c in open_.columns) + ", status string, http_status int"
+
+    def ask(frames):
+        for f in frames:
+            codes = [fetch(u) for u in f[url]]
+            yield f.assign(status=["SUCCESS" if 200 <= c < 400 else "FAILED" for c in codes], http_status=codes)
+
+    def placed(asked: DataFrame | None, waiting: DataFrame) -> DataFrame:
+        """Both in one order, with how many of each are up to and with a row."""
+        both = waiting.select(block, at, F.lit(0).alias("a"), F.lit(1).alias("w"))
+        both = both if asked is None else both.unionAll(asked.select(block, at, F.lit(1), F.lit(0)))
+        sums = both.groupBy(block).agg(F.sum("a").alias("a"), F.sum("w").alias("w"))
+        before = Window.orderBy(block).rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+        base = sums.select(block, *(F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}0") for c in ("a", "w")))
+        upto = Window.partitionBy(block).orderBy(at)
+        return both.select(block, at, "w", F.sum("a").over(upto).alias("a1"), F.sum("w").over(upto).alias("w1")).join(base, block).where("w = 1").select(block, at, (F.col("a1") + F.col("a0")).alias("asked"), (F.col("a1") + F.col("a0") + F.col("w1") + F.col("w0")).alias("upto"))
+
+    asked = None
+    while open_.limit(1).count():
+        seen = open_.join(placed(asked, open_), [block, at]).where(F.col("asked") < most)
+        first = F.row_number().over(Window.partitionBy(host).orderBy(k)) == 1
+        seen = spool(seen.withColumn("turn", (F.col("upto") <= most) & first), "turns")
+        got = spool(seen.where("turn").select(*open_.columns).mapInPandas(ask, shape), "answers")
+        asked = got if asked is None else asked.unionAll(got)
+        shut = got.where(F.col("http_status").isin(*stop)).select(host).distinct()
+        open_ = spool(seen.where("NOT turn").select(*open_.columns).join(shut, host, "left_anti").select(*open_.columns), "open")
+    if asked is None:
+        asked = open_.select("*", F.lit(None).cast("string").alias("status"), F.lit(None).cast("int").alias("http_status"))
+    base = asked.groupBy(block).agg(F.count(F.lit(1)).alias("n")).select(block, F.coalesce(F.sum("n").over(Window.orderBy(block).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("n"))
+    number = F.row_number().over(Window.partitionBy(block).orderBy(at))
+    return asked.withColumn("attempt", number).join(base, block).select(*cols, (F.col("attempt") + F.col("n")).cast("int").alias("attempt"), "status", "http_status")
 
 
 def newest_first(records: DataFrame, most: int) -> DataFrame:
@@ -211,20 +244,24 @@ def capped_in_order(rows: DataFrame, by: str, caps: Mapping[str, Mapping[str, in
 
     A row beyond one cap counts for none, which makes it a sequence; each group
     is first cut to the rows that could be taken at all, at most ``most`` for
-    each combination of capped values.
+    each combination of capped values.  Rows of one place are numbered by a hash of
+    what they hold, so there are never more than ``most`` of a group, and a row
+    that is there twice counts twice.
     """
     names = list(caps)
-    n = F.row_number().over(Window.partitionBy(by, *names).orderBy(order))
-    short = rows.withColumn("_n", n).where(F.col("_n") <= most).drop("_n")
-    item = F.struct(F.col(order).alias("o"), *[F.col(c).alias(c) for c in names])
-    lists = short.groupBy(by).agg(F.array_sort(F.collect_list(item)).alias("items"))
+    tie = F.xxhash64(F.to_json(F.struct(*rows.columns)))
+    n = F.row_number().over(Window.partitionBy(by, *names).orderBy(order, tie))
+    short = rows.withColumn("_n", n).where(F.col("_n") <= most)
+    item = F.struct(F.struct(F.col(order), tie, F.col("_n")).alias("o"), F.struct(*rows.columns).alias("r"))
+    place = lambda x, y: F.when(x["o"] < y["o"], -1).when(y["o"] < x["o"], 1).otherwise(0)
+    lists = short.groupBy(by).agg(F.array_sort(F.collect_list(item), place).alias("items"))
 
     def room(acc: Column, x: Column, c: str) -> Column:
         limit = F.lit(caps[c].get("*", most))
         for value, n in caps[c].items():
             if value != "*":
-                limit = F.when(x[c] == value, n).otherwise(limit)
-        return F.size(F.filter(acc, lambda y: y[c] == x[c])) < limit
+                limit = F.when(x["r"][c] == value, n).otherwise(limit)
+        return F.size(F.filter(acc, lambda y: y["r"][c].eqNullSafe(x["r"][c]))) < limit
 
     def step(acc: Column, x: Column) -> Column:
         ok = F.size(acc) < most
@@ -232,6 +269,4 @@ def capped_in_order(rows: DataFrame, by: str, caps: Mapping[str, Mapping[str, in
             ok = ok & room(acc, x, c)
         return F.when(ok, F.array_append(acc, x)).otherwise(acc)
 
-    start = F.slice("items", 1, 0)
-    taken = lists.select(by, F.explode(F.aggregate("items", start, step)).alias("x")).select(by, F.col("x.o").alias(order))
-    return short.join(taken, [by, order], "left_semi")
+    return lists.select(F.explode(F.aggregate("items", F.slice("items", 1, 0), step)).alias("x")).select("x.r.*")

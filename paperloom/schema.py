@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EVENT = "struct<event_type:string,occurred_at:string,source:string,source_field:string,source_url:string,precision:string,confidence:string>"
@@ -57,3 +57,11 @@ def filled(col: Column) -> Column:
 
 def text_of(col: Column) -> Column:
     return F.coalesce(col, F.lit(""))
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores after it as it takes to be no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

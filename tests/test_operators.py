@@ -272,10 +272,54 @@ def test_featured_caps_and_totals(spark):
         rank.Policy(target=9, hard_max=8)
 
 
-def test_probe_stops_at_a_blocking_host(spark):
-    plan = spark.createDataFrame([(i, f"w{i}", f"https://{h}/{i}") for i, h in enumerate("aabbbcc")], "attempt int, work_id string, publisher_url string")
-    got = rank.probe(plan, lambda url: 403 if "//b/" in url else 200, most=5, per_host=2).collect()
-    assert sorted((r["work_id"], r["status"]) for r in got) == [("w0", "SUCCESS"), ("w1", "SUCCESS"), ("w2", "FAILED"), ("w5", "SUCCESS"), ("w6", "SUCCESS")]
+def in_one_loop(rows, code_of, most, per_host):
+    """What a loop over the candidates asks: (place, url, code) in the order of attempts."""
+    counts, blocked, out = {}, set(), []
+    for place, url in rows:
+        host = url.split("/")[2] if url else ""
+        if not url or len(out) >= most or host in blocked or (counts.get(host, 0) >= per_host and host != "doi.org"):
+            continue
+        counts[host] = counts.get(host, 0) + 1
+        code = code_of(url)
+        if code in rank.BLOCKS:
+            blocked.add(host)
+        out.append((place, url, code))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_probe_in_rounds_asks_what_one_loop_asks(spark, seed, tmp_path):
+    import random
+
+    draw = random.Random(seed)
+    hosts = ["a.org", "b.org", "c.org", "doi.org", *(f"h{i}.org" for i in range(12))]
+    rows = [(i, draw.choice(["", None]) if draw.random() < 0.1 else f"https://{draw.choice(hosts)}/{i}", "x") for i in range(150)]
+    most, per_host, log = draw.choice([1, 7, 20, 500]), draw.choice([1, 2, 4]), str(tmp_path)
+
+    def code_of(url):
+        return (403, 200, 500, 302, 200)[sum(map(ord, url)) % 5]
+
+    def fetch(url):
+        import os
+
+        os.makedirs(f"{log}/{url.replace('/', '_')}")  # fails if a url is asked twice
+        return code_of(url)
+
+    plan = spark.createDataFrame(rows, "rank int, publisher_url string, _at string").repartition(6)
+    got = rank.probe(plan, fetch, most, per_host).collect()
+    want = in_one_loop([r[:2] for r in rows], code_of, most, per_host)
+    assert [(r["rank"], r["publisher_url"], r["http_status"]) for r in sorted(got, key=lambda r: r["attempt"])] == want
+    assert sorted(r["attempt"] for r in got) == list(range(1, len(want) + 1)) and all((r["status"] == "SUCCESS") == (200 <= r["http_status"] < 400) for r in got)
+    assert len(list(tmp_path.iterdir())) == len(want)  # no request that the loop wouldn't make
+    assert rank.probe(plan.limit(0), fetch).count() == 0
+
+
+def test_caps_hold_where_places_tie(spark):
+    rows = [(1, "c", "x", i % 2 == 0 and "s" or None) for i in range(6)] + [(1, "c", "x", "s")] * 2
+    df = spark.createDataFrame(rows, "place int, category string, direction string, section string")
+    assert rank.capped_in_order(df, "category", {}, 2).count() == 2
+    got = rank.capped_in_order(df, "category", {"section": {"s": 1, "*": 2}}, 9).collect()
+    assert sorted(str(r["section"]) for r in got) == ["None", "None", "s"] and set(got[0].asDict()) == set(df.columns)
 
 
 def test_diverse_and_sections(spark):
@@ -479,3 +523,20 @@ def test_feed_titles_meet_by_author_or_venue_whatever_the_number(spark):
     registry = [row(4, "", "B", "J"), row(5, "", "C", "J"), row(6, "", "C", ""), row(7, "", "D", "")]
     counts = sorted(r["n_records"] for r in resolve.merge_feed_and_registry(spark.createDataFrame(feed, schema), spark.createDataFrame(registry, schema)).collect())
     assert counts == [1, 1, 1, 2, 3]  # a twice; b; 3 of another day; 7; 4 to 6 by venue and author
+
+
+@pytest.mark.parametrize("by", [None, "q"])
+def test_packing_keeps_row_for_row(spark, by):
+    rows = [("a", 1, 5, "x"), ("a", 1, 5, "x"), ("a", 1, 9, "y"), (None, 2, 5, "x"), (None, None, 7, "z"), ("b", None, None, None), ("b", 3, 250, "w")]
+    items = spark.createDataFrame(rows, "q string, position int, chars int, _block string").repartition(3)
+    got = queue.pack(items, 2, 200, by).collect()
+    assert sorted(map(str, ([r[c] for c in items.columns] for r in got))) == sorted(map(str, map(list, rows)))
+    sizes = {}
+    for r in got:
+        sizes.setdefault((r["q"] if by else 0, r["batch"]), []).append((r["position"], r["chars"] or 0))
+    assert all(len(x) <= 2 and (len(x) == 1 or sum(c for _, c in x) <= 200) for x in sizes.values())
+    for q in {k[0] for k in sizes}:
+        numbers = sorted(b for p, b in sizes if p == q)
+        assert numbers == list(range(1, len(numbers) + 1))
+        places = [p if p is not None else -1 for b in numbers for p, _ in sorted(sizes[q, b], key=lambda x: -1 if x[0] is None else x[0])]
+        assert places == sorted(places)
