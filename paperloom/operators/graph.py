@@ -11,7 +11,7 @@ from paperloom.storage import discard, spool
 SMALL = 1 << 20
 
 
-def with_least(table: DataFrame, key: str, least: DataFrame) -> DataFrame:
+def with_least(table: DataFrame, key: str | list[str], least: DataFrame) -> DataFrame:
     """The join of edges with a spooled table of minima: neither side is an aggregate, so AQE may split the rows of a hub."""
     return table.join(least, key)
 

@@ -16,7 +16,7 @@ from paperloom.functions.normalize import identifier, identity_key, record_title
 from paperloom.operators.access import oa_status, stable_union
 from paperloom.operators.classify import classify, is_formal, stable_types
 from paperloom.operators.events import merge_events
-from paperloom.operators.graph import components
+from paperloom.operators.graph import components, with_least
 from paperloom.schema import IDENTIFIERS, filled, strings, text_of
 from paperloom.storage import spool
 
@@ -38,8 +38,8 @@ def identifier_edges(rows: DataFrame, kinds: tuple[str, ...] = IDENTIFIERS) -> D
     """(a, b) from each observation to the first one with the same identifier."""
     each = F.array_compact(F.array(*[F.when(identifier(k).isNotNull(), F.struct(F.lit(k).alias("k"), F.lower(identifier(k)).alias("v"))) for k in kinds]))
     pairs = rows.select("_id", F.explode(each).alias("x")).select("_id", "x.k", "x.v")
-    first = pairs.groupBy("k", "v").agg(F.min("_id").alias("a"))
-    return pairs.join(first, ["k", "v"]).where("a <> _id").select("a", F.col("_id").alias("b"))
+    first = spool(pairs.groupBy("k", "v").agg(F.min("_id").alias("a")), "first")
+    return with_least(pairs, ["k", "v"], first).where("a <> _id").select("a", F.col("_id").alias("b"))
 
 
 def conflicts(labelled: DataFrame, kinds: tuple[str, ...] = IDENTIFIERS) -> DataFrame:
@@ -49,39 +49,118 @@ def conflicts(labelled: DataFrame, kinds: tuple[str, ...] = IDENTIFIERS) -> Data
     return found.where(F.size("values") > 1)
 
 
-def title_bridges(labelled: DataFrame) -> DataFrame:
-    """(a, b) between components of one title that complement each other and agree on date and author, venue or source.
+#: Facts about open titles that one task goes through in order; both ways give the same bridges.
+SMALL = 1 << 18
 
-    Nothing is gathered by title: what all components of a title share is found by
-    counting them for each value, contradictions by least and greatest identifier.
+
+def _title_facts(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What observations of telling titles say, by title and component, and components' identifiers: (title, part, k, v), (part, k, v).
+
+    Each title and part has a row of the kind ``part``, and one of the kind ``named`` if an observation has an identifier.
     """
     plain = lambda c: F.regexp_replace(F.lower(text_of(c)), "[^a-z0-9]+", "")
-    ids = F.array_compact(F.array(*[F.concat(F.lit(f"{k}="), F.lower(identifier(k))) for k in IDENTIFIERS]))
+    ids = F.array_compact(F.array(*[F.when(identifier(k).isNotNull(), F.struct(F.lit(k).alias("k"), F.lower(identifier(k)).alias("v"))) for k in IDENTIFIERS]))
     words = F.regexp_extract_all("_title", F.lit("[a-z0-9]+"), 0)
     telling = (F.size(words) >= 4) & (F.length(F.array_join(words, "")) >= 20) & (F.size(F.array_except(words, F.array(*map(F.lit, GENERIC_TITLES)))) > 0)
-    named = F.array_except(F.transform(F.concat(F.array("source"), strings(F.col("observed_sources"))), plain), F.array(*map(F.lit, GENERIC_SOURCES)))
-    said = {"date": F.array(F.substring(text_of(F.col("publication_date")), 1, 10)), "author": F.transform(strings(F.col("authors")), plain), "venue": F.array(plain(F.col("venue"))), "source": named}
+    sources = F.array_except(F.transform(F.concat(F.array("source"), strings(F.col("observed_sources"))), plain), F.array(*map(F.lit, GENERIC_SOURCES)))
+    said = {"date": F.array(F.substring(text_of(F.col("publication_date")), 1, 10)), "author": F.transform(strings(F.col("authors")), plain), "venue": F.array(plain(F.col("venue"))), "source": sources}
     of = lambda k: lambda v: F.struct(F.lit(k).alias("k"), v.alias("v"))
-    pairs = F.concat(*[F.transform(c, of(k)) for k, c in said.items()])
-    rows = spool(labelled.where(telling).select("component", "_title", (F.size(ids) == 0).alias("bare"), F.array_distinct(F.filter(pairs, lambda p: p["v"] != "")).alias("said")), "titles")
-    parts = rows.groupBy("_title", "component").agg(F.bool_and("bare").alias("bare"))
-    titles = spool(parts.groupBy("_title").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("a"), F.bool_or("bare").alias("bare")).where("n > 1"), "shared-titles")
-    values = rows.join(titles.select("_title"), "_title").select("_title", "component", F.explode("said").alias("s")).select("_title", "component", "s.k", "s.v").distinct()
-    agreed = values.groupBy("_title", "k", "v").agg(F.count(F.lit(1)).alias("m")).join(titles, "_title").where("m = n")
-    has = lambda *k: F.bool_or(F.col("k").isin(*k))
-    fine = agreed.groupBy("_title", "a").agg((has("date") & (has("author", "venue") | (F.bool_or("bare") & has("source")))).alias("ok")).where("ok").select("_title", "a")
-    some = rows.join(fine, "_title").select("_title", "component", "a").distinct()
-    held = labelled.select("component", F.explode(ids).alias("i")).distinct()
-    kind = F.substring_index("i", "=", 1).alias("kind")
-    clash = some.join(held, "component").groupBy("_title", kind).agg((F.min("i") < F.max("i")).alias("two")).where("two").select("_title").distinct()
-    return some.join(clash, "_title", "left_anti").where("component <> a").select("a", F.col("component").alias("b"), "_title")
-
-
-def label(candidates: DataFrame, bridge: bool = True) -> DataFrame:
+    one = lambda k, ok: F.when(ok, F.array(F.struct(F.lit(k).alias("k"), F.lit("-").alias("v")))).otherwise(F.array().cast("array<struct<k:string,v:string>>"))
+    pairs = F.concat(one("part", F.lit(True)), one("named", F.size(ids) > 0), *[F.transform(c, of(k)) for k, c in said.items()])
+    facts = spool(labelled.where(telling).select(F.col("_title").alias("title"), F.col("component").alias("part"), F.explode(F.filter(pairs, lambda p: p["v"] != "")).alias("x")).select("title", "part", "x.*").distinct(), "facts")
+    shared = spool(facts.where("k = 'part'").groupBy("title").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("title"), "shared-titles")
+    facts = spool(with_least(facts, "title", shared), "shared-facts")
+    held = labelled.select(F.col("component").alias("part"), F.explode(ids).alias("x")).select("part", "x.*").distinct()
+    return facts, spool(held.join(facts.select("part").distinct(), "part", "left_semi"), "held")
+
+
+def agrees(kinds: set[str], bare: bool) -> bool:
+    """Whether what all components of a title say in common is enough to bridge it."""
+    return "date" in kinds and ("author" in kinds or "venue" in kinds or (bare and "source" in kinds))
+
+
+def _in_order(facts: DataFrame, held: DataFrame) -> DataFrame:
+    """(part, root) after the titles of at most SMALL facts, one after the other in one task; facts and identifiers are those of roots."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        titles, ids, up = {}, {}, {}
+        for b in batches:
+            for title, part, k, v in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                up[part] = part
+                if title is None:
+                    ids.setdefault(part, {})[k] = v
+                else:
+                    titles.setdefault(title, {}).setdefault(part, set()).add((k, v))
+
+        def root(x):
+            while up[x] != x:
+                up[x] = x = up[up[x]]
+            return x
+
+        for title in sorted(titles):
+            said = {}
+            for part, facts in titles[title].items():
+                said.setdefault(root(part), set()).update(facts)
+            pairs = {p for r in said for p in ids.get(r, {}).items()}
+            if len(said) < 2 or len({k for k, _ in pairs}) < len(pairs):
+                continue
+            common = {k for k, _ in set.intersection(*said.values())}
+            if agrees(common, any(("named", "-") not in x for x in said.values())):
+                top = min(said)
+                up.update(dict.fromkeys(said, top))
+                ids[top] = dict(pairs)
+        parts = list(up)
+        yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int64()), pa.array(map(root, parts), pa.int64())], ["part", "root"])
+
+    rows = facts.select("title", "part", "k", "v").unionAll(held.select(F.lit(None).cast("string"), "part", "k", "v"))
+    return rows.repartition(1).mapInArrow(run, "part long, root long")
+
+
+def bridged(labelled: DataFrame, small: int = SMALL) -> DataFrame:
+    """(part, root): components after titles have bridged those that complement each other and agree.
+
+    Titles go in their order, as an earlier bridge changes what a later title has
+    to agree on.  A title's turn has come once it is the least open one at each of
+    its components: nothing that is open before it can touch them.  All titles whose
+    turn has come have components of their own, so a round judges them side by side.  A title's components agree if
+    they say the same date, and the same author, venue or, where one has no identifier, source; they
+    contradict each other if they hold two identifiers of one kind.  Nothing is
+    gathered by title or component: what all say is found by counting, contradictions
+    by least and greatest identifier.  Once at most ``small`` facts are left, by
+    count, one task goes through their titles.
+    """
+    facts, held = _title_facts(labelled)
+    roots = spool(facts.select("part", F.col("part").alias("root")).distinct(), "roots")
+    while n := facts.count():
+        if n + held.count() <= small:
+            last = spool(_in_order(facts, held), "in-order")
+            return roots.join(last.select(F.col("part").alias("root"), F.col("root").alias("to")), "root", "left").select("part", F.coalesce("to", "root").alias("root"))
+        parts = facts.where("k = 'part'").select("title", "part")
+        first = spool(parts.groupBy("part").agg(F.min("title").alias("first")), "turns")
+        turn = with_least(parts, "part", first).groupBy("title").agg(F.count(F.lit(1)).alias("n"), F.min("part").alias("to"), F.bool_and(F.col("title") == F.col("first")).alias("ready"))
+        turn = spool(turn, "titles")  # titles of one part are through
+        now = spool(with_least(facts, "title", turn.where("ready AND n > 1")), "ready")
+        own = now.where("k = 'part'").select("title", "part", "to")
+        clash = held.join(own, "part").groupBy("title", "k").agg((F.min("v") < F.max("v")).alias("two")).where("two").select("title").distinct()
+        has = lambda *k: F.bool_or((F.col("m") == F.col("n")) & F.col("k").isin(*k))
+        common = now.groupBy("title", "k", "v").agg(F.count(F.lit(1)).alias("m"), F.first("n").alias("n"))
+        bare = F.coalesce(F.max(F.when(F.col("k") == "named", F.col("m"))), F.lit(0)) < F.max("n")
+        fine = common.groupBy("title").agg((has("date") & (has("author", "venue") | (bare & has("source")))).alias("ok")).where("ok").join(clash, "title", "left_anti")
+        moves = spool(own.join(fine.select("title"), "title", "left_semi").where(F.col("part") != F.col("to")).select("part", "to"), "moves")
+        moved = lambda t: t.join(moves, "part", "left").withColumn("part", F.coalesce("to", "part")).drop("to")
+        left = facts.join(turn.where("n > 1 AND NOT ready").select("title"), "title", "left_semi")
+        facts = spool(moved(left).select("title", "part", "k", "v").distinct(), "facts")
+        held = spool(moved(held).select("part", "k", "v").distinct(), "held")
+        roots = spool(moved(roots.select("part", F.col("root")).withColumnRenamed("part", "_part").withColumnRenamed("root", "part")).select(F.col("_part").alias("part"), F.col("part").alias("root")), "roots")
+    return roots
+
+
+def label(candidates: DataFrame, bridge: bool = True, small: int = SMALL) -> DataFrame:
     """The observations with their component (J1).  Raises IdentityConflict where identifiers contradict each other.
 
-    Bridges that together would bring contradicting identifiers into one
-    component are taken in the order of their titles, and those that would are left out.
+    Titles bridge components in their order; a bridge that would bring contradicting identifiers together is left out.
     """
     rows = _keyed(candidates)
     nodes = rows.select(F.col("_id").alias("id"))
@@ -92,55 +171,8 @@ def label(candidates: DataFrame, bridge: bool = True) -> DataFrame:
         raise IdentityConflict("; ".join(f"{r['kind']}: {', '.join(r['values'])}" for r in bad))
     if not bridge:
         return labelled
-    edges = spool(title_bridges(labelled), "bridges")
-    if not edges.limit(1).count():
-        return labelled
-    joined = components(labelled.select(F.col("component").alias("id")).distinct(), edges)
-    merged = labelled.withColumnRenamed("component", "_part").join(joined, F.col("_part") == joined["id"]).drop("id")
-    torn = spool(conflicts(merged).select("component").distinct(), "torn")
-    if torn.limit(1).count():
-        kept = _untangled(edges, joined, merged, torn)
-        joined = components(labelled.select(F.col("component").alias("id")).distinct(), kept)
-        merged = labelled.withColumnRenamed("component", "_part").join(joined, F.col("_part") == joined["id"]).drop("id")
-    return merged.drop("_part")
-
-
-def _untangled(edges: DataFrame, joined: DataFrame, merged: DataFrame, torn: DataFrame) -> DataFrame:
-    """Bridges without those that, taken in the order of titles, would join contradicting identifiers."""
-    of = joined.select(F.col("id").alias("a"), "component")
-    mine = edges.join(of, "a")
-    fine = mine.join(torn, "component", "left_anti").select("a", "b")
-    ids = F.array_compact(F.array(*[F.concat(F.lit(f"{k}="), F.lower(identifier(k))) for k in IDENTIFIERS]))
-    known = merged.join(torn, "component").groupBy("component", "_part").agg(F.array_distinct(F.flatten(F.collect_set(ids))).alias("ids"))
-
-    def greedy(key, bridges, parts):
-        import pandas as pd
-
-        up = dict(zip(parts["_part"], parts["_part"], strict=True))
-        held = {p: dict(i.split("=", 1) for i in ids) for p, ids in zip(parts["_part"], parts["ids"], strict=True)}
-
-        def root(x):
-            while up[x] != x:
-                x = up[x]
-            return x
-
-        keep = []
-        for _, group in bridges.sort_values(["_title", "b"]).groupby("_title", sort=True):
-            roots = {root(x) for x in [*group["a"], *group["b"]]}
-            kinds = [k for r in roots for k in held[r]]
-            values = {(k, v) for r in roots for k, v in held[r].items()}
-            if len(values) > len(set(kinds)):
-                continue
-            keep += list(zip(group["a"], group["b"], strict=True))
-            top = min(roots)
-            for r in roots:
-                up[r] = top
-            held[top] = dict(values)
-        return pd.DataFrame(keep, columns=["a", "b"], dtype="int64")
-
-    mine, known = spool(mine.join(torn, "component"), "torn-bridges"), spool(known, "torn-parts")
-    some = mine.groupBy("component").cogroup(known.groupBy("component")).applyInPandas(greedy, "a long, b long")
-    return fine.union(some)
+    roots = bridged(labelled, small)
+    return labelled.join(roots, labelled["component"] == roots["part"], "left").withColumn("component", F.coalesce("root", "component")).drop("part", "root")
 
 
 def fold(labelled: DataFrame) -> DataFrame:
@@ -201,7 +233,7 @@ def merge_feed_and_registry(feed: DataFrame, registry: DataFrame) -> DataFrame:
     rows = spool(rows.withColumn("id", F.monotonically_increasing_id()).withColumn("_key", record_title_key(F.col("title"))), "records")
     alias = F.array_compact(F.array(F.concat(F.lit("doi:"), F.nullif(F.lower("doi"), F.lit(""))), F.concat(F.lit("url:"), F.nullif(F.col("landing_url"), F.lit("")))))
     each = rows.select("id", F.explode(alias).alias("k"))
-    by_alias = each.join(each.groupBy("k").agg(F.min("id").alias("a")), "k").where("a <> id").select("a", F.col("id").alias("b"))
+    by_alias = with_least(each, "k", spool(each.groupBy("k").agg(F.min("id").alias("a")), "first")).where("a <> id").select("a", F.col("id").alias("b"))
     words = F.regexp_extract_all(F.lower(text_of(F.col("title"))), F.lit("[a-z0-9]+"), 0)
     telling = (F.size(words) >= 3) & (F.length("_key") >= 12) & ~F.col("_key").isin(*GENERIC_TITLES)
     names = F.transform(strings(F.col("authors")), lambda n: F.concat(F.lit("a:"), F.regexp_replace(F.lower(n), "[^a-z0-9]+", "")))
@@ -231,7 +263,7 @@ def deduplicate_papers(papers: DataFrame) -> DataFrame:
     """Papers with the same key or title as one (J21): the best total's row, ids filled from the others, streams and versions united."""
     rows = spool(papers.withColumn("id", F.monotonically_increasing_id()).withColumn("_keys", F.array(F.concat(F.lit("k:"), identity_key()), F.concat(F.lit("t:"), F.trim(F.regexp_replace(F.lower(text_of(F.col("title"))), r"[^\p{L}\p{N}_]+", " "))))), "papers")
     each = rows.select("id", F.explode("_keys").alias("k")).where("k <> 't:'")
-    edges = each.join(each.groupBy("k").agg(F.min("id").alias("a")), "k").where("a <> id").select("a", F.col("id").alias("b"))
+    edges = with_least(each, "k", spool(each.groupBy("k").agg(F.min("id").alias("a")), "first")).where("a <> id").select("a", F.col("id").alias("b"))
     joined = components(rows.select("id"), edges)
     rows = rows.join(joined, "id").withColumn("_order", F.struct(-F.col("total_score"), F.col("id")))
     streams = F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("id", F.concat(F.array("stream"), strings(F.col("secondary_streams"))).alias("s")))), lambda r: r["s"])))

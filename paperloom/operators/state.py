@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.functions.ids import event_id, stable_id
-from paperloom.operators.graph import components
+from paperloom.operators.graph import components, with_least
 from paperloom.schema import ACCESS_DEPTHS, CLAIM_STATUSES, IDENTIFIERS, PROBED, filled, rank_of, strings
+from paperloom.storage import spool
 
 
 class StateConflict(RuntimeError):
@@ -84,7 +85,8 @@ def work_groups(works: DataFrame) -> DataFrame:
     rows = works.withColumn("_id", F.xxhash64("work_id", F.col("last_seen_at").cast("string"), F.to_json("identifiers")))
     keys = F.concat(F.array(F.concat(F.lit("work="), F.col("work_id"))), F.transform(F.filter(F.map_entries("identifiers"), lambda e: filled(e["value"])), lambda e: F.concat(e["key"], F.lit("="), F.lower(F.trim(e["value"])))))
     each = rows.select("_id", F.explode(keys).alias("k"))
-    edges = each.join(each.groupBy("k").agg(F.min("_id").alias("a")), "k").select("a", F.col("_id").alias("b"))
+    first = spool(each.groupBy("k").agg(F.min("_id").alias("a")), "first")
+    edges = with_least(each, "k", first).select("a", F.col("_id").alias("b"))
     joined = components(rows.select(F.col("_id").alias("id")), edges)
     return rows.join(joined, rows["_id"] == joined["id"]).drop("_id", "id").withColumnRenamed("component", "group")
 

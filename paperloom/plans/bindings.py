@@ -410,7 +410,7 @@ def title_bridge(spark, d):
     # Documents without identifiers: a text is a title, its language the day it came out.
     none = F.array().cast("array<string>")
     rows = docs(spark, d, "doc_id", "lang", "source", "text").select(F.col("doc_id").alias("component"), T.label(F.col("text")).alias("_title"), F.col("lang").alias("publication_date"), "source", none.alias("authors"), F.lit("").alias("venue"), none.alias("observed_sources"), *[F.lit("").alias(c) for c in IDENTIFIERS])
-    return resolve.title_bridges(rows).select("a", "b")
+    return resolve.bridged(rows).where("part <> root").select(F.col("root").alias("a"), F.col("part").alias("b"))
 
 
 @query("SELECT '10.1000/' || (p_partkey // 2) AS doi, 'The long study of ' || min_by(p_name || ' ' || p_partkey, p_partkey) AS title, max(CASE WHEN p_partkey % 2 = 1 THEN p_type ELSE '' END) AS venue, count(*) AS n_records FROM part GROUP BY p_partkey // 2")
