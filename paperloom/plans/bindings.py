@@ -378,10 +378,11 @@ def identity_components(spark, d):
     return _components(spark, d)
 
 
-@query(f"WITH RECURSIVE {_RECURSIVE}, comp AS (SELECT a AS doc_id, min(c) AS component FROM reach GROUP BY a) SELECT component, count(DISTINCT lang) AS n_langs, count(*) AS n FROM comp JOIN documents USING (doc_id) GROUP BY component HAVING count(DISTINCT lang) > 1 OR count(*) > 4")
+@query(f"WITH RECURSIVE {_RECURSIVE}, comp AS (SELECT a AS doc_id, min(c) AS component FROM reach GROUP BY a) SELECT component, 'anthology_id' AS kind, string_agg(DISTINCT source, '|' ORDER BY source) AS values FROM comp JOIN documents USING (doc_id) GROUP BY component HAVING count(DISTINCT source) > 1")
 def conflict_groups(spark, d):
-    rows = _components(spark, d).join(docs(spark, d, "doc_id", "lang"), "doc_id")
-    return rows.groupBy("component").agg(F.count_distinct("lang").alias("n_langs"), F.count(F.lit(1)).alias("n")).where("n_langs > 1 or n > 4")
+    """Components of documents that hold several sources, as if a source were an identifier."""
+    rows = _components(spark, d).join(docs(spark, d, "doc_id", F.col("source").alias("anthology_id")), "doc_id")
+    return resolve.conflicts(rows, ("anthology_id",)).select("component", "kind", joined("values").alias("values"))
 
 
 def observations(spark: SparkSession, d: str) -> DataFrame:
@@ -432,10 +433,9 @@ def ranked_papers(spark: SparkSession, d: str) -> DataFrame:
 
 @query("WITH a AS (SELECT doc_id, lang, source, n_chars, row_number() OVER (PARTITION BY lang, source ORDER BY n_chars DESC, doc_id) AS k FROM documents), b AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n_chars DESC, doc_id) AS rn FROM a WHERE k <= 2) SELECT doc_id, lang, source, n_chars, rn FROM b WHERE rn <= 8")
 def topk_cap(spark, d):
-    rows = docs(spark, d, "doc_id", "lang", "source", "n_chars")
-    best = Window.partitionBy("lang", "source").orderBy(F.desc("n_chars"), "doc_id")
-    top = Window.partitionBy("lang").orderBy(F.desc("n_chars"), "doc_id")
-    return rows.withColumn("k", F.row_number().over(best)).where("k <= 2").withColumn("rn", F.row_number().over(top)).where("rn <= 8").drop("k")
+    rows = docs(spark, d, "doc_id", "lang", "source", "n_chars").withColumn("order", F.struct(-F.col("n_chars"), "doc_id"))
+    best = rank.capped_in_order(rows, "lang", {"source": {"*": 2}}, 8, "order")
+    return best.withColumn("rn", F.row_number().over(Window.partitionBy("lang").orderBy("order"))).drop("order")
 
 
 @query("""WITH a AS (SELECT *, row_number() OVER (PARTITION BY lang, source ORDER BY n_chars DESC, doc_id) AS k FROM documents), b AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY CASE WHEN k = 1 THEN 0 ELSE 1 END, n_chars DESC, doc_id) AS place FROM a WHERE k <= 2)
