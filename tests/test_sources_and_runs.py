@@ -12,7 +12,8 @@ from paperloom.operators.state import StateConflict
 from paperloom.plans import report
 from paperloom.plans.run import Config, discover, execute
 from paperloom.schema import EVENT
-from paperloom.sources import inventory, offline, payloads
+from paperloom.storage import spool
+from paperloom.sources import chains, inventory, offline, payloads
 from paperloom.streaming import state_stream
 
 TOKYO = ZoneInfo("Asia/Tokyo")
@@ -225,3 +226,108 @@ def test_inventories(spark):
 @pytest.mark.parametrize(("url", "fine"), [("https://example.org/x", True), ("http://8.8.8.8:80/", True), ("https://user@example.org/", False), ("https://example.org:8443/", False), ("http://localhost/", False), ("http://192.168.1.1/", False), ("http://172.20.0.1/", False), ("http://[::1]/", False), ("ftp://example.org", False), ("http://2130706433/", False), (None, False), ("http://printer.local/", False)])
 def test_public_urls(spark, url, fine):
     assert spark.createDataFrame([(url,)], "u string").select(inventory.is_public_url(F.col("u")).alias("v")).first()["v"] is fine
+
+
+def crossref_page(n, total, following):
+    return json.dumps({"message": {"total-results": total, "next-cursor": following, "items": [{"DOI": f"10.1/{following}-{i}", "title": [f"Paper {i}"], "published-online": {"date-parts": [[2026, 8, 8]]}} for i in range(n)]}})
+
+
+def test_cursor_chains_are_followed_to_their_end_or_fault(spark, tmp_path):
+    stores = {
+        "whole": {"*": (2, 5, "a/b"), "a/b": (2, 5, "c"), "c": (1, 5, "d"), "d": (9, 5, "")},  # d is never opened
+        "stalled": {"*": (2, 9, "x"), "x": (2, 9, "*")},
+        "same": {"*": (2, 9, "*")},
+        "early": {"*": (2, 9, "x"), "x": (0, 9, "y")},
+        "untold": {"*": (3, None, "x"), "x": (2, None, "y"), "y": (3, None, "z")},
+        "endless": {"*": (3, 99, "1"), **{str(i): (3, 99, str(i + 1)) for i in range(1, 9)}},
+        "gone": {"*": (2, 9, "lost")},
+        "none": {"*": (0, 0, "")},
+    }
+    for name, pages in stores.items():
+        (tmp_path / "crossref" / name).mkdir(parents=True)
+        for cursor, page in pages.items():
+            (tmp_path / "crossref" / name / f"{cursor.replace('/', '%2F').replace('*', '%2A')}.json").write_text(crossref_page(*page))
+    (tmp_path / "crossref" / "broken").mkdir()
+    (tmp_path / "crossref" / "broken" / "%2A.json").write_text('{"message": {"items": 3}}')
+    offline.register(spark)
+    read = spark.read.format("chains").options(path=str(tmp_path), maxPages="4", fullPage="3", pauseSeconds="0", attempts="2", inventoriesPerPartition="3")
+    rows = read.load()
+    assert rows.rdd.getNumPartitions() == 3
+    got = {r["inventory_id"]: r for r in chains.inventory_receipts(rows).collect()}
+    said = {k: (r["pages_requested"], r["pages_received"], r["attempts"], r["faults"], r["complete"]) for k, r in got.items()}
+    assert said == {
+        "whole": (3, 3, 3, [], True), "stalled": (2, 2, 2, ["STALLED"], False), "same": (1, 1, 1, ["STALLED"], False), "early": (2, 2, 2, ["ENDED_EARLY"], False), "untold": (2, 2, 2, [], True),
+        "endless": (4, 4, 4, ["TOO_MANY_PAGES"], False), "gone": (2, 1, 3, ["REQUEST_FAILED: FileNotFoundError"], False), "none": (1, 1, 1, [], True), "broken": (1, 1, 1, ["INVALID_PAYLOAD"], False),
+    }
+    assert got["whole"]["n_bytes"] == sum(len(crossref_page(*stores["whole"][c])) for c in ("*", "a/b", "c"))
+    parsed = payloads.crossref_pages(rows.where("body IS NOT NULL").select("inventory_id", "page", "body")).groupBy("inventory_id").count()
+    assert {r["inventory_id"]: r["count"] for r in parsed.collect()}["whole"] == 5
+
+
+def test_listings_stop_before_pages_older_than_the_window(spark, tmp_path):
+    page = lambda *days: "".join(f"<article>Published online by X: {d} August 2026</article>" for d in days)
+    stores = {
+        "stops": [page(9, 8), page(8, 7, 5), "x" * 5000], "shuffled": [page(7, 9), page(7, 2)], "back": [page(9, 8), page(9, 2), page(2, 1)], "open": [page(9), page(8), page(8), page(8)], "empty": ["", page(3)], "short": [page(9)],
+    }
+    for name, pages in stores.items():
+        (tmp_path / "press" / name).mkdir(parents=True)
+        for i, text in enumerate(pages, 1):
+            (tmp_path / "press" / name / f"{i}.html").write_text(text)
+    offline.register(spark)
+    rows = spark.read.format("chains").options(path=str(tmp_path), kind="numbered", start="2026-08-06", datePattern="by X: ([^<]+)<", maxPages="3", pauseSeconds="0").load()
+    got = {r["inventory_id"]: (r["pages_requested"], r["faults"]) for r in chains.inventory_receipts(rows).collect()}
+    assert got == {"stops": (2, []), "shuffled": (2, ["NOT_DESCENDING"]), "back": (3, ["NOT_MONOTONIC"]), "open": (3, ["WINDOW_NOT_CLOSED"]), "empty": (2, []), "short": (2, ["REQUEST_FAILED: FileNotFoundError"])}
+    assert rows.where("inventory_id = 'stops'").agg(F.sum("n_bytes")).first()[0] == len(stores["stops"][0]) + len(stores["stops"][1])
+
+
+def test_flaky_stores_make_rows_and_open_circuits(spark, tmp_path):
+    log = str(tmp_path / "log")
+
+    def flaky(path, most):
+        """The first attempt at every file fails; what is named dead always does."""
+        import os
+
+        n = len(os.listdir(log)) if os.path.isdir(log) else 0
+        os.makedirs(f"{log}/{n:05}-{os.path.basename(os.path.dirname(path))}-{os.path.basename(path)}")
+        if "dead" in path or not sum(x.endswith(f"-{os.path.basename(os.path.dirname(path))}-{os.path.basename(path)}") for x in os.listdir(log)) > 1:
+            raise ConnectionError(path)
+        return offline.open_local(path, most)
+
+    class Flaky(chains.ChainSource):
+        opener = staticmethod(flaky)
+
+        @classmethod
+        def name(cls):
+            return "flaky_chains"
+
+    class FlakyPayloads(offline.PayloadSource):
+        opener = staticmethod(flaky)
+
+        @classmethod
+        def name(cls):
+            return "flaky_payloads"
+
+    for source, name in (("a", "1"), ("b", "dead1"), ("b", "dead2"), ("b", "dead3"), ("c", "big")):
+        (tmp_path / "store" / source / name).mkdir(parents=True)
+        (tmp_path / "store" / source / name / "%2A.json").write_text(crossref_page(1, 1, "") + (" " * 3000 if name == "big" else ""))
+    spark.dataSource.register(Flaky)
+    read = lambda **o: spark.read.format("flaky_chains").options(path=str(tmp_path / "store"), pauseSeconds="0", maxBytes="2000", **o).load()
+    receipts = spool(chains.inventory_receipts(read(mostFailures="2")), "receipts")
+    got = {(r["source"], r["inventory_id"]): (r["attempts"], r["pages_received"], r["faults"]) for r in receipts.collect()}
+    failed = ["REQUEST_FAILED: ConnectionError"]
+    assert got == {("a", "1"): (2, 1, []), ("b", "dead1"): (3, 0, failed), ("b", "dead2"): (3, 0, failed), ("b", "dead3"): (0, 0, ["CIRCUIT_OPEN"]), ("c", "big"): (3, 0, ["REQUEST_FAILED: TooLarge"])}
+    assert chains.open_circuits(receipts, 1) == '["b"]'
+    again = read(skip=chains.open_circuits(receipts, 1))
+    assert {r["source"] for r in again.where("fault = 'CIRCUIT_OPEN'").collect()} == {"b"} and again.where("source = 'a'").count() == 1
+
+    (tmp_path / "flat" / "s").mkdir(parents=True)
+    for i in range(9):
+        (tmp_path / "flat" / "s" / f"{'dead' if i == 4 else 'q'}{i}@2026-08-0{i + 1}.json").write_text("é" * i)
+    spark.dataSource.register(FlakyPayloads)
+    flat = spark.read.format("flaky_payloads").options(path=str(tmp_path / "flat"), pauseSeconds="0", partitionBytes=str(3 << 16))
+    rows = flat.load()
+    assert rows.rdd.getNumPartitions() == 3
+    got = {r["query_id"]: (r["body"], r["attempts"], r["fault"]) for r in rows.collect()}
+    assert got == {f"q{i}": ("é" * i, 2, None) for i in range(9) if i != 4} | {"dead4": (None, 3, "ConnectionError")}
+    with pytest.raises(Exception, match="ConnectionError"):
+        flat.option("mode", "FAILFAST").load().count()
