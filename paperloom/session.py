@@ -13,6 +13,7 @@ def local_session(cores: str = "8", app: str = "paperloom", **extra: str) -> Spa
         "spark.sql.shuffle.partitions": "8",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": os.environ.get("PAPERLOOM_DRIVER_MEMORY", "8g"),

@@ -16,15 +16,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from paperloom.operators import events as E
 from paperloom.operators import state
+from paperloom.streaming.gap_stream import first_only
 
 
 def read(spark: SparkSession, path: str, schema: str, files_per_trigger: int = 16) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
-def gated(stream: DataFrame, start: datetime, end: datetime, timezone: str = E.TIMEZONE) -> DataFrame:
-    """Rows with an event in the window, and new ids only: (event_id, events, ...) stateless but for the ids seen."""
-    return E.gate(stream, start, end, timezone).dropDuplicates(["event_id"])
+def gated(stream: DataFrame, start: datetime, end: datetime, timezone: str = E.TIMEZONE, keep_days: int = 90) -> DataFrame:
+    """Rows with an event in the window, and new ids only; an id is remembered for ``keep_days``, longer than a window is."""
+    return first_only(E.gate(stream, start, end, timezone), "event_id", keep_days)
 
 
 def upsert_into(stream: DataFrame, table_path: Callable[[int], str], first: DataFrame, checkpoint: str) -> StreamingQuery:

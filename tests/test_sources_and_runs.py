@@ -1,20 +1,21 @@
 """Payload parsers, the offline source, sinks, a whole run, and streams."""
 
 import json
+import os
 from datetime import datetime
 from zoneinfo import ZoneInfo
 
 import pytest
 from pyspark.sql import functions as F
 
-from paperloom.operators import rank, resolve
+from paperloom.operators import gaps, rank, resolve
 from paperloom.operators.state import StateConflict
 from paperloom.plans import report
 from paperloom.plans.run import Config, discover, execute
 from paperloom.schema import EVENT
 from paperloom.storage import spool
 from paperloom.sources import chains, inventory, offline, payloads
-from paperloom.streaming import state_stream
+from paperloom.streaming import gap_stream, state_stream
 
 TOKYO = ZoneInfo("Asia/Tokyo")
 START, END = datetime(2026, 8, 6, 12, tzinfo=TOKYO), datetime(2026, 8, 9, 12, tzinfo=TOKYO)
@@ -205,6 +206,83 @@ def test_gated_stream_keeps_each_event_once(spark, tmp_path):
     assert [r["event_id"] for r in spark.table("gated").collect()] == ["e1"]
 
 
+def gap_runs(n, seed):
+    """Runs of (checks, access, attempts) rows over a few sources and works."""
+    import random
+
+    rng, out = random.Random(seed), []
+    for run in range(n):
+        checks, access, attempts = [], [], []
+        for s in "abcd":
+            if rng.random() < 0.8:
+                checks.append((s, rng.choice(["FAILED", "FAILED", "NOT_ATTEMPTED", "SUCCESS", "NO_RESULTS"])))
+            for k in range(rng.randrange(3)):
+                attempts.append((f"r{run}-{s}{k}", s, "", rng.choice(["FOLLOWUP", "DISCOVERY"]), rng.choice(["FAILED", "SUCCESS", "NOT_ATTEMPTED", "NO_RESULTS"]), rng.choice(["", "q"]), f"2026-08-{run + 1:02}"))
+        for w in "xyz":
+            if rng.random() < 0.7:
+                access.append((f"p-{w}", "publisher", w, rng.choice(["FAILED", "FAILED", "SUCCESS", "PARTIAL"])))
+                attempts.append((f"r{run}-{w}", "publisher", f"p-{w}", rng.choice(["FOLLOWUP", "CONTENT_FETCH"]), access[-1][3], "", ""))
+        checks.append(("e", "FAILED"))
+        attempts.append((f"r{run}-e", "e", "", "FOLLOWUP", "FAILED", "", ""))
+        if run < n - 1:
+            checks.append(("f", "FAILED" if run < n - 2 else "SUCCESS"))
+            attempts.append((f"r{run}-f", "f", "", "FOLLOWUP" if run in (1, n - 2) else "DISCOVERY", checks[-1][1], "", ""))
+        access.append(("o", "openalex", "x", "FAILED"))
+        out.append((checks, access, attempts))
+    return out
+
+
+def test_gaps_as_tables_and_as_a_stream(spark, tmp_path, request):
+    runs = gap_runs(5, 3)
+    day = lambda run: datetime(2026, 8, 1 + run, 12)
+    at = lambda run: F.lit(f"{day(run)}").cast("timestamp")
+    prior, told, want = spark.createDataFrame([], gaps.GAP), [], {}
+    for run, (checks, access, attempts) in enumerate(runs):
+        found = gaps.evidence(spark.createDataFrame(checks, "source_id string, status string"), spark.createDataFrame(access, "source_id string, provider string, work_id string, status string"), spark.createDataFrame(attempts, "attempt_id string, source_id string, source_access_id string, stage string, status string, query string, attempted_at string"))
+        found = spool(found, "evidence")
+        found.withColumns({"run_id": F.lit(f"r{run}"), "run_at": at(run)}).coalesce(1).write.parquet(str(tmp_path / f"in/run={run}"))
+        told.append({r["gap_id"]: r for r in gaps.followups(found, prior, at(run)).collect()})
+        before, prior = {r["gap_id"]: r for r in prior.collect()}, spool(gaps.after_run(found, prior, f"r{run}", at(run)), "gaps")
+        for r in found.collect():  # table by table, as gap by gap
+            x = r.asDict(recursive=True)
+            new = gap_stream.moved_on(before[x["gap_id"]].asDict() if x["gap_id"] in before else None, x, f"r{run}", day(run))
+            if new:
+                want[x["gap_id"]] = new
+    got = {r["gap_id"]: r.asDict() for r in prior.collect()}
+    assert got == want and {r["status"] for r in got.values()} == {"OPEN", "RESOLVED", "UNRESOLVABLE"}
+    assert {r["outcome"] for t in told for r in t.values()} == {"RESOLVED", "STILL_OPEN"} and all(r["attempt_id"] in [a[0] for a in runs[i][2] if a[3] == "FOLLOWUP"] for i, t in enumerate(told) for r in t.values())
+
+    schema = f"{gaps.EVIDENCE}, run_id string, run_at timestamp"
+    spark.createDataFrame([("z", "SOURCE_UNAVAILABLE", "SOURCE_SYSTEM", "z", False, False, [], "r99", datetime(2027, 6, 1))], schema).write.parquet(str(tmp_path / "last/run=99"))
+
+    def go(path):
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(path)
+        keep = lambda rows, n: rows.write.mode("overwrite").parquet(str(tmp_path / f"out/batch={n}"))
+        q = gap_stream.gap_stream(stream).writeStream.foreachBatch(keep).outputMode("update").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+        q.awaitTermination(300)
+        return spark.read.parquet(str(tmp_path / "out")).collect()
+
+    for run in range(len(runs)):  # one after the other, in the order of files' times
+        for f in (tmp_path / f"in/run={run}").iterdir():
+            os.utime(f, (1_000_000 + run * 1000, 1_000_000 + run * 1000))
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    request.addfinalizer(lambda: spark.conf.set("spark.sql.shuffle.partitions", partitions))
+    rows = go(str(tmp_path / "in"))
+    last = {}
+    for r in rows:
+        if r["kind"] == gap_stream.CHANGED:
+            last[r["gap_id"]] = max(last.get(r["gap_id"], ("", None)), (r["run_id"], r.asDict()), key=lambda x: x[0])
+    assert {k: {c: v[1][c] for c in gap_stream.FIELDS} for k, v in last.items()} == want
+    assert all(r["cooldown_until"] is not None and r["status"] == "OPEN" for r in rows if r["kind"] == gap_stream.DUE)
+    (tmp_path / "last/run=99").rename(tmp_path / "in/run=99")
+    for f in (tmp_path / "in/run=99").iterdir():
+        os.utime(f, (2_000_000, 2_000_000))
+    more = go(str(tmp_path / "in"))
+    assert {r["gap_id"] for r in more if r["kind"] == gap_stream.FORGOTTEN} == {k for k, r in want.items() if r["status"] != "OPEN"}
+    assert {r["gap_id"] for r in rows + more if r["kind"] == gap_stream.DUE} >= {k for k, r in want.items() if r["status"] == "OPEN" and r["cooldown_until"]}
+
+
 def test_inventories(spark):
     schema = "record_id string, doi string, landing_url string, title string, publication_date string, authors array<string>, venue string, summary string"
     feed = spark.createDataFrame([("f1", "10.1/a", "u1", "Sleep and memory", "2026-08-08", [], "", "x"), ("f2", "10.1/b", "u2", "Cooking at home", "2026-08-08", [], "", ""), ("f3", "10.1/c", "u3", "Sleep, long ago", "2020-01-01", [], "", "")], schema)
