@@ -1,5 +1,7 @@
 """Operators on small tables: classification, windows, resolution, ranking, state, coverage, rules and queues."""
 
+import copy
+import json
 import random
 from datetime import datetime
 from zoneinfo import ZoneInfo
@@ -9,7 +11,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from paperloom.operators import access, classify, coverage, events, facets, graph, queue, rank, resolve, rules, score, state
+from paperloom.operators import access, classify, coverage, events, facets, graph, json_schema, queue, rank, resolve, rules, score, state
 from paperloom.operators.state import StateConflict
 from paperloom.schema import CANDIDATE, EVENT, IDENTIFIERS, LOCATION, PAPER
 from paperloom.sources.payloads import as_candidates
@@ -646,3 +648,43 @@ def test_packing_keeps_row_for_row(spark, by):
         assert numbers == list(range(1, len(numbers) + 1))
         places = [p if p is not None else -1 for b in numbers for p, _ in sorted(sizes[q, b], key=lambda x: -1 if x[0] is None else x[0])]
         assert places == sorted(places)
+
+
+SCHEMA = {
+    "$schema": "x", "type": "object", "required": ["id", "works"], "additionalProperties": False, "minProperties": 2,
+    "properties": {
+        "id": {"$ref": "#/$defs/id"}, "n": {"type": ["integer", "null"], "minimum": 0, "maximum": 10}, "score": {"type": "number"}, "kind": {"const": "state"}, "mode": {"enum": ["a", 1, None, True]},
+        "works": {"type": "array", "minItems": 1, "uniqueItems": True, "items": {"type": "object", "required": ["id"], "properties": {"id": {"$ref": "#/$defs/id"}, "tags": {"type": "array", "items": {"type": "string", "minLength": 1, "maxLength": 3}, "maxItems": 2}}, "additionalProperties": {"type": "string"}}},
+        "either": {"oneOf": [{"type": "string"}, {"type": "object", "required": ["x"]}, {"type": "object", "required": ["y"]}]}, "some": {"anyOf": [{"type": "integer"}, {"pattern": "^z"}]}, "no": {"not": {"type": "string"}}, "all": {"allOf": [{"type": "string"}, {"minLength": 2}]},
+    },
+    "$defs": {"id": {"type": "string", "pattern": "^w[0-9]+$"}},
+}
+
+
+def test_schema_of_a_table_of_documents_says_what_that_of_one_says(spark):
+    rng = random.Random(4)
+    good = {"id": "w1", "n": 3, "score": 1.5, "kind": "state", "mode": "a", "works": [{"id": "w2", "tags": ["a", "b"], "note": "x"}, {"id": "w3"}], "either": {"x": 1}, "some": 3, "no": 1, "all": "ab"}
+    values = [None, True, False, 0, 1, 11, -1, 1.5, "", "a", "w7", "zz", "long text", [], ["a"], ["", "abcd", 3], {}, {"x": 1}, {"y": 2}, {"x": 1, "y": 2}, [{"id": "w1"}, {"id": "w1"}], [{"id": 3, "other": 4}]]
+
+    def mutated(x):
+        x = copy.deepcopy(x)
+        for _ in range(rng.randrange(4)):
+            at = rng.choice([x, *(w for w in x.get("works") or [] if isinstance(w, dict))] if isinstance(x.get("works"), list) else [x])
+            k = rng.choice([*at, "extra", "tags"])
+            if rng.random() < 0.25:
+                at.pop(k, None)
+            else:
+                at[k] = rng.choice(values)
+        return x
+
+    docs = [good, *(mutated(good) for _ in range(250)), [], "x", None, 3]
+    rows = [(i, json.dumps(d), "e") for i, d in enumerate(docs)] + [(9000, "{", "e"), (9001, None, "e"), (9002, '{"id": "w1", "id": "w2"}', "e")]
+    got = {}
+    for r in json_schema.violations(spark.createDataFrame(rows, "id int, doc string, x string"), SCHEMA, "id", "doc").collect():
+        got.setdefault(int(r["key"]), []).append(f"{r['path']}: {r['detail']}")
+    want = {i: sorted(f) for i, d in enumerate(docs) if (f := rules.document_faults(d, SCHEMA))} | {i: ["$: is not JSON"] for i in (9000, 9001, 9002)}
+    assert {k: sorted(v) for k, v in got.items()} == want and len(want) > 100
+    with pytest.raises(ValueError, match="holds itself"):
+        json_schema.compiled(F.lit(None), F.lit("$"), {"$ref": "#"}, {"properties": {"x": {"$ref": "#"}}} | {"": {"$ref": "#"}})
+    with pytest.raises(ValueError, match="aren't known"):
+        json_schema.compiled(F.lit(None), F.lit("$"), {"contains": {}}, {})
