@@ -71,8 +71,9 @@ def upsert(prior: DataFrame, seen: DataFrame) -> DataFrame:
 
 
 def append_new(table: DataFrame, rows: DataFrame, key: str) -> DataFrame:
-    """The table and the rows whose key it lacks: an insert that repeats without effect."""
-    return table.unionByName(rows.dropDuplicates([key]).join(table.select(key), key, "left_anti").select(*table.columns))
+    """The table and the rows whose key it lacks: an insert that repeats without effect (S25, U6).  Of rows with one key, the first by their text."""
+    first = rows.groupBy(key).agg(F.min_by(F.struct(*table.columns), F.to_json(F.struct(*table.columns))).alias("_row"))
+    return table.unionByName(first.join(table.select(key), key, "left_anti").select("_row.*"))
 
 
 def append_only_violations(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -139,6 +140,26 @@ def id_map(merged: DataFrame) -> DataFrame:
     return merged.select(F.explode("merged_ids").alias("old_id"), "work_id")
 
 
+def resolved_ids(pairs: DataFrame) -> DataFrame:
+    """(old_id, work_id) with each id's last successor, from (old_id, work_id) pairs of any number of generations.
+
+    Pointers are doubled: a round joins the pairs with themselves, so chains of n
+    steps take log2 n rounds.  Raises StateConflict where an id has two successors,
+    or is its own after some steps.  Pairs of one id with itself say nothing.
+    """
+    now = spool(pairs.where("old_id <> work_id").select("old_id", "work_id").distinct(), "ids")
+    require_empty(now.groupBy("old_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("old_id"), "ids with several successors")
+    for _ in range(max(now.count(), 1).bit_length() + 1):
+        open_ = now.select(F.col("old_id").alias("work_id"), F.col("work_id").alias("_next"))
+        after = spool(now.join(open_, "work_id", "left").select("old_id", F.coalesce("_next", "work_id").alias("work_id"), F.col("_next").isNotNull().alias("_moved")), "ids")
+        now = after.select("old_id", "work_id")
+        require_empty(now.where("old_id = work_id").select("old_id"), "ids that succeed themselves")
+        if not after.where("_moved").limit(1).count():
+            return now
+    require_empty(now.join(now.select(F.col("old_id").alias("work_id")), "work_id", "left_semi").select("old_id"), "ids that lead to a circle")
+    return now
+
+
 def remap(rows: DataFrame, ids: DataFrame, column: str = "work_id") -> DataFrame:
     """Rows with old work ids replaced."""
     m = ids.select(F.col("old_id").alias("_old"), F.col("work_id").alias("_new"))
@@ -310,9 +331,14 @@ def first_seen_union(base: Column, incoming: Column) -> Column:
     return F.array_union(base, incoming)
 
 
+def promote(base: DataFrame, incoming: DataFrame, base_sources: DataFrame, incoming_sources: DataFrame, registry: DataFrame, remaps: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(works, sources) of an offline promotion (J24, K19): states merged, sources projected and bound to the merged works.
 
-
-def promote(base: DataFrame, incoming: DataFrame, base_sources: DataFrame, incoming_sources: DataFrame, registry: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(works, sources) of an offline promotion (J24, K19): states merged, sources projected and bound to the merged works."""
-    works = merge_works(base, incoming)
-    return works, remap(project_sources(base_sources, incoming_sources, registry), id_map(works))
+    ``remaps`` has the (old_id, work_id) pairs of earlier generations; an id of any of them is followed to the work it is
+    now.  Raises StateConflict unless the sources are exactly the registry's and each belongs to a work.
+    """
+    works = spool(merge_works(base, incoming), "promoted")
+    ids = id_map(works) if remaps is None else id_map(works).unionByName(remaps.select("old_id", "work_id"))
+    sources = remap(project_sources(base_sources, incoming_sources, registry), resolved_ids(ids))
+    require_empty(sources.join(works.select("work_id"), "work_id", "left_anti").select("source_id", "work_id"), "sources of works that aren't there")
+    return works, sources

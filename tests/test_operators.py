@@ -11,7 +11,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from paperloom.operators import access, classify, coverage, events, facets, graph, json_schema, queue, rank, resolve, rules, score, state
+from paperloom.operators import access, classify, coverage, digests, events, facets, graph, json_schema, queue, rank, resolve, rules, score, state
 from paperloom.operators.state import StateConflict
 from paperloom.schema import CANDIDATE, EVENT, IDENTIFIERS, LOCATION, PAPER
 from paperloom.sources.payloads import as_candidates
@@ -688,3 +688,50 @@ def test_schema_of_a_table_of_documents_says_what_that_of_one_says(spark):
         json_schema.compiled(F.lit(None), F.lit("$"), {"$ref": "#"}, {"properties": {"x": {"$ref": "#"}}} | {"": {"$ref": "#"}})
     with pytest.raises(ValueError, match="aren't known"):
         json_schema.compiled(F.lit(None), F.lit("$"), {"contains": {}}, {})
+
+
+def test_digest_trees_name_the_first_item_that_differs(spark):
+    n = 3000
+    items = spark.range(n).select(F.col("id").alias("place"), F.concat(F.lit("item "), F.col("id").cast("string")).alias("text"))
+    a = digests.spool(digests.tree(items, "place", "text", fanout=7), "a")
+    assert a.agg(F.max("level")).first()[0] == 5 and a.where("level = 5").count() == 1 and a.count() == n + sum(-(-n // 7**k) for k in range(1, 6))
+    same = digests.tree(items.repartition(5), "place", "text", fanout=7)
+    assert digests.root(same) == digests.root(a) and digests.first_difference(a, same, 7) is None
+    for at in (0, 6, 7, 1234, n - 1):
+        other = digests.tree(items.withColumn("text", F.when(F.col("place").isin(at, n - 1), "x").otherwise(F.col("text"))), "place", "text", fanout=7)
+        assert digests.root(other) != digests.root(a) and digests.first_difference(a, other, 7) == at
+    assert digests.first_difference(a, digests.tree(items.where("place < 40"), "place", "text", fanout=7), 7) == 40
+    none = digests.tree(items.limit(0), "place", "text", fanout=7)
+    assert digests.root(none) is None and digests.first_difference(none, none, 7) is None and digests.first_difference(none, a, 7) == 0
+    for bad in (items.unionByName(items.limit(1)), items.withColumn("place", F.when(F.col("place") > 3, F.col("place")))):
+        with pytest.raises(StateConflict):
+            digests.tree(bad, "place", "text")
+
+
+def test_checkpoints_belong_to_their_plan(spark):
+    plan = spark.createDataFrame([(f"i{k}", k * 10, k // 3) for k in range(12)], "item_id string, position int, batch int")
+    point = lambda ids: spark.createDataFrame([(x, k) for k, x in enumerate(ids)], "item_id string, place int")
+    own = digests.root(digests.tree(digests.numbered(plan, "position"), "place", "item_id", F.col("batch").cast("string")))
+    of = lambda ids, bound=own: sorted(map(tuple, digests.checkpoint_faults(plan, point(ids), bound).collect()))
+    assert of(["i0", "i1", "i2", "i6", "i7", "i8"]) == [] and of([]) == []
+    assert of(["i0", "i2", "i1"]) == [("item_in_order", "i1", "2/1"), ("item_in_order", "i2", "1/2")]
+    assert of(["i0", "i1", "i2", "i9", "z"]) == [("batch_whole", "3", "1/3"), ("item_known", "z", "not in the plan")]
+    assert of(["i0", "i0", "i1", "i2"]) == [("item_once", "i0", "2")]
+    assert of([], "other") == [("plan_bound", "root", own)]
+
+
+def test_ids_are_followed_through_generations(spark):
+    pairs = [(f"a{i}", f"a{i + 1}") for i in range(10)] + [(f"h{i}", "a3") for i in range(50)] + [("x", "y"), ("s", "s"), ("x", "y")]
+    df = spark.createDataFrame(pairs, "old_id string, work_id string")
+    got = {r["old_id"]: r["work_id"] for r in state.resolved_ids(df).collect()}
+    assert got == {f"a{i}": "a10" for i in range(10)} | {f"h{i}": "a10" for i in range(50)} | {"x": "y"}
+    assert state.resolved_ids(df.limit(0)).count() == 0
+    for more in ([("a10", "a4")], [("p", "q"), ("q", "r"), ("r", "p")], [("u", "v"), ("v", "u")], [("x", "z")]):
+        with pytest.raises(StateConflict):
+            state.resolved_ids(df.union(spark.createDataFrame(more, df.schema)))
+
+
+def test_append_takes_the_first_row_of_a_key(spark):
+    t = spark.createDataFrame([(1, "a", None)], "k int, v string, n int")
+    new = spark.createDataFrame([(2, "z", 1), (2, "b", 2), (1, "x", 3), (2, "z", 1), (3, None, None)], t.schema)
+    assert sorted(map(tuple, state.append_new(t, new, "k").collect()), key=str) == [(1, "a", None), (2, "b", 2), (3, None, None)]
