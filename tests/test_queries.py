@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from paperloom.plans import algorithm_queries, bindings, payload_queries, rule_queries  # noqa: F401 - the others add their queries to the first's
+from paperloom.plans import algorithm_queries, bindings, contract_queries, payload_queries, rule_queries  # noqa: F401 - the others add their queries to the first's
 
 SF = "/root/testdata/sf0.001"
 
