@@ -138,10 +138,17 @@ def receipts(queries: DataFrame, access: DataFrame, candidates: DataFrame, run_i
 
 
 def _translations(rows: DataFrame, start: datetime, end: datetime) -> DataFrame:
-    """(query, source, sent): queries in the sources' languages.  Configured queries are few; they are compiled on the driver."""
-    pairs = rows.select("query", "source").distinct().collect()
-    made = [(r["query"], r["source"], translate(r["source"], r["query"] or "", start.date(), end.date())) for r in pairs]
-    return rows.sparkSession.createDataFrame(made, "query string, source string, sent string")
+    """(query, source, sent): queries in the sources' languages, each compiled once, in the executors."""
+    first, last = start.date(), end.date()
+
+    def compiled(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            sent = [translate(source, query or "", first, last) for query, source in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(sent, pa.string())], ["query", "source", "sent"])
+
+    return rows.select("query", "source").distinct().mapInArrow(compiled, "query string, source string, sent string")
 
 
 def expansions(receipt_rows: DataFrame) -> DataFrame:

@@ -90,13 +90,14 @@ ADAPTERS: dict[str, Callable[[DataFrame, str, Config], DataFrame]] = {
 def discover(store: DataFrame, queries: DataFrame, config: Config) -> DataFrame:
     """All sources' observations (S26, S28): ``store`` has (source, query_id, body), ``queries`` (query_id, stream, category).
 
-    A source is one filtered scan of the store; its queries are rows, not loops.
-    Sources are the adapters of their own name and those that ``config.adapters`` names.
+    The store is read once, into a table ordered by source, of which each adapter reads its own row groups; its queries are
+    rows, not loops.  Sources are the adapters of their own name and those that ``config.adapters`` names.  Payloads that
+    couldn't be read (a null body) have no observations.
     """
     unknown = set(config.adapters.values()) - set(ADAPTERS)
     if unknown:
         raise ValueError(f"no such adapter: {', '.join(sorted(unknown))}")
-    asked = store.join(queries, "query_id")
+    asked = spool(store.where("body IS NOT NULL").join(queries, "query_id").sortWithinPartitions("source"), "payloads")
     out = None
     for name, adapter in ({k: k for k in ADAPTERS if k != "publisher_listing"} | config.adapters).items():
         rows = ADAPTERS[adapter](asked.where(F.col("source") == name), name, config)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from paperloom.operators import gaps, rank, resolve
 from paperloom.operators.state import StateConflict
-from paperloom.plans import report
+from paperloom.plans import pages, report
 from paperloom.plans.run import Config, discover, execute
 from paperloom.schema import EVENT
 from paperloom.storage import spool
@@ -409,3 +409,24 @@ def test_flaky_stores_make_rows_and_open_circuits(spark, tmp_path):
     assert got == {f"q{i}": ("é" * i, 2, None) for i in range(9) if i != 4} | {"dead4": (None, 3, "ConnectionError")}
     with pytest.raises(Exception, match="ConnectionError"):
         flat.option("mode", "FAILFAST").load().count()
+
+
+def test_pages_are_the_report_without_the_driver(spark, tmp_path):
+    rows = [(f"w{i:02}", f"c<{i % 3}>" if i % 11 else None, i % 3 if i % 11 else 9, i // 3, f"T & \"{i}\" it's", None if i % 4 else "V", "PRIORITY") for i in range(45)]
+    ledger = spark.createDataFrame(rows, "work_id string, category string, category_rank int, display_rank int, title string, venue string, triage_status string")
+    best = ledger.where("display_rank % 5 = 2").select("work_id")
+    whole = report.html_report(ledger.fillna({"category": ""}), best, "A & B")
+    roots = set()
+    for per_part in (4, 4, 500):
+        path = str(tmp_path / f"pages{len(roots)}-{per_part}-{len(list(tmp_path.iterdir()))}")
+        root = pages.write_pages(ledger.repartition(5), best, "A & B", path, per_part)
+        roots.add((per_part, root))
+        assert pages.broken_parts(spark, path).count() == 0
+        assert pages.assemble(spark, path, "A & B", str(tmp_path / "one.html")) == len(whole) and (tmp_path / "one.html").read_bytes() == whole
+        assert spark.read.parquet(f"{path}/manifest").where("n_cards > " + str(per_part)).count() == 0
+    assert len(roots) == 2  # equal ledgers, equal roots
+    for f in (tmp_path / path.split("/")[-1] / "parts").rglob("*.txt"):
+        f.write_text(f.read_text().replace("w07", "w70"))
+        (f.parent / f".{f.name}.crc").unlink(missing_ok=True)
+    assert pages.broken_parts(spark, path).count() == 1
+    assert pages.write_pages(ledger.limit(0), best, "x", str(tmp_path / "none")) is None
