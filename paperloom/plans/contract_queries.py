@@ -8,9 +8,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.operators import contract, digests, gaps, json_schema, state
+from paperloom.operators import classify, contract, digests, gaps, json_schema, score, state
 from paperloom.operators.state import spool
-from paperloom.plans.bindings import nth, query, sql_nth
+from paperloom.plans.bindings import docs, nth, query, sql_nth
 from paperloom.plans.rule_queries import every, keyed
 from paperloom.session import table
 
@@ -209,3 +209,50 @@ def id_chains(spark, d):
     """Even orders succeeded by their halves, generation after generation."""
     o = keyed(spark, d, "orders", "o_orderkey").where(every(2) & (key() > 0))
     return state.resolved_ids(o.select(named("w").alias("old_id"), named("w", F.floor(key() / 2)).alias("work_id")))
+
+
+#: Papers of every branch of the study rules: title (# is a number) and publication type.
+PAPERS = (
+    ("Reply to a note on athletes #", "letter"),
+    ("Study protocol for a trial in athletes #", "article"),
+    ("Running and athletes #", "retracted publication"),
+    ("A scoping review of athletes #", "article"),
+    ("A mouse model of training # for muscle", "article"),
+    ("A systematic review of training in rats #", "article"),
+    ("A quasi-experimental study of athletes #", "article"),
+    ("A retrospective look at athletes #", "article"),
+    ("A cross-sectional look at athletes #", "article"),
+    ("A meta-analysis of athletes #", "article"),
+    ("Training of athletes #", "systematic review"),
+    ("Training of athletes #", "practice guideline"),
+    ("A consensus statement on athletes #", "article"),
+    ("Training of athletes #", "randomized controlled trial"),
+    ("A field study of athletes #", "article"),
+    ("A longitudinal look at athletes #", "article"),
+    ("A cohort of athletes #", "article"),
+    ("A crossover look at athletes #", "article"),
+    ("A qualitative look at athletes #", "article"),
+    ("A questionnaire for athletes #", "article"),
+    ("Training of athletes #", "review"),
+    ("Training of athletes #", "article"),
+    ("Cooking at home #", "article"),
+)
+_BONUS = "CASE WHEN design IN ('Guideline', 'Consensus statement', 'Meta-analysis', 'Systematic review') THEN 25 WHEN design IN ('Randomized controlled trial', 'Field experiment', 'Longitudinal study') THEN 18 ELSE 0 END"
+
+
+@query("""WITH p AS (SELECT doc_id, doc_id % 23 AS i, doc_id % 5 = 0 AS pre, 50 + doc_id * 13 AS n FROM documents),
+    s AS (SELECT *, CASE WHEN pre AND i IN (21, 22) THEN 'Preprint' ELSE ['Correspondence', 'Protocol', 'Correspondence', 'Scoping review', 'Preclinical study', 'Preclinical study', 'Quasi-experimental study', 'Cohort study', 'Cross-sectional study', 'Meta-analysis', 'Systematic review', 'Guideline', 'Consensus statement', 'Randomized controlled trial', 'Field experiment', 'Longitudinal study', 'Cohort study', 'Crossover study', 'Qualitative study', 'Survey', 'Narrative review', 'Other', 'Other'][i + 1] END AS design,
+        CASE WHEN pre AND i IN (21, 22) THEN 35 ELSE [12, 25, 12, 55, 40, 40, 64, 70, 50, 95, 90, 92, 78, 88, 82, 78, 72, 70, 65, 48, 58, 38, 38][i + 1] END AS evidence, CASE WHEN i IN (5, 22) THEN 0 WHEN i = 4 THEN 62 ELSE 73 END AS relevance FROM p),
+    t AS (SELECT *, 43 + CASE WHEN n >= 10000 THEN 15 WHEN n >= 1000 THEN 10 WHEN n >= 200 THEN 5 ELSE 0 END + CASE WHEN evidence >= 85 THEN 5 ELSE 0 END + CASE WHEN i = 15 THEN 10 ELSE 0 END AS interest, 40 + CASE WHEN i IN (4, 5, 10, 11, 13, 20, 21) THEN 4 ELSE 0 END + """ + _BONUS + """ AS practical FROM s)
+    SELECT doc_id, design AS study_design, evidence::INTEGER AS evidence_score, relevance::INTEGER AS relevance_score, interest::INTEGER AS interest_score, practical::INTEGER AS practical_score, round(0.4 * evidence + 0.3 * relevance + 0.2 * interest + 0.1 * practical, 1)::DOUBLE AS total_score,
+    CASE WHEN i IN (0, 2) THEN 'correspondence/editorial' WHEN i = 1 THEN 'protocol/design paper' WHEN relevance = 0 THEN 'title-primary stream relevance gate failed' END AS exclusion,
+    CASE WHEN pre THEN 'NOT_PEER_REVIEWED' ELSE CASE design WHEN 'Meta-analysis' THEN 'STUDY_QUALITY_AND_HETEROGENEITY' WHEN 'Systematic review' THEN 'SEARCH_AND_BIAS' WHEN 'Randomized controlled trial' THEN 'RANDOMISATION_AND_ENDPOINTS' WHEN 'Cohort study' THEN 'RESIDUAL_CONFOUNDING' WHEN 'Longitudinal study' THEN 'ATTRITION_AND_BASELINE' WHEN 'Cross-sectional study' THEN 'NO_TEMPORAL_ORDER' WHEN 'Survey' THEN 'SAMPLING_AND_SELF_REPORT' WHEN 'Qualitative study' THEN 'NOT_GENERALISABLE' ELSE 'AUTOMATIC_SCREENING_ONLY' END END AS caveat FROM t""")
+def paper_studies(spark, d):
+    """Papers of every branch of the study rules with their scores, exclusions and caveats."""
+    n = F.col("doc_id")
+    rows = docs(spark, d, "doc_id").select(
+        "doc_id", F.replace(nth([p[0] for p in PAPERS], n), F.lit("#"), n.cast("string")).alias("title"), F.concat(F.lit("n = "), (50 + n * 13).cast("string")).alias("abstract"), F.lit("Some journal").alias("journal_or_venue"), F.lit("sport_science").alias("stream"), F.array().cast("array<string>").alias("secondary_streams"), F.lit("pubmed").alias("source"),
+        F.array(nth([p[1] for p in PAPERS], n)).alias("publication_types"), (n % 5 == 0).alias("is_preprint"), F.lit(None).cast("boolean").alias("open_access"), F.array().cast("array<string>").alias("repository_versions"),
+    )
+    scored = score.paper_scores(rows, ["athletes"])
+    return scored.select("doc_id", "study_design", "evidence_score", "relevance_score", "interest_score", "practical_score", "total_score", classify.exclusion_reason().alias("exclusion"), classify.caveat().alias("caveat"))
