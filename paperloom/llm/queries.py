@@ -138,10 +138,11 @@ def _op4_sql() -> str:
     blank = "\\x20\\x09-\\x0D"
     return f"""
 WITH piece AS (SELECT doc_id, unnest(l) AS p, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[{blank}]*[^{blank}]+') AS l FROM documents WHERE text IS NOT NULL)),
-word AS (SELECT doc_id, i, regexp_extract(p, '[^{blank}]+') AS w, sum(length(p)) OVER by_place AS stop, sum(length(p) - length(replace(p, chr(10), ''))) OVER by_place AS line FROM piece WINDOW by_place AS (PARTITION BY doc_id ORDER BY i)),
+word AS (SELECT doc_id, i, regexp_extract(p, '[^{blank}]+') AS w, sum(length(p)) OVER by_place AS stop, sum(length(p) - length(replace(p, chr(10), ''))) OVER by_place AS line, sum((length(p) - length(replace(p, chr(10), '')) > 1)::INTEGER) OVER by_place AS para FROM piece WINDOW by_place AS (PARTITION BY doc_id ORDER BY i)),
 doc AS (SELECT doc_id, list(w ORDER BY i) AS ws, list(stop - length(w) ORDER BY i) AS a, list(stop ORDER BY i) AS z FROM word GROUP BY doc_id),
 unit AS (SELECT 'passage' AS kind, doc_id, i, 50 AS n, hash(array_to_string(ws[i:i + 49], ' ')) AS key FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM doc)
-    UNION ALL SELECT 'line', doc_id, min(i), count(*), hash(string_agg(w, ' ' ORDER BY i)) FROM word GROUP BY doc_id, line HAVING count(*) >= 20),
+    UNION ALL SELECT 'line', doc_id, min(i), count(*), hash(string_agg(w, ' ' ORDER BY i)) FROM word GROUP BY doc_id, line HAVING count(*) >= 20
+    UNION ALL SELECT 'line', doc_id, min(i), count(*), hash(string_agg(w, ' ' ORDER BY i)) FROM word GROUP BY doc_id, para HAVING count(*) < 50 AND (count(DISTINCT line) > 1 OR count(*) < 20)),
 ranked AS (SELECT *, min(doc_id * 10000000 + i) OVER (PARTITION BY kind, key) AS f FROM unit),
 gone AS (SELECT doc_id, i, n, f // 10000000 AS kept FROM ranked WHERE f // 10000000 < doc_id OR f % 10000000 + CASE kind WHEN 'passage' THEN 50 ELSE 1 END <= i),
 step AS (SELECT *, CASE WHEN i <= max(i + n) OVER (PARTITION BY doc_id ORDER BY i, n DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS new FROM gone),

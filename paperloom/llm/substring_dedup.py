@@ -1,9 +1,12 @@
-"""Substring dedup by hashing lines and passages.
+"""Substring dedup by hashing lines, paragraphs and passages.
 
 A text is a row of words (A-Z lower-cased, parted by blanks or line ends).  Its
-units are its lines of ``line_words`` words or more, and every passage of
+units are its paragraphs (what blank lines part; a text without blank lines is
+one) of any length, its lines of ``line_words`` words or more, and every passage of
 ``min_words`` words in a row, wherever lines begin and end.  Units that have the
-same words are copies of each other.  Their digests are grouped over the whole
+same words are copies of each other, be they lines or paragraphs.  Shorter lines are no units, as
+they are headings, names and list items, which recur without being copies; a
+paragraph of ``min_words`` words or more is covered by its passages.  Their digests are grouped over the whole
 corpus; the occurrence that ranks first stays, all others are removed, within a
 document, too.  Rank is by document, then by place; a passage that overlaps its
 own earliest copy (a loop) stays.
@@ -91,8 +94,22 @@ def ranked(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, str, boo
     return spool(numbered.join(order, F.col(rank) == F.col("row")).drop(rank, "row").withColumnRenamed("place", rank), "ranked"), rank, False
 
 
+def blocks(sizes: list[int], line_words: int, min_words: int) -> list[tuple[int, int]]:
+    """(first word, words) of the units among a text's lines, given their words: long lines, and paragraphs that passages don't cover, each once."""
+    out, word, start = [], 0, 0
+    for i, n in enumerate(sizes):
+        if n >= line_words:
+            out.append((word, n))
+        word += n
+        if n == 0 or i == len(sizes) - 1:
+            if 0 < word - start < min_words and (start, word - start) not in out[-1:]:
+                out.append((start, word - start))
+            start = word
+    return out
+
+
 def unit_table(docs: DataFrame, min_words: int = MIN_WORDS, line_words: int = LINE_WORDS) -> DataFrame:
-    """rank, n_words, a and b (128 bits of all words), first and last (code points), digests and places of the anchors, lines (digest, word, n, start, end), for every row of (rank, text)."""
+    """rank, n_words, a and b (128 bits of all words), first and last (code points), digests and places of the anchors, lines and paragraphs (digest, word, n, start, end), for every row of (rank, text)."""
     k, width = _half(min_words)
 
     def run(batches):
@@ -111,15 +128,11 @@ def unit_table(docs: DataFrame, min_words: int = MIN_WORDS, line_words: int = LI
                 at = anchors(rows, width)
                 lines = []
                 if len(x):
-                    sizes = [len(line.split()) for line in raw.split(b"\n")]
-                    start = stop = None
-                    word = 0
-                    for n in sizes:
-                        if n >= line_words:
-                            if start is None:
-                                start, stop = spots(raw)
-                            lines.append({"digest": int(h.mix(np.array([h.row(x[word : word + n])]) + np.uint64(n)).view(np.int64)[0]), "word": word, "n": n, "start": int(start[word]), "end": int(stop[word + n - 1])})
-                        word += n
+                    start, stop = None, None
+                    for word, n in blocks([len(line.split()) for line in raw.split(b"\n")], line_words, min_words):
+                        if start is None:
+                            start, stop = spots(raw)
+                        lines.append({"digest": int(h.mix(np.array([h.row(x[word : word + n])]) + np.uint64(n)).view(np.int64)[0]), "word": word, "n": n, "start": int(start[word]), "end": int(stop[word + n - 1])})
                 out["n_words"].append(len(x))
                 out["a"].append(int(np.int64(h.row(x).view(np.int64))) if len(x) else 0)
                 out["b"].append(int(np.int64(h.row(h.mix(x)).view(np.int64))) if len(x) else 0)
@@ -212,7 +225,8 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS, line_words: int = LINE_
     """doc_id, start, end, n_words, kept_doc_id of every run of words that is removed: as long as can be, none touches another.
 
     ``kept_doc_id`` is the document that keeps the earliest copy of the unit the
-    run begins with, and may be the document itself.  Documents rank by id; rows
+    run begins with, and may be the document itself.  Equal texts of any length are
+    copies: all but the earliest go whole.  Documents rank by id; rows
     that repeat an id are documents of their own and rank by a hash of the text,
     rows without an id rank last (their ``doc_id`` is null).  Null and empty
     texts have no units.  Extra columns don't matter.

@@ -245,6 +245,12 @@ def brute_removed(rows, n=50, line=20):
             if size >= line:
                 mine.append(("line", at, size, tuple(w[at : at + size])))
             at += size
+        at = 0
+        for x in re.split(r"\n(?:[ \t\r\x0b\x0c]*\n)+", text or ""):
+            size = len(re.findall(r"[^ \t\n\r\x0b\x0c]+", x))
+            if 0 < size < n and ("line", at, size, tuple(w[at : at + size])) not in mine:
+                mine.append(("line", at, size, tuple(w[at : at + size])))
+            at += size
         units.append((spots, mine))
         for kind, k, _, key in mine:
             first.setdefault((kind, key), (rank, k))
@@ -296,6 +302,15 @@ def test_substring_dedup_finds_passages_inside_lines(spark):
     assert cut == {i: substring_dedup.cut_out(t, [x[1:3] for x in got if x[0] == i]) for i, t in enumerate(texts)}
 
 
+def test_substring_dedup_short_texts_and_paragraphs(spark):
+    rng = random.Random(15)
+    four, few, para, line = "\n".join(prose(rng, 12) for _ in range(4)), prose(rng, 19), f"{prose(rng, 9)}\n{prose(rng, 9)}", prose(rng, 12)
+    rows = [(0, four), (1, four.upper()), (2, few), (3, few), (4, f"{prose(rng, 30)}\n\n{para}\n \t\n{prose(rng, 30)}"), (5, f"{para}\n\n\n{prose(rng, 3)}"), (6, f"{prose(rng, 7)}\n{line}\n{prose(rng, 7)}"), (7, f"{line}\n{prose(rng, 7)}"), (8, "one"), (9, " ONE\n"), (10, f"{prose(rng, 60)}\n\n{few}"), (11, f"{few}\n\n{few}\n\n{prose(rng, 20)}\n{prose(rng, 4)}")]
+    got = removed(spark, rows)
+    assert got == brute_removed(rows)
+    assert sorted((x[0], x[3], x[4]) for x in got) == [(1, 48, 0), (3, 19, 2), (5, 18, 4), (9, 1, 8), (10, 19, 2), (11, 38, 2)]  # a line of 12 words is no unit
+
+
 def test_substring_dedup_repeats_within_a_document(spark):
     rng = random.Random(14)
     once, line = prose(rng, 80), prose(rng, 30)
