@@ -6,8 +6,9 @@ mean of what each has.  Landmark texts span a Nyström feature space, in which
 one ridge regression per language is solved.  A batch of texts is scored by two
 matrix products: presence bits by landmarks, then kernel rows by weights.
 
-Everything that is learnt comes from a bounded sample: ``per_lang`` texts of
-each language, of which ``landmarks`` in all serve as landmarks.  A softmax over
+Everything that is learnt comes from a sample bounded in rows: ``per_lang`` whole
+texts of each language, of which ``landmarks`` in all serve as landmarks.  Texts stay
+in the executors, which send the landmarks' bits and a row of kernel values a text.  A softmax over
 the regressions' outputs is the score; its sharpness is the one under which the
 sample's languages are likeliest, each text predicted by all others.
 """
@@ -17,15 +18,14 @@ from __future__ import annotations
 import pickle
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import in_fold, sampled, small_batches, spool, spread
+from .common import in_fold, small_batches, spool
 
-#: Bounds of what is learnt from: texts of each language, and languages (those with most texts).
-PER_LANG, MAX_LANGS = 300, 512
-#: Of a text longer than that, so many pieces of so many characters, spread over all of it, teach.
-TEXT_PIECES, PIECE_CHARS = 16, 4096
+#: Bounds of what is learnt from, in rows alone: texts of each language, and of all; a language has one at least.
+PER_LANG, ROWS = 300, 20_000
+#: A landmark is 25 KB of bits, and 0.8 MB of a worker's matrix, whatever the number of languages.
 LANDMARKS, RIDGE = 64, 1e-3
 SLOTS, CHUNK = 256 + 3 * 65536, 1 << 20
 
@@ -71,8 +71,34 @@ def kernel_rows(texts: list[str], slots, marks, norms):
     return (bits @ marks) / np.sqrt(np.maximum(sizes, 1)[:, None] * norms)
 
 
+def spanned(found, norms) -> dict:
+    """The part of a model that landmarks make, from their presence bits (rows) and sizes."""
+    import numpy as np
+
+    slots = np.flatnonzero(found.any(0))
+    marks = np.ascontiguousarray(found[:, slots].T.astype(np.float32))
+    own = (marks.T @ marks) / np.sqrt(np.outer(norms, norms))
+    values, vectors = np.linalg.eigh(own.astype(float))
+    good = values > 1e-6 * values.max()
+    return {"slots": slots.astype(np.int32), "marks": np.packbits(marks.astype(bool)), "shape": marks.shape, "norms": norms, "root": vectors[:, good] / np.sqrt(values[good])}
+
+
+def solved(part: dict, kernel, names: list[str], ridge: float = RIDGE) -> dict:
+    """The model, from the landmarks' part, kernel rows of the sample's texts, and their languages."""
+    import numpy as np
+
+    langs, label = np.unique(np.array(names, object).astype(str), return_inverse=True)
+    phi = np.hstack([kernel @ part["root"], np.ones((len(kernel), 1))])
+    share = 1 / np.bincount(label)[label]  # languages weigh alike
+    inverse = np.linalg.inv((phi * share[:, None]).T @ phi + ridge * np.eye(phi.shape[1]))
+    sums = np.zeros((phi.shape[1], len(langs)))
+    np.add.at(sums.T, label, phi * share[:, None])
+    w = inverse @ (2 * sums - sums.sum(1, keepdims=True))  # targets are 1 for a text's language and -1 for all others
+    return {k: v for k, v in part.items() if k != "root"} | {"sharpness": sharpness(phi, label, share, inverse, w), "langs": langs.tolist(), "weights": part["root"] @ w[:-1], "bias": w[-1]}
+
+
 def fit(rows: list[tuple[str, str]], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> dict:
-    """A model from (text, language) rows; rows without a letter teach nothing.  Without rows, the model knows no language."""
+    """A model from (text, language) rows at hand; rows without a letter teach nothing.  Without rows, the model knows no language."""
     import numpy as np
 
     rows = [r for r in rows if r[1] is not None and has_letter(r[0])]
@@ -81,49 +107,46 @@ def fit(rows: list[tuple[str, str]], landmarks: int = LANDMARKS, ridge: float =
         return {"langs": []}
     by = {y: [t for t, k in rows if k == y] for y in langs}
     most = max(1, landmarks // len(langs))
-    picked = [t for y in langs for t in by[y][:: max(1, len(by[y]) // most)][:most]]
+    picked = [t for y in langs for t in by[y][:: max(1, len(by[y]) // most)][:most]][:landmarks]
+    bits = [bits_of(t) for t in picked]
+    part = spanned(np.array([b for b, _ in bits]), np.array([float(n) for _, n in bits]))
+    m = unpacked(part)
+    kernel = np.concatenate([kernel_rows([t for t, _ in rows[i : i + 64]], m["slots"], m["marks"], m["norms"]) for i in range(0, len(rows), 64)])
+    return solved(part, kernel, [y for _, y in rows], ridge)
+
+
+def bits_of(text: str):
+    """Presence bits of a text, and how many there are."""
+    import numpy as np
+
     seen = np.zeros(SLOTS, bool)
-    found = np.zeros((len(picked), SLOTS), bool)
-    norms = np.empty(len(picked))
-    for i, t in enumerate(picked):
-        norms[i] = presence(t, seen)
-        found[i] = seen
-    slots = np.flatnonzero(found.any(0))
-    marks = np.ascontiguousarray(found[:, slots].T.astype(np.float32))
-    own = (marks.T @ marks) / np.sqrt(np.outer(norms, norms))
-    values, vectors = np.linalg.eigh(own.astype(float))
-    good = values > 1e-6 * values.max()
-    root = vectors[:, good] / np.sqrt(values[good])
-    phi = np.concatenate([kernel_rows([t for t, _ in rows[i : i + 64]], slots, marks, norms) for i in range(0, len(rows), 64)]) @ root
-    phi = np.hstack([phi, np.ones((len(rows), 1))])
-    y = np.array([[1.0 if k == lang else -1.0 for lang in langs] for _, k in rows])
-    share = 1 / np.maximum(1, (y > 0).sum(0))[(y > 0).argmax(1)]  # languages weigh alike
-    inverse = np.linalg.inv((phi * share[:, None]).T @ phi + ridge * np.eye(phi.shape[1]))
-    w = inverse @ (phi * share[:, None]).T @ y
-    return {"sharpness": sharpness(phi, y, share, inverse, w), "langs": langs, "slots": slots.astype(np.int32), "marks": np.packbits(marks.astype(bool)), "shape": marks.shape, "norms": norms, "weights": root @ w[:-1], "bias": w[-1]}
+    return seen, presence(text, seen)
 
 
-def sharpness(phi, y, share, inverse, w) -> float:
+def sharpness(phi, label, share, inverse, w, chunk: int = 1024) -> float:
     """The factor in the softmax under which the texts' languages are likeliest, each text's outputs taken from a fit without it."""
     import numpy as np
 
     own = share * ((phi @ inverse) * phi).sum(1)
-    out = (phi @ w - own[:, None] * y) / np.maximum(1e-9, 1 - own)[:, None]
     tried = 2.0 ** np.arange(-1, 6.01, 0.25)
-    right = (y > 0).argmax(1)
-
-    def loss(s):
-        z = s * (out - out.max(1, keepdims=True))
-        return (share * (np.log(np.exp(z).sum(1)) - z[np.arange(len(z)), right])).sum()
-
-    return float(min(tried, key=loss))
+    loss = np.zeros(len(tried))
+    for i in range(0, len(phi), chunk):
+        at, o = label[i : i + chunk], own[i : i + chunk]
+        row = np.arange(len(at))
+        out = phi[i : i + chunk] @ w + o[:, None]
+        out[row, at] -= 2 * o
+        out /= np.maximum(1e-9, 1 - o)[:, None]
+        for k, s in enumerate(tried):
+            z = s * (out - out.max(1, keepdims=True))
+            loss[k] += (share[i : i + chunk] * (np.log(np.exp(z).sum(1)) - z[row, at])).sum()
+    return float(tried[loss.argmin()])
 
 
 def unpacked(model: dict) -> dict:
     """The model with the landmarks' bits as a matrix, once per worker."""
     import numpy as np
 
-    if not model["langs"]:
+    if "shape" not in model:
         return model
     n, m = model["shape"]
     return model | {"marks": np.unpackbits(model["marks"], count=n * m).reshape(n, m).astype(np.float32)}
@@ -144,23 +167,62 @@ def predict(texts: list[str | None], model: dict) -> list[tuple[str, float]]:
     return out
 
 
-def training_rows(docs: DataFrame, per_lang: int = PER_LANG, most_langs: int = MAX_LANGS, folds: int = 3, held: int = 1) -> list[tuple[str, str]]:
-    """About ``per_lang`` (text, language) rows of each language outside the held-out fold, chosen by a hash of the id.
+def sample(docs: DataFrame, per_lang: int = PER_LANG, rows: int = ROWS, folds: int = 3, held: int = 1) -> DataFrame:
+    """doc_id, lang, text, place: ``per_lang`` whole texts of each language outside the held-out fold, numbered from 1 by a hash of the id.
+
+    Where that is more than ``rows`` in all, languages share these evenly, with one text each at
+    least: no language is left out.  Ids are chosen on the narrow columns; then documents are read once.
+    Of rows that repeat an id, the text that sorts first teaches; rows without an
+    id, language or text teach nothing.
+    """
+    known = docs.where(~in_fold("doc_id", folds, held) & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    langs = known.select("lang").distinct().count()
+    each = max(1, min(per_lang, rows // max(1, langs)))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(6)), "doc_id"))
+    chosen = spool(known.select("doc_id", "lang").distinct().withColumn("place", place).where(F.col("place") <= each), "chosen")
+    texts = known.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])  # at most ``rows`` ids, or one a language
+    return spool(texts.groupBy("doc_id", "lang", "place").agg(F.min("text").alias("text")), "sample")
+
+
+def learn(docs: DataFrame, per_lang: int = PER_LANG, rows: int = ROWS, landmarks: int = LANDMARKS, ridge: float = RIDGE) -> dict:
+    """A model from the sample of a table.
 
-    Languages are counted on the narrow columns first, then documents are read
-    once; what comes to the driver is bounded by ``per_lang``, ``most_langs`` and
-    64 K characters a text.  Languages beyond the ``most_langs`` with most texts
-    (of equals, those that sort first) are not learnt.  Of rows that repeat an id,
-    the text that sorts first teaches; rows without an id, language or text teach
-    nothing.
+    Landmarks are the first texts of each language, then the second, and so on.  What comes to the driver is ``landmarks``
+    times 25 KB, and ``landmarks`` numbers for each text of the sample.
     """
-    known = docs.where(~in_fold("doc_id", folds, held) & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
-    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(most_langs)
-    counts = spool(counts.select("lang", (per_lang / F.col("n")).alias("share")), "languages")  # at most most_langs rows
-    chosen = known.join(F.broadcast(counts), "lang").where(sampled(F.col("share"), "doc_id", F.lit(6)))
-    chosen = chosen.select("doc_id", "lang", F.array_join(spread(F.col("text"), TEXT_PIECES, PIECE_CHARS), " ").alias("text"))
-    rows = chosen.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).collect()
-    return [(r["text"], r["lang"]) for r in sorted(rows, key=lambda r: (r["doc_id"], r["lang"]))]
+    import numpy as np
+
+    taught = sample(docs, per_lang, rows)
+    first = taught.select("doc_id", "lang", "place").orderBy("place", "lang", "doc_id").limit(landmarks)
+
+    def bits(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            got = [(place, lang, doc, *bits_of(t)) for doc, lang, place, t in zip(*(c.to_pylist() for c in b.columns), strict=True) if has_letter(t)]
+            cols = list(zip(*got, strict=True)) if got else [[]] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int64()), pa.array([np.packbits(x).tobytes() for x in cols[3]], pa.binary()), pa.array(cols[4], pa.int64())], ["place", "lang", "doc_id", "bits", "n"])
+
+    marked = taught.join(F.broadcast(first), ["doc_id", "lang", "place"]).select("doc_id", "lang", "place", "text")
+    with small_batches(docs.sparkSession, 64):
+        got = sorted(marked.withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(bits, "place int, lang string, doc_id long, bits binary, n long").collect(), key=lambda r: (r["place"], r["lang"], r["doc_id"]))
+        if not got:
+            return {"langs": []}
+        part = spanned(np.unpackbits(np.array([np.frombuffer(r["bits"], np.uint8) for r in got]), axis=1, count=SLOTS).astype(bool), np.array([float(r["n"]) for r in got]))
+        sent = docs.sparkSession.sparkContext.broadcast(pickle.dumps({k: v for k, v in part.items() if k != "root"}, 5))
+
+        def rows_of(batches):
+            import pyarrow as pa
+
+            m = unpacked(pickle.loads(sent.value))
+            for b in batches:
+                some = [(lang, doc, t) for doc, lang, t in zip(*(c.to_pylist() for c in b.columns), strict=True) if has_letter(t)]
+                k = kernel_rows([t for _, _, t in some], m["slots"], m["marks"], m["norms"]).astype(np.float64) if some else []
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _, _ in some], pa.string()), pa.array([x for _, x, _ in some], pa.int64()), pa.array([x.tobytes() for x in k], pa.binary())], ["lang", "doc_id", "k"])
+
+        known = sorted(taught.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text").mapInArrow(rows_of, "lang string, doc_id long, k binary").collect(), key=lambda r: (r["lang"], r["doc_id"]))
+    sent.destroy()
+    return solved(part, np.array([np.frombuffer(r["k"]) for r in known]), [r["lang"] for r in known], ridge)
 
 
 def classify(docs: DataFrame, model: dict, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -34,7 +34,7 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    found = langid.classify(docs, langid.fit(langid.training_rows(docs)))
+    found = langid.classify(docs, langid.learn(docs))
     return found.select("doc_id", in_fold("doc_id", 3, 1).alias("held_out"), "lang_pred", "score")
 
 

@@ -363,7 +363,7 @@ def test_language_id_on_held_out_texts(spark):
     rows = [(i, speech(rng, x), x, "s", 1) for i in range(300) for x in [rng.choice("aa bb cc".split())]]
     rows += [(900, None, "aa", "s", 0), (901, "", "aa", "s", 0), (902, "123 !? ½ _", "bb", "s", 0), (903, speech(rng, "cc"), None, "s", 0), (904, speech(rng, "aa", 9000), "aa", "s", 0), (None, speech(rng, "bb"), "bb", "s", 0)]
     table = docs(spark, rows)
-    model = langid.fit(langid.training_rows(table, per_lang=60))
+    model = langid.learn(table, per_lang=60)
     got = {r["doc_id"]: r for r in langid.classify(table, model).collect()}
     held = [r for r in rows if r[0] is not None and r[0] < 900 and zlib.crc32(str(r[0]).encode()) % 3 == 1]
     assert sum(got[r[0]]["lang_pred"] == r[2] for r in held) >= 0.97 * len(held) > 0
@@ -428,15 +428,34 @@ def test_long_texts_teach_from_start_to_end(spark):
     assert rows[0]["x"] == [long[int(i * (1000 - 50) / 3) :][:50] for i in range(4)] and rows[0]["x"][-1] == long[-50:]
 
 
-def test_languages_beyond_the_bound_are_not_learnt(spark):
-    rows = [(i, f"text {i}", ("aa", "bb", "cc")[min(2, i // 80)] if i < 240 else f"x{i}", "s", 1) for i in range(300)]
-    assert {y for _, y in langid.training_rows(docs(spark, rows), per_lang=20, most_langs=2)} <= {"aa", "bb", "cc"}
-    assert len({y for _, y in langid.training_rows(docs(spark, rows), per_lang=20, most_langs=2)}) == 2
+def test_every_language_is_learnt_within_the_rows(spark):
+    rng = random.Random(18)
+    rows = [(i, speech(rng, "aa bb cc".split()[i % 3], 12) if i < 240 else f"{chr(0x4E00 + i)}{chr(0x4E10 + i)} " * 9, ("aa", "bb", "cc")[i % 3] if i < 240 else f"x{i}", "s", 1) for i in range(300)]
+    table = docs(spark, [*rows, *[(1000 + r[0], *r[1:]) for r in rows if r[0] >= 240], *[(2000 + r[0], *r[1:]) for r in rows if r[0] >= 240]])
+    model = langid.learn(table, rows=100, landmarks=16)
+    some = langid.sample(table, rows=100).groupBy("lang").count().collect()
+    assert {r["lang"] for r in some} == set(model["langs"]) and len(model["langs"]) > 55 and sum(r["count"] for r in some) <= 100 and model["shape"][1] == 16
+    many = langid.sample(table, per_lang=20, rows=10**6).groupBy("lang").count().collect()
+    assert {r["count"] for r in many if r["lang"] in ("aa", "bb", "cc")} == {20}
+
+
+def test_learning_in_executors_is_fitting_at_hand(spark):
+    import numpy as np
+
+    rng = random.Random(19)
+    table = docs(spark, [(i, speech(rng, x, 20), x, "s", 1) for i in range(90) for x in ["aa bb cc".split()[i % 3]]] + [(91, "12 3", "aa", "s", 1), (92, "", "bb", "s", 1)])
+    got = langid.learn(table, landmarks=10**6)  # every text is a landmark: both ways have the same
+    rows = [(r["text"], r["lang"]) for r in langid.sample(table).orderBy("lang", "doc_id").collect()]
+    want = langid.fit(rows, landmarks=10**6)
+    texts = [speech(rng, x, 9) for x in ("aa", "bb", "cc")]
+    assert got["langs"] == want["langs"] and got["sharpness"] == want["sharpness"]
+    a, b = (langid.predict(texts, langid.unpacked(m)) for m in (got, want))
+    assert [x for x, _ in a] == [x for x, _ in b] and np.allclose([s for _, s in a], [s for _, s in b], atol=1e-4)
 
 
 def test_training_never_sees_the_held_out_fold(spark):
     rows = [(i, f"text {i}", "en", "s", 1) for i in range(200)]
-    seen = {int(t.split()[1]) for t, _ in langid.training_rows(docs(spark, rows), per_lang=1000)}
+    seen = {int(r["text"].split()[1]) for r in langid.sample(docs(spark, rows), per_lang=1000).collect()}
     assert seen == {i for i in range(200) if zlib.crc32(str(i).encode()) % 3 != 1}
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(200)], "doc_id long, quality int, toxic int")
     got, prior = zstd_quality.sample_of(docs(spark, rows), labels, per_class=1000)
@@ -601,7 +620,7 @@ def test_clashing_columns_and_session_settings(spark):
         lambda t: decontaminate.verdicts(t, items),
         lambda t: substring_dedup.repeats(t),
         lambda t: jaccard_join.classes(t),
-        lambda t: langid.classify(t, langid.fit(langid.training_rows(t))),
+        lambda t: langid.classify(t, langid.learn(t)),
         lambda t: mixing.plan(t),
         lambda t: zstd_quality.scores(t, model),
         lambda t: secrets.scan(t),
