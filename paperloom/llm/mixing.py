@@ -22,6 +22,8 @@ from .common import bytes_of, spool
 
 ENTROPY, REPEATS, GRID, PASSES, RANGES, SEED = 0.97, 4.0, 32, 5, 4096, "mix-1"
 BROADCAST_BYTES = 16 << 20
+#: Times that a plan may repeat a source in whole; four are usual.
+MOST_BLOCKS = 10_000
 
 
 def tokens_of(text: Column) -> Column:
@@ -70,7 +72,7 @@ def exponent(shares: DataFrame, entropy: float = ENTROPY, repeats: float = REPEA
     return alpha
 
 
-def plan(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, budget_tokens: int | None = None, seed: str = SEED, doc_id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
+def plan(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, budget_tokens: int | None = None, seed: str = SEED, most_blocks: int = MOST_BLOCKS, doc_id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """One row per document and block: doc_id, source, n_tokens, block (from 0), order_key, weight.
 
     Sorted by block and order_key, the rows are the mixed stream.  Without
@@ -78,7 +80,8 @@ def plan(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, bu
     once, so every document is in block 0.  Null sources are a source of their
     own, with a null name; documents without words ride along in every whole
     block; a source without any words has weight 0 and its documents are in
-    block 0.  Repeated rows are documents of their own.
+    block 0.  Repeated rows are documents of their own.  A budget under which a source
+    would be repeated more than ``most_blocks`` times is a ValueError: the plan has a row for each.
     """
     named = F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("-"))
     rows = spool(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), named.alias("s"), tokens_of(F.col(text)).alias("n_tokens")), "tokens")
@@ -100,6 +103,9 @@ def plan(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, bu
     # A row a source: broadcast if they are few, else a join that AQE deals out where a source is hot.
     quota = spool(quota, "quota")
     _, size = bytes_of(quota, F.octet_length("s") + 48)
+    most = quota.agg(F.max("whole")).first()[0] or 0
+    if most > most_blocks:
+        raise ValueError(f"the budget repeats a source {most} times; at most {most_blocks} are planned")
     named_rows = rows.join(F.broadcast(quota) if size <= BROADCAST_BYTES else quota, "s")
     full = named_rows.where("whole > 0").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("whole").cast("int") - 1))).withColumn("order_key", key(F.col("block")))
 

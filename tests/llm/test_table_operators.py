@@ -129,6 +129,13 @@ def test_mixing_is_brute_force(spark, entropy, repeats, budget):
 # --- nearest neighbours
 
 
+def test_mixing_refuses_budgets_without_end(spark):
+    rows = spark.createDataFrame([(1, "a b c", "s"), (2, "d e", "t")], "doc_id long, text string, source string")
+    assert mixing.plan(rows, budget_tokens=50, most_blocks=20).count() > 2
+    with pytest.raises(ValueError, match="repeats a source"):
+        mixing.plan(rows, budget_tokens=10**12)
+
+
 def test_neighbours_have_recall_and_order(spark):
     import numpy as np
 
