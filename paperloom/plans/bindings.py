@@ -555,12 +555,13 @@ def latest_value(spark, d):
 
 
 @query("""SELECT 'gap-' || substr(sha256('["SOURCE_UNAVAILABLE","' || user_id || '"]'), 1, 24) AS gap_id, user_id::VARCHAR AS scope_id, CASE WHEN ok = 0 THEN CASE WHEN least(errors, 5) + prior >= 3 THEN 'UNRESOLVABLE' ELSE 'OPEN' END ELSE 'RESOLVED' END AS status, (least(errors, 5) + prior)::INTEGER AS attempt_count FROM
-    (SELECT user_id, count(*) FILTER (WHERE event_type = 'purchase') AS ok, count(*) FILTER (WHERE event_type = 'error') AS errors, user_id % 3 AS prior FROM events WHERE event_id % 7 = 0 GROUP BY user_id) WHERE ok = 0 OR prior > 0""")
+    (SELECT user_id, count(*) FILTER (WHERE event_type = 'purchase' AND event_id % 7 = 0) AS ok, count(*) FILTER (WHERE event_type = 'error') AS errors, user_id % 3 AS prior FROM events GROUP BY user_id) WHERE ok = 0 OR prior > 0""")
 def gap_state(spark, d):
-    e = table(spark, d, "events").where("event_id % 7 = 0").withColumn("source_id", F.col("user_id").cast("string"))
-    checks = e.groupBy("source_id").agg(F.when(F.max((F.col("event_type") == "purchase").cast("int")) == 1, "SUCCESS").otherwise("FAILED").alias("status"))
+    e = table(spark, d, "events").withColumn("source_id", F.col("user_id").cast("string"))
+    good = (F.col("event_type") == "purchase") & (F.col("event_id") % 7 == 0)
+    checks = e.groupBy("source_id").agg(F.when(F.bool_or(good), "SUCCESS").otherwise("FAILED").alias("status"))
     k = F.row_number().over(Window.partitionBy("source_id", "event_type").orderBy("event_id"))
-    tries = e.where("event_type in ('purchase', 'error')").withColumn("k", k).where("event_type = 'purchase' or k <= 5")
+    tries = e.where(good | (F.col("event_type") == "error")).withColumn("k", k).where("event_type = 'purchase' or k <= 5")
     attempts = tries.select(F.col("event_id").cast("string").alias("attempt_id"), "source_id", F.when(F.col("event_type") == "error", "FOLLOWUP").otherwise("DISCOVERY").alias("stage"), F.when(F.col("event_type") == "error", "FAILED").otherwise("SUCCESS").alias("status"))
     prior = checks.where(F.col("source_id").cast("long") % 3 > 0).select(stable_id("gap", F.lit("SOURCE_UNAVAILABLE"), F.col("source_id")).alias("gap_id"), F.col("source_id").alias("scope_id"), F.lit("r0").alias("first_seen_run"), F.lit("r0").alias("last_attempt_run"), F.lit("OPEN").alias("status"), (F.col("source_id").cast("int") % 3).alias("attempt_count"), F.lit(3).alias("max_attempts"), F.array().cast("array<string>").alias("receipt_ids"))
     return state.gap_backlog(checks, attempts, prior, "r1").select("gap_id", "scope_id", "status", "attempt_count")
@@ -588,20 +589,20 @@ def claim_status(spark, d):
     return out.select("claim_id", "status", F.size("source_ids").cast("long").alias("n_sources"))
 
 
-@query("""WITH a AS (SELECT user_id, list_sort(list_distinct(list(event_id))) AS ids, count(*) FILTER (WHERE event_type = 'error') AS n, max(ts) AS l FROM events WHERE event_id % 2 = 0 AND event_id % 5 = 0 GROUP BY 1), b AS (SELECT user_id, list_sort(list_distinct(list(event_id))) AS ids, count(*) FILTER (WHERE event_type = 'error') AS n, max(ts) AS l FROM events WHERE event_id % 5 = 0 AND event_id % 3 <> 1 GROUP BY 1)
+@query("""WITH a AS (SELECT user_id, list_sort(list_distinct(list(event_id))) AS ids, count(*) FILTER (WHERE event_type = 'error') AS n, max(ts) AS l FROM events WHERE event_id % 2 = 0 GROUP BY 1), b AS (SELECT user_id, list_sort(list_distinct(list(event_id))) AS ids, count(*) FILTER (WHERE event_type = 'error') AS n, max(ts) AS l FROM events WHERE event_id % 3 <> 1 GROUP BY 1)
     SELECT coalesce(a.user_id, b.user_id)::VARCHAR AS gap_id, least(4, CASE WHEN a.ids IS NULL OR b.ids IS NULL OR list_has_all(a.ids, b.ids) OR list_has_all(b.ids, a.ids) THEN greatest(coalesce(a.n, 0), coalesce(b.n, 0)) ELSE a.n + b.n END)::INTEGER AS attempt_count, len(list_distinct(list_concat(coalesce(a.ids, []), coalesce(b.ids, []))))::BIGINT AS n_receipts FROM a FULL JOIN b ON a.user_id = b.user_id""")
 def gaps_merge(spark, d):
-    e = table(spark, d, "events").where("event_id % 5 = 0")
+    e = table(spark, d, "events")
     side = lambda cond: e.where(cond).groupBy(F.col("user_id").cast("string").alias("gap_id")).agg(F.lit("s").alias("scope_id"), F.lit("OPEN").alias("status"), F.count(F.when(F.col("event_type") == "error", 1)).alias("attempt_count"), F.lit(4).alias("max_attempts"), F.max("ts").cast("string").alias("last_attempt_at"), F.array_sort(F.collect_set(F.col("event_id").cast("string"))).alias("receipt_ids"))
     out = state.merge_gaps(side("event_id % 2 = 0"), side("event_id % 3 <> 1"))
     return out.select("gap_id", "attempt_count", F.size("receipt_ids").cast("long").alias("n_receipts"))
 
 
-@query("""WITH l AS (SELECT doc_id, ['NOT_CHECKED', 'ACCESSIBLE', 'FAILED', 'UNKNOWN'][doc_id % 4 + 1] AS a, ['NOT_CHECKED', 'BLOCKED', 'UNKNOWN'][doc_id % 3 + 1] AS b, ['ABSTRACT_ONLY', 'REPOSITORY', 'HTML', 'PDF'] AS kinds FROM labels WHERE doc_id % 11 <> 0)
+@query("""WITH l AS (SELECT doc_id, ['NOT_CHECKED', 'ACCESSIBLE', 'FAILED', 'UNKNOWN'][doc_id % 4 + 1] AS a, ['NOT_CHECKED', 'BLOCKED', 'UNKNOWN'][doc_id % 3 + 1] AS b, ['ABSTRACT_ONLY', 'REPOSITORY', 'HTML', 'PDF'] AS kinds FROM labels)
     SELECT doc_id::VARCHAR AS work_id, CASE WHEN b = 'BLOCKED' THEN b WHEN a IN ('ACCESSIBLE', 'FAILED') THEN a WHEN 'NOT_CHECKED' IN (a, b) THEN 'NOT_CHECKED' ELSE 'UNKNOWN' END AS access_status, kinds[greatest(doc_id % 4, doc_id % 3) + 1] AS fulltext_kind, CASE WHEN doc_id % 5 = 0 THEN 1 ELSE 2 END::BIGINT AS n_urls FROM l""")
 def fulltext_merge(spark, d):
     n, kinds = F.col("doc_id"), ["ABSTRACT_ONLY", "REPOSITORY", "HTML", "PDF"]
-    rows = table(spark, d, "labels").where("doc_id % 11 <> 0")
+    rows = table(spark, d, "labels")
 
     def side(statuses: list[str], url: Column) -> DataFrame:
         s = nth(statuses, n)
@@ -627,12 +628,12 @@ def history(spark, d):
 # --- coverage, receipts, registry
 
 
-@query("""SELECT user_id::VARCHAR AS source_id, CASE WHEN bool_or(event_type = 'error') THEN 'FAILED' WHEN bool_or(event_type = 'purchase') THEN 'SUCCESS' WHEN count(*) FILTER (WHERE event_type NOT IN ('view', 'click')) = 0 AND count(event_id) > 0 THEN 'NO_RESULTS' ELSE 'NOT_ATTEMPTED' END AS status, coalesce(sum(event_id % 10), 0)::BIGINT AS result_count, count(event_id) AS n_checks
-    FROM (SELECT DISTINCT user_id FROM events) LEFT JOIN (SELECT * FROM events WHERE event_id % 23 = 0) USING (user_id) GROUP BY user_id""")
+@query("""SELECT user_id::VARCHAR AS source_id, CASE WHEN bool_or(event_type = 'error' AND event_id % 23 = 0) THEN 'FAILED' WHEN bool_or(event_type = 'purchase' AND event_id % 7 = 0) THEN 'SUCCESS' WHEN bool_and(event_type IN ('view', 'click')) THEN 'NO_RESULTS' ELSE 'NOT_ATTEMPTED' END AS status, sum(event_id % 10)::BIGINT AS result_count, count(*) AS n_checks FROM events GROUP BY user_id""")
 def source_coverage(spark, d):
     e = table(spark, d, "events")
-    status = F.when(F.col("event_type") == "error", "FAILED").when(F.col("event_type") == "purchase", "SUCCESS").when(F.col("event_type").isin("view", "click"), "NO_RESULTS").otherwise("NOT_ATTEMPTED")
-    seen = e.where("event_id % 23 = 0").select(F.col("user_id").cast("string").alias("provider"), status.alias("status"), (F.col("event_id") % 10).alias("result_count"), F.lit(None).cast("int").alias("window_record_count"), F.col("ts").cast("string").alias("accessed_at"), F.lit("").alias("url"), F.lit("").alias("error"))
+    every = lambda n: F.col("event_id") % n == 0
+    status = F.when((F.col("event_type") == "error") & every(23), "FAILED").when((F.col("event_type") == "purchase") & every(7), "SUCCESS").when(F.col("event_type").isin("view", "click"), "NO_RESULTS").otherwise("NOT_ATTEMPTED")
+    seen = e.select(F.col("user_id").cast("string").alias("provider"), status.alias("status"), (F.col("event_id") % 10).alias("result_count"), F.lit(None).cast("int").alias("window_record_count"), F.col("ts").cast("string").alias("accessed_at"), F.lit("").alias("url"), F.lit("").alias("error"))
     return coverage.source_coverage(seen, e.select(F.col("user_id").cast("string").alias("source_id")), "end").select("source_id", "status", "result_count", "n_checks")
 
 
