@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import pickle
 from collections.abc import Iterator
+from itertools import chain
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -145,7 +146,8 @@ def verdicts(docs: DataFrame, items: DataFrame, share: int = 20, window: int = W
     spark = docs.sparkSession
     rows = ((r[0], r[1]) for r in items.where(F.col(item_id).isNotNull()).select(F.col(item_id).cast("long"), F.col(item_text)).toLocalIterator())
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sent = [spark.sparkContext.broadcast(pickle.dumps(x, 5)) for x in _blocks(rows, window, block_bytes)]
+    blocks = _blocks(rows, window, block_bytes)
+    first, second = next(blocks), next(blocks, None)
 
     def scanned(batches, sent):
         tree = automaton_in_worker(sent)
@@ -153,15 +155,22 @@ def verdicts(docs: DataFrame, items: DataFrame, share: int = 20, window: int = W
             got = [scan(x.as_py(), tree) for x in b.column(1)]
             yield summed(b.column(0).to_pylist(), [n for n, _ in got], [[dict(zip(KEYS, s, strict=True)) for s in spans] for _, spans in got], share)
 
-    if len(sent) == 1:
+    def scan_with(rows, patterns, tag, of):
+        """The table of a scan; its automaton's broadcast goes when it is written."""
+        sent = spark.sparkContext.broadcast(pickle.dumps(patterns, 5))
+        out = spool(of(rows.mapInArrow(lambda batches: scanned(batches, sent), FOUND)), tag)
+        sent.destroy()
+        return out
+
+    if second is None:
         with small_batches(spark):
-            return spool(narrow.mapInArrow(lambda batches, x=sent[0]: scanned(batches, x), FOUND), "verdicts")
+            return scan_with(narrow, first, "verdicts", lambda found: found)
     with small_batches(spark):
         numbered = spool(narrow.withColumn("row", F.monotonically_increasing_id()), "numbered")  # a table, so that every scan sees the same numbers
         out = None
-        for i, x in enumerate(sent):
-            part = numbered.select(F.col("row").alias("doc_id"), "text").mapInArrow(lambda batches, x=x: scanned(batches, x), FOUND)
-            part = spool(part.select(F.col("doc_id").alias("row"), "n_words", "spans").where(F.lit(i == 0) | (F.size("spans") > 0)), "block")
+        for i, patterns in enumerate(chain((first, second), blocks)):
+            some = lambda found, i=i: found.select(F.col("doc_id").alias("row"), "n_words", "spans").where(F.lit(i == 0) | (F.size("spans") > 0))
+            part = scan_with(numbered.select(F.col("row").alias("doc_id"), "text"), patterns, "block", some)
             out = part if out is None else out.union(part)
         whole = out.groupBy("row").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"))
         whole = numbered.select("row", "doc_id").join(whole, "row").select("doc_id", "n_words", "spans")
