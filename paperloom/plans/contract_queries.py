@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from paperloom.operators import classify, contract, digests, gaps, json_schema, score, state
 from paperloom.operators.state import spool
+from paperloom.plans import pages
 from paperloom.plans.bindings import docs, nth, query, sql_nth
 from paperloom.plans.rule_queries import every, keyed
 from paperloom.session import table
@@ -256,3 +257,13 @@ def paper_studies(spark, d):
     )
     scored = score.paper_scores(rows, ["athletes"])
     return scored.select("doc_id", "study_design", "evidence_score", "relevance_score", "interest_score", "practical_score", "total_score", classify.exclusion_reason().alias("exclusion"), classify.caveat().alias("caveat"))
+
+
+@query("""WITH c AS (SELECT doc_id, lang, doc_id % 9 = 0 AS best, row_number() OVER (ORDER BY lang, doc_id % 9 <> 0, doc_id) - 1 AS place FROM documents), x AS (SELECT *, min(place) OVER (PARTITION BY lang) AS first, count(*) OVER (PARTITION BY lang) AS n, count(*) OVER () AS total FROM c),
+    b AS (SELECT lang, first, n, total, (place - first) // 500 AS block, count(*) AS n_cards, string_agg('<article data-work-id="w' || doc_id || '" data-triage="" data-event-class="" data-oa="" data-sources="" data-featured="' || best || '"><h3>A &amp; &quot;' || doc_id || '&quot; &lt;b&gt; it&#x27;s</h3><p></p></article>', chr(10) ORDER BY place) AS cards FROM x GROUP BY ALL)
+    SELECT row_number() OVER (ORDER BY first + block * 500) - 1 AS part, lang AS category, n_cards, sha256(CASE WHEN block = 0 THEN CASE WHEN first > 0 THEN '</section>' ELSE '' END || '<section data-category="' || lang || '"><h2>' || lang || '</h2>' || chr(10) ELSE '' END || cards || CASE WHEN (block + 1) * 500 >= n AND first + n = total THEN chr(10) || '</section>' ELSE '' END) AS sha256 FROM b""")
+def report_parts(spark, d):
+    """A report of all documents, a card each, in parts of 500."""
+    n = F.col("doc_id")
+    rows = docs(spark, d, "doc_id", "lang").select(named("w", n).alias("work_id"), F.col("lang").alias("category"), F.lit(0).alias("category_rank"), n.alias("display_rank"), F.concat(F.lit('A & "'), n.cast("string"), F.lit('" <b> it\'s')).alias("title"), F.lit(None).cast("string").alias("venue"))
+    return pages.parts(rows, rows.where("display_rank % 9 = 0")).select("part", "category", "n_cards", "sha256")
