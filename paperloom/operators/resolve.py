@@ -227,7 +227,8 @@ def merge_feed_and_registry(feed: DataFrame, registry: DataFrame) -> DataFrame:
 
     Rows have record_id, doi, landing_url, title, publication_date, authors, venue.
     Each group of records that share an alias or a supported title is one record,
-    unless its DOIs differ: then records of one DOI are together, those without stay alone.
+    unless its DOIs differ: then records of one DOI are together, and one without joins the smallest DOI
+    among the records whose url it has, else of those it agrees with by title, or stays alone.
     """
     rows = feed.withColumn("_rank", F.lit(0)).unionByName(registry.withColumn("_rank", F.lit(1)))
     rows = spool(rows.withColumn("id", F.monotonically_increasing_id()).withColumn("_key", record_title_key(F.col("title"))), "records")
@@ -246,10 +247,15 @@ def merge_feed_and_registry(feed: DataFrame, registry: DataFrame) -> DataFrame:
     star = told.join(free, ["_key", "d", "s"], "left").join(same, ["_key", "d", "s", "doi"], "left").withColumn("c", F.coalesce("u", "m")).where("c <> id")
     by_title = star.select(F.least("c", "id").alias("a"), F.greatest("c", "id").alias("b")).distinct()
     joined = components(rows.select("id"), by_alias.union(by_title))
-    rows = rows.join(joined, "id")
+    has_doi, url = filled(F.col("doi")), F.nullif("landing_url", F.lit(""))
+    of_url = spool(rows.where(has_doi & url.isNotNull()).groupBy("landing_url").agg(F.min(F.lower("doi")).alias("near")), "urls")
+    of_title = spool(told.where("doi <> ''").groupBy("_key", "d", "s").agg(F.min("doi").alias("near")), "titles")
+    by_url = with_least(rows.where(~has_doi).select("id", "landing_url"), "landing_url", of_url).select("id", F.lit(0).alias("how"), "near")
+    near = by_url.unionAll(with_least(told.where("doi = ''"), ["_key", "d", "s"], of_title).select("id", F.lit(1), "near")).groupBy("id").agg(F.min(F.struct("how", "near"))["near"].alias("_near"))
+    rows = rows.join(joined, "id").join(near, "id", "left")
     dois = Window.partitionBy("component")
     many = F.size(F.collect_set(F.when(filled(F.col("doi")), F.lower("doi"))).over(dois)) > 1
-    rows = rows.withColumn("_group", F.when(many & filled(F.col("doi")), F.concat_ws("|", "component", F.lower("doi"))).when(many, F.concat_ws("|", "component", "id")).otherwise(F.col("component").cast("string")))
+    rows = rows.withColumn("_group", F.when(many & filled(F.col("doi")), F.concat_ws("|", "component", F.lower("doi"))).when(many & F.col("_near").isNotNull(), F.concat_ws("|", "component", "_near")).when(many, F.concat_ws("|", "component", "id")).otherwise(F.col("component").cast("string")))
     first = lambda c, ok: F.coalesce(F.min_by(c, F.when(ok, F.struct("_rank", "id"))), F.min_by(c, F.struct("_rank", "id"))).alias(c)
     cols = [c for c in feed.columns]
     some = lambda c: F.size(c) > 0 if dict(rows.dtypes)[c].startswith("array") else filled(F.col(c).cast("string"))

@@ -633,6 +633,15 @@ def test_feed_titles_meet_by_author_or_venue_whatever_the_number(spark):
     assert counts == [1, 1, 1, 2, 3]  # a twice; b; 3 of another day; 7; 4 to 6 by venue and author
 
 
+def test_a_record_without_doi_joins_the_smallest_it_agrees_with(spark):
+    schema = "record_id string, doi string, landing_url string, title string, publication_date string, authors array<string>, venue string"
+    row = lambda i, doi, authors, url="": (i, doi, url, "The long study of sleep", "2026-08-08", authors, "")
+    feed = spark.createDataFrame([row("f", "", ["A", "B"]), row("g", "", ["C"], "u9")], schema)
+    registry = spark.createDataFrame([row("r1", "10.1/b", ["A"]), row("r2", "10.1/a", ["B"]), row("r3", "10.1/c", ["C"], "u9"), row("r4", "10.1/0", ["C"])], schema)
+    got = {r["doi"]: (r["record_id"], r["n_records"]) for r in resolve.merge_feed_and_registry(feed, registry).collect()}
+    assert got == {"10.1/a": ("f", 2), "10.1/b": ("r1", 1), "10.1/c": ("g", 2), "10.1/0": ("r4", 1)}
+
+
 @pytest.mark.parametrize("by", [None, "q"])
 def test_packing_keeps_row_for_row(spark, by):
     rows = [("a", 1, 5, "x"), ("a", 1, 5, "x"), ("a", 1, 9, "y"), (None, 2, 5, "x"), (None, None, 7, "z"), ("b", None, None, None), ("b", 3, 250, "w")]
