@@ -21,10 +21,12 @@ import re
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import in_fold, small_batches, spool
+from .common import in_fold, sampled, small_batches, spool
 
 #: Bounds of what is learnt from, in rows alone: texts of each language, and of all; a language has one at least.
 PER_LANG, ROWS = 300, 20_000
+#: Languages whose shares are broadcast, at most.
+MOST_SENT = 100_000
 #: A landmark is 25 KB of bits, and 0.8 MB of a worker's matrix, whatever the number of languages.
 LANDMARKS, RIDGE = 64, 1e-3
 SLOTS, CHUNK = 256 + 3 * 65536, 1 << 20
@@ -176,10 +178,14 @@ def sample(docs: DataFrame, per_lang: int = PER_LANG, rows: int = ROWS, folds: i
     id, language or text teach nothing.
     """
     known = docs.where(~in_fold("doc_id", folds, held) & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    langs = known.select("lang").distinct().count()
+    counts = spool(known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
+    langs = counts.count()
     each = max(1, min(per_lang, rows // max(1, langs)))
+    # Some four times as many as are numbered, by a hash: the chance that a language has too few of them is below 1e-18.
+    shares = counts.select("lang", (F.lit(4 * each + 40) / F.col("n")).alias("share"))
+    some = known.select("doc_id", "lang").join(F.broadcast(shares) if langs <= MOST_SENT else shares, "lang").where(sampled(F.col("share"), "doc_id", F.lit(6)))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(6)), "doc_id"))
-    chosen = spool(known.select("doc_id", "lang").distinct().withColumn("place", place).where(F.col("place") <= each), "chosen")
+    chosen = spool(some.select("doc_id", "lang").distinct().withColumn("place", place).where(F.col("place") <= each), "chosen")
     texts = known.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])  # at most ``rows`` ids, or one a language
     return spool(texts.groupBy("doc_id", "lang", "place").agg(F.min("text").alias("text")), "sample")
 
