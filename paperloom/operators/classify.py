@@ -46,28 +46,31 @@ def stable_types(types: Column) -> Column:
     return F.transform(first, lambda p: p["t"])
 
 
+# What a provider's label contains, or is, for each study design; and what it must not contain besides.
+LABEL_CONTAINS = {
+    "randomized_controlled_trial": ("randomized controlled trial", "randomised controlled trial"),
+    "clinical_trial": ("clinical trial",),
+    "systematic_review": ("systematic review",),
+    "meta_analysis": ("meta analysis",),
+    "scoping_review": ("scoping review",),
+    "cohort_study": ("cohort study",),
+    "case_control_study": ("case control",),
+    "cross_sectional_study": ("cross sectional",),
+    "qualitative_study": ("qualitative",),
+    "observational_study": ("observational study",),
+    "protocol": ("protocol",),
+}
+LABEL_IS = {"review": ("review", "review article"), "case_report": ("case report", "case reports")}
+LABEL_LACKS = {"clinical_trial": ("randomized controlled trial", "randomised controlled trial", "protocol")}
+
+
 def provider_designs(labels: Column) -> Column:
-    """Study designs that provider labels state (P5)."""
+    """Study designs that provider labels state (P5), each once."""
 
     def of(x: Column) -> Column:
-        has = lambda *terms: has_any(x, terms)
-        trial = has("randomized controlled trial", "randomised controlled trial")
-        rules = {
-            "randomized_controlled_trial": trial,
-            "clinical_trial": ~trial & has("clinical trial") & ~has("protocol"),
-            "systematic_review": has("systematic review"),
-            "meta_analysis": has("meta analysis"),
-            "scoping_review": has("scoping review"),
-            "review": x.isin("review", "review article"),
-            "cohort_study": has("cohort study"),
-            "case_control_study": has("case control"),
-            "cross_sectional_study": has("cross sectional"),
-            "case_report": x.isin("case reports", "case report"),
-            "qualitative_study": has("qualitative"),
-            "observational_study": has("observational study"),
-            "protocol": has("protocol"),
-        }
-        return F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in rules.items()]))
+        said = {d: has_any(x, terms) for d, terms in LABEL_CONTAINS.items()} | {d: x.isin(*terms) for d, terms in LABEL_IS.items()}
+        said |= {d: said[d] & ~has_any(x, terms) for d, terms in LABEL_LACKS.items()}
+        return F.array_compact(F.array(*[F.when(c, F.lit(d)) for d, c in said.items()]))
 
     return F.array_distinct(F.flatten(F.transform(labels, of)))
 
