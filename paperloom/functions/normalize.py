@@ -253,12 +253,15 @@ def provider_date(col: Column) -> Column:
 
 
 def epoch_date(col: Column) -> Column:
-    """Seconds or milliseconds since 1970 as a UTC date; other values as ``provider_date``."""
+    """Seconds or milliseconds since 1970 as a UTC date; other values as ``provider_date``.
+
+    Numbers above 10^10 are milliseconds.  Years after 9999 have five digits and no sign.
+    """
     t = F.trim(text_of(col.cast("string")))
     number = F.expr("null").cast("double")
     number = F.try_to_number(F.when(t.rlike(r"^\d{1,18}$"), t), F.lit("999999999999999999")).cast("double")
     seconds = F.when(number > 10_000_000_000, number / 1000).otherwise(number)
-    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(seconds / 86400).cast("int")).cast("string")
+    day = F.ltrim(F.date_add(F.lit("1970-01-01").cast("date"), F.floor(seconds / 86400).cast("int")).cast("string"), F.lit("+"))
     return F.when(number.isNotNull(), day).otherwise(provider_date(t))
 
 
