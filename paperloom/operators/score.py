@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,10 +24,13 @@ def capped(points: Column) -> Column:
     return F.least(F.lit(100), points).cast("int")
 
 
-def routing_score(candidates: DataFrame, terms: Iterable[str]) -> DataFrame:
-    """Adds score: 40, 6 a term in title or abstract, 3 more in the title, 8 with a DOI or PubMed id, 4 if open."""
+def routing_score(candidates: DataFrame, terms: Iterable[str], folded: Callable[[Column], Column] = fold_markup) -> DataFrame:
+    """Adds score: 40, 6 a term in title or abstract, 3 more in the title, 8 with a DOI or PubMed id, 4 if open.
+
+    ``folded``: what terms are looked for in, of a text; another function for texts that are no markup.
+    """
     terms = list(terms)
-    rows = candidates.withColumn("_t", fold_markup(text_of(F.col("title")))).withColumn("_a", fold_markup(F.concat_ws(" ", text_of(F.col("title")), text_of(F.col("abstract")))))
+    rows = candidates.withColumn("_t", folded(text_of(F.col("title")))).withColumn("_a", folded(F.concat_ws(" ", text_of(F.col("title")), text_of(F.col("abstract")))))
     points = 40 + 6 * count_terms(F.col("_a"), terms) + 3 * count_terms(F.col("_t"), terms)
     points = points + F.when(filled(F.col("doi")) | filled(F.col("pmid")), 8).otherwise(0) + F.when(F.coalesce(F.col("open_access"), F.lit(False)), 4).otherwise(0)
     return rows.withColumn("score", capped(points)).drop("_t", "_a")
