@@ -8,6 +8,7 @@ array of texts; arrays are walked by higher-order functions.  What is said is wh
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -24,17 +25,25 @@ def _none() -> Column:
     return F.array().cast("array<string>")
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is made once for a row, however often it is named."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 class Value:
-    """A variant and what is asked of it."""
+    """A variant and what is asked of it; ``x`` is what ``read`` makes of it."""
 
-    def __init__(self, v: Column):
-        self.v = v
-        self.object = F.try_variant_get(v, "$", "map<string,variant>")
-        self.array = F.try_variant_get(v, "$", "array<variant>")
+    def __init__(self, x: Column):
+        self.v, self.object, self.array, self.scalar = (x[c] for c in ("v", "object", "array", "scalar"))
         self.is_object, self.is_array = self.object.isNotNull(), self.array.isNotNull()
-        self.scalar = F.when(~self.is_object & ~self.is_array, F.schema_of_variant(v))  # of a scalar alone, as it reads all of a value
-        self.text = F.try_variant_get(v, "$", "string")
-        self.number = F.try_variant_get(v, "$", "double")
+        self.text = F.try_variant_get(self.v, "$", "string")
+        self.number = F.try_variant_get(self.v, "$", "double")
+
+    @staticmethod
+    def read(v: Column) -> Column:
+        parts = F.struct(v.alias("v"), F.try_variant_get(v, "$", "map<string,variant>").alias("object"), F.try_variant_get(v, "$", "array<variant>").alias("array"))
+        scalar = lambda p: F.when(p["object"].isNull() & p["array"].isNull(), F.schema_of_variant(p["v"]))  # noqa: E731 - of a scalar alone, as it reads all of a value
+        return once(parts, lambda p: F.struct(p["v"].alias("v"), p["object"].alias("object"), p["array"].alias("array"), scalar(p).alias("scalar")))
 
     def said(self, c: Column) -> Column:
         return F.coalesce(c, F.lit(False))
@@ -84,8 +93,11 @@ def compiled(v: Column, at: Column, schema: Any, root: dict, refs: tuple[str, ..
         for step in schema["$ref"].lstrip("#/").split("/"):
             target = target[step]
         return compiled(v, at, target, root, (*refs, schema["$ref"]))
-    x = Value(v)
-    sub = lambda s: compiled(v, at, s, root, refs)
+    return once(v, lambda v: once(Value.read(v), lambda x: _faults(Value(x), at, schema, root, refs)))
+
+
+def _faults(x: Value, at: Column, schema: dict, root: dict, refs: tuple[str, ...]) -> Column:
+    sub = lambda s: compiled(x.v, at, s, root, refs)
     say = lambda broken, text: F.when(broken, F.array(F.concat(at, F.lit(f": {text}")))).otherwise(_none())
     whole, rest = [sub(s) for s in schema.get("allOf", ())], []
     if "anyOf" in schema:
@@ -102,8 +114,7 @@ def compiled(v: Column, at: Column, schema: Any, root: dict, refs: tuple[str, ..
     own, more = schema.get("properties", {}), schema.get("additionalProperties", True)
     inner = [F.transform(F.array_except(F.array(*map(F.lit, schema["required"])), F.map_keys(x.object)), lambda k: F.concat(at, F.lit(": lacks "), k))] if schema.get("required") else []
     for k, s in own.items():
-        member = F.try_variant_get(v, _step(k), "variant")
-        inner.append(F.when(F.map_contains_key(x.object, k), compiled(member, F.concat(at, F.lit(f".{k}")), s, root, refs)).otherwise(_none()))
+        inner.append(F.when(F.map_contains_key(x.object, k), compiled(x.object[k], F.concat(at, F.lit(f".{k}")), s, root, refs)).otherwise(_none()))
     others = F.array_except(F.map_keys(x.object), F.array(*map(F.lit, own)).cast("array<string>"))
     if more is False:
         inner.append(F.transform(others, lambda k: F.concat(at, F.lit(": has "), k)))
@@ -154,7 +165,7 @@ def violations(docs: DataFrame, schema: dict, key: str = "key", body: str = "bod
 
     A text that isn't strict JSON, or is null, is a fault of its own at ``$``.
     """
-    v = F.try_parse_json(F.col(body))
+    v = F.col("_v")
     found = F.when(v.isNull(), F.array(F.lit("$: is not JSON"))).otherwise(compiled(v, F.lit("$"), schema, schema))
-    each = docs.select(F.col(key).cast("string").alias("key"), F.explode(found).alias("x"))
+    each = docs.select(F.col(key).cast("string").alias("key"), F.try_parse_json(F.col(body)).alias("_v")).select("key", F.explode(found).alias("x"))
     return each.select(F.lit(rule).alias("rule"), "key", F.expr("substring(x, 1, instr(x, ': ') - 1)").alias("path"), F.expr("substring(x, instr(x, ': ') + 2)").alias("detail"))
