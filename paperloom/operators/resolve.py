@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from paperloom.functions.normalize import identifier, identity_key, record_title_key, title_key, work_id
 from paperloom.operators.access import oa_status, stable_union
 from paperloom.operators.classify import classify, is_formal, stable_types
+from paperloom.operators.digests import numbered
 from paperloom.operators.events import merge_events
 from paperloom.operators.graph import components, with_least
 from paperloom.schema import IDENTIFIERS, filled, strings, text_of
@@ -56,7 +57,7 @@ SMALL = 1 << 18
 def _title_facts(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
     """What observations of telling titles say, by title and component, and components' identifiers: (title, part, k, v), (part, k, v).
 
-    Each title and part has a row of the kind ``part``, and one of the kind ``named`` if an observation has an identifier.
+    A title is its number in the order of titles; until it has one, its hash stands for it, as a title may be as long as a text.  Each title and part has a row of the kind ``part``, and one of the kind ``named`` if an observation has an identifier.
     """
     plain = lambda c: F.regexp_replace(F.lower(text_of(c)), "[^a-z0-9]+", "")
     ids = F.array_compact(F.array(*[F.when(identifier(k).isNotNull(), F.struct(F.lit(k).alias("k"), F.lower(identifier(k)).alias("v"))) for k in IDENTIFIERS]))
@@ -67,9 +68,12 @@ def _title_facts(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
     of = lambda k: lambda v: F.struct(F.lit(k).alias("k"), v.alias("v"))
     one = lambda k, ok: F.when(ok, F.array(F.struct(F.lit(k).alias("k"), F.lit("-").alias("v")))).otherwise(F.array().cast("array<struct<k:string,v:string>>"))
     pairs = F.concat(one("part", F.lit(True)), one("named", F.size(ids) > 0), *[F.transform(c, of(k)) for k, c in said.items()])
-    facts = spool(labelled.where(telling).select(F.col("_title").alias("title"), F.col("component").alias("part"), F.explode(F.filter(pairs, lambda p: p["v"] != "")).alias("x")).select("title", "part", "x.*").distinct(), "facts")
-    shared = spool(facts.where("k = 'part'").groupBy("title").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("title"), "shared-titles")
-    facts = spool(with_least(facts, "title", shared), "shared-facts")
+    told = labelled.where(telling).withColumn("_hash", F.unhex(F.sha2("_title", 256)))
+    facts = spool(told.select(F.col("_hash").alias("title"), F.col("component").alias("part"), F.explode(F.filter(pairs, lambda p: p["v"] != "")).alias("x")).select("title", "part", "x.*").distinct(), "facts")
+    shared = spool(facts.where("k = 'part'").groupBy("title").agg(F.count(F.lit(1)).alias("n"), F.min("part").alias("component")).where("n > 1").select(F.col("title").alias("_hash"), "component"), "shared-titles")
+    names = with_least(told.select("_hash", "component", "_title"), ["_hash", "component"], shared).dropDuplicates(["_hash"])
+    numbers = spool(numbered(names.select("_title", "_hash"), "_title").select(F.col("_hash").alias("title"), "place"), "title-numbers")
+    facts = spool(with_least(facts, "title", numbers).select(F.col("place").alias("title"), "part", "k", "v"), "shared-facts")
     held = labelled.select(F.col("component").alias("part"), F.explode(ids).alias("x")).select("part", "x.*").distinct()
     return facts, spool(held.join(facts.select("part").distinct(), "part", "left_semi"), "held")
 
@@ -114,7 +118,7 @@ def _in_order(facts: DataFrame, held: DataFrame) -> DataFrame:
         parts = list(up)
         yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int64()), pa.array(map(root, parts), pa.int64())], ["part", "root"])
 
-    rows = facts.select("title", "part", "k", "v").unionAll(held.select(F.lit(None).cast("string"), "part", "k", "v"))
+    rows = facts.select("title", "part", "k", "v").unionAll(held.select(F.lit(None).cast("long"), "part", "k", "v"))
     return rows.repartition(1).mapInArrow(run, "part long, root long")
 
 
