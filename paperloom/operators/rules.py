@@ -15,6 +15,23 @@ from paperloom.schema import ACCESS_DEPTHS, rank_of, strings
 
 VIOLATION = "rule string, key string, detail string"
 
+#: Rows, by count, from which a table is dealt by its key; both ways give the same violations.
+MANY = 1 << 18
+
+
+def dealt(rows: DataFrame, key: str, many: bool | None = None) -> DataFrame:
+    """Many rows (more than MANY, unless it is said) by key over the session's number of shuffle partitions, and as many tasks.
+
+    AQE puts partitions together by their compressed bytes, and keys in order compress so well that one task would get
+    tens of millions of rows.  It leaves alone partitions whose number was asked for, and those that are joined with them.
+    """
+    if getattr(rows, "_dealt_by", None) == key:
+        return rows
+    many = rows.count() > MANY if many is None else many
+    out = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key) if many else rows.select("*")
+    out._dealt_by, out._many = key, many
+    return out
+
 
 def _as_violations(rule: str, rows: DataFrame, key: Column | str, detail: Column | str = "") -> DataFrame:
     c = lambda x: F.col(x) if isinstance(x, str) and x else x if isinstance(x, Column) else F.lit(x)
@@ -23,13 +40,13 @@ def _as_violations(rule: str, rows: DataFrame, key: Column | str, detail: Column
 
 def unique(rule: str, rows: DataFrame, key: str) -> DataFrame:
     """Keys that several rows have."""
-    return _as_violations(rule, rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1"), key, "n")
+    return _as_violations(rule, dealt(rows, key).groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1"), key, "n")
 
 
 def foreign(rule: str, rows: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:
-    """Values that the parent table doesn't have."""
+    """Values that the parent table doesn't have; ``key`` is the parent's own, so few of its rows share one."""
     own = rows.where(F.col(column).isNotNull()).select(F.col(column).alias("_v")).distinct()
-    return _as_violations(rule, own.join(parent.select(F.col(key).alias("_v")).distinct(), "_v", "left_anti"), "_v", F.lit("unknown"))
+    return _as_violations(rule, own.join(dealt(parent, key).select(F.col(key).alias("_v")), "_v", "left_anti"), "_v", F.lit("unknown"))
 
 
 def holds(rule: str, rows: DataFrame, key: str, condition: Column, detail: Column | str = "") -> DataFrame:
@@ -129,9 +146,11 @@ def claim_rules(claims: DataFrame, bindings: DataFrame, sources: DataFrame, infe
     ``claims`` (claim_id, kind, status, source_ids), ``bindings`` (claim_id, source_id, depth), ``sources`` (source_id,
     source_role, access_depth), ``inferences`` (inference_id, claim_id).
     """
+    supported = claims.where("status = 'SUPPORTED'")
+    claims = dealt(claims, "claim_id")
     bound = bindings.groupBy("claim_id").agg(F.array_sort(F.collect_set("source_id")).alias("bound"))
     both = claims.join(bound, "claim_id", "left")
-    deep = bindings.join(sources, "source_id").where(supports_claim()).select("claim_id").distinct()
+    deep = dealt(bindings.join(sources, "source_id").where(supports_claim()).select("claim_id"), "claim_id", claims._many)  # an anti-join is done before what it keeps is dealt
     beyond = bindings.join(sources, "source_id").where(rank_of(F.col("depth"), ACCESS_DEPTHS) > rank_of(F.col("access_depth"), ACCESS_DEPTHS))
     return union(
         unique("claim_id_unique", claims, "claim_id"),
@@ -139,7 +158,7 @@ def claim_rules(claims: DataFrame, bindings: DataFrame, sources: DataFrame, infe
         foreign("binding_claim_known", bindings, "claim_id", claims, "claim_id"),
         foreign("inference_claim_known", inferences, "claim_id", claims, "claim_id"),
         holds("claim_sources_are_bindings", both, "claim_id", F.array_sort(strings(F.col("source_ids"))) == strings(F.col("bound"))),
-        _as_violations("supported_needs_full_text", claims.where("status = 'SUPPORTED'").join(deep, "claim_id", "left_anti"), "claim_id"),
+        _as_violations("supported_needs_full_text", supported.join(deep, "claim_id", "left_anti"), "claim_id"),
         _as_violations("binding_deeper_than_access", beyond, "claim_id", "source_id"),
     )
 
@@ -180,7 +199,7 @@ def inventory_url_rules(rows: DataFrame, window: tuple[str, str], key: str = "so
 
 def marker_rules(html: DataFrame, ids: DataFrame, key: str = "work_id") -> DataFrame:
     """The ids a report shows are exactly those of the ledger (V8).  ``html`` has (report_id, html)."""
-    shown = html.select(F.explode(F.regexp_extract_all("html", F.lit(r'data-work-id="([^"]*)"'), 1)).alias(key))
+    shown = dealt(html.select(F.explode(F.regexp_extract_all("html", F.lit(r'data-work-id="([^"]*)"'), 1)).alias(key)), key)
     return union(unique("marker_unique", shown, key), foreign("marker_known", shown, key, ids, key), foreign("marker_missing", ids, key, shown, key))
 
 
