@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from paperloom.functions.ids import stable_id
 from paperloom.operators.gaps import CONTENT_PROVIDERS
-from paperloom.operators.rules import foreign, holds, recomputed_id, union
+from paperloom.operators.rules import dealt, foreign, holds, recomputed_id, union
 from paperloom.schema import filled, strings, text_of
 
 # What a number in a claim looks like, what a measurement states, kinds that metadata may carry, triggers by kind of gap.
@@ -39,11 +39,12 @@ def numeric_rules(claims: DataFrame, estimates: DataFrame) -> DataFrame:
 
     ``claims`` has (claim_id, claim_text, measurement: struct of MEASURED or null, effect_estimate_ids), ``estimates`` (estimate_id, claim_id).
     """
+    used = claims.select("claim_id", F.explode("effect_estimate_ids").alias("estimate_id"))
+    claims = dealt(claims, "claim_id")
     own = estimates.groupBy("claim_id").agg(F.array_sort(F.collect_set("estimate_id")).alias("_own"))
     both = claims.join(own, "claim_id", "left")
     measured = F.col("measurement").isNotNull()
     lacks = F.filter(F.array(*[F.when(~filled(F.trim(f"measurement.{m}")), m) for m in MEASURED]), lambda m: m.isNotNull())
-    used = claims.select("claim_id", F.explode("effect_estimate_ids").alias("estimate_id"))
     known = estimates.select("estimate_id", F.col("claim_id").alias("_of")).distinct()
     odd = used.join(known, "estimate_id", "left").groupBy("claim_id", "estimate_id").agg(F.bool_or(F.coalesce(F.col("_of") == F.col("claim_id"), F.lit(False))).alias("ok"))
     return union(
@@ -62,6 +63,7 @@ def locator_rules(claims: DataFrame, bindings: DataFrame) -> DataFrame:
     ``claims`` has (claim_id, claim_kind, claim_origin, source_url, locator, citation_binding_ids), ``bindings`` (binding_id, claim_id,
     source_url, locator, extraction_origin).
     """
+    claims = dealt(claims, "claim_id")
     own = bindings.groupBy("claim_id").agg(F.array_sort(F.collect_set("binding_id")).alias("_ids"), *[F.collect_set(c).alias(f"_{c}") for c in ("source_url", "locator", "extraction_origin")])
     both = claims.join(own, "claim_id", "left")
     among = lambda c, of: F.coalesce(F.array_contains(f"_{of}", F.col(c)), F.lit(False))
