@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from paperloom.functions.text import collapse, fold, strip_markup, unescape
+from paperloom.functions.text import collapse, folded, strip_markup, unescape
 from paperloom.schema import IDENTIFIERS, filled, text_of
 
 # --- identifiers
@@ -31,7 +31,7 @@ def first_doi(*fields: Column) -> Column:
 
 def title_key(title: Column) -> Column:
     """Folded title, what is neither word nor space as blanks, collapsed."""
-    return collapse(F.regexp_replace(fold(text_of(title)), r"(?U)[^\p{L}\p{N}_\s]", " "))
+    return collapse(F.regexp_replace(folded(text_of(title)), r"(?U)[^\p{L}\p{N}_\s]", " "))
 
 
 def record_title_key(title: Column) -> Column:

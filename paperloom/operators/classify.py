@@ -104,7 +104,7 @@ def classify(candidates: DataFrame) -> DataFrame:
         ("journal_article", "PROVIDER_METADATA", any_label(lambda x: x.isin(*JOURNAL_LABELS))),
         ("preprint", "PROVIDER_METADATA", any_label(lambda x: x.isin(*PREPRINT_LABELS))),
         ("preprint", "SOURCE_CLASS", F.coalesce(F.col("is_preprint"), F.lit(False))),
-        ("protocol", "TITLE_EXPLICIT", F.array_contains("_of_title", "protocol")),
+        ("protocol", "TITLE_EXPLICIT", title.rlike(f"(?i){TITLE_DESIGNS['protocol']}")),  # as in _of_title, which isn't made where only types are asked for
         ("guideline", "TITLE_EXPLICIT", title.rlike(GUIDELINE_TITLE)),
         ("conference_paper", "SOURCE_CLASS", source.isin("acl anthology", "pmlr")),
         ("journal_article", "SOURCE_CLASS", source.isin("pubmed", "europe pmc")),

@@ -12,14 +12,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paperloom.functions.normalize import identifier, identity_key, record_title_key, title_key, work_id
+from paperloom.functions.normalize import doi, identifier, identity_key, record_title_key, title_key, work_id
 from paperloom.operators.access import oa_status, stable_union
 from paperloom.operators.classify import classify, is_formal, stable_types
-from paperloom.operators.digests import numbered
 from paperloom.operators.events import merge_events
-from paperloom.operators.graph import components, with_least
+from paperloom.operators.graph import components, connected_components, with_least
+from paperloom.operators.rules import dealt
 from paperloom.schema import IDENTIFIERS, filled, strings, text_of
-from paperloom.storage import spool
+from paperloom.storage import discard, spool
 
 # Titles that say nothing, and sources that are no source.
 GENERIC_TITLES = ("announcement", "commentary", "contents", "correction", "editorial", "erratum", "foreword", "introduction", "letter", "news", "preface")
@@ -30,14 +30,28 @@ class IdentityConflict(RuntimeError):
     """Observations with different values of one kind of identifier would become one work."""
 
 
+def _identifiers(kinds: tuple[str, ...] = IDENTIFIERS) -> Column:
+    """Kinds and values of an observation's identifiers, case folded; each is normalised once."""
+    each = F.array(*[F.struct(F.lit(k).alias("k"), F.lower(doi(F.col(k)) if k == "doi" else F.trim(text_of(F.col(k)))).alias("v")) for k in kinds])
+    return F.filter(each, lambda x: x["v"] != "")
+
+
+def _telling_hash() -> Column:
+    """The hash of a title's key, null for a title that says nothing."""
+    words = F.regexp_extract_all("_title", F.lit("[a-z0-9]+"), 0)
+    telling = (F.size(words) >= 4) & (F.length(F.array_join(words, "")) >= 20) & (F.size(F.array_except(words, F.array(*map(F.lit, GENERIC_TITLES)))) > 0)
+    return F.when(telling, F.unhex(F.sha2("_title", 256)))
+
+
 def _keyed(rows: DataFrame) -> DataFrame:
-    """Observations with an id of their own, spooled so that it stays the same."""
-    return spool(rows.withColumn("_id", F.monotonically_increasing_id()).withColumn("_title", title_key(F.col("title"))), "observations")
+    """Observations with an id of their own, spooled so that it stays the same, and with what they are compared by, which is made once."""
+    rows = rows.withColumn("_id", F.monotonically_increasing_id()).withColumn("_title", title_key(F.col("title")))
+    return spool(rows.withColumns({"_hash": _telling_hash(), "_ids": _identifiers()}), "observations")
 
 
 def identifier_edges(rows: DataFrame, kinds: tuple[str, ...] = IDENTIFIERS) -> DataFrame:
     """(a, b) from each observation to the first one with the same identifier."""
-    each = F.array_compact(F.array(*[F.when(identifier(k).isNotNull(), F.struct(F.lit(k).alias("k"), F.lower(identifier(k)).alias("v"))) for k in kinds]))
+    each = F.col("_ids") if "_ids" in rows.columns and kinds == IDENTIFIERS else _identifiers(kinds)
     pairs = rows.select("_id", F.explode(each).alias("x")).select("_id", "x.k", "x.v")
     first = spool(pairs.groupBy("k", "v").agg(F.min("_id").alias("a")), "first")
     return with_least(pairs, ["k", "v"], first).where("a <> _id").select("a", F.col("_id").alias("b"))
@@ -54,28 +68,38 @@ def conflicts(labelled: DataFrame, kinds: tuple[str, ...] = IDENTIFIERS) -> Data
 SMALL = 1 << 18
 
 
-def _title_facts(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _held(labelled: DataFrame) -> DataFrame:
+    """(part, k, v): components' identifiers, each once."""
+    each = F.col("_ids") if "_ids" in labelled.columns else _identifiers()
+    return labelled.select(F.col("component").alias("part"), F.explode(each).alias("x")).select("part", "x.*").distinct()
+
+
+def _title_facts(labelled: DataFrame, held: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """What observations of telling titles say, by title and component, and components' identifiers: (title, part, k, v), (part, k, v).
 
-    A title is its number in the order of titles; until it has one, its hash stands for it, as a title may be as long as a text.  Each title and part has a row of the kind ``part``, and one of the kind ``named`` if an observation has an identifier.
+    Only titles of several components count.  A title is a number in the order of titles; until it has one, its hash stands for it, as a title may be as long as a text.  Each title and part has a row of the kind ``part``, and one of the kind ``named`` if an observation has an identifier.
     """
+    for name, made in (("_hash", _telling_hash()), ("_ids", _identifiers())):
+        labelled = labelled if name in labelled.columns else labelled.withColumn(name, made)
+    told = labelled.where(F.col("_hash").isNotNull())
+    own = "_id" if "_id" in labelled.columns else "component"  # the row that a shared title's text is read from
+    shared = told.groupBy("_hash").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.min(own).alias("own")).where("a < b")
+    shared = spool(shared.select("_hash", F.col("own").alias(own)), "shared-titles")
+    names = with_least(told.select("_hash", own, "_title"), ["_hash", own], shared)
+    names = spool((names if own == "_id" else names.dropDuplicates(["_hash"])).select("_title", "_hash"), "title-names")
+    # Ranges of the order come one after the other, and so do the ids of their rows.
+    ranged = names.repartitionByRange("_title").sortWithinPartitions("_title").withColumn("place", F.monotonically_increasing_id())
+    numbers = spool(ranged.select("_hash", "place"), "title-numbers")
     plain = lambda c: F.regexp_replace(F.lower(text_of(c)), "[^a-z0-9]+", "")
-    ids = F.array_compact(F.array(*[F.when(identifier(k).isNotNull(), F.struct(F.lit(k).alias("k"), F.lower(identifier(k)).alias("v"))) for k in IDENTIFIERS]))
-    words = F.regexp_extract_all("_title", F.lit("[a-z0-9]+"), 0)
-    telling = (F.size(words) >= 4) & (F.length(F.array_join(words, "")) >= 20) & (F.size(F.array_except(words, F.array(*map(F.lit, GENERIC_TITLES)))) > 0)
     sources = F.array_except(F.transform(F.concat(F.array("source"), strings(F.col("observed_sources"))), plain), F.array(*map(F.lit, GENERIC_SOURCES)))
     said = {"date": F.array(F.substring(text_of(F.col("publication_date")), 1, 10)), "author": F.transform(strings(F.col("authors")), plain), "venue": F.array(plain(F.col("venue"))), "source": sources}
     of = lambda k: lambda v: F.struct(F.lit(k).alias("k"), v.alias("v"))
     one = lambda k, ok: F.when(ok, F.array(F.struct(F.lit(k).alias("k"), F.lit("-").alias("v")))).otherwise(F.array().cast("array<struct<k:string,v:string>>"))
-    pairs = F.concat(one("part", F.lit(True)), one("named", F.size(ids) > 0), *[F.transform(c, of(k)) for k, c in said.items()])
-    told = labelled.where(telling).withColumn("_hash", F.unhex(F.sha2("_title", 256)))
-    facts = spool(told.select(F.col("_hash").alias("title"), F.col("component").alias("part"), F.explode(F.filter(pairs, lambda p: p["v"] != "")).alias("x")).select("title", "part", "x.*").distinct(), "facts")
-    shared = spool(facts.where("k = 'part'").groupBy("title").agg(F.count(F.lit(1)).alias("n"), F.min("part").alias("component")).where("n > 1").select(F.col("title").alias("_hash"), "component"), "shared-titles")
-    names = with_least(told.select("_hash", "component", "_title"), ["_hash", "component"], shared).dropDuplicates(["_hash"])
-    numbers = spool(numbered(names.select("_title", "_hash"), "_title").select(F.col("_hash").alias("title"), "place"), "title-numbers")
-    facts = spool(with_least(facts, "title", numbers).select(F.col("place").alias("title"), "part", "k", "v"), "shared-facts")
-    held = labelled.select(F.col("component").alias("part"), F.explode(ids).alias("x")).select("part", "x.*").distinct()
-    return facts, spool(held.join(facts.select("part").distinct(), "part", "left_semi"), "held")
+    pairs = F.concat(one("part", F.lit(True)), one("named", F.size("_ids") > 0), *[F.transform(c, of(k)) for k, c in said.items()])
+    each = with_least(told, "_hash", numbers).select(F.col("place").alias("title"), F.col("component").alias("part"), F.explode(F.filter(pairs, lambda p: p["v"] != "")).alias("x"))
+    facts = spool(each.select("title", "part", "x.*").distinct(), "facts")
+    held = _held(labelled) if held is None else held
+    return facts, spool(held.join(facts.where("k = 'part'").select("part"), "part", "left_semi"), "held")
 
 
 def agrees(kinds: set[str], bare: bool) -> bool:
@@ -122,8 +146,8 @@ def _in_order(facts: DataFrame, held: DataFrame) -> DataFrame:
     return rows.repartition(1).mapInArrow(run, "part long, root long")
 
 
-def bridged(labelled: DataFrame, small: int = SMALL) -> DataFrame:
-    """(part, root): components after titles have bridged those that complement each other and agree.
+def _moved(facts: DataFrame, held: DataFrame, small: int = SMALL) -> DataFrame:
+    """(part, root) of the components that a bridge has given another root.
 
     Titles go in their order, as an earlier bridge changes what a later title has
     to agree on.  A title's turn has come once it is the least open one at each of
@@ -131,34 +155,49 @@ def bridged(labelled: DataFrame, small: int = SMALL) -> DataFrame:
     turn has come have components of their own, so a round judges them side by side.  A title's components agree if
     they say the same date, and the same author, venue or, where one has no identifier, source; they
     contradict each other if they hold two identifiers of one kind.  Nothing is
-    gathered by title or component: what all say is found by counting, contradictions
-    by least and greatest identifier.  Once at most ``small`` facts are left, by
+    gathered by title or component: what all say, and what contradicts itself, is found by counting.
+    A round keeps the open titles alone, and the identifiers at them.  Once at most ``small`` facts are left, by
     count, one task goes through their titles.
     """
-    facts, held = _title_facts(labelled)
-    roots = spool(facts.select("part", F.col("part").alias("root")).distinct(), "roots")
-    while n := facts.count():
+    out = facts.sparkSession.createDataFrame([], "part long, root long")
+
+    def further(moves: DataFrame) -> DataFrame:
+        """What has moved so far, with the moves of a round."""
+        last = out.join(moves.select(F.col("part").alias("root"), "to"), "root", "left").select("part", F.coalesce("to", "root").alias("root"))
+        return spool(last.unionAll(moves.select("part", F.col("to").alias("root"))), "moved")
+
+    n = facts.count()
+    while n:
         if n + held.count() <= small:
             last = spool(_in_order(facts, held), "in-order")
-            return roots.join(last.select(F.col("part").alias("root"), F.col("root").alias("to")), "root", "left").select("part", F.coalesce("to", "root").alias("root"))
+            return further(last.where("part <> root").select("part", F.col("root").alias("to")))
         parts = facts.where("k = 'part'").select("title", "part")
         first = spool(parts.groupBy("part").agg(F.min("title").alias("first")), "turns")
         turn = with_least(parts, "part", first).groupBy("title").agg(F.count(F.lit(1)).alias("n"), F.min("part").alias("to"), F.bool_and(F.col("title") == F.col("first")).alias("ready"))
-        turn = spool(turn, "titles")  # titles of one part are through
-        now = spool(with_least(facts, "title", turn.where("ready AND n > 1")), "ready")
+        turn = spool(turn.where("n > 1"), "titles")  # titles of one part are through
+        now = spool(with_least(facts, "title", turn.where("ready").drop("ready")), "ready")
         own = now.where("k = 'part'").select("title", "part", "to")
-        clash = held.join(own, "part").groupBy("title", "k").agg((F.min("v") < F.max("v")).alias("two")).where("two").select("title").distinct()
-        has = lambda *k: F.bool_or((F.col("m") == F.col("n")) & F.col("k").isin(*k))
-        common = now.groupBy("title", "k", "v").agg(F.count(F.lit(1)).alias("m"), F.first("n").alias("n"))
+        names = held.join(own, "part").select("title", "k", "v", F.lit(None).cast("long").alias("n"))
+        each = now.select("title", "k", "v", "n").unionAll(names).groupBy("title", "k", "v").agg(F.count(F.lit(1)).alias("m"), F.max("n").alias("n"))
+        has = lambda *k: F.bool_or(F.coalesce(F.col("m") == F.col("n"), F.lit(False)) & F.col("k").isin(*k))
         bare = F.coalesce(F.max(F.when(F.col("k") == "named", F.col("m"))), F.lit(0)) < F.max("n")
-        fine = common.groupBy("title").agg((has("date") & (has("author", "venue") | (bare & has("source")))).alias("ok")).where("ok").join(clash, "title", "left_anti")
-        moves = spool(own.join(fine.select("title"), "title", "left_semi").where(F.col("part") != F.col("to")).select("part", "to"), "moves")
+        two = F.greatest(*[F.count(F.when(F.col("k") == k, 1)) for k in IDENTIFIERS]) > 1
+        fine = each.groupBy("title").agg((has("date") & (has("author", "venue") | (bare & has("source"))) & ~two).alias("ok")).where("ok")
+        moves = spool(own.where("part <> to").join(fine.select("title"), "title", "left_semi").select("part", "to"), "moves")
         moved = lambda t: t.join(moves, "part", "left").withColumn("part", F.coalesce("to", "part")).drop("to")
-        left = facts.join(turn.where("n > 1 AND NOT ready").select("title"), "title", "left_semi")
-        facts = spool(moved(left).select("title", "part", "k", "v").distinct(), "facts")
-        held = spool(moved(held).select("part", "k", "v").distinct(), "held")
-        roots = spool(moved(roots.select("part", F.col("root")).withColumnRenamed("part", "_part").withColumnRenamed("root", "part")).select(F.col("_part").alias("part"), F.col("part").alias("root")), "roots")
-    return roots
+        out = further(moves)
+        facts = spool(moved(facts.join(turn.where("NOT ready").select("title"), "title", "left_semi")).select("title", "part", "k", "v").distinct(), "facts")
+        if n := facts.count():
+            left = moved(held).join(facts.where("k = 'part'").select("part"), "part", "left_semi")
+            held = spool(left.select("part", "k", "v").distinct(), "held")
+    return out
+
+
+def bridged(labelled: DataFrame, small: int = SMALL) -> DataFrame:
+    """(part, root): components after titles have bridged those that complement each other and agree."""
+    facts, held = _title_facts(labelled)
+    parts = facts.where("k = 'part'").select("part").distinct()
+    return parts.join(_moved(facts, held, small), "part", "left").select("part", F.coalesce("root", "part").alias("root"))
 
 
 def label(candidates: DataFrame, bridge: bool = True, small: int = SMALL) -> DataFrame:
@@ -167,26 +206,38 @@ def label(candidates: DataFrame, bridge: bool = True, small: int = SMALL) -> Dat
     Titles bridge components in their order; a bridge that would bring contradicting identifiers together is left out.
     """
     rows = _keyed(candidates)
-    nodes = rows.select(F.col("_id").alias("id"))
-    first = components(nodes, identifier_edges(rows))
-    labelled = rows.join(first, rows["_id"] == first["id"]).drop("id")
-    bad = conflicts(labelled).limit(5).collect()
-    if bad:
+    found = connected_components(identifier_edges(rows))
+    labelled = spool(rows.join(found, F.col("_id") == F.col("node"), "left").withColumn("component", F.coalesce("component", "_id")).drop("node"), "labelled")
+    discard(rows)
+    held = spool(_held(labelled), "identifiers")
+    if held.groupBy("part", "k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).collect():
+        bad = conflicts(labelled).limit(5).collect()
         raise IdentityConflict("; ".join(f"{r['kind']}: {', '.join(r['values'])}" for r in bad))
     if not bridge:
         return labelled
-    roots = bridged(labelled, small)
+    roots = _moved(*_title_facts(labelled, held), small)
     return labelled.join(roots, labelled["component"] == roots["part"], "left").withColumn("component", F.coalesce("root", "component")).drop("part", "root")
 
 
-def fold(labelled: DataFrame) -> DataFrame:
+#: Observations of a component from which they are put in order over ranges of it, and not in one task; both ways give the same works.
+CROWD = 1 << 18
+
+
+def fold(labelled: DataFrame, crowd: int = CROWD) -> DataFrame:
     """One row per component (A1): the first observation by title, formality, identifiers, score and source; blanks filled from
     the others in that order; a formal version's title, source, date and links before a preprint's; lists united; the best score."""
     rows = classify(labelled)
     ids = F.concat_ws("|", *[F.concat(F.lit(f"{k}="), identifier(k)) for k in sorted(IDENTIFIERS)])
     plain = F.to_json(F.struct(*[c for c in labelled.columns if not c.startswith("_") and c != "component"]))
-    order = F.struct(F.col("_title"), F.when(is_formal(), 0).otherwise(1), ids, -F.coalesce("score", F.lit(0)), F.lower(text_of(F.col("source"))), plain)
-    rows = rows.withColumn("_formal", is_formal()).withColumn("_order", order)
+    order = {"_o1": F.when(is_formal(), 0).otherwise(1), "_o2": ids, "_o3": -F.coalesce("score", F.lit(0)), "_o4": F.lower(text_of(F.col("source"))), "_o5": plain}
+    # A number stands for an observation's place in the order: minima that each carried what is ordered by would be kilobytes a row.
+    rows, keys = rows.withColumn("_formal", is_formal()).withColumns(order), ["_title", *order]
+    if labelled.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > crowd).limit(1).count():
+        keys += [c for c in ("_id",) if c in labelled.columns]  # copies tie, whichever comes first; their ids spread them over ranges
+        rows = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    else:
+        rows = dealt(rows, "component").sortWithinPartitions("component", *keys)
+    rows = rows.withColumn("_order", F.monotonically_increasing_id())
     base = lambda c: F.min_by(c, "_order")
     first_filled = lambda c: F.min_by(c, F.when(filled(F.col(c)), F.col("_order")))
     formal = lambda c: F.min_by(c, F.when(F.col("_formal"), F.col("_order")))
@@ -220,7 +271,8 @@ def fold(labelled: DataFrame) -> DataFrame:
 
 def deduplicate(candidates: DataFrame, bridge: bool = True) -> DataFrame:
     """Works from observations, best score first."""
-    return fold(label(candidates, bridge)).drop("component").orderBy(F.desc("score"), "work_id")
+    works = fold(label(candidates, bridge)).drop("component")
+    return works.repartition("work_id").orderBy(F.desc("score"), "work_id")  # Spark's sample of the order reads the shuffle and folds nothing again
 
 
 # --- feeds and registries
