@@ -14,7 +14,9 @@ shingles into segments, and a set's segments are indexed by their content:
   or one shingle apart, which the set's one-deletion neighbourhood finds.
 
 ``allocate`` chooses how many segments are doubled: it weighs the index entries
-against the chance matches that the number of documents makes likely.
+against the chance matches that the number of documents makes likely, each by
+what it costs: an entry is written, dealt and sorted, a chance match is a look at
+two sketches.
 
 Sets that are equal are one class from the start.  The documents of an index
 entry are linked to its smallest one, not to each other, so a group of n near
@@ -44,6 +46,8 @@ from .hashing import WordHasher
 
 SHINGLE, PERCENT = 4, 85
 BAND, SLACK, CHANCE = 4, 0.15, 0.05
+#: What a chance match costs, in index entries: it is a look at two sketches that are in memory.
+LOOK = 0.01
 #: Documents of an index entry that one task compares with as many others; how often an entry with more outside its largest component is indexed anew.
 CELL, DEPTH = 1024, 2
 #: Open entries with more documents than BUSY get up to STARS further stars before pairs are looked at.
@@ -73,8 +77,9 @@ def allocate(largest: int, percent: int, docs: float) -> tuple[int, int, int]:
         unit = largest / (apart + 1 + (slack if plain else 0))
         entries = plain + doubled * (2 + 2 * unit)
         chance = docs * (plain * CHANCE**unit + doubled * (1 + 4 * unit) * CHANCE ** max(0.0, 2 * unit - 1))
-        if best is None or entries + chance < best[0]:
-            best = (entries + chance, doubled, plain + (slack if plain else 0))
+        cost = entries + LOOK * chance
+        if best is None or cost < best[0]:
+            best = (cost, doubled, plain + (slack if plain else 0))
     return best[1], best[2], apart
 
 
@@ -234,13 +239,13 @@ def standing(members: DataFrame) -> DataFrame:
     return parts.groupBy("entry").agg(top.alias("top"), F.sum("k").alias("docs")).select("entry", (-F.col("top.c")).alias("most"), F.col("top.k").alias("inside"), (F.col("docs") - F.col("top.k")).alias("outside"))
 
 
-def likely_within(members: DataFrame, percent: int, cell: int = CELL) -> DataFrame:
+def likely_within(members: DataFrame, sets: DataFrame, percent: int, cell: int = CELL) -> DataFrame:
     """Pairs (a, b) of documents of one entry, but of two components, whose sizes and sketches allow a link.
 
-    ``members`` has (entry, doc_id, n, sketch, c).  Pairs that fail aren't made.
-    Documents outside the entry's largest component meet those inside and each
-    other, in cells of at most ``cell`` documents by as many; those inside don't
-    meet each other.
+    ``members`` has (entry, doc_id, c), ``sets`` (doc_id, n, sketch), one row an id.
+    Pairs that fail aren't made.  Documents outside the entry's largest component
+    meet those inside and each other, in cells of at most ``cell`` documents by
+    as many; those inside don't meet each other.
     """
     parts = lambda c: F.ceil(F.col(c) / cell).cast("int")
     shape = spool(standing(members).select("entry", "most", parts("inside").alias("p"), parts("outside").alias("q")), "shape")
@@ -251,8 +256,8 @@ def likely_within(members: DataFrame, percent: int, cell: int = CELL) -> DataFra
     inside = F.transform(upto("q"), lambda j: spot(F.col("mine"), j))
     outside = F.concat(F.transform(upto("p"), lambda i: spot(i, F.col("mine"))), F.transform(upto("q"), lambda j: spot(F.col("p") + F.least(j, F.col("mine")), F.greatest(j, F.col("mine")))))
     dealt = dealt.where("q > 0").withColumn("at", F.explode(F.when(F.col("far"), inside).otherwise(outside)))
-    dealt = dealt.select("entry", "at.i", "at.j", "far", "mine", "doc_id", "n", "c", "sketch")
-    # A join by entry may have left the rows dealt by entry, which serves the grouping, too, but brings all cells of an entry into one task.
+    dealt = dealt.select("entry", "at.i", "at.j", "far", "mine", "doc_id", "c").join(sets, "doc_id")  # sketches come last, as they are most of a row
+    # Where nothing deals the rows anew after the join by entry, they are dealt by entry, which serves the grouping, too, but brings all cells of an entry into one task.
     dealt = dealt.repartition(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), "entry", "i", "j")
 
     def run(key, t):
@@ -304,14 +309,16 @@ def cut_finer(members: DataFrame, narrow: DataFrame, shingle: int, percent: int,
     """``members`` (entry, doc_id, c) with entries of more than ``cell`` documents outside their largest component replaced by those of another universe partition.
 
     A link in an entry shares a segment of the other partition, too, so it stays
-    in one of the finer entries.  Finer entries of one component hold no link
-    that is new, and go.
+    in one of the finer entries.  Segments and finer entries of one component
+    hold no link that is new, and go; segments before they meet the entries, as
+    most are in one document alone, and each document has many of both.
     """
     crowded = spool(standing(members).where(F.col("outside") > cell).select("entry"), "crowded")
     if not crowded.limit(1).count():
         return members
     many = spool(members.join(crowded, "entry"), "many")
-    texts = narrow.join(spool(many.select("doc_id").distinct(), "wanted"), "doc_id", "left_semi")
+    wanted = spool(many.select("doc_id", "c").distinct(), "wanted")
+    texts = narrow.join(wanted, "doc_id", "left_semi")
 
     def run(batches):
         import numpy as np
@@ -322,10 +329,15 @@ def cut_finer(members: DataFrame, narrow: DataFrame, shingle: int, percent: int,
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([ix.entries(union_of(t.as_py(), ix)).view(np.int64) for t in b.column(1)], pa.list_(pa.int64()))], ["doc_id", "more"])
 
     again = spool(texts.mapInArrow(run, "doc_id long, more array<long>"), "finer")
-    finer = many.join(again, "doc_id").select("entry", "doc_id", "c", F.explode("more").alias("m")).select(F.xxhash64("entry", "m").alias("entry"), "doc_id", "c")
-    finer = spool(finer, "finer-members")
+    each = again.join(wanted, "doc_id").select("doc_id", "c", F.explode("more").alias("m"))
+    met = spool(each.groupBy("m").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("m"), "finer-met")
+    each = spool(each.join(met, "m").select("doc_id", "m"), "finer-each")
+    discard(again)
+    finer = spool(many.join(each, "doc_id").select(F.xxhash64("entry", "m").alias("entry"), "doc_id", "c"), "finer-members")
     open_ = spool(finer.groupBy("entry").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("entry"), "finer-open")
-    return spool(members.join(crowded, "entry", "left_anti").union(finer.join(open_, "entry").select("entry", "doc_id", "c")), "open")
+    out = spool(members.join(crowded, "entry", "left_anti").union(finer.join(open_, "entry").select("entry", "doc_id", "c")), "open")
+    discard(many, wanted, met, each, finer)
+    return out
 
 
 def verified(pairs: DataFrame, narrow: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -386,6 +398,8 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, doc
         many = shared.where("docs > 2")
         members = spool(own.join(many.select("entry", "a"), "entry").select("entry", "doc_id", "a"), "members")
         sets = spool(keyed.select("doc_id", "n", "sketch"), "sketches")
+        sizes = spool(table.select("doc_id", "n"), "sizes")
+        discard(table)  # the largest of the tables
         stars = spool(likely(two.union(members.where("a < doc_id").select("a", F.col("doc_id").alias("b"))).distinct(), sets, percent), "stars")
         links = spool(verified(stars, narrow, shingle, percent), "links")
         joined = spool(connected_components(links), "joined")
@@ -405,7 +419,7 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, doc
         if rest.limit(1).count():
             for cut in range(1, depth + 1):
                 rest = cut_finer(rest, narrow, shingle, percent, count, doubled, cut, cell)
-            more = spool(likely_within(rest.join(sets, "doc_id"), percent, cell).distinct().join(stars, ["a", "b"], "left_anti"), "more")
+            more = spool(likely_within(rest, sets, percent, cell).distinct().join(stars, ["a", "b"], "left_anti"), "more")
             if more.limit(1).count():
                 again = spool(verified(more, narrow, shingle, percent), "again")
                 joined = spool(connected_components(links.union(again)), "joined")
@@ -414,8 +428,8 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, doc
     labels = joined.join(copies.select("doc_id"), joined["node"] == copies["doc_id"], "left_anti").select(F.col("node").alias("doc_id"), "component")
     found = spool(reps.union(labels).groupBy("doc_id").agg(F.min("component").alias("component")), "found")
     if twice is not None:
-        table = table.join(twice, "doc_id", "left").withColumn("row", F.explode(F.sequence(F.lit(1), F.coalesce("rows", F.lit(1)))))
-    return table.join(found, "doc_id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+        sizes = sizes.join(twice, "doc_id", "left").withColumn("row", F.explode(F.sequence(F.lit(1), F.coalesce("rows", F.lit(1)))))
+    return sizes.join(found, "doc_id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
